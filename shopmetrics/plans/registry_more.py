@@ -1 +1,151 @@
-"""Registration of the remaining query families (filled in as they land)."""
+"""Registration of the RFM, bucketing, feature, EDA, load, audit, model and
+streaming query families."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from shopmetrics.functions.core import half_even, half_up
+from shopmetrics.operators.bucketing import cut_fixed_expr, ntile
+from shopmetrics.plans import features as feat
+from shopmetrics.plans import rfm
+from shopmetrics.plans.common import payments_per_order
+from shopmetrics.plans.oracle_rfm import ORACLE as RFM_SQL
+from shopmetrics.plans.registry import register
+from shopmetrics.sources.binding import star
+
+
+def _st(spark, sf_dir):
+    return star(spark, sf_dir)
+
+
+# ---- RFM (D7, E1, I1, I2, J8, H4) -----------------------------------------
+@register("order_totals", RFM_SQL["order_totals"])
+def _order_totals(spark, sf_dir):
+    ot = rfm.order_totals(_st(spark, sf_dir))
+    return ot.select("order_id", "customer_unique_id", "purchase_date", half_up("order_value", 2).alias("order_value"))
+
+
+@register("rfm_raw", RFM_SQL["rfm_raw"])
+def _rfm_raw(spark, sf_dir):
+    return rfm.rfm_raw(_st(spark, sf_dir)).drop("monetary_dec")
+
+
+_SCORED_COLS = ["customer_unique_id", "recency_days", "frequency", "monetary", "avg_order_value",
+                "max_order_value", "last_purchase", "first_purchase", "r_score", "f_score", "m_score"]
+
+
+@register("rfm_scored", RFM_SQL["rfm_scored"])
+def _rfm_scored(spark, sf_dir):
+    return rfm.rfm_scored(_st(spark, sf_dir)).select(*_SCORED_COLS)
+
+
+@register("rfm_segments_sql", RFM_SQL["rfm_segments_sql"])
+def _rfm_segments_sql(spark, sf_dir):
+    return rfm.rfm_segments_sql(_st(spark, sf_dir))
+
+
+@register("rfm_top_customers", RFM_SQL["rfm_top_customers"])
+def _rfm_top(spark, sf_dir):
+    return rfm.rfm_top_customers(_st(spark, sf_dir))
+
+
+@register("rfm_segment_summary", RFM_SQL["rfm_segment_summary"])
+def _rfm_summary(spark, sf_dir):
+    return rfm.rfm_segment_summary(_st(spark, sf_dir))
+
+
+@register("ntile_distributed", RFM_SQL["ntile_distributed"])
+def _ntile_distributed(spark, sf_dir):
+    ov = payments_per_order(_st(spark, sf_dir)).select("order_id", F.col("pay_sum").alias("v"))
+    out = ntile(ov, [F.col("v"), F.col("order_id")], 10, "decile")
+    return out.select("order_id", half_up("v", 2).alias("order_value"), "decile")
+
+
+@register("recency_days", RFM_SQL["recency_days"])
+def _recency_days(spark, sf_dir):
+    return feat.recency_days(_st(spark, sf_dir))
+
+
+# ---- features (J1-J7) ---------------------------------------------------------
+_FEATURE_OUT = ["customer_unique_id", "recency_days", "frequency", "monetary", "avg_order_value",
+                "max_order_value", "min_order_value", "std_order_value", "last_purchase_date",
+                "first_purchase_date", "review_count", "avg_review_score", "unique_categories",
+                "customer_age_days", "orders_per_month", "revenue_per_day", "churned"]
+
+
+def features_df(spark, sf_dir):
+    return feat.feature_matrix(_st(spark, sf_dir)).select(*_FEATURE_OUT)
+
+
+def segments_df(spark, sf_dir):
+    return feat.rfm_segments_features(features_df(spark, sf_dir))
+
+
+@register("rfm_feature_base", RFM_SQL["rfm_feature_base"])
+def _feature_base(spark, sf_dir):
+    return feat.rfm_feature_base(_st(spark, sf_dir))
+
+
+@register("review_features", RFM_SQL["review_features"])
+def _review_features(spark, sf_dir):
+    return feat.review_features(_st(spark, sf_dir))
+
+
+@register("category_features", RFM_SQL["category_features"])
+def _category_features(spark, sf_dir):
+    return feat.category_features(_st(spark, sf_dir))
+
+
+@register("feature_matrix", RFM_SQL["feature_matrix"])
+def _feature_matrix(spark, sf_dir):
+    return features_df(spark, sf_dir)
+
+
+@register("churn_label_quantile", RFM_SQL["churn_label_quantile"])
+def _churn_label(spark, sf_dir):
+    return features_df(spark, sf_dir).select("customer_unique_id", "recency_days", "churned")
+
+
+@register("churn_baseline", RFM_SQL["churn_baseline"])
+def _churn_baseline(spark, sf_dir):
+    return feat.churn_baseline(_st(spark, sf_dir))
+
+
+@register("rfm_segments_features", RFM_SQL["rfm_segments_features"])
+def _rfm_segments_features(spark, sf_dir):
+    return segments_df(spark, sf_dir).select("customer_unique_id", "recency_days", "frequency", "monetary",
+                                             "r_score", "f_score", "m_score", "rfm_segment")
+
+
+@register("qcut_rank", RFM_SQL["qcut_rank"])
+def _qcut_rank(spark, sf_dir):
+    return segments_df(spark, sf_dir).select("customer_unique_id", "frequency", "f_score")
+
+
+@register("qcut_values", RFM_SQL["qcut_values"])
+def _qcut_values(spark, sf_dir):
+    return segments_df(spark, sf_dir).select("customer_unique_id", "recency_days", "r_score")
+
+
+@register("churn_label_bins", RFM_SQL["churn_label_bins"])
+def _churn_label_bins(spark, sf_dir):
+    ch = _st(spark, sf_dir).ml_churn_predictions
+    prob = F.col("churn_probability")
+    return ch.select("customer_unique_id", prob.cast("double").alias("churn_probability"),
+                     cut_fixed_expr(prob, [0.0, 0.33, 0.66, 1.0], ["Low", "Medium", "High"],
+                                    lowest_label="Low").alias("churn_label"))
+
+
+@register("segment_churn_stats", RFM_SQL["segment_churn_stats"])
+def _segment_churn_stats(spark, sf_dir):
+    seg = segments_df(spark, sf_dir)
+    agg = seg.groupBy("rfm_segment").agg(
+        F.count(F.lit(1)).cast("bigint").alias("customers"),
+        F.avg("monetary").alias("_m"), F.avg("recency_days").alias("_r"), F.avg("churned").alias("_c"))
+    total = F.sum("customers").over(Window.partitionBy())  # <= 8 aggregated rows
+    return agg.select("rfm_segment", "customers", half_even("_m", 2).alias("avg_monetary"),
+                      half_even("_r", 2).alias("avg_recency"), half_even("_c", 2).alias("churn_rate"),
+                      half_even(F.col("customers") * 100.0 / total, 1).alias("pct_customers")
+                      ).orderBy(F.desc("avg_monetary"))
