@@ -43,8 +43,10 @@ def half_up(x, n: int) -> Column:
 
 
 def half_even(x, n: int) -> Column:
-    """numpy ``.round(n)`` (banker's rounding) as DOUBLE."""
-    return F.bround(_c(x).cast("double"), n)
+    """numpy ``.round(n)`` on float64: ``rint(x * 10**n) / 10**n``
+    (half-to-even on the scaled binary value), as DOUBLE."""
+    scale = float(10 ** n)
+    return F.rint(_c(x).cast("double") * F.lit(scale)) / F.lit(scale)
 
 
 def whole_days(later, earlier) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shopmetrics.plans.oracle_views import AS_OF_SQL, DAYS, PCT, R
+from shopmetrics.plans.oracle_views import AS_OF_SQL, DAYS, HE, PCT, R
 
 ORACLE = {}
 
@@ -126,11 +126,10 @@ merged AS (
     LEFT JOIN category_features k ON k.customer_unique_id = b.customer_unique_id),
 features AS (
     SELECT *,
-        round_even(CASE WHEN customer_age_days > 0
-                        THEN frequency / (customer_age_days / 30.0)
-                        ELSE CAST(frequency AS DOUBLE) END, 4) AS orders_per_month,
-        round_even(CASE WHEN customer_age_days > 0 THEN monetary / customer_age_days
-                        ELSE monetary END, 4) AS revenue_per_day,
+        {HE("CASE WHEN customer_age_days > 0 THEN frequency / (customer_age_days / 30.0) "
+            "ELSE CAST(frequency AS DOUBLE) END", 4)} AS orders_per_month,
+        {HE("CASE WHEN customer_age_days > 0 THEN monetary / customer_age_days ELSE monetary END", 4)}
+            AS revenue_per_day,
         CAST(CASE WHEN recency_days > (SELECT quantile_cont(recency_days, 0.75) FROM feature_base)
                   THEN 1 ELSE 0 END AS INTEGER) AS churned
     FROM merged)"""
@@ -211,7 +210,7 @@ ORACLE["segment_churn_stats"] = f"""WITH {SEGMENTS_CTES},
 s AS (SELECT rfm_segment, COUNT(*) AS customers, AVG(monetary) AS am, AVG(recency_days) AS ar,
              AVG(churned) AS cr FROM labelled GROUP BY rfm_segment)
 SELECT rfm_segment, CAST(customers AS BIGINT) AS customers,
-       round_even(am, 2) AS avg_monetary, round_even(ar, 2) AS avg_recency,
-       round_even(cr, 2) AS churn_rate,
-       round_even(customers * 100.0 / SUM(customers) OVER (), 1) AS pct_customers
+       {HE('am', 2)} AS avg_monetary, {HE('ar', 2)} AS avg_recency,
+       {HE('cr', 2)} AS churn_rate,
+       {HE('customers * 100.0 / SUM(customers) OVER ()', 1)} AS pct_customers
 FROM s ORDER BY avg_monetary DESC"""

@@ -17,6 +17,12 @@ def R(expr: str, n: int) -> str:
     return f"CAST(round(CAST(({expr}) AS DECIMAL(38,6)), {n}) AS DOUBLE)"
 
 
+def HE(expr: str, n: int) -> str:
+    """numpy-style rounding of a DOUBLE: round_even(x * 10^n, 0) / 10^n."""
+    scale = float(10 ** n)
+    return f"(round_even(CAST(({expr}) AS DOUBLE) * {scale}, 0) / {scale})"
+
+
 def PCT(num: str, den: str, n: int = 1) -> str:
     return R(f"({num}) * 100.0 / NULLIF(({den}), 0)", n)
 

@@ -149,3 +149,39 @@ def _segment_churn_stats(spark, sf_dir):
                       half_even("_r", 2).alias("avg_recency"), half_even("_c", 2).alias("churn_rate"),
                       half_even(F.col("customers") * 100.0 / total, 1).alias("pct_customers")
                       ).orderBy(F.desc("avg_monetary"))
+
+
+# ---- EDA (L1-L12, B6, D10) ---------------------------------------------------
+from shopmetrics.plans import eda  # noqa: E402
+from shopmetrics.plans.oracle_eda import ORACLE as EDA_SQL  # noqa: E402
+
+for _name in ["order_status_counts", "eda_revenue_totals", "order_values", "order_value_describe",
+              "order_value_trim_p99", "order_value_histogram", "order_value_boxplot", "eda_top_categories",
+              "review_score_distribution", "review_score_summary", "eda_state_top12"]:
+    register(_name, EDA_SQL.get(_name))(
+        (lambda fn: lambda spark, sf_dir: fn(_st(spark, sf_dir)))(getattr(eda, _name)))
+
+
+@register("eda_monthly_revenue", EDA_SQL["eda_monthly_revenue"])
+def _eda_monthly(spark, sf_dir):
+    return eda.eda_monthly_revenue(_st(spark, sf_dir)).drop("_rev")
+
+
+@register("monetary_describe", EDA_SQL["monetary_describe"])
+def _monetary_describe(spark, sf_dir):
+    return eda.monetary_describe(features_df(spark, sf_dir))
+
+
+@register("monetary_trim_p95", EDA_SQL["monetary_trim_p95"])
+def _monetary_trim(spark, sf_dir):
+    return eda.monetary_trim_p95(features_df(spark, sf_dir))
+
+
+@register("monetary_histograms", EDA_SQL["monetary_histograms"])
+def _monetary_hist(spark, sf_dir):
+    return eda.monetary_histograms(features_df(spark, sf_dir))
+
+
+@register("feature_histograms_by_class")
+def _feature_hist(spark, sf_dir):
+    return eda.feature_histograms_by_class(features_df(spark, sf_dir))
