@@ -185,3 +185,109 @@ def _monetary_hist(spark, sf_dir):
 @register("feature_histograms_by_class")
 def _feature_hist(spark, sf_dir):
     return eda.feature_histograms_by_class(features_df(spark, sf_dir))
+
+
+# ---- loads, scans, audits (A1-A15), joins/aggregates (C1, D1), H15 ----------
+from shopmetrics.operators import quality  # noqa: E402
+from shopmetrics.plans import loads  # noqa: E402
+from shopmetrics.plans.oracle_loads import ORACLE as LOAD_SQL  # noqa: E402
+from shopmetrics.plans.oracle_rfm import FEATURES_CTES  # noqa: E402
+from shopmetrics.schema import STAR_TABLES  # noqa: E402
+from shopmetrics.sources import ingest  # noqa: E402
+
+
+def _loaded(spark, sf_dir):
+    return loads.star_from_driver(_st(spark, sf_dir))
+
+
+@register("ingest_raw_csv")
+def _ingest_raw_csv(spark, sf_dir):
+    return loads.ingest_raw_csv(spark, _st(spark, sf_dir))
+
+
+@register("coerce_dates", LOAD_SQL["coerce_dates"])
+def _coerce_dates(spark, sf_dir):
+    return loads.raw_from_driver(_st(spark, sf_dir))["raw_orders"].drop(ingest.INGEST_SEQ)
+
+
+for _t in ["dim_customers", "dim_sellers", "dim_products", "dim_date", "fact_orders", "fact_reviews"]:
+    register(_t, LOAD_SQL[_t])((lambda t: lambda spark, sf_dir: _loaded(spark, sf_dir)[t])(_t))
+
+
+@register("fact_order_items", LOAD_SQL["fact_order_items"])
+def _fact_order_items(spark, sf_dir):
+    return _loaded(spark, sf_dir)["fact_order_items"].drop("item_id")
+
+
+@register("fact_payments", LOAD_SQL["fact_payments"])
+def _fact_payments(spark, sf_dir):
+    return _loaded(spark, sf_dir)["fact_payments"].drop("payment_id")
+
+
+@register("insert_ignore", LOAD_SQL["insert_ignore"])
+def _insert_ignore(spark, sf_dir):
+    return loads.insert_ignore_reviews(_st(spark, sf_dir))
+
+
+@register("sink_overwrite")
+def _sink_overwrite(spark, sf_dir):
+    return loads.sink_overwrite_roundtrip(spark, _st(spark, sf_dir))
+
+
+@register("orders_scan", LOAD_SQL["orders_scan"])
+def _orders_scan(spark, sf_dir):
+    return _st(spark, sf_dir).fact_orders.select("order_id", "order_status", "purchase_date")
+
+
+def _star_tables(spark, sf_dir):
+    st = _st(spark, sf_dir)
+    return {t: st.table(t) for t in STAR_TABLES}
+
+
+@register("table_row_counts", LOAD_SQL["table_row_counts"])
+def _table_row_counts(spark, sf_dir):
+    return ingest.table_row_counts(_star_tables(spark, sf_dir))
+
+
+@register("audit_primary_keys", LOAD_SQL["audit_primary_keys"])
+def _audit_pk(spark, sf_dir):
+    return quality.audit_primary_keys(_star_tables(spark, sf_dir))
+
+
+@register("audit_foreign_keys", LOAD_SQL["audit_foreign_keys"])
+def _audit_fk(spark, sf_dir):
+    return quality.audit_foreign_keys(_star_tables(spark, sf_dir))
+
+
+@register("audit_domains", LOAD_SQL["audit_domains"])
+def _audit_domains(spark, sf_dir):
+    return quality.audit_domains(_star_tables(spark, sf_dir))
+
+
+@register("join_order_customer_payment", LOAD_SQL["join_order_customer_payment"])
+def _join_ocp(spark, sf_dir):
+    st = _st(spark, sf_dir)
+    o = st.fact_orders.where(F.col("order_status") == "delivered").select("order_id", "customer_id", "purchase_date")
+    c = st.dim_customers.select("customer_id", "customer_unique_id", "state")
+    p = st.fact_payments.select("order_id", "payment_sequential", "payment_type",
+                                F.col("payment_value").cast("double").alias("payment_value"))
+    return o.join(c, "customer_id").join(p, "order_id").drop("customer_id")
+
+
+@register("agg_basic", LOAD_SQL["agg_basic"])
+def _agg_basic(spark, sf_dir):
+    i = _st(spark, sf_dir).fact_order_items
+    return i.groupBy("seller_id").agg(
+        F.count(F.lit(1)).cast("bigint").alias("items"),
+        F.count("product_id").cast("bigint").alias("items_with_product"),
+        half_up(F.sum("price"), 2).alias("total_price"), half_up(F.avg("price"), 2).alias("avg_price"),
+        half_up(F.min("price"), 2).alias("min_price"), half_up(F.max("price"), 2).alias("max_price"))
+
+
+@register("clv_log_target", f"WITH {FEATURES_CTES} {LOAD_SQL['clv_log_target']}")
+def _clv_log_target(spark, sf_dir):
+    f = features_df(spark, sf_dir)
+    log_m = F.log1p("monetary")
+    return f.select("customer_unique_id", "monetary",
+                    F.round(log_m.cast("decimal(38,9)"), 9).cast("double").alias("log_monetary"),
+                    half_up(F.greatest(F.expm1(log_m), F.lit(0.0)), 2).alias("back_transformed"))

@@ -72,13 +72,29 @@ def raw_table_name(stem: str) -> str:
     return RAW_NAME_MAP.get(stem, f"raw_{stem}")
 
 
-def list_raw_csv(folder: str) -> dict[str, str]:
-    """Map staging table name -> CSV path; raise when the folder has none."""
-    stems = sorted(f[:-4] for f in os.listdir(folder) if f.lower().endswith(".csv")) \
-        if os.path.isdir(folder) else []
+def list_raw_csv(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Map staging table name -> CSV path (a file or a folder of part files
+    named ``<stem>.csv``); raise when the folder holds none.
+
+    Listing goes through the ``binaryFile`` source with only the ``path``
+    column selected (file contents are never read), so it works on any
+    filesystem Spark can read."""
+    base = folder.rstrip("/")
+    try:
+        paths = [r[0] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .load(base).select("path").collect()]
+    except Exception:  # noqa: BLE001 - a missing folder is "no CSV files"
+        paths = []
+    root = base.split(":", 1)[-1].rstrip("/") if "://" not in base else base
+    stems = set()
+    for p in paths:
+        rel = p.split(root, 1)[-1].lstrip("/") if root in p else os.path.basename(p)
+        first = rel.split("/", 1)[0]
+        if first.lower().endswith(".csv"):
+            stems.add(first[:-4])
     if not stems:
         raise FileNotFoundError(f"No CSV files found in {folder}")
-    return {raw_table_name(s): os.path.join(folder, s + ".csv") for s in stems}
+    return {raw_table_name(s): f"{base}/{s}.csv" for s in sorted(stems)}
 
 
 def read_raw_csv(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
@@ -105,14 +121,14 @@ def coerce_dates(df: DataFrame) -> DataFrame:
     if not targets:
         return df
     return df.select(*[
-        F.try_to_timestamp(F.col(c).cast("string")).cast("timestamp_ntz").alias(c) if c in targets else F.col(c)
+        F.col(c).cast("string").try_cast("timestamp_ntz").alias(c) if c in targets else F.col(c)
         for c in df.columns
     ])
 
 
 def load_raw_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """A1: every CSV in ``folder`` as a lazily read staging DataFrame."""
-    return {t: read_raw_csv(spark, p, t) for t, p in list_raw_csv(folder).items()}
+    return {t: read_raw_csv(spark, p, t) for t, p in list_raw_csv(spark, folder).items()}
 
 
 # ---------------------------------------------------------------- A11 ------
