@@ -91,14 +91,14 @@ def boxplot_stats(df: DataFrame, col: str, id_col: str | None = None, whis: floa
     agg = df.agg(
         F.count(x).cast("bigint").alias("n"),
         F.min(F.when(x >= lo_fence, x)).alias("whisker_low"),
-        F.max(F.when(x <= hi_fence, x)).alias("whisker_high"))
+        F.max(F.when(x <= hi_fence, x)).alias("whisker_high"),
+        F.sum(F.when((x < lo_fence) | (x > hi_fence), 1).otherwise(0)).cast("bigint").alias("outliers"))
     return agg.select(
         "n",
         half_up(F.lit(q1), 4).alias("q1"), half_up(F.lit(med), 4).alias("median"),
         half_up(F.lit(q3), 4).alias("q3"), half_up(F.lit(iqr), 4).alias("iqr"),
         half_up("whisker_low", 4).alias("whisker_low"), half_up("whisker_high", 4).alias("whisker_high"),
-    ).crossJoin(
-        df.agg(F.sum(F.when((x < lo_fence) | (x > hi_fence), 1).otherwise(0)).cast("bigint").alias("outliers")))
+        F.coalesce("outliers", F.lit(0)).cast("bigint").alias("outliers"))
 
 
 def grouped_density_histograms(long_df: DataFrame, group_cols: list[str], value_col: str,

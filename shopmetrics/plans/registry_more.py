@@ -291,3 +291,192 @@ def _clv_log_target(spark, sf_dir):
     return f.select("customer_unique_id", "monetary",
                     F.round(log_m.cast("decimal(38,9)"), 9).cast("double").alias("log_monetary"),
                     half_up(F.greatest(F.expm1(log_m), F.lit(0.0)), 2).alias("back_transformed"))
+
+
+# ---- models (M1-M14) -------------------------------------------------------------
+from shopmetrics.operators.bucketing import qcut_values_expr, rank_percentiles  # noqa: E402
+from shopmetrics.plans import modeling as ml  # noqa: E402
+from shopmetrics.plans.oracle_models import ORACLE as MODEL_SQL  # noqa: E402
+from shopmetrics.session import scratch_path  # noqa: E402
+
+_RUNS: dict = {}
+CLV_TIER_LABELS = ["Bronze", "Silver", "Gold", "Platinum"]
+
+
+def churn_run(spark, sf_dir):
+    """Feature table (checkpointed once: many jobs reuse it), stratified
+    split, SMOTE on the training split and the fitted churn model."""
+    key = ("churn", id(spark), sf_dir)
+    if key not in _RUNS:
+        feats = features_df(spark, sf_dir).checkpoint()
+        sp = ml.split(feats, label=feat.CHURN_TARGET)
+        train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+        over = ml.smote(train.select("customer_unique_id", *feat.FEATURE_COLS, feat.CHURN_TARGET),
+                        feat.FEATURE_COLS).checkpoint()
+        model = ml.fit_churn(over)
+        _RUNS[key] = {"features": feats, "split": sp, "train": train, "test": test, "over": over, "model": model}
+    return _RUNS[key]
+
+
+def clv_run(spark, sf_dir):
+    key = ("clv", id(spark), sf_dir)
+    if key not in _RUNS:
+        feats = churn_run(spark, sf_dir)["features"]
+        sp = ml.split(feats, label=None)
+        train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+        _RUNS[key] = {"features": feats, "split": sp, "train": train, "test": test,
+                      "model": ml.fit_clv(train)}
+    return _RUNS[key]
+
+
+@register("stratified_split")
+def _stratified_split(spark, sf_dir):
+    return churn_run(spark, sf_dir)["split"].select("customer_unique_id", feat.CHURN_TARGET, "split")
+
+
+@register("random_split")
+def _random_split(spark, sf_dir):
+    return clv_run(spark, sf_dir)["split"].select("customer_unique_id", "split")
+
+
+@register("smote_oversample")
+def _smote(spark, sf_dir):
+    return churn_run(spark, sf_dir)["over"]
+
+
+@register("churn_scores")
+def _churn_scores(spark, sf_dir):
+    run = churn_run(spark, sf_dir)
+    return ml.churn_probability(run["model"], run["test"]).select(
+        "customer_unique_id", feat.CHURN_TARGET, "churn_probability", F.col("prediction").cast("int"))
+
+
+def _bound_churn_scored(spark, sf_dir):
+    f = features_df(spark, sf_dir).select("customer_unique_id", feat.CHURN_TARGET)
+    p = _st(spark, sf_dir).ml_churn_predictions.select(
+        "customer_unique_id", F.col("churn_probability").cast("double").alias("score"),
+        F.when(F.col("churn_probability") >= 0.5, 1).otherwise(0).alias("pred"))
+    return f.join(p, "customer_unique_id")
+
+
+@register("binary_auc", MODEL_SQL["binary_auc"])
+def _binary_auc(spark, sf_dir):
+    s = _bound_churn_scored(spark, sf_dir).cache()
+    value = ml.auc(s, "score", feat.CHURN_TARGET)
+    counts = s.agg(F.sum(feat.CHURN_TARGET).cast("bigint").alias("n_pos"),
+                   (F.count(F.lit(1)) - F.sum(feat.CHURN_TARGET)).cast("bigint").alias("n_neg"))
+    return counts.select(half_up(F.lit(value), 6).alias("auc"), "n_pos", "n_neg")
+
+
+@register("confusion_matrix", MODEL_SQL["confusion_matrix"])
+def _confusion(spark, sf_dir):
+    return ml.confusion_matrix(_bound_churn_scored(spark, sf_dir), feat.CHURN_TARGET, "pred")
+
+
+@register("classification_report", MODEL_SQL["classification_report"])
+def _class_report(spark, sf_dir):
+    return ml.classification_report(_bound_churn_scored(spark, sf_dir), feat.CHURN_TARGET, "pred")
+
+
+@register("churn_cv_auc")
+def _cv_auc(spark, sf_dir):
+    mean, std, folds = ml.cv_auc(churn_run(spark, sf_dir)["features"], params={"maxIter": 10})
+    return spark.createDataFrame([(round(mean, 4), round(std, 4), len(folds))],
+                                 "cv_auc_mean double, cv_auc_std double, folds int")
+
+
+@register("clv_scores")
+def _clv_scores(spark, sf_dir):
+    run = clv_run(spark, sf_dir)
+    return ml.clv_predict(run["model"], run["test"]).select("customer_unique_id", "monetary", "predicted_clv")
+
+
+@register("regression_metrics", MODEL_SQL["regression_metrics"])
+def _regression_metrics(spark, sf_dir):
+    f = features_df(spark, sf_dir).select("customer_unique_id", "monetary")
+    p = _st(spark, sf_dir).ml_clv_predictions.select(
+        "customer_unique_id", F.greatest(F.col("predicted_clv").cast("double"), F.lit(0.0)).alias("pred"))
+    return ml.regression_metrics(f.join(p, "customer_unique_id"), "monetary", "pred")
+
+
+def clv_tiers_expr(df, value_col: str, id_col: str = "customer_unique_id"):
+    edges = rank_percentiles(df, value_col, id_col, [0.0, 0.25, 0.5, 0.75, 1.0])
+    return qcut_values_expr(value_col, edges, CLV_TIER_LABELS)
+
+
+@register("clv_tiers", MODEL_SQL["clv_tiers"])
+def _clv_tiers(spark, sf_dir):
+    v = _st(spark, sf_dir).ml_clv_predictions.select(
+        "customer_unique_id", F.col("predicted_clv").cast("double").alias("predicted_clv"))
+    return v.withColumn("clv_segment", clv_tiers_expr(v, "predicted_clv"))
+
+
+@register("ml_churn_predictions")
+def _ml_churn_predictions(spark, sf_dir):
+    run = churn_run(spark, sf_dir)
+    seg = feat.rfm_segments_features(run["features"]).select("customer_unique_id", "rfm_segment")
+    scored = ml.churn_probability(run["model"], run["features"]).join(seg, "customer_unique_id")
+    prob = F.col("churn_probability")
+    out = scored.select(
+        "customer_unique_id", "rfm_segment",
+        F.col("recency_days").cast("decimal(10,2)").alias("recency_days"),
+        F.col("frequency").cast("int").alias("frequency"),
+        F.col("monetary").cast("decimal(12,2)").alias("monetary"),
+        prob.cast("decimal(6,4)").alias("churn_probability"),
+        cut_fixed_expr(prob, [0.0, 0.33, 0.66, 1.0], ["Low", "Medium", "High"], lowest_label="Low")
+        .alias("churn_label"),
+        F.current_timestamp().alias("predicted_at"))
+    path = scratch_path(spark, "ml_churn_predictions")
+    ingest.sink_overwrite(out, path)
+    return spark.read.parquet(path)
+
+
+@register("ml_clv_predictions")
+def _ml_clv_predictions(spark, sf_dir):
+    run = clv_run(spark, sf_dir)
+    seg = feat.rfm_segments_features(run["features"]).select("customer_unique_id", "rfm_segment")
+    pred = (ml.clv_predict(run["model"], run["features"])
+            .withColumn("predicted_clv", half_even("predicted_clv", 2)).join(seg, "customer_unique_id"))
+    pred = pred.withColumn("clv_segment", clv_tiers_expr(pred, "predicted_clv"))
+    out = pred.select("customer_unique_id", "rfm_segment",
+                      F.col("monetary").cast("decimal(12,2)").alias("monetary"),
+                      F.col("predicted_clv").cast("decimal(12,2)").alias("predicted_clv"), "clv_segment",
+                      F.col("recency_days").cast("decimal(10,2)").alias("recency_days"),
+                      F.col("frequency").cast("int").alias("frequency"),
+                      F.current_timestamp().alias("predicted_at"))
+    path = scratch_path(spark, "ml_clv_predictions")
+    ingest.sink_overwrite(out, path)
+    return spark.read.parquet(path)
+
+
+@register("feature_importance")
+def _feature_importance(spark, sf_dir):
+    run = churn_run(spark, sf_dir)
+    gbt = run["model"].stages[-1]
+    imp = spark.createDataFrame([(c, float(v)) for c, v in zip(feat.FEATURE_COLS, gbt.featureImportances.toArray())],
+                                "feature string, importance double")
+    perm = ml.permutation_importance(run["model"], run["test"], feat.FEATURE_COLS)
+    return imp.join(perm, "feature")
+
+
+@register("prediction_sample")
+def _prediction_sample(spark, sf_dir):
+    run = clv_run(spark, sf_dir)
+    pred = ml.clv_predict(run["model"], run["test"])
+    return (pred.orderBy(F.xxhash64("customer_unique_id", F.lit(ml.SEED)), "customer_unique_id").limit(2000)
+            .select("customer_unique_id", F.col("monetary").alias("actual_clv"), "predicted_clv"))
+
+
+@register("model_metrics")
+def _model_metrics(spark, sf_dir):
+    churn, clv = churn_run(spark, sf_dir), clv_run(spark, sf_dir)
+    test_auc = ml.auc(ml.churn_probability(churn["model"], churn["test"]), "churn_probability", feat.CHURN_TARGET)
+    reg = ml.regression_metrics(ml.clv_predict(clv["model"], clv["test"]), "monetary", "predicted_clv").first()
+    rows = [("churn", "auc", round(test_auc, 4)), ("churn", "train_n", float(churn["over"].count())),
+            ("churn", "test_n", float(churn["test"].count()))]
+    rows += [("clv", m, float(reg[m])) for m in ("mae", "rmse", "r2", "mape")]
+    metrics = (spark.createDataFrame(rows, "model string, metric string, value double")
+               .withColumn("recorded_at", F.current_timestamp()))
+    path = scratch_path(spark, "model_metrics")
+    metrics.write.mode("append").parquet(path)
+    return spark.read.parquet(path)
