@@ -480,3 +480,64 @@ def _model_metrics(spark, sf_dir):
     path = scratch_path(spark, "model_metrics")
     metrics.write.mode("append").parquet(path)
     return spark.read.parquet(path)
+
+
+# ---- streaming (N1-N7) ------------------------------------------------------------------
+from shopmetrics.plans.oracle_streams import ORACLE as STREAM_SQL  # noqa: E402
+from shopmetrics.streaming import live_orders as live  # noqa: E402
+
+
+def _events(spark, sf_dir):
+    return _st(spark, sf_dir).raw("events")
+
+
+@register("stream_decode_orders", STREAM_SQL["stream_decode_orders"])
+def _stream_decode(spark, sf_dir):
+    return live.good_orders(live.decode_orders(live.events_as_messages(_events(spark, sf_dir))))
+
+
+@register("stream_dashboard_feed", STREAM_SQL["stream_dashboard_feed"])
+def _stream_dashboard(spark, sf_dir):
+    return live.dashboard_feed(_stream_decode(spark, sf_dir))
+
+
+@register("stream_running_totals", STREAM_SQL["stream_running_totals"])
+def _stream_totals(spark, sf_dir):
+    t = live.running_totals(_stream_decode(spark, sf_dir))
+    return t.select("events", half_up("total_value", 2).alias("total_value"))
+
+
+def _stream_run(spark, sf_dir, broken: bool):
+    """Land the derived message feed as files, then drain it through the
+    streaming sinks with an availableNow trigger (several micro-batches)."""
+    ev = _events(spark, sf_dir)
+    msgs = live.with_broken_messages(ev) if broken else live.events_as_messages(ev)
+    root = scratch_path(spark, "live-orders")
+    live.write_messages(msgs, f"{root}/in")
+    stream = live.message_stream(spark, "files", f"{root}/in", max_files_per_trigger=2)
+    live.await_all(live.start_order_sinks(stream, f"{root}/orders", f"{root}/dead", f"{root}/_chk",
+                                          dashboard_path=f"{root}/dashboard"))
+    return root
+
+
+@register("stream_source")
+def _stream_source(spark, sf_dir):
+    root = scratch_path(spark, "live-source")
+    live.write_messages(live.events_as_messages(_events(spark, sf_dir)), f"{root}/in")
+    q = (live.message_stream(spark, "files", f"{root}/in", max_files_per_trigger=2)
+         .writeStream.format("parquet").option("checkpointLocation", f"{root}/_chk")
+         .trigger(availableNow=True).start(f"{root}/out"))
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_append_orders")
+def _stream_append(spark, sf_dir):
+    root = _stream_run(spark, sf_dir, broken=False)
+    return spark.read.parquet(f"{root}/orders")
+
+
+@register("stream_dead_letter")
+def _stream_dead(spark, sf_dir):
+    root = _stream_run(spark, sf_dir, broken=True)
+    return spark.read.text(f"{root}/dead").withColumnRenamed("value", "message")

@@ -110,7 +110,7 @@ STREAMING_ORDERS = T.StructType([
     T.StructField("state", T.StringType()),
     T.StructField("payment_type", T.StringType()),
     T.StructField("review_score", T.IntegerType()),
-    T.StructField("event_timestamp", T.TimestampType()),
+    T.StructField("event_timestamp", T.TimestampNTZType()),
     T.StructField("received_at", T.TimestampType()),
 ])
 
