@@ -18,8 +18,21 @@ from shopmetrics.sources.binding import Star
 DELIVERED = "delivered"
 
 
+def orders_with_status(st, status: str) -> DataFrame:
+    """Orders in one status; a bound star pushes the filter to its scan."""
+    if hasattr(st, "orders_with_status"):
+        return st.orders_with_status(status)
+    return st.fact_orders.where(F.col("order_status") == status)
+
+
 def delivered_orders(st: Star, *cols: str) -> DataFrame:
-    return st.fact_orders.where(F.col("order_status") == DELIVERED).select("order_id", *cols)
+    return orders_with_status(st, DELIVERED).select("order_id", *cols)
+
+
+def calendar(st: Star, *cols: str) -> DataFrame:
+    """dim_date, broadcast: one row per calendar day, so its size is bounded
+    by the date span (a few thousand rows), not by the data volume."""
+    return F.broadcast(st.dim_date.select(F.col("date_key").alias("purchase_date_key"), *cols))
 
 
 def payments_per_order(st: Star) -> DataFrame:

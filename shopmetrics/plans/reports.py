@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shopmetrics.functions.core import half_up, month_diff, month_start, pct, whole_days
 from shopmetrics.plans.common import (
-    delivered_orders, exact_div, items_per_order, left_join_weight, payments_per_order,
+    calendar, delivered_orders, exact_div, items_per_order, left_join_weight, payments_per_order,
     reviews_per_order,
 )
 from shopmetrics.sources.binding import Star
@@ -48,7 +48,7 @@ def payment_mix(st: Star) -> DataFrame:
 def _monthly_base(st: Star) -> DataFrame:
     o = delivered_orders(st, "customer_id", "purchase_date_key")
     c = st.dim_customers.select("customer_id", "customer_unique_id")
-    d = st.dim_date.select(F.col("date_key").alias("purchase_date_key"), "year", "month", "month_name")
+    d = calendar(st, "year", "month", "month_name")
     return (o.join(payments_per_order(st), "order_id")
             .join(items_per_order(st), "order_id")
             .join(c, "customer_id")
@@ -146,13 +146,14 @@ def category_revenue_top20(st: Star, k: int = 20) -> DataFrame:
 def delivery_by_month(st: Star) -> DataFrame:
     """Delivery performance; orders repeat once per review (LEFT JOIN), a
     NULL estimate counts as late, NULL delivery dates are dropped."""
-    o = (st.fact_orders.where((F.col("order_status") == "delivered")
-                              & F.col("delivered_customer_date").isNotNull())
+    o = (delivered_orders(st, "purchase_date_key", "purchase_date", "delivered_customer_date",
+                          "estimated_delivery_date")
+         .where(F.col("delivered_customer_date").isNotNull())
          .select("order_id", "purchase_date_key",
                  whole_days("delivered_customer_date", "purchase_date").alias("_days"),
                  F.when(F.col("delivered_customer_date") <= F.col("estimated_delivery_date"), 1)
                  .otherwise(0).alias("_on_time")))
-    d = st.dim_date.select(F.col("date_key").alias("purchase_date_key"), "year", "month")
+    d = calendar(st, "year", "month")
     b = (o.join(reviews_per_order(st), "order_id", "left").join(d, "purchase_date_key")
          .withColumn("_w", left_join_weight("rev_rows")))
     agg = b.groupBy("year", "month").agg(

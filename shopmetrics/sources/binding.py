@@ -99,7 +99,22 @@ class Star:
     # -- facts -------------------------------------------------------------
     @cached_property
     def fact_orders(self) -> DataFrame:
+        return self._orders_view(self.raw("orders"))
+
+    def orders_with_status(self, status: str) -> DataFrame:
+        """``fact_orders`` filtered on ``order_status``, with the filter
+        stated on the source code column so it reaches the Parquet scan
+        (``PushedFilters``) instead of running after the code->name map."""
+        codes = [c for c, name in STATUS_MAP.items() if name == status]
         o = self.raw("orders")
+        if codes:
+            o = o.where(F.col("o_orderstatus").isin(codes))
+        else:
+            o = o.where(~F.col("o_orderstatus").isin(list(STATUS_MAP)) &
+                        (F.lower("o_orderstatus") == status))
+        return self._orders_view(o)
+
+    def _orders_view(self, o: DataFrame) -> DataFrame:
         k = F.col("o_orderkey")
         ts = F.col("o_orderdate")
         status = F.coalesce(
