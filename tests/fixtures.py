@@ -11,19 +11,25 @@ def ts(s):
     return dt.datetime.fromisoformat(s)
 
 
+def loose(schema):
+    """Nullable copy of a schema: fixtures may carry dirty rows on purpose."""
+    from pyspark.sql import types as T
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
 def star(spark, customers, orders, items=(), payments=(), reviews=(), products=(), churn=(), clv=()):
     from shopmetrics.sources.ingest import derive_dim_date
-    fo = spark.createDataFrame(list(orders), S.FACT_ORDERS)
+    fo = spark.createDataFrame(list(orders), loose(S.FACT_ORDERS))
     return TableStar(
-        dim_customers=spark.createDataFrame(list(customers), S.DIM_CUSTOMERS),
-        dim_products=spark.createDataFrame(list(products), S.DIM_PRODUCTS),
+        dim_customers=spark.createDataFrame(list(customers), loose(S.DIM_CUSTOMERS)),
+        dim_products=spark.createDataFrame(list(products), loose(S.DIM_PRODUCTS)),
         dim_date=derive_dim_date(fo, "purchase_date"),
         fact_orders=fo,
-        fact_order_items=spark.createDataFrame(list(items), S.FACT_ORDER_ITEMS),
-        fact_payments=spark.createDataFrame(list(payments), S.FACT_PAYMENTS),
-        fact_reviews=spark.createDataFrame(list(reviews), S.FACT_REVIEWS),
-        ml_churn_predictions=spark.createDataFrame(list(churn), S.ML_CHURN_PREDICTIONS),
-        ml_clv_predictions=spark.createDataFrame(list(clv), S.ML_CLV_PREDICTIONS),
+        fact_order_items=spark.createDataFrame(list(items), loose(S.FACT_ORDER_ITEMS)),
+        fact_payments=spark.createDataFrame(list(payments), loose(S.FACT_PAYMENTS)),
+        fact_reviews=spark.createDataFrame(list(reviews), loose(S.FACT_REVIEWS)),
+        ml_churn_predictions=spark.createDataFrame(list(churn), loose(S.ML_CHURN_PREDICTIONS)),
+        ml_clv_predictions=spark.createDataFrame(list(clv), loose(S.ML_CLV_PREDICTIONS)),
     )
 
 
