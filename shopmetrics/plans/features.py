@@ -78,6 +78,10 @@ def feature_matrix(st: Star, as_of: _dt.datetime | None = None,
     """J4 + J5: merged, imputed and derived features plus the churn label
     (recency strictly above its linear-interpolated quantile)."""
     base = rfm_feature_base(st, as_of)
+    # The label's quantile only needs recency, which the base aggregate
+    # already has (left joins keep its rows): one cheap pass, not a second
+    # evaluation of the whole merged feature plan.
+    threshold = churn_threshold(base, churn_quantile)
     df = (base.join(review_features(st), CUID, "left").join(category_features(st), CUID, "left")
           .fillna({"review_count": 0, "avg_review_score": 3.0, "unique_categories": 1,
                    "std_order_value": 0.0}))
@@ -92,7 +96,7 @@ def feature_matrix(st: Star, as_of: _dt.datetime | None = None,
             F.when(positive, F.col("monetary") / F.col("customer_age_days"))
             .otherwise(F.col("monetary")), 4),
     })
-    return with_churn_label(df, churn_quantile)
+    return with_churn_label(df, churn_quantile, threshold)
 
 
 def churn_threshold(df: DataFrame, q: float = CHURN_QUANTILE) -> float | None:
@@ -101,8 +105,8 @@ def churn_threshold(df: DataFrame, q: float = CHURN_QUANTILE) -> float | None:
     return exact_percentiles(df, "recency_days", [q])[0]
 
 
-def with_churn_label(df: DataFrame, q: float = CHURN_QUANTILE) -> DataFrame:
-    thr = churn_threshold(df, q)
+def with_churn_label(df: DataFrame, q: float = CHURN_QUANTILE, threshold: float | None = None) -> DataFrame:
+    thr = threshold if threshold is not None else churn_threshold(df, q)
     label = F.when(F.col("recency_days") > F.lit(thr), 1).otherwise(0) if thr is not None else F.lit(0)
     return df.withColumn(CHURN_TARGET, label.cast("int"))
 
@@ -112,10 +116,12 @@ def rfm_segments_features(features: DataFrame) -> DataFrame:
 
     r: qcut of recency values (labels 5..1, recent = 5, duplicate edges raise);
     f, m: qcut of the first-occurrence rank (ties broken by customer id)."""
-    edges = exact_percentiles(features, "recency_days", [j / 5 for j in range(6)])
-    df = features.withColumn("r_score", qcut_values_expr("recency_days", edges, [5, 4, 3, 2, 1]).cast("int"))
-    df, n = global_rank(df, [F.asc_nulls_last("frequency"), F.col(CUID)], "_f_rank")
+    # rank first: the checkpointed result then feeds the recency edges, so
+    # the feature plan is evaluated once
+    df, n = global_rank(features, [F.asc_nulls_last("frequency"), F.col(CUID)], "_f_rank")
     df = df.withColumn("f_score", qcut_rank_from_rank("_f_rank", n, 5)).drop("_f_rank")
+    edges = exact_percentiles(df, "recency_days", [j / 5 for j in range(6)])
+    df = df.withColumn("r_score", qcut_values_expr("recency_days", edges, [5, 4, 3, 2, 1]).cast("int"))
     df, n = global_rank(df, [F.asc_nulls_last("monetary"), F.col(CUID)], "_m_rank")
     df = df.withColumn("m_score", qcut_rank_from_rank("_m_rank", n, 5)).drop("_m_rank")
     return df.withColumn("rfm_segment", segment_expr())

@@ -22,11 +22,25 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: str | None = None, as_double: list[str] | None = None):
+    """Register a query; ``as_double`` lists decimal money columns emitted as
+    DOUBLE on both sides (measures are compared as DOUBLE)."""
     def deco(fn):
-        QUERIES[name] = fn
+        if as_double:
+            from pyspark.sql import functions as F
+
+            def wrapped(spark, sf_dir, _fn=fn):
+                df = _fn(spark, sf_dir)
+                return df.withColumns({c: F.col(c).cast("double") for c in as_double})
+            QUERIES[name] = wrapped
+        else:
+            QUERIES[name] = fn
         if sql is not None:
-            ORACLES[name] = with_views(sql)
+            body = with_views(sql)
+            if as_double:
+                repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in as_double)
+                body = f"SELECT * REPLACE ({repl}) FROM ({body}) AS q"
+            ORACLES[name] = body
         return fn
     return deco
 

@@ -210,16 +210,21 @@ def _coerce_dates(spark, sf_dir):
     return loads.raw_from_driver(_st(spark, sf_dir))["raw_orders"].drop(ingest.INGEST_SEQ)
 
 
-for _t in ["dim_customers", "dim_sellers", "dim_products", "dim_date", "fact_orders", "fact_reviews"]:
+for _t in ["dim_customers", "dim_sellers", "dim_date", "fact_orders", "fact_reviews"]:
     register(_t, LOAD_SQL[_t])((lambda t: lambda spark, sf_dir: _loaded(spark, sf_dir)[t])(_t))
 
 
-@register("fact_order_items", LOAD_SQL["fact_order_items"])
+@register("dim_products", LOAD_SQL["dim_products"], as_double=["weight_g", "length_cm", "height_cm", "width_cm"])
+def _dim_products(spark, sf_dir):
+    return _loaded(spark, sf_dir)["dim_products"]
+
+
+@register("fact_order_items", LOAD_SQL["fact_order_items"], as_double=["price", "freight_value"])
 def _fact_order_items(spark, sf_dir):
     return _loaded(spark, sf_dir)["fact_order_items"].drop("item_id")
 
 
-@register("fact_payments", LOAD_SQL["fact_payments"])
+@register("fact_payments", LOAD_SQL["fact_payments"], as_double=["payment_value"])
 def _fact_payments(spark, sf_dir):
     return _loaded(spark, sf_dir)["fact_payments"].drop("payment_id")
 
@@ -491,12 +496,12 @@ def _events(spark, sf_dir):
     return _st(spark, sf_dir).raw("events")
 
 
-@register("stream_decode_orders", STREAM_SQL["stream_decode_orders"])
+@register("stream_decode_orders", STREAM_SQL["stream_decode_orders"], as_double=["order_value", "freight_value"])
 def _stream_decode(spark, sf_dir):
     return live.good_orders(live.decode_orders(live.events_as_messages(_events(spark, sf_dir))))
 
 
-@register("stream_dashboard_feed", STREAM_SQL["stream_dashboard_feed"])
+@register("stream_dashboard_feed", STREAM_SQL["stream_dashboard_feed"], as_double=["order_value"])
 def _stream_dashboard(spark, sf_dir):
     return live.dashboard_feed(_stream_decode(spark, sf_dir))
 
