@@ -1,0 +1,19 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a lookup side may hold to be broadcast explicitly.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when an exact count proves it small.
+
+    The count reads at most ``max_rows + 1`` rows (``limit``), so checking a
+    huge side stays cheap; beyond the bound the plain DataFrame is returned
+    and the planner (AQE) picks a shuffle join."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

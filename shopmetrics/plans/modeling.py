@@ -114,7 +114,7 @@ def smote(train: DataFrame, feature_cols: list[str], label: str = CHURN_TARGET,
     keyed = mino.select("*", *qcols)
     ranked, _ = global_rank(keyed, [F.col(f"_q{i}") for i in range(len(feature_cols))] + [F.col(id_col)], "_r")
     ranked = ranked.select("_r", *feature_cols)
-    if n_min <= broadcast_rows:  # exact row count checked: size-bounded broadcast
+    if n_min <= broadcast_rows:  # n_min is an exact count: size-bounded broadcast
         ranked = F.broadcast(ranked)
     spark = train.sparkSession
     j = (F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), F.lit(k)) + 1)

@@ -179,11 +179,13 @@ def build_dim_sellers(raw: DataFrame) -> DataFrame:
 
 
 def build_dim_products(raw: DataFrame, translation: DataFrame) -> DataFrame:
-    """LEFT JOIN the category translation (a small lookup: one row per
-    category, so it is broadcast) and fall back to the native name."""
+    """LEFT JOIN the category translation (one row per category after the
+    dedupe; broadcast once a count proves it small) and fall back to the
+    native name."""
+    from shopmetrics.operators.joins import bounded_broadcast
     tr = first_per_key(translation.select("product_category_name", "product_category_name_english",
                                           INGEST_SEQ), ["product_category_name"]).drop(INGEST_SEQ)
-    p = raw.join(F.broadcast(tr), on="product_category_name", how="left")
+    p = raw.join(bounded_broadcast(tr), on="product_category_name", how="left")
     df = p.select(
         "product_id",
         F.coalesce("product_category_name_english", "product_category_name").alias("category_name_english"),
