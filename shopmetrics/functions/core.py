@@ -49,9 +49,33 @@ def half_even(x, n: int) -> Column:
     return F.rint(_c(x).cast("double") * F.lit(scale)) / F.lit(scale)
 
 
+def _time_of_day(ts: Column) -> Column:
+    """Seconds since midnight (with microseconds) of a wall-clock value."""
+    return (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("decimal(12,6)") + F.date_part(F.lit("SECOND"), ts)
+
+
 def whole_days(later, earlier) -> Column:
-    """``EXTRACT(DAY FROM later - earlier)``: whole elapsed days, truncated."""
-    return F.timestamp_diff("DAY", _c(earlier), _c(later))
+    """``EXTRACT(DAY FROM later - earlier)``: whole elapsed days, truncated
+    toward zero, on wall-clock (zone-less) values.
+
+    Built from the calendar-day difference plus the time-of-day difference,
+    so no session time zone is involved: ``timestamp_diff`` evaluates even
+    TIMESTAMP_NTZ operands in the session zone, where a 23-hour DST day
+    would lose a whole day."""
+    a = _c(later).cast("timestamp_ntz")
+    b = _c(earlier).cast("timestamp_ntz")
+    seconds = F.datediff(a.cast("date"), b.cast("date")).cast("decimal(20,6)") * 86400 \
+        + (_time_of_day(a) - _time_of_day(b))
+    return (seconds / 86400).cast("bigint")
+
+
+def ntz_text(x, iso_t: bool = False) -> Column:
+    """Wall-clock text of a TIMESTAMP_NTZ without any time-zone round trip
+    (``date_format`` would pass through the session zone and could shift a
+    wall time that falls in a DST gap).  Seconds fraction only when non-zero;
+    ``iso_t`` puts ISO-8601's ``T`` between date and time."""
+    text = _c(x).cast("timestamp_ntz").cast("string")
+    return F.regexp_replace(text, " ", "T") if iso_t else text
 
 
 def month_start(x) -> Column:

@@ -13,17 +13,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopmetrics.functions.core import ntz_text
 from shopmetrics.session import scratch_path
 from shopmetrics.sources import ingest
 from shopmetrics.sources.binding import Star
 
-TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 STALE_CITY = "STALE"
 UNTRANSLATED_BRAND = "Brand#1"
 
 
 def _text(c: str) -> F.Column:
-    return F.date_format(F.col(c), TS_TEXT)
+    return ntz_text(c)
 
 
 def _seq(df: DataFrame) -> DataFrame:
@@ -98,7 +98,7 @@ def write_raw_csv(spark: SparkSession, st: Star, folder: str | None = None) -> s
         out = df.drop(ingest.INGEST_SEQ)
         for c, t in out.dtypes:
             if t.startswith("timestamp"):
-                out = out.withColumn(c, F.date_format(c, TS_TEXT))
+                out = out.withColumn(c, ntz_text(c))
         out.write.mode("overwrite").option("header", True).csv(f"{folder}/{stems[table]}.csv")
     return folder
 

@@ -11,7 +11,7 @@ _TS = "'%Y-%m-%d %H:%M:%S'"
 
 ORACLE["coerce_dates"] = f"""
 SELECT order_id, customer_id, order_status, purchase_date AS order_purchase_timestamp,
-       strftime(approved_date, {_TS}) AS order_approved_at,
+       CAST(approved_date AS VARCHAR) AS order_approved_at,
        CASE WHEN order_status = 'processing' THEN NULL ELSE delivered_carrier_date END
            AS order_delivered_carrier_date,
        delivered_customer_date AS order_delivered_customer_date,

@@ -302,7 +302,7 @@ def _clv_log_target(spark, sf_dir):
 from shopmetrics.operators.bucketing import qcut_values_expr, rank_percentiles  # noqa: E402
 from shopmetrics.plans import modeling as ml  # noqa: E402
 from shopmetrics.plans.oracle_models import ORACLE as MODEL_SQL  # noqa: E402
-from shopmetrics.session import scratch_path  # noqa: E402
+from shopmetrics.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
 
 _RUNS: dict = {}
 CLV_TIER_LABELS = ["Bronze", "Silver", "Gold", "Platinum"]
@@ -313,6 +313,7 @@ def churn_run(spark, sf_dir):
     split, SMOTE on the training split and the fitted churn model."""
     key = ("churn", id(spark), sf_dir)
     if key not in _RUNS:
+        ensure_checkpoint_dir(spark)
         feats = features_df(spark, sf_dir).checkpoint()
         sp = ml.split(feats, label=feat.CHURN_TARGET)
         train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")

@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopmetrics.functions.core import ntz_text
 from shopmetrics.schema import LIVE_ORDER_JSON
 
 TOPIC = "live_orders"
 CORRUPT = "_corrupt_record"
-ISO_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 # Fixed value: fields kept by the dashboard feed, in order.
 DASHBOARD_FIELDS = ["order_id", "product_category", "order_value", "state", "payment_type", "timestamp"]
 _DECODE_SCHEMA = T.StructType(LIVE_ORDER_JSON.fields + [T.StructField(CORRUPT, T.StringType())])
@@ -43,7 +43,7 @@ def events_as_messages(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("product_category"),
         F.col("value").alias("order_value"),
         F.when(k % 4 != 0, F.floor("value").cast("double")).alias("freight_value"),
-        F.date_format("ts", ISO_TS).alias("timestamp"))
+        ntz_text("ts", iso_t=True).alias("timestamp"))
     return events.select(F.to_json(payload).alias("value"))
 
 
@@ -55,7 +55,7 @@ def with_broken_messages(events: DataFrame, broken_type: str = "error") -> DataF
         k.cast("string").alias("order_id"), F.col("event_type").alias("product_category"),
         F.col("value").alias("order_value"),
         F.when(k % 4 != 0, F.floor("value").cast("double")).alias("freight_value"),
-        F.date_format("ts", ISO_TS).alias("timestamp")))
+        ntz_text("ts", iso_t=True).alias("timestamp")))
     cut = F.substring(js, 1, (F.length(js) / 2).cast("int"))
     return events.select(F.when(F.col("event_type") == broken_type, cut).otherwise(js).alias("value"))
 
