@@ -30,9 +30,11 @@ def test_month_diff_and_text(spark):
 
 
 def test_rounding_rules(spark):
-    df = spark.createDataFrame([(1.005, 2.675, 0.125)], "a double, b double, c double")
-    r = df.select(half_up("a", 2), half_even("b", 2), half_even("c", 2), half_up(F.lit(-2.5), 0)).first()
+    import numpy as np
+    vals = [1.005, 2.675, 0.125, 0.285, 1.115]
+    df = spark.createDataFrame([tuple(vals)], ", ".join(f"v{i} double" for i in range(len(vals))))
+    got = list(df.select(*[half_even(f"v{i}", 2) for i in range(len(vals))]).first())
+    assert got == list(np.round(np.array(vals), 2))   # numpy rounding, bit for bit
+    r = df.select(half_up("v0", 2), half_up(F.lit(-2.5), 0)).first()
     assert r[0] == 1.01            # SQL ROUND(numeric): half away from zero
-    assert r[1] == 2.67            # numpy: 2.675 is stored just below the tie
-    assert r[2] == 0.12            # numpy: exact tie goes to even
-    assert r[3] == -3.0
+    assert r[1] == -3.0
