@@ -299,39 +299,26 @@ def _clv_log_target(spark, sf_dir):
 
 
 # ---- models (M1-M14) -------------------------------------------------------------
-from shopmetrics.operators.bucketing import qcut_values_expr, rank_percentiles  # noqa: E402
 from shopmetrics.plans import modeling as ml  # noqa: E402
+from shopmetrics.plans import training  # noqa: E402
 from shopmetrics.plans.oracle_models import ORACLE as MODEL_SQL  # noqa: E402
 from shopmetrics.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
 
 _RUNS: dict = {}
-CLV_TIER_LABELS = ["Bronze", "Silver", "Gold", "Platinum"]
 
 
 def churn_run(spark, sf_dir):
-    """Feature table (checkpointed once: many jobs reuse it), stratified
-    split, SMOTE on the training split and the fitted churn model."""
     key = ("churn", id(spark), sf_dir)
     if key not in _RUNS:
         ensure_checkpoint_dir(spark)
-        feats = features_df(spark, sf_dir).checkpoint()
-        sp = ml.split(feats, label=feat.CHURN_TARGET)
-        train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
-        over = ml.smote(train.select("customer_unique_id", *feat.FEATURE_COLS, feat.CHURN_TARGET),
-                        feat.FEATURE_COLS).checkpoint()
-        model = ml.fit_churn(over)
-        _RUNS[key] = {"features": feats, "split": sp, "train": train, "test": test, "over": over, "model": model}
+        _RUNS[key] = training.churn_training(features_df(spark, sf_dir))
     return _RUNS[key]
 
 
 def clv_run(spark, sf_dir):
     key = ("clv", id(spark), sf_dir)
     if key not in _RUNS:
-        feats = churn_run(spark, sf_dir)["features"]
-        sp = ml.split(feats, label=None)
-        train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
-        _RUNS[key] = {"features": feats, "split": sp, "train": train, "test": test,
-                      "model": ml.fit_clv(train)}
+        _RUNS[key] = training.clv_training(churn_run(spark, sf_dir)["features"])
     return _RUNS[key]
 
 
@@ -405,54 +392,27 @@ def _regression_metrics(spark, sf_dir):
     return ml.regression_metrics(f.join(p, "customer_unique_id"), "monetary", "pred")
 
 
-def clv_tiers_expr(df, value_col: str, id_col: str = "customer_unique_id"):
-    edges = rank_percentiles(df, value_col, id_col, [0.0, 0.25, 0.5, 0.75, 1.0])
-    return qcut_values_expr(value_col, edges, CLV_TIER_LABELS)
-
-
 @register("clv_tiers", MODEL_SQL["clv_tiers"])
 def _clv_tiers(spark, sf_dir):
     v = _st(spark, sf_dir).ml_clv_predictions.select(
         "customer_unique_id", F.col("predicted_clv").cast("double").alias("predicted_clv"))
-    return v.withColumn("clv_segment", clv_tiers_expr(v, "predicted_clv"))
+    return v.withColumn("clv_segment", training.clv_tiers_expr(v, "predicted_clv"))
+
+
+def _write_read(spark, df, name):
+    path = scratch_path(spark, name)
+    ingest.sink_overwrite(df, path)
+    return spark.read.parquet(path)
 
 
 @register("ml_churn_predictions")
 def _ml_churn_predictions(spark, sf_dir):
-    run = churn_run(spark, sf_dir)
-    seg = feat.rfm_segments_features(run["features"]).select("customer_unique_id", "rfm_segment")
-    scored = ml.churn_probability(run["model"], run["features"]).join(seg, "customer_unique_id")
-    prob = F.col("churn_probability")
-    out = scored.select(
-        "customer_unique_id", "rfm_segment",
-        F.col("recency_days").cast("decimal(10,2)").alias("recency_days"),
-        F.col("frequency").cast("int").alias("frequency"),
-        F.col("monetary").cast("decimal(12,2)").alias("monetary"),
-        prob.cast("decimal(6,4)").alias("churn_probability"),
-        cut_fixed_expr(prob, [0.0, 0.33, 0.66, 1.0], ["Low", "Medium", "High"], lowest_label="Low")
-        .alias("churn_label"),
-        F.current_timestamp().alias("predicted_at"))
-    path = scratch_path(spark, "ml_churn_predictions")
-    ingest.sink_overwrite(out, path)
-    return spark.read.parquet(path)
+    return _write_read(spark, training.churn_predictions(churn_run(spark, sf_dir)), "ml_churn_predictions")
 
 
 @register("ml_clv_predictions")
 def _ml_clv_predictions(spark, sf_dir):
-    run = clv_run(spark, sf_dir)
-    seg = feat.rfm_segments_features(run["features"]).select("customer_unique_id", "rfm_segment")
-    pred = (ml.clv_predict(run["model"], run["features"])
-            .withColumn("predicted_clv", half_even("predicted_clv", 2)).join(seg, "customer_unique_id"))
-    pred = pred.withColumn("clv_segment", clv_tiers_expr(pred, "predicted_clv"))
-    out = pred.select("customer_unique_id", "rfm_segment",
-                      F.col("monetary").cast("decimal(12,2)").alias("monetary"),
-                      F.col("predicted_clv").cast("decimal(12,2)").alias("predicted_clv"), "clv_segment",
-                      F.col("recency_days").cast("decimal(10,2)").alias("recency_days"),
-                      F.col("frequency").cast("int").alias("frequency"),
-                      F.current_timestamp().alias("predicted_at"))
-    path = scratch_path(spark, "ml_clv_predictions")
-    ingest.sink_overwrite(out, path)
-    return spark.read.parquet(path)
+    return _write_read(spark, training.clv_predictions(clv_run(spark, sf_dir)), "ml_clv_predictions")
 
 
 @register("feature_importance")
