@@ -48,9 +48,11 @@ def items_per_order(st: Star) -> DataFrame:
 
 
 def reviews_per_order(st: Star) -> DataFrame:
-    """order_id, rev_rows (matching rows of a LEFT JOIN), score_sum, score_n."""
+    """order_id, rev_rows (matching rows of a LEFT JOIN), review_ids
+    (non-NULL ids), score_sum, score_n."""
     return st.fact_reviews.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("rev_rows"),
+        F.count("review_id").alias("review_ids"),
         F.sum("review_score").alias("score_sum"),
         F.count("review_score").alias("score_n"))
 

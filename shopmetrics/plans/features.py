@@ -18,7 +18,7 @@ from shopmetrics.functions.core import half_even, half_up, whole_days
 from shopmetrics.operators.bucketing import (
     exact_percentiles, global_rank, qcut_rank_from_rank, qcut_values_expr,
 )
-from shopmetrics.plans.common import delivered_orders
+from shopmetrics.plans.common import delivered_orders, payments_per_order, reviews_per_order
 from shopmetrics.plans.rfm import CUID, customer_order_stats, segment_expr
 from shopmetrics.sources.binding import Star
 
@@ -73,16 +73,56 @@ def category_features(st: Star) -> DataFrame:
             .agg(F.count_distinct("category_name_english").cast("bigint").alias("unique_categories")))
 
 
+def customer_activity(st: Star, as_of: _dt.datetime | None = None) -> DataFrame:
+    """RFM and review features of every customer with a paid delivered order,
+    from ONE ``groupBy(customer)``.
+
+    Delivered orders are joined once to their customer and, 1:1 on
+    ``order_id``, to their per-order payment and review pre-aggregates.
+    RFM aggregates are conditional on the order being paid (the reference's
+    inner payment join); review sums run over every delivered order (its
+    separate review query); customers without a paid order are dropped."""
+    from shopmetrics.functions.core import as_of_lit
+    o = delivered_orders(st, "customer_id", "purchase_date")
+    c = st.dim_customers.select("customer_id", CUID)
+    pay = payments_per_order(st).select("order_id", F.col("pay_sum").alias("order_value"), "pay_rows")
+    rev = reviews_per_order(st).select("order_id", "review_ids", "score_sum", "score_n")
+    b = o.join(c, "customer_id").join(pay, "order_id", "left").join(rev, "order_id", "left")
+    paid = F.col("pay_rows").isNotNull()
+    ov = F.when(paid, F.col("order_value"))
+    agg = b.groupBy(CUID).agg(
+        F.max(F.when(paid, F.col("purchase_date"))).alias("last_purchase_date"),
+        F.min(F.when(paid, F.col("purchase_date"))).alias("first_purchase_date"),
+        F.count(F.when(paid, F.lit(1))).cast("bigint").alias("frequency"),
+        F.round(F.sum(ov), 2).alias("_monetary"),
+        F.avg(ov).alias("_avg"), F.max(ov).alias("_max"), F.min(ov).alias("_min"),
+        F.stddev_samp(ov.cast("double")).alias("_std"),
+        F.sum("review_ids").alias("_review_ids"),
+        F.sum("score_sum").alias("_score_sum"),
+        F.sum("score_n").alias("_score_n"))
+    return agg.where(F.col("frequency") > 0).select(
+        CUID,
+        whole_days(as_of_lit(as_of), "last_purchase_date").cast("double").alias("recency_days"),
+        "frequency",
+        half_up("_monetary", 2).alias("monetary"),
+        half_up("_avg", 2).alias("avg_order_value"),
+        half_up("_max", 2).alias("max_order_value"),
+        half_up("_min", 2).alias("min_order_value"),
+        half_up("_std", 2).alias("std_order_value"),
+        "last_purchase_date", "first_purchase_date",
+        F.col("_review_ids").cast("bigint").alias("review_count"),
+        half_up(F.col("_score_sum").cast("decimal(38,6)") / F.nullif(F.col("_score_n"), F.lit(0)), 2)
+        .alias("avg_review_score"))
+
+
 def feature_matrix(st: Star, as_of: _dt.datetime | None = None,
                    churn_quantile: float = CHURN_QUANTILE) -> DataFrame:
     """J4 + J5: merged, imputed and derived features plus the churn label
     (recency strictly above its linear-interpolated quantile)."""
-    base = rfm_feature_base(st, as_of)
-    # The label's quantile only needs recency, which the base aggregate
-    # already has (left joins keep its rows): one cheap pass, not a second
-    # evaluation of the whole merged feature plan.
-    threshold = churn_threshold(base, churn_quantile)
-    df = (base.join(review_features(st), CUID, "left").join(category_features(st), CUID, "left")
+    # The label's quantile only needs recency: taken from the cheaper RFM
+    # aggregate (same customers, same recency), not from the merged plan.
+    threshold = churn_threshold(rfm_feature_base(st, as_of), churn_quantile)
+    df = (customer_activity(st, as_of).join(category_features(st), CUID, "left")
           .fillna({"review_count": 0, "avg_review_score": 3.0, "unique_categories": 1,
                    "std_order_value": 0.0}))
     age = whole_days("last_purchase_date", "first_purchase_date")

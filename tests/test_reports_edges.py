@@ -108,3 +108,18 @@ def test_one_order_customer_features(spark):
 def test_segment_rule_order(spark, r, f, m, label):
     df = spark.createDataFrame([(r, f, m)], "r_score int, f_score int, m_score int")
     assert df.select(rfm.segment_expr()).first()[0] == label
+
+
+def test_features_unpaid_order_reviews_still_count(spark):
+    st = star(spark, [cust("c1", "u1"), cust("c2", "u2")],
+              [order("o1", "c1", "2001-07-01"), order("o2", "c1", "2001-07-20"), order("o3", "c2", "2001-07-05")],
+              payments=[pay(1, "o1", 10)],
+              reviews=[review("r1", "o2", 4), review("r2", "o2", 2)],
+              products=[product("p", None)])
+    rows = {r["customer_unique_id"]: r for r in features.feature_matrix(st).collect()}
+    assert set(rows) == {"u1"}                     # u2 has no paid order
+    f = rows["u1"]
+    assert f["frequency"] == 1 and f["recency_days"] == 32.0   # last *paid* order, 2001-07-01
+    assert f["review_count"] == 2 and f["avg_review_score"] == 3.0
+    base = {r["customer_unique_id"]: r for r in features.rfm_feature_base(st).collect()}
+    assert base["u1"]["frequency"] == 1
