@@ -16,6 +16,11 @@ class TableStar:
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    @classmethod
+    def from_catalog(cls, spark, database: str, names: list[str]) -> "TableStar":
+        """Catalog tables (keeps their bucketing for shuffle-free joins)."""
+        return cls(**{n: spark.table(f"{database}.{n}") for n in names})
+
     @classmethod
     def from_parquet(cls, spark, folder: str, names: list[str]) -> "TableStar":
         return cls(**{n: spark.read.parquet(f"{folder.rstrip('/')}/{n}") for n in names})

@@ -321,3 +321,41 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.withColumn("is_empty", F.col("row_count") == 0)
+
+
+# ---- bucketed star tables ----------------------------------------------------
+# Fixed layout: every fact joins on order_id; dimensions on their keys.
+BUCKET_KEYS = {
+    "fact_orders": "order_id",
+    "fact_order_items": "order_id",
+    "fact_payments": "order_id",
+    "fact_reviews": "order_id",
+    "dim_customers": "customer_id",
+    "dim_products": "product_id",
+}
+
+
+def save_star_tables(star: dict[str, DataFrame], database: str, buckets: int,
+                     location: str | None = None) -> list[str]:
+    """Write the star as catalog tables, facts bucketed and sorted by
+    ``order_id`` into the same number of buckets.
+
+    Joins and aggregations on the bucket key then read co-partitioned
+    buckets and plan no shuffle (no ``Exchange hashpartitioning(order_id)``),
+    which is what the per-order pre-aggregates and fact joins of every
+    report need at scale.  Overwrite keeps reloads idempotent."""
+    if not star:
+        return []
+    spark = next(iter(star.values())).sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    written = []
+    for name, df in star.items():
+        w = df.write.mode("overwrite").format("parquet")
+        key = BUCKET_KEYS.get(name)
+        if key and buckets:
+            w = w.bucketBy(buckets, key).sortBy(key)
+        if location:
+            w = w.option("path", f"{location.rstrip('/')}/{name}")
+        w.saveAsTable(f"{database}.{name}")
+        written.append(f"{database}.{name}")
+    return written
