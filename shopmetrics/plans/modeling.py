@@ -41,6 +41,20 @@ REFERENCE_TREES = {"churn": 400, "clv": 600}
 LEAKY_CHURN = ["recency_days"]
 
 
+ROWS_PER_PARTITION = 250_000
+
+
+def size_partitions(df: DataFrame, rows: int | None = None,
+                    rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Coalesce an iterative learner's input to ~rows_per_partition rows per
+    partition.  Boosting runs several jobs per tree level over the same
+    input, so near-empty partitions cost scheduling time on every level;
+    at scale the count keeps the parallelism proportional to the data."""
+    n = df.count() if rows is None else rows
+    want = max(1, math.ceil(n / rows_per_partition))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+
+
 def hash01(col: str, seed: int = SEED) -> Column:
     """Deterministic uniform [0, 1) from the row id."""
     return F.pmod(F.xxhash64(F.col(col), F.lit(seed)), F.lit(1 << 53)).cast("double") / float(1 << 53)
@@ -250,8 +264,8 @@ def cv_auc(features: DataFrame, k: int = 5, feature_cols: list[str] | None = Non
     cols = feature_cols or FEATURE_COLS
     p = {**CHURN_PARAMS, **(params or {})}
     folded = with_folds(features, k, CUID, CHURN_TARGET, seed)
-    data = folded.select(*[F.col(c).cast("double").alias(c) for c in cols],
-                         F.col(CHURN_TARGET).cast("double").alias("label"), "fold").cache()
+    data = size_partitions(folded.select(*[F.col(c).cast("double").alias(c) for c in cols],
+                                         F.col(CHURN_TARGET).cast("double").alias("label"), "fold")).cache()
     scores = []
     for f in range(k):
         model = Pipeline(stages=[_assembler(cols), GBTClassifier(featuresCol="features", labelCol="label",

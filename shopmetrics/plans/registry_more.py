@@ -75,12 +75,30 @@ _FEATURE_OUT = ["customer_unique_id", "recency_days", "frequency", "monetary", "
                 "customer_age_days", "orders_per_month", "revenue_per_day", "churned"]
 
 
+_SHARED: dict = {}
+
+
+def _shared(kind: str, spark, sf_dir, build):
+    """Build once per (session, data folder): the feature table and its
+    quantile segments feed a dozen keys (labels, segments, EDA, models), so
+    they are checkpointed to the shared folder and reused, as the feature
+    lifecycle prescribes, instead of recomputing the joins per key."""
+    key = (kind, id(spark), sf_dir)
+    hit = _SHARED.get(key)
+    if hit is None or hit[0] is not spark:
+        from shopmetrics.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+        hit = _SHARED[key] = (spark, build().checkpoint())
+    return hit[1]
+
+
 def features_df(spark, sf_dir):
-    return feat.feature_matrix(_st(spark, sf_dir)).select(*_FEATURE_OUT)
+    return _shared("features", spark, sf_dir,
+                   lambda: feat.feature_matrix(_st(spark, sf_dir)).select(*_FEATURE_OUT))
 
 
 def segments_df(spark, sf_dir):
-    return feat.rfm_segments_features(features_df(spark, sf_dir))
+    return _shared("segments", spark, sf_dir, lambda: feat.rfm_segments_features(features_df(spark, sf_dir)))
 
 
 @register("rfm_feature_base", RFM_SQL["rfm_feature_base"])

@@ -21,14 +21,16 @@ CLV_TIER_LABELS = ["Bronze", "Silver", "Gold", "Platinum"]
 
 def churn_training(features: DataFrame, params: dict | None = None, exclude_leaky: bool = False,
                    seed: int = ml.SEED) -> dict:
-    """Checkpoint the feature table (many jobs reuse it), stratified split,
-    SMOTE on the training split only, fit the boosted-tree classifier."""
+    """Stratified split, SMOTE on the training split only, fit the
+    boosted-tree classifier.  ``features`` should be materialised (cached or
+    checkpointed): the split, oversampling and fit all re-read it."""
     ensure_checkpoint_dir(features.sparkSession)
-    feats = features.checkpoint()
+    feats = features
     cols = [c for c in feat.FEATURE_COLS if not (exclude_leaky and c in ml.LEAKY_CHURN)]
     sp = ml.split(feats, label=feat.CHURN_TARGET, seed=seed)
     train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
-    over = ml.smote(train.select(CUID, *cols, feat.CHURN_TARGET), cols, seed=seed).checkpoint()
+    over = ml.size_partitions(ml.smote(train.select(CUID, *cols, feat.CHURN_TARGET), cols, seed=seed)
+                              .checkpoint())
     model = ml.fit_churn(over, cols, params, seed=seed)
     return {"features": feats, "split": sp, "train": train, "test": test, "over": over, "model": model,
             "feature_cols": cols}
@@ -40,7 +42,7 @@ def clv_training(features: DataFrame, params: dict | None = None, seed: int = ml
     sp = ml.split(features, label=None, seed=seed)
     train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
     return {"features": features, "split": sp, "train": train, "test": test,
-            "model": ml.fit_clv(train, params=params, seed=seed)}
+            "model": ml.fit_clv(ml.size_partitions(train), params=params, seed=seed)}
 
 
 def churn_predictions(run: dict) -> DataFrame:
