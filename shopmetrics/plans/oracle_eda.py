@@ -112,3 +112,27 @@ ORACLE["monetary_histograms"] = f"""WITH {FEATURES_CTES}, {_TRIM95},
 lg AS (SELECT {R('ln(1 + monetary)', 9)} AS log_monetary FROM features)
 SELECT * FROM {_histogram('m95', 'monetary', 60, 'raw_p95')}
 UNION ALL SELECT * FROM {_histogram('lg', 'log_monetary', 60, 'log1p')}"""
+
+
+# Per (feature, churn class) density histograms: 40 bins, each class its own range.
+_KEY_FEATURES = ["recency_days", "frequency", "monetary", "avg_order_value",
+                 "review_count", "avg_review_score", "unique_categories", "customer_age_days"]
+_LONG = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, churned, CAST({c} AS DOUBLE) AS value FROM features" for c in _KEY_FEATURES)
+
+ORACLE["feature_histograms_by_class"] = f"""WITH {FEATURES_CTES},
+long AS ({_LONG}),
+rng AS (SELECT feature, churned, MIN(value) AS lo, MAX(value) AS hi, COUNT(value) AS n
+        FROM long GROUP BY feature, churned),
+b AS (SELECT l.feature, l.churned,
+             CASE WHEN r.hi - r.lo = 0 THEN 0
+                  ELSE LEAST(CAST(floor((l.value - r.lo) / (r.hi - r.lo) * 40) AS INTEGER), 39) END AS bin
+      FROM long l JOIN rng r ON r.feature = l.feature AND r.churned = l.churned
+      WHERE l.value IS NOT NULL),
+c AS (SELECT feature, churned, bin, COUNT(*) AS count FROM b GROUP BY feature, churned, bin)
+SELECT c.feature, c.churned, c.bin,
+       r.lo + c.bin * (CASE WHEN r.hi - r.lo = 0 THEN 1.0 ELSE (r.hi - r.lo) / 40 END) AS bin_start,
+       r.lo + (c.bin + 1) * (CASE WHEN r.hi - r.lo = 0 THEN 1.0 ELSE (r.hi - r.lo) / 40 END) AS bin_end,
+       CAST(c.count AS BIGINT) AS count,
+       c.count / (r.n * (CASE WHEN r.hi - r.lo = 0 THEN 1.0 ELSE (r.hi - r.lo) / 40 END)) AS density
+FROM c JOIN rng r ON r.feature = c.feature AND r.churned = c.churned"""

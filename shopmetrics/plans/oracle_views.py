@@ -69,8 +69,7 @@ VIEWS = {
                                      + to_hours(CAST(o_orderkey % 24 AS INTEGER)) END
                    AS delivered_customer_date,
                o_orderdate + INTERVAL 20 DAY AS estimated_delivery_date,
-               CAST(o_orderdate AS DATE) AS purchase_date_key,
-               o_orderkey AS _okey
+               CAST(o_orderdate AS DATE) AS purchase_date_key
         FROM orders""",
     "fact_order_items": """
         SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS item_id,

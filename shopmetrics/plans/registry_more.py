@@ -200,7 +200,7 @@ def _monetary_hist(spark, sf_dir):
     return eda.monetary_histograms(features_df(spark, sf_dir))
 
 
-@register("feature_histograms_by_class")
+@register("feature_histograms_by_class", EDA_SQL["feature_histograms_by_class"])
 def _feature_hist(spark, sf_dir):
     return eda.feature_histograms_by_class(features_df(spark, sf_dir))
 
@@ -218,7 +218,7 @@ def _loaded(spark, sf_dir):
     return loads.star_from_driver(_st(spark, sf_dir))
 
 
-@register("ingest_raw_csv")
+@register("ingest_raw_csv", LOAD_SQL["table_row_counts"])
 def _ingest_raw_csv(spark, sf_dir):
     return loads.ingest_raw_csv(spark, _st(spark, sf_dir))
 
@@ -252,7 +252,7 @@ def _insert_ignore(spark, sf_dir):
     return loads.insert_ignore_reviews(_st(spark, sf_dir))
 
 
-@register("sink_overwrite")
+@register("sink_overwrite", "SELECT * FROM fact_orders")
 def _sink_overwrite(spark, sf_dir):
     return loads.sink_overwrite_roundtrip(spark, _st(spark, sf_dir))
 
