@@ -128,9 +128,14 @@ def message_stream(spark: SparkSession, source: str = "files", path: str | None
     return reader.load(path)
 
 
-def write_messages(messages: DataFrame, folder: str, files: int = 8) -> str:
-    """Land messages as JSON-lines text files (a file-source feed)."""
-    messages.repartition(files).write.mode("append").text(folder)
+def write_messages(messages: DataFrame, folder: str, files: int | None = None) -> str:
+    """Land messages as JSON-lines text files (a file-source feed).
+
+    By default one file per core of the cluster (``defaultParallelism``), so
+    the landing write uses every executor and later micro-batches
+    (``maxFilesPerTrigger``) split evenly."""
+    n = files or max(messages.rdd.getNumPartitions(), messages.sparkSession.sparkContext.defaultParallelism)
+    messages.repartition(n).write.mode("append").text(folder)
     return folder
 
 
