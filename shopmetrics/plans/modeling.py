@@ -68,11 +68,17 @@ def _class_offsets(df: DataFrame, label: str | None) -> tuple[dict, list]:
     return counts, sorted(counts, key=lambda v: (v is not None, v))
 
 
+def split_key(id_col: str, seed: int = SEED) -> Column:
+    """Reproducible pseudo-random order of rows: md5 of the id and the seed
+    (hex text; the same value in any SQL engine, so splits are checkable)."""
+    return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"#{seed}")))
+
+
 def ranked_within_class(df: DataFrame, id_col: str, label: str | None, seed: int = SEED):
     """Rank of each row within its class in hash order (1-based), and the
     class sizes."""
     counts, classes = _class_offsets(df, label)
-    keyed = df.withColumn("_h", hash01(id_col, seed))
+    keyed = df.withColumn("_h", split_key(id_col, seed))
     order = ([F.asc_nulls_first(label)] if label else []) + [F.col("_h"), F.col(id_col)]
     ranked, _ = global_rank(keyed, order, "_r")
     offset, running = None, 0

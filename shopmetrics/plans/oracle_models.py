@@ -60,3 +60,18 @@ SELECT customer_unique_id, x AS predicted_clv,
        CASE WHEN x >= q[1] AND x <= q[2] THEN 'Bronze' WHEN x <= q[3] THEN 'Silver'
             WHEN x <= q[4] THEN 'Gold' WHEN x <= q[5] THEN 'Platinum' END AS clv_segment
 FROM v, e"""
+
+ORACLE["stratified_split"] = f"""WITH {FEATURES_CTES},
+r AS (SELECT customer_unique_id, churned,
+             ROW_NUMBER() OVER (PARTITION BY churned
+                                ORDER BY md5(customer_unique_id || '#42'), customer_unique_id) AS k,
+             COUNT(*) OVER (PARTITION BY churned) AS n
+      FROM features)
+SELECT customer_unique_id, churned, CASE WHEN k <= ceil(n * 0.2) THEN 'test' ELSE 'train' END AS split FROM r"""
+
+ORACLE["random_split"] = f"""WITH {FEATURES_CTES},
+r AS (SELECT customer_unique_id,
+             ROW_NUMBER() OVER (ORDER BY md5(customer_unique_id || '#42'), customer_unique_id) AS k,
+             COUNT(*) OVER () AS n
+      FROM features)
+SELECT customer_unique_id, CASE WHEN k <= ceil(n * 0.2) THEN 'test' ELSE 'train' END AS split FROM r"""

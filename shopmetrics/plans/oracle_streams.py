@@ -21,3 +21,20 @@ ORACLE["stream_dashboard_feed"] = f"""WITH {_DECODED}
 SELECT order_id, product_category, order_value, state, payment_type, event_timestamp AS timestamp FROM decoded"""
 ORACLE["stream_running_totals"] = f"""WITH {_DECODED}
 SELECT CAST(COUNT(*) AS BIGINT) AS events, {R('SUM(order_value)', 2)} AS total_value FROM decoded"""
+
+# The message text: Spark's to_json of the live-order struct (NULL freight
+# omitted), restated field by field.
+_MESSAGES = """
+msgs AS (
+    SELECT event_type,
+           '{"order_id":"' || CAST(event_id AS VARCHAR) || '","product_category":"' || event_type
+           || '","order_value":' || CAST(value AS VARCHAR)
+           || CASE WHEN event_id % 4 <> 0 THEN ',"freight_value":' || CAST(floor(value) AS VARCHAR) ELSE '' END
+           || ',"timestamp":"' || replace(CAST(ts AS VARCHAR), ' ', 'T') || '"}' AS js
+    FROM events)"""
+
+ORACLE["stream_source"] = f"WITH {_MESSAGES} SELECT js AS value FROM msgs"
+ORACLE["stream_dead_letter"] = f"""WITH {_MESSAGES}
+SELECT substring(js, 1, length(js) // 2) AS message FROM msgs WHERE event_type = 'error'"""
+ORACLE["stream_append_orders"] = f"""WITH {_DECODED}
+SELECT * FROM decoded"""

@@ -340,12 +340,12 @@ def clv_run(spark, sf_dir):
     return _RUNS[key]
 
 
-@register("stratified_split")
+@register("stratified_split", MODEL_SQL["stratified_split"])
 def _stratified_split(spark, sf_dir):
     return churn_run(spark, sf_dir)["split"].select("customer_unique_id", feat.CHURN_TARGET, "split")
 
 
-@register("random_split")
+@register("random_split", MODEL_SQL["random_split"])
 def _random_split(spark, sf_dir):
     return clv_run(spark, sf_dir)["split"].select("customer_unique_id", "split")
 
@@ -504,7 +504,7 @@ def _stream_run(spark, sf_dir, broken: bool):
     return root
 
 
-@register("stream_source")
+@register("stream_source", STREAM_SQL["stream_source"])
 def _stream_source(spark, sf_dir):
     root = scratch_path(spark, "live-source")
     live.write_messages(live.events_as_messages(_events(spark, sf_dir)), f"{root}/in")
@@ -515,13 +515,15 @@ def _stream_source(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
-@register("stream_append_orders")
+@register("stream_append_orders", STREAM_SQL["stream_append_orders"], as_double=["order_value", "freight_value"])
 def _stream_append(spark, sf_dir):
+    """The rows the streaming sink appended (its ``received_at`` ingestion
+    stamp is a wall-clock value, left out of the comparison)."""
     root = _stream_run(spark, sf_dir, broken=False)
-    return spark.read.parquet(f"{root}/orders")
+    return spark.read.parquet(f"{root}/orders").drop("received_at")
 
 
-@register("stream_dead_letter")
+@register("stream_dead_letter", STREAM_SQL["stream_dead_letter"])
 def _stream_dead(spark, sf_dir):
     root = _stream_run(spark, sf_dir, broken=True)
     return spark.read.text(f"{root}/dead").withColumnRenamed("value", "message")

@@ -32,7 +32,7 @@ def test_matches_duckdb(spark, duck, key):
 
 def test_every_key_registered():
     assert len(E.queries()) == 89
-    assert len(ORACLES) == 75
+    assert len(ORACLES) == 80
     assert set(ORACLES) <= set(E.queries())
 
 
