@@ -325,19 +325,24 @@ from shopmetrics.session import ensure_checkpoint_dir, scratch_path  # noqa: E40
 _RUNS: dict = {}
 
 
-def churn_run(spark, sf_dir):
-    key = ("churn", id(spark), sf_dir)
-    if key not in _RUNS:
+def _run(kind: str, spark, sf_dir, build):
+    """One training run per (session, data folder), shared by the model keys.
+    The session object is stored and compared, so a new session that happens
+    to reuse an old one's id never sees stale DataFrames."""
+    key = (kind, id(spark), sf_dir)
+    hit = _RUNS.get(key)
+    if hit is None or hit[0] is not spark:
         ensure_checkpoint_dir(spark)
-        _RUNS[key] = training.churn_training(features_df(spark, sf_dir))
-    return _RUNS[key]
+        hit = _RUNS[key] = (spark, build())
+    return hit[1]
+
+
+def churn_run(spark, sf_dir):
+    return _run("churn", spark, sf_dir, lambda: training.churn_training(features_df(spark, sf_dir)))
 
 
 def clv_run(spark, sf_dir):
-    key = ("clv", id(spark), sf_dir)
-    if key not in _RUNS:
-        _RUNS[key] = training.clv_training(churn_run(spark, sf_dir)["features"])
-    return _RUNS[key]
+    return _run("clv", spark, sf_dir, lambda: training.clv_training(churn_run(spark, sf_dir)["features"]))
 
 
 @register("stratified_split", MODEL_SQL["stratified_split"])
