@@ -123,3 +123,14 @@ def test_features_unpaid_order_reviews_still_count(spark):
     assert f["review_count"] == 2 and f["avg_review_score"] == 3.0
     base = {r["customer_unique_id"]: r for r in features.rfm_feature_base(st).collect()}
     assert base["u1"]["frequency"] == 1
+
+
+def test_category_clv_null_average_sorts_first(spark):
+    prods = [product("p1", "toys"), product("p2", "tools")]
+    churn = [("u1", "Champions", None, None, None, None, None, None)]
+    clv = [("u2", "Lost", None, 500, None, None, None, None)]
+    st = star(spark, [cust("c1", "u1"), cust("c2", "u2")],
+              [order("o1", "c1", "2020-01-01"), order("o2", "c2", "2020-01-02")],
+              items=[item(1, "o1", "p1", 10), item(2, "o2", "p2", 20)], products=prods, churn=churn, clv=clv)
+    got = rows(reports.category_clv_top15(st, min_buyers=1), "category", "avg_predicted_clv")
+    assert got == [("toys", None), ("tools", 500.0)]   # PostgreSQL DESC puts NULLs first
