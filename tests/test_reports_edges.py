@@ -128,7 +128,8 @@ def test_features_unpaid_order_reviews_still_count(spark):
 def test_category_clv_null_average_sorts_first(spark):
     prods = [product("p1", "toys"), product("p2", "tools")]
     churn = [("u1", "Champions", None, None, None, None, None, None)]
-    clv = [("u2", "Lost", None, 500, None, None, None, None)]
+    from decimal import Decimal
+    clv = [("u2", "Lost", None, Decimal("500.00"), None, None, None, None)]
     st = star(spark, [cust("c1", "u1"), cust("c2", "u2")],
               [order("o1", "c1", "2020-01-01"), order("o2", "c2", "2020-01-02")],
               items=[item(1, "o1", "p1", 10), item(2, "o2", "p2", 20)], products=prods, churn=churn, clv=clv)
