@@ -78,3 +78,23 @@ def test_cut_fixed_bins(spark):
     got = [r[0] for r in df.select(cut_fixed_expr(F.col("p"), [0.0, 0.33, 0.66, 1.0],
                                                   ["Low", "Medium", "High"], lowest_label="Low")).collect()]
     assert got == ["Low", "Low", "Medium", "Medium", "High"]
+
+
+def test_ranks_of_rows_matches_global_rank_with_nulls_and_ties(spark):
+    from shopmetrics.operators.bucketing import ntile_of_rank, ranks_of_rows
+    rng = np.random.default_rng(11)
+    vals = [None if x < 0.1 else int(x * 10) for x in rng.random(400)]
+    df = spark.createDataFrame([(f"k{i:04d}", v) for i, v in enumerate(vals)], "id string, v bigint")
+    orders = {"desc_nf": [("v", False, True), ("id", True, False)],
+              "asc_nl": [("v", True, False), ("id", True, False)]}
+    targets = [r.asDict() for r in df.orderBy(F.rand(3)).limit(15).collect()]
+    ranks, n = ranks_of_rows(df, orders, targets)
+    full = {
+        "desc_nf": global_rank(df, [F.desc_nulls_first("v"), F.col("id")], "r")[0],
+        "asc_nl": global_rank(df, [F.asc_nulls_last("v"), F.col("id")], "r")[0],
+    }
+    for name, ranked in full.items():
+        m = {r["id"]: r["r"] for r in ranked.collect()}
+        assert [m[t["id"]] for t in targets] == [rk[name] for rk in ranks]
+    assert n == 400
+    assert [ntile_of_rank(r, 11, 5) for r in range(1, 12)] == [1, 1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
