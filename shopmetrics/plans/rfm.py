@@ -73,7 +73,10 @@ def rfm_raw(st: Star, as_of: _dt.datetime | None = None) -> DataFrame:
 def rfm_scored(st: Star, as_of: _dt.datetime | None = None) -> DataFrame:
     """rfm_raw plus NTILE(5) r/f/m scores (recency DESC, frequency and
     monetary ASC; NULLs first on DESC and last on ASC as PostgreSQL)."""
-    raw = rfm_raw(st, as_of)
+    return _score(rfm_raw(st, as_of))
+
+
+def _score(raw: DataFrame) -> DataFrame:
     scored = ntile(raw, [F.desc_nulls_first("recency_days"), F.col(CUID)], 5, "r_score")
     scored = ntile(scored, [F.asc_nulls_last("frequency"), F.col(CUID)], 5, "f_score")
     scored = ntile(scored, [F.asc_nulls_last("monetary_dec"), F.col(CUID)], 5, "m_score")
@@ -101,30 +104,51 @@ SCORE_ORDERS = {
 }
 
 
-def rfm_top_customers(st: Star, k: int = 20, as_of=None) -> DataFrame:
+def st_spark(st):
+    return st.fact_orders.sparkSession
+
+
+# Below this many customers, three range-partitioned ranks are cheaper than
+# the counting pass's fixed planning cost; above it, counting reads the
+# table once instead of sorting and checkpointing it three times.
+TOPK_FULL_RANK_MAX_ROWS = 2_000_000
+
+
+def rfm_top_customers(st: Star, k: int = 20, as_of=None,
+                      full_rank_max_rows: int = TOPK_FULL_RANK_MAX_ROWS) -> DataFrame:
     """Top k customers by monetary with their NTILE(5) scores.
 
-    Only the k reported rows need a global position, so instead of ranking
-    every customer three times, each reported row's rank is counted in one
-    aggregation over the RFM table (rows strictly before it in each order):
-    two passes in total, no sort or range shuffle, exactly the NTILE a full
-    ranking gives."""
+    The per-customer table is materialised once.  Small tables are scored
+    by full distributed ranking; large ones rank only the k reported rows,
+    by counting in one aggregation pass the customers that sort before each
+    of them (``ranks_of_rows``).  Both give exactly the NTILE of a full
+    ranking."""
+    from shopmetrics.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(st_spark(st))
+    raw = rfm_raw(st, as_of).checkpoint()
+    out_cols = [CUID, "recency_days", "frequency", "monetary", "avg_order_value",
+                "r_score", "f_score", "m_score", "rfm_segment", "last_purchase"]
+    top_order = [F.desc_nulls_first("monetary_dec"), F.col(CUID)]
+    if raw.count() <= full_rank_max_rows:
+        lab = _score(raw).withColumn("rfm_segment", segment_expr())
+        return lab.orderBy(*top_order).limit(k).select(*out_cols)
+    return _top_by_counting(raw, k, top_order, out_cols)
+
+
+def _top_by_counting(raw: DataFrame, k: int, top_order, out_cols) -> DataFrame:
+    from pyspark.sql import types as T
+
     from shopmetrics.operators.bucketing import ntile_of_rank, ranks_of_rows
-    raw = rfm_raw(st, as_of)
     cols = [CUID, "recency_days", "frequency", "monetary", "avg_order_value", "last_purchase", "monetary_dec"]
-    top_df = raw.orderBy(F.desc_nulls_first("monetary_dec"), F.col(CUID)).limit(k).select(*cols)
+    top_df = raw.orderBy(*top_order).limit(k).select(*cols)
     top = [r.asDict() for r in top_df.collect()]          # the report itself: k rows
     ranks, n = ranks_of_rows(raw, SCORE_ORDERS, top)
-    spark = raw.sparkSession
     scored = [(*[row[c] for c in cols], ntile_of_rank(rk["r"], n, 5), ntile_of_rank(rk["f"], n, 5),
                ntile_of_rank(rk["m"], n, 5)) for row, rk in zip(top, ranks)]
-    from pyspark.sql import types as T
     schema = T.StructType(top_df.schema.fields + [T.StructField(c, T.IntegerType())
                                                   for c in ("r_score", "f_score", "m_score")])
-    out = spark.createDataFrame(scored, schema).withColumn("rfm_segment", segment_expr())
-    return (out.orderBy(F.desc_nulls_first("monetary_dec"), F.col(CUID))
-            .select(CUID, "recency_days", "frequency", "monetary", "avg_order_value",
-                    "r_score", "f_score", "m_score", "rfm_segment", "last_purchase"))
+    out = raw.sparkSession.createDataFrame(scored, schema).withColumn("rfm_segment", segment_expr())
+    return out.orderBy(*top_order).select(*out_cols)
 
 
 def rfm_segment_summary(st: Star, as_of=None) -> DataFrame:

@@ -135,3 +135,11 @@ def test_category_clv_null_average_sorts_first(spark):
               items=[item(1, "o1", "p1", 10), item(2, "o2", "p2", 20)], products=prods, churn=churn, clv=clv)
     got = rows(reports.category_clv_top15(st, min_buyers=1), "category", "avg_predicted_clv")
     assert got == [("toys", None), ("tools", 500.0)]   # PostgreSQL DESC puts NULLs first
+
+
+def test_rfm_top_k_counting_path_equals_full_ranking(spark):
+    from shopmetrics.sources.binding import star as bound
+    st = bound(spark, "/root/testdata/sf0.001")
+    full = rfm.rfm_top_customers(st, k=20)
+    counted = rfm.rfm_top_customers(st, k=20, full_rank_max_rows=0)
+    assert full.collect() == counted.collect()
