@@ -18,7 +18,8 @@ def test_bucketed_star_joins_without_order_shuffle(spark, tmp_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force sort-merge joins
     try:
         df = reports.monthly_revenue_rollup(st)
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        from tools.plan_report import plan_text
+        plan = plan_text(df)
         assert "SortMergeJoin" in plan
         assert "hashpartitioning(order_id" not in plan             # co-partitioned buckets
         expected = reports.monthly_revenue_rollup(star(spark, SF_SMALL))
