@@ -20,6 +20,8 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.sql.files.maxPartitionBytes", "128m")
+        # delete checkpoint files once their DataFrame is garbage collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
