@@ -25,3 +25,17 @@ def test_distributed_ntile_has_no_single_partition_window(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
     plan = plan_text(ntile(df, [F.col("k"), F.col("id")], 5, "b"))
     assert "SinglePartition" not in plan and "Window" not in plan
+
+
+def test_first_row_dedupe_is_a_partial_aggregate(spark):
+    from pyspark.sql import functions as F
+    from shopmetrics.sources.ingest import INGEST_SEQ, first_per_key
+    # one key holds a third of the rows
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                                  F.col("id").alias("v"), F.col("id").alias(INGEST_SEQ))
+    out = first_per_key(df, ["k"])
+    plan = plan_text(out)
+    assert "Window" not in plan
+    assert plan.count("min_by") >= 2          # partial (map side) + final
+    assert out.where("k = 0").first()["v"] == 0
+    assert out.count() == 2001
