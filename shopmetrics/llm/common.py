@@ -121,3 +121,63 @@ SELECT d.doc_id,
   sha256(coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ord) FILTER (WHERE {is_base}), '')) AS base_sha256,
   coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ord) FILTER (WHERE kind IS NOT NULL), '') AS spans{tail}
 FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id"""
+
+
+#: Bits of a key bitmap: 512 KB broadcast at any input size.
+BITMAP_BITS = 1 << 22
+
+
+def bitmap(keys: DataFrame, key: str) -> DataFrame:
+    """One row: ``b_zero`` (0) and ``bits``, a bitmap of 64-bit ``key`` values.
+
+    It answers "maybe in" without false negatives, in a fixed size.  A fuller bitmap only
+    lets more rows through to the exact join behind it.
+    """
+    cells = []
+    for spot in _spots(F.col(key)):
+        cells.append(F.struct(F.shiftright(spot, 6).cast("int").alias("cell"),
+                              F.call_function("shiftleft", F.lit(1).cast("long"), spot.bitwiseAND(63).cast("int")).alias("bit")))
+    set_bits = keys.select(F.explode(F.array(*cells)).alias("x")).groupBy("x.cell").agg(F.bit_or("x.bit").alias("bit"))
+    every = keys.sparkSession.range(BITMAP_BITS // 64).select(F.col("id").cast("int").alias("at"))
+    return (every.join(set_bits, F.col("at") == F.col("cell"), "left")
+            .agg(F.min("at").alias("b_zero"),
+                 F.sort_array(F.collect_list(F.struct("at", F.coalesce("bit", F.lit(0).cast("long")).alias("bit")))).alias("x"))
+            .select("b_zero", F.col("x.bit").alias("bits")))
+
+
+def _spots(key: Column) -> list[Column]:
+    return [key.bitwiseAND(BITMAP_BITS - 1), F.shiftrightunsigned(key, 40).bitwiseAND(BITMAP_BITS - 1)]
+
+
+def maybe_in(bits: Column, key: Column) -> Column:
+    def on(spot: Column) -> Column:
+        cell = F.get(bits, F.shiftright(spot, 6).cast("int"))
+        return F.call_function("shiftright", cell, spot.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+
+    return all_of([on(s) for s in _spots(key)])
+
+
+def with_bitmap(rows: DataFrame, bits: DataFrame, any_array: str) -> DataFrame:
+    """``rows`` with the bitmap's ``bits``: an equi-join with its one row on 0."""
+    return rows.join(F.broadcast(bits), F.pmod(F.length(any_array), F.lit(1)) == F.col("b_zero")).drop("b_zero")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(id, comp) of every id in ``edges`` (a, b): comp is the least id of its component.
+
+    Each round takes the least label among a vertex and its neighbours (a pre-aggregated
+    minimum, so a hub does not gather its edges) and then the label's own label, which
+    halves paths.  Rounds end when no label falls.
+    """
+    both = materialize(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-edges")
+    labels = materialize(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("comp")), "cc-labels")
+    while True:
+        near = (both.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("comp").alias("m")))
+        step = labels.join(near, F.col("id") == F.col("a")).select("id", "comp", F.least("comp", "m").alias("new"))
+        up = labels.select(F.col("id").alias("u_id"), F.col("comp").alias("u_comp"))
+        step = step.join(up, F.col("new") == F.col("u_id"), "left").select(
+            "id", F.least("new", "u_comp").alias("comp"), (F.least("new", "u_comp") < F.col("comp")).alias("fell"))
+        step = materialize(step, "cc-labels")
+        labels = step.select("id", "comp")
+        if not step.filter("fell").limit(1).count():
+            return labels

@@ -40,13 +40,17 @@ def _cell(token: Column) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(CELLS)).cast("int")
 
 
-def features(text: Column) -> Column:
-    """Distinct feature cells of a text."""
-    words = F.filter(F.split(text, r"[^\p{L}]+"), lambda w: w != "")
+def letters(text: Column) -> Column:
+    """Runs of letters of a text."""
+    return F.filter(F.split(text, r"[^\p{L}]+"), lambda w: w != "")
+
+
+def features(text: Column, words: Column) -> Column:
+    """Distinct feature cells of a text with these runs of letters."""
     caps = F.size(F.filter(words, lambda w: (F.length(w) > 1) & (F.upper(w) == w)))
     marks = F.size(F.regexp_extract_all(text, F.lit(r"[^\p{L}\p{N}\s]{2,}+|\s[^\p{L}\p{N}\s]\s"), F.lit(0)))
-    same = F.size(F.filter(words, lambda w: F.lit(True))) - F.size(F.filter(
-        F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: a.eqNullSafe(b)), lambda x: ~x))
+    same = F.size(F.filter(F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))),
+                                      lambda a, b: a.eqNullSafe(b)), lambda x: x))
 
     def step(name: str, n: Column) -> Column:
         share = F.floor(10 * n / F.greatest(F.size(words), F.lit(1)))
@@ -103,7 +107,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray] | N
     chosen = graded.filter(F.pmod(F.xxhash64("l_id", F.lit(11)), F.lit(1_000_000)) < int(1e6 * share))
     # at most about FIT_ROWS ids: a broadcast of that fixed size
     rows = (docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))
-            .select("grade", features(C.whole_text("text")).alias("cells"))).toArrow()
+            .select("grade", C.whole_text("text").alias("text"), letters(C.whole_text("text")).alias("words"))
+            .select("grade", features(F.col("text"), F.col("words")).alias("cells"))).toArrow()
     grades = rows.column("grade").to_numpy().astype(np.int64)
     if len(np.unique(grades)) < 2:
         return None
@@ -126,7 +131,7 @@ def score(rows: DataFrame, text: Column, model: tuple[np.ndarray, np.ndarray] |
              .join(kept.select(F.explode(F.arrays_zip("at", "w")).alias("x")).select("x.*"), F.col("cell") == F.col("at"), "left")
              .agg(F.min("cell").alias("m_key"), F.sort_array(F.collect_list(F.struct("cell", F.coalesce("w", F.lit(0.0)).alias("w")))).alias("x"))
              .select("m_key", F.col("x.w").alias("m_weights")))
-    rows = rows.withColumn("v_cells", features(text))
+    rows = rows.withColumn("v_words", letters(text)).withColumn("v_cells", features(text, F.col("v_words")))
     rows = rows.withColumn("v_zero", F.pmod(F.size("v_cells"), F.lit(1))).join(F.broadcast(dense), F.col("v_zero") == F.col("m_key"))
     total = F.aggregate(F.transform("v_cells", lambda c: F.get("m_weights", c)), F.lit(0.0), lambda a, x: a + x)
     rows = rows.withColumn("v_score", total)
@@ -136,7 +141,7 @@ def score(rows: DataFrame, text: Column, model: tuple[np.ndarray, np.ndarray] |
 
     expected, tail = F.round(above(0) + above(1), 6), F.round(above(GRADES - 2), 6)
     verdict = F.struct(expected.alias("expected_grade"), tail.alias("tail_prob"), (tail >= MIN_TAIL).alias("kept"))
-    return rows.withColumn("verdict", verdict).drop("v_cells", "v_zero", "v_score", "m_key", "m_weights")
+    return rows.withColumn("verdict", verdict).drop("v_words", "v_cells", "v_zero", "v_score", "m_key", "m_weights")
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

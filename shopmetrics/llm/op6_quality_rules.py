@@ -27,7 +27,7 @@ from . import common as C
 
 BUCKETS = 1 << 16
 ALPHA = 1.0
-MIN_SCORE = -0.35
+MIN_SCORE = -0.2
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -49,8 +49,9 @@ def fit(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     flagged = (docs.select("doc_id", C.whole_text("text").alias("text"))
                .join(marked.hint("shuffle_hash"), F.col("doc_id") == F.col("t_id"), "left")
                .select(C.words_of(F.col("text")).alias("words"), F.col("t_id").isNotNull().cast("long").alias("good")))
-    counts = (flagged.select("good", F.explode(_cells(F.col("words"))).alias("cell"))
-              .groupBy("cell").agg(F.count("*").alias("n"), F.sum("good").alias("g")))
+    # explode_outer: explode would add a filter that Spark pushes into the n-gram lambdas
+    counts = (flagged.select("good", F.explode_outer(_cells(F.col("words"))).alias("cell"))
+              .filter(F.col("cell").isNotNull()).groupBy("cell").agg(F.count("*").alias("n"), F.sum("good").alias("g")))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("cell"))
     full = every.join(counts, "cell", "left").select(
         "cell", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("g", F.lit(0)).alias("g"))

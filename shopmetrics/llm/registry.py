@@ -8,23 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     op1_pii,
+    op2_decontamination,
     op3_langid,
     op5_quality_classifier,
     op6_quality_rules,
     op7_secrets,
+    op8_jaccard_join,
     op10_mixing,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii.op1_pii,
+    "op2_decontamination": op2_decontamination.op2_decontamination,
     "op3_langid": op3_langid.op3_langid,
     "op5_quality_classifier": op5_quality_classifier.op5_quality_classifier,
     "op6_quality_rules": op6_quality_rules.op6_quality_rules,
     "op7_secrets": op7_secrets.op7_secrets,
+    "op8_jaccard_join": op8_jaccard_join.op8_jaccard_join,
     "op10_mixing": op10_mixing.op10_mixing,
 }
 
 ORACLES: dict[str, str] = {
     "op1_pii": op1_pii.ORACLE,
+    "op2_decontamination": op2_decontamination.ORACLE,
     "op7_secrets": op7_secrets.ORACLE,
+    "op8_jaccard_join": op8_jaccard_join.ORACLE,
 }
