@@ -121,8 +121,12 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     again = again.select(F.xxhash64(key).alias("sid"), "sh")
     again = C.with_bitmap(again.withColumn("one", F.lit("")), bits, "one").filter(C.maybe_in(F.col("bits"), F.col("sid"))).select("sid", "sh")
     whole = again.join(active, "sid", "left_semi").groupBy("sid").agg(F.first("sh").alias("sh"))
-    piece = F.array(*[F.struct(F.lit(f).alias("part"), F.filter("sh", lambda h, f=f: F.pmod(F.shiftrightunsigned(h, 8), F.lit(FRAGMENTS)) == f).alias("sh"))
-                      for f in range(FRAGMENTS)])
+
+    def in_part(part: int) -> Column:
+        # a range of the hash space: its two leading bits
+        return F.filter("sh", lambda h: F.shiftrightunsigned(h, 62) == part)
+
+    piece = F.array(*[F.struct(F.lit(f).alias("part"), in_part(f).alias("sh")) for f in range(FRAGMENTS)])
     fragments = C.materialize(whole.select("sid", F.explode(piece).alias("x")).select("sid", "x.*"), "fragments")
 
     edges, rest = None, lists
