@@ -14,6 +14,7 @@ from . import (
     op6_quality_rules,
     op7_secrets,
     op8_jaccard_join,
+    op9_html,
     op10_mixing,
 )
 
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules.op6_quality_rules,
     "op7_secrets": op7_secrets.op7_secrets,
     "op8_jaccard_join": op8_jaccard_join.op8_jaccard_join,
+    "op9_html": op9_html.op9_html,
     "op10_mixing": op10_mixing.op10_mixing,
 }
 
