@@ -10,6 +10,7 @@ from . import (
     op1_pii,
     op2_decontamination,
     op3_langid,
+    op4_suffix_dedup,
     op5_quality_classifier,
     op6_quality_rules,
     op7_secrets,
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii.op1_pii,
     "op2_decontamination": op2_decontamination.op2_decontamination,
     "op3_langid": op3_langid.op3_langid,
+    "op4_suffix_dedup": op4_suffix_dedup.op4_suffix_dedup,
     "op5_quality_classifier": op5_quality_classifier.op5_quality_classifier,
     "op6_quality_rules": op6_quality_rules.op6_quality_rules,
     "op7_secrets": op7_secrets.op7_secrets,
