@@ -54,7 +54,8 @@ WINDOW = 400
 SPAN = 256
 GRAM = 16
 CORE = WINDOW - SPAN + 1
-PIECE = 1 << 19
+PIECE = 1 << 17
+BATCH_ROWS = 256
 HOT = 4096
 ENTRY_BYTES = 700
 TASK_BYTES = 24 << 20
@@ -135,6 +136,13 @@ def pieces(raw: bytes) -> Iterator[tuple[int, np.ndarray]]:
         yield start, np.frombuffer(raw, np.uint8, count=min(PIECE + WINDOW - 1, len(raw) - start), offset=start)
 
 
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices: texts and results of a whole Arrow batch are large in Python."""
+    for b in batches:
+        for at in range(0, b.num_rows, BATCH_ROWS):
+            yield b.slice(at, BATCH_ROWS)
+
+
 def core_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(rid, at, core) of every anchor."""
     def packed(found: list) -> pa.RecordBatch:
@@ -147,7 +155,7 @@ def core_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at, _, _, prints = anchors(data)
                 found.append((np.full(len(at), rid, np.int64), at + offset, prints.of(at, CORE).view(np.int64)))
                 held += len(at)
-                if held > 200_000:
+                if held > 100_000:
                     yield packed(found)
                     found, held = [], 0
         if found:
@@ -259,7 +267,7 @@ def run_maker(parts: int, hot: int):
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(tasks, pa.int32()), pa.array(blobs, pa.binary())], names=["task", "run"])
 
-        for b in batches:
+        for b in small(batches):
             for rid, text, spots, counts in zip(*(b.column(i) for i in range(4)), strict=True):
                 raw, rid = text.as_py().encode(), rid.as_py()
                 want = dict(zip(spots.as_py(), counts.as_py(), strict=True))
@@ -304,7 +312,7 @@ def repeated_windows(runs: list[bytes]) -> Iterator[tuple[int | None, int | None
             mine[-1][2].append((rid, lo, hi, hot))
         else:
             mine.append((key, reach, [(rid, lo, hi, hot)]))
-        if p < CORE and len(classes) > 512:
+        if p < CORE and len(classes) > 128:
             yield from _settle(classes[:-1])
             classes = classes[-1:]
     yield from _settle(classes)
@@ -390,7 +398,7 @@ def remove(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
 
 def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
-    for b in batches:
+    for b in small(batches):
         out: list[list] = [[] for _ in names]
         for doc, text, lo, hi in zip(*(b.column(i) for i in range(4)), strict=True):
             raw = text.as_py().encode()
