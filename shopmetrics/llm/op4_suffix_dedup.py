@@ -423,7 +423,8 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     found = C.materialize(long_rows.select("rid", "text").mapInArrow(core_rows, "rid long, at long, core long"), "anchors")
     found = found.join(copied.filter("rid <> one").select("rid"), "rid", "left_anti").dropDuplicates(["rid", "at"])
     found = C.materialize(found, "anchors")
-    counted = found.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1")
+    # written, as Spark splits a hot key only between plain exchanges
+    counted = C.materialize(found.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1"), "repeated-cores")
     alive = found.join(counted, "core").groupBy("rid").agg(F.collect_list(F.struct("at", "n")).alias("x"))
     alive = C.materialize(alive.select(F.col("rid").alias("a_rid"), F.col("x.at").alias("spots"), F.col("x.n").alias("counts")), "survivors")
     total = alive.agg(F.sum(F.size("spots"))).first()[0] or 0

@@ -102,6 +102,8 @@ def scan(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "
              .filter((F.size("findings") > 0) & F.array_contains(current, F.concat_ws("@", "rule", "version")))
              .dropDuplicates(["blob", "rule", "version"])
              .groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("findings"))).alias("spans")))
+    # written: broadcast if small, else Spark can split a blob of very many paths
+    found = C.materialize(found, "blob-findings")
     return (paths.join(found, "blob", "left")
             .select("doc_id", "blob", F.coalesce("spans", F.array().cast(FINDING)).alias("spans")))
 

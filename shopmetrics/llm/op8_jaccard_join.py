@@ -85,6 +85,7 @@ def _star(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pivot of each list, and the pairs of its members with it."""
     pivot = (lists.groupBy("token", "class").agg(F.max(F.struct("common", "sid", "n")).alias("p"), F.count("*").alias("size"))
              .filter("size > 1").select("token", "class", F.col("p.sid").alias("p_sid"), F.col("p.n").alias("p_n")))
+    pivot = C.materialize(pivot, "pivots")
     pairs = (lists.join(pivot, ["token", "class"]).filter((F.col("sid") != F.col("p_sid")) & _may_link(F.col("n"), F.col("p_n")))
              .select(F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("p_sid").alias("b"), F.col("p_n").alias("n_b")).distinct())
     return pivot, pairs
@@ -109,7 +110,8 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                            F.when(F.col("n") > 0, F.slice("keys", F.lit(1), prefix)).otherwise(F.array().cast("array<bigint>")).alias("keys"))
     sets = C.materialize(ranked, "sets")  # ids, sizes and prefixes: no texts
     rows = sets.dropDuplicates(["sid"]).select("sid", "n", "common", F.posexplode("keys").alias("at", "token"))
-    shared = rows.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select("token")
+    # the one-row-a-key sides of joins are written first: Spark splits hot keys between plain exchanges
+    shared = C.materialize(rows.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select("token"), "shared")
     size_class = F.floor(F.log("n") / F.log(F.lit(CLASS_BASE))).cast("int")
     lists = C.materialize(rows.join(shared, "token").select("token", "sid", "n", "common", "at", size_class.alias("class")), "postings")
     # a list holds its class and the one below: sets that link fall in equal or adjacent classes
@@ -132,7 +134,6 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     edges, rest = None, lists
     for _ in range(ROUNDS):
         pivot, pairs = _star(rest)
-        pivot = C.materialize(pivot, "pivots")
         new = C.materialize(_verify(pairs, fragments), "links")
         edges = new if edges is None else edges.union(new)
         comps = C.components(edges)
@@ -142,11 +143,12 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         rest = rest.join(pivot.select("token", "class", "p_sid"), ["token", "class"]).filter(F.col("sid") != F.col("p_sid")).drop("p_sid")
         mixed = (rest.groupBy("token", "class").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
                  .filter("low < high").select("token", "class"))
-        rest = C.materialize(rest.join(mixed, ["token", "class"]), "unresolved")
+        rest = C.materialize(rest.join(C.materialize(mixed, "mixed"), ["token", "class"]), "unresolved")
 
     # of each list, the members outside its most common component meet all others
     counts = rest.groupBy("token", "class", "comp").agg(F.count("*").alias("m"))
     major = counts.groupBy("token", "class").agg(F.max(F.struct("m", "comp")).alias("x")).select("token", "class", F.col("x.comp").alias("major"))
+    major = C.materialize(major, "majors")
     minor = rest.join(major, ["token", "class"]).filter(F.col("comp") != F.col("major"))
     minor = minor.select("token", "class", F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), F.col("comp").alias("comp_a"))
     other = rest.select("token", "class", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), F.col("comp").alias("comp_b"))
@@ -159,20 +161,22 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     edges = C.materialize(edges.union(_verify(left, fragments)).distinct(), "links")
     comps = C.components(edges)
     degree = edges.select(F.explode(F.array("a", "b")).alias("e_sid")).groupBy("e_sid").agg(F.count("*").alias("links"))
-    named = comps.join(degree, F.col("id") == F.col("e_sid"), "left").select("id", "comp", "links")
+    named = C.materialize(comps.join(degree, F.col("id") == F.col("e_sid"), "left").select("id", "comp", "links"), "named")
     # only linked sets have a row here; a copy group alone is its own component
     labelled = sets.select("doc_id", "n", "sid").join(named, F.col("sid") == F.col("id"), "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), "sid", F.coalesce("comp", "sid").alias("comp"),
         F.coalesce("links", F.lit(0)).alias("n_links"))
-    least = labelled.filter(F.col("comp").isNotNull()).groupBy("comp").agg(F.min("doc_id").alias("least")).withColumnRenamed("comp", "c")
+    labelled = C.materialize(labelled, "labelled")
+    least = labelled.filter(F.col("comp").isNotNull()).groupBy(F.col("comp").alias("c")).agg(F.min("doc_id").alias("least"))
+    least = C.materialize(least, "least")
     return labelled.join(least, F.col("comp") == F.col("c"), "left").select(
         "doc_id", "sid", "n_shingles", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "n_links")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component: that of the least doc_id, and one copy of it.
+    """``docs`` with one document of each component: that of the least doc_id.
 
-    Rows without a shingle and rows whose id is null all stay.
+    Documents without a shingle, rows whose id is null and repeated rows of a kept id stay.
     """
     ids = linked_components(docs)
     drop = (ids.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct())
