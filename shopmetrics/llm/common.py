@@ -32,21 +32,6 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
-def shingles_of(words: Column, size: int = 5) -> Column:
-    """64-bit hashes of the distinct word shingles.
-
-    Fewer than ``size`` words: the whole sequence is the only shingle; no words: none.
-    """
-    def gram(i: Column) -> Column:
-        return F.xxhash64(*[F.get(words, i + k) for k in range(size)])
-
-    long_enough = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(words) - size), gram))
-    whole = F.array(F.xxhash64(F.array_join(words, " "), F.lit("short")))
-    return (F.when(F.size(words) >= size, long_enough)
-            .when(F.size(words) > 0, whole)
-            .otherwise(F.array().cast("array<long>")))
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage through a Parquet table in the shared scratch folder.
 
@@ -157,9 +142,12 @@ def maybe_in(bits: Column, key: Column) -> Column:
     return all_of([on(s) for s in _spots(key)])
 
 
-def with_bitmap(rows: DataFrame, bits: DataFrame, any_array: str) -> DataFrame:
-    """``rows`` with the bitmap's ``bits``: an equi-join with its one row on 0."""
-    return rows.join(F.broadcast(bits), F.pmod(F.length(any_array), F.lit(1)) == F.col("b_zero")).drop("b_zero")
+def with_bitmap(rows: DataFrame, bits: DataFrame, count: Column) -> DataFrame:
+    """``rows`` with the bitmap's ``bits``: an equi-join with its one row on 0.
+
+    ``count`` is any integer column of ``rows``; its remainder by 1 is the key.
+    """
+    return rows.join(F.broadcast(bits), F.pmod(count, F.lit(1)) == F.col("b_zero")).drop("b_zero")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -66,8 +66,8 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(row_key, doc_id, item_id, n_shingles, n_found) of every contained item."""
     items = C.materialize(item_shingles(items), "items")
     bits = C.materialize(C.bitmap(items.select(F.explode("grams").alias("g")).select(F.col("g.h").alias("h")), "h"), "item-bits")
-    rows = docs.select("doc_id", row_key().alias("row_key"), _words("text").alias("words"), F.lit("").alias("one"))
-    rows = C.with_bitmap(rows, bits, "one")
+    rows = docs.select("doc_id", row_key().alias("row_key"), _words("text").alias("words"))
+    rows = C.with_bitmap(rows, bits, F.size("words"))
     hit = F.filter(_starts(F.col("words")), lambda i: C.maybe_in(F.col("bits"), _shingle(F.col("words"), i)["h"]))
     rows = rows.select("doc_id", "row_key", "words", hit.alias("hit")).filter(F.size("hit") > 0)
     found = F.array_distinct(F.transform("hit", lambda i: _shingle(F.col("words"), i)))

@@ -433,7 +433,7 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     def only(keys: DataFrame, key: str) -> DataFrame:
         """Texts that may have a key, before the exact join."""
         bits = C.materialize(C.bitmap(keys, key), "row-bits")
-        return C.with_bitmap(long_rows, bits, "text")
+        return C.with_bitmap(long_rows, bits, size)
 
     with_spots = (only(alive, "a_rid").filter(C.maybe_in(F.col("bits"), F.col("rid"))).drop("bits").dropDuplicates(["rid"])
                   .join(alive.hint("shuffle_hash"), F.col("rid") == F.col("a_rid")))
@@ -448,7 +448,7 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
                           .select("s_rid", F.col("x.lo").alias("lo"), F.col("x.hi").alias("hi")), "spans")
 
     bits = C.materialize(C.bitmap(spans, "s_rid"), "row-bits")
-    marked = C.with_bitmap(rows, bits, "text").withColumn("maybe", (size >= WINDOW) & C.maybe_in(F.col("bits"), F.col("rid"))).drop("bits")
+    marked = C.with_bitmap(rows, bits, size).withColumn("maybe", (size >= WINDOW) & C.maybe_in(F.col("bits"), F.col("rid"))).drop("bits")
     none = F.array().cast("array<bigint>")
     untouched = marked.filter(~F.col("maybe")).select(
         "doc_id", size.cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),

@@ -5,8 +5,8 @@ Documents with 100 * |intersection| >= 80 * |union| of their five-word shingle s
 1. Sets.  Rows with the same set share a set id (a hash of the sorted shingles), so copies
    are never paired; everything below runs on set ids.
 2. Global order.  Shingles are ordered rarest first: by the step of an approximate document
-   frequency (a fixed table of ``FREQ_CELLS`` hashed counters over all documents, broadcast
-   as one row) and then by hash.  The order needs only to be the same for all documents; a
+   frequency (a fixed table of ``FREQ_CELLS`` hashed counters over all documents) and then by
+   hash.  The order needs only to be the same for all documents; a
    coarse count costs candidates, not results.
 3. Candidates.  Two linked sets share one of their n - ceil(0.8 n) + 1 first shingles.
    Posting lists of those prefixes, split by size class, give the candidates.  A list is
@@ -17,7 +17,8 @@ Documents with 100 * |intersection| >= 80 * |union| of their five-word shingle s
    components, and only where size and position still allow a link.
 4. Verification.  The global order is cut into ``FRAGMENTS`` ranges of the hash space.  A
    set's shingles in one range are a fragment; fragments of a candidate pair meet by
-   (set, fragment), count a partial overlap, and the parts are summed per pair.
+   (set, fragment), count a partial overlap, and the parts are summed per pair.  Fragments
+   are made by a pass over the texts for the sets in the pairs only, and never kept for all.
 5. Components of the verified links; every row gets the least doc_id of its component.
 
 No pair is lost: pairs are skipped only when already connected, or when the bounds on size
@@ -31,12 +32,21 @@ a null id does not count for the least id.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import common as C
 from .op2_decontamination import SHINGLE_SQL
 
+SHINGLE = 5
+SPACES = frozenset(b" \t\n\x0b\x0c\r")
+PIECE = 1 << 20
+BATCH_ROWS = 256
 PERCENT = 80
 FREQ_CELLS = 1 << 18
 FRAGMENTS = 4
@@ -44,22 +54,148 @@ ROUNDS = 2
 CLASS_BASE = 1.25  # sizes of linked sets differ by at most this factor
 
 
-def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, sh) of every row."""
-    words = docs.select(F.col(id_col).alias("doc_id"), C.words_of(C.ascii_lower(C.whole_text(text_col))).alias("words"))
-    return words.select("doc_id", C.shingles_of(F.col("words")).alias("sh"))
-
-
-def _frequencies(sets: DataFrame) -> DataFrame:
-    """One row: f_zero (0) and ``steps``, the frequency step (0..63) of each hashed cell."""
-    cell = F.pmod("h", F.lit(FREQ_CELLS)).cast("int")
-    # explode_outer: explode would add a filter that Spark pushes into the shingle lambdas
-    counted = sets.select(F.explode_outer("sh").alias("h")).filter(F.col("h").isNotNull()).groupBy(cell.alias("cell")).agg(F.count("*").alias("n"))
-    every = sets.sparkSession.range(FREQ_CELLS).select(F.col("id").cast("int").alias("at"))
-    step = F.least(F.floor(2 * F.log2(F.coalesce("n", F.lit(0)) + 1)), F.lit(62)).cast("int")
-    return (every.join(counted, F.col("at") == F.col("cell"), "left")
-            .agg(F.min("at").alias("f_zero"), F.sort_array(F.collect_list(F.struct("at", step.alias("step")))).alias("x"))
-            .select("f_zero", F.col("x.step").alias("steps")))
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash and start of every word of UTF-8 text, A-Z lower-cased."""
+    base = 0x9E3779B97F4A7C15
+    hashes, starts, at = [], [], 0
+    while at < len(raw):
+        stop = min(at + PIECE, len(raw))
+        while stop < len(raw) and raw[stop] not in SPACES:
+            stop += 1
+        data = np.frombuffer(raw, np.uint8, count=stop - at, offset=at)
+        data = data + (((data >= 65) & (data <= 90)) * np.uint8(32))
+        blank = (data == 32) | ((data >= 9) & (data <= 13))
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8)))
+        first, last = edge[::2], edge[1::2]
+        n = len(data)
+        up = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, base, np.uint64)]))
+        inverse = np.uint64(pow(base, -1, 1 << 64))
+        down = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, inverse, np.uint64)]))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(data.astype(np.uint64) + np.uint64(base)) * up[:n], dtype=np.uint64)])
+        hashes.append(_mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64)))
+        starts.append(first + at)
+        at = stop
+    return (np.concatenate(hashes), np.concatenate(starts)) if hashes else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def shingle_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the text, shingle hash) of every shingle, in order, repeats included."""
+    raws = [(t or "").encode() for t in texts]
+    words, starts = word_hashes(b"\n".join(raws))
+    bounds = np.cumsum([0] + [len(r) + 1 for r in raws])
+    owner = np.searchsorted(bounds, starts, side="right") - 1
+    count = np.bincount(owner, minlength=len(raws))
+    weight = [np.uint64(w) for w in (0x8CB92BA72F3D8DD7, 0xAEF17502108EF2D9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
+    total = np.zeros(len(words), np.uint64)
+    for k in range(SHINGLE):
+        same = owner[k:] == owner[:len(owner) - k] if k else np.ones(len(owner), bool)
+        total[:len(words) - k][same] += (words[k:] * weight[k])[same]
+    place = np.arange(len(words)) - (np.cumsum(count) - count)[owner]
+    short = count[owner] < SHINGLE
+    total[short] += count[owner][short].astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D)
+    on = np.where(short, place == 0, place <= count[owner] - SHINGLE)
+    return owner[on], _mix(total[on])
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, BATCH_ROWS):
+            yield b.slice(at, BATCH_ROWS)
+
+
+def _frequency_steps(docs: DataFrame) -> np.ndarray:
+    """Frequency step (0..62) of each of the FREQ_CELLS hashed counters: a fixed-size table."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(FREQ_CELLS, np.int64)
+        for b in _slices(batches):
+            _, h = shingle_hashes(b.column(0).to_pylist())
+            seen += np.bincount((h & np.uint64(FREQ_CELLS - 1)).astype(np.int64), minlength=FREQ_CELLS)
+        cell = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(seen[cell])], names=["cell", "n"])
+
+    counted = docs.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(FREQ_CELLS)
+    total[counted.column("cell").to_numpy()] = counted.column("n").to_numpy()
+    return np.minimum(np.floor(2 * np.log2(total + 1)), 62).astype(np.int8)
+
+
+def _ordered(texts: list[str | None], steps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (owner, order key, hash) by owner and key, with set size and id by text."""
+    owner, h = shingle_hashes(texts)
+    key = (steps[(h & np.uint64(FREQ_CELLS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(57)) | (h & np.uint64((1 << 57) - 1))
+    order = np.lexsort((key, owner))
+    owner, key, h = owner[order], key[order], h[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])
+    owner, key, h = owner[new], key[new], h[new]
+    size = np.bincount(owner, minlength=len(texts))
+    sid = np.zeros(len(texts), np.uint64)
+    if len(owner):
+        begin = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        sid[owner[begin]] = _mix(np.add.reduceat(_mix(h + np.uint64(0x632BE59BD9B4E019)), begin) + size[owner[begin]].astype(np.uint64))
+    return owner, key, h, size, sid
+
+
+def _prefix_rows(steps: np.ndarray):
+    """(doc_id, n, sid, common, keys): keys are the prefix, once for a set in a task."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[int] = set()
+        for b in _slices(batches):
+            owner, key, _, size, sid = _ordered(b.column(1).to_pylist(), steps)
+            begin = np.cumsum(size) - size
+            weight = np.bincount(owner, weights=(key >> np.uint64(57)).astype(float), minlength=len(size))
+            fresh = np.zeros(len(size), bool)
+            for i, s in enumerate(sid.tolist()):
+                if size[i] and s not in known:
+                    known.add(s)
+                    fresh[i] = True
+            take = np.where(fresh, size - (PERCENT * size + 99) // 100 + 1, 0)
+            on = (np.arange(len(owner)) - begin[owner]) < take[owner]
+            keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(take)]).astype(np.int32)), pa.array(key[on].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([
+                b.column(0), pa.array(size.astype(np.int32)), pa.array(sid.view(np.int64), mask=size == 0),
+                pa.array((1000 * weight / np.maximum(size, 1)).astype(np.int64)), keys], names=["doc_id", "n", "sid", "common", "keys"])
+
+    return rows
+
+
+def _fragments(docs: DataFrame, steps: np.ndarray, pairs: DataFrame) -> DataFrame:
+    """(sid, part, sh) of the sets in ``pairs``, from a pass over the texts.
+
+    A fixed-size bitmap of the wanted set ids selects them; what it lets through besides is
+    not joined with any pair.
+    """
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("s"))
+    bits = np.array(C.bitmap(wanted, "s").first()["bits"], np.int64).view(np.uint64)
+    last = np.uint64(C.BITMAP_BITS - 1)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[int] = set()
+        for b in _slices(batches):
+            owner, _, h, size, sid = _ordered(b.column(0).to_pylist(), steps)
+            on = size > 0
+            for spot in (sid & last, (sid >> np.uint64(40)) & last):
+                on &= (bits[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
+            begin = np.cumsum(size) - size
+            out: list[tuple[int, int, np.ndarray]] = []
+            for i in np.flatnonzero(on):
+                s = int(sid[i].view(np.int64))
+                if s not in known:
+                    known.add(s)
+                    mine = np.sort(h[begin[i]:begin[i] + size[i]])
+                    cut = np.searchsorted(mine >> np.uint64(62), np.arange(FRAGMENTS + 1))
+                    out += [(s, f, mine[cut[f]:cut[f + 1]].view(np.int64)) for f in range(FRAGMENTS) if cut[f] < cut[f + 1]]
+            if out:
+                sids, parts, sh = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(parts, pa.int32()), pa.array(sh, pa.list_(pa.int64()))], names=["sid", "part", "sh"])
+
+    return C.materialize(docs.select("text").mapInArrow(rows, "sid long, part int, sh array<long>"), "fragments")
 
 
 def _need(a: Column, b: Column) -> Column:
@@ -67,26 +203,35 @@ def _need(a: Column, b: Column) -> Column:
     return F.ceil(PERCENT * (a + b) / (100 + PERCENT))
 
 
-def _may_link(n_a: Column, n_b: Column) -> Column:
-    return 100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b)
+def _room(n_a: str, at_a: str, n_b: str, at_b: str) -> Column:
+    """May a pair link whose first common shingle has these places?
 
+    Sizes must be near, and all the overlap lies at or after the places.  A pair is always
+    met in the list of its first common shingle, so other lists may pass it by.
+    """
+    near = 100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b)
+    return near & (F.least(F.col(n_a) - F.col(at_a), F.col(n_b) - F.col(at_b)) >= _need(F.col(n_a), F.col(n_b)))
 
-def _verify(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
+
+def _verify(docs: DataFrame, steps: np.ndarray, pairs: DataFrame) -> DataFrame:
     """Linked (a, b) of candidate pairs (a, n_a, b, n_b): partial overlaps, summed."""
+    pairs = C.materialize(pairs, "candidates")
+    fragments = _fragments(docs, steps, pairs)
     side_a = fragments.select(F.col("sid").alias("a"), "part", F.col("sh").alias("sh_a"))
     side_b = fragments.select(F.col("sid").alias("b"), "part", F.col("sh").alias("sh_b"))
     met = pairs.join(side_a, "a").join(side_b, ["b", "part"])
-    partial = met.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("sh_a", "sh_b")).alias("k"))
-    total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("k").alias("k"))
+    partial = met.select("a", "b", "part", "n_a", "n_b", F.size(F.array_intersect("sh_a", "sh_b")).alias("k"))
+    # a set that several tasks have read gives equal rows
+    total = partial.distinct().groupBy("a", "b", "n_a", "n_b").agg(F.sum("k").alias("k"))
     return total.filter(100 * F.col("k") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("k"))).select("a", "b")
 
 
 def _star(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pivot of each list, and the pairs of its members with it."""
-    pivot = (lists.groupBy("token", "class").agg(F.max(F.struct("common", "sid", "n")).alias("p"), F.count("*").alias("size"))
-             .filter("size > 1").select("token", "class", F.col("p.sid").alias("p_sid"), F.col("p.n").alias("p_n")))
+    pivot = (lists.groupBy("token", "class").agg(F.max(F.struct("common", "sid", "n", "at")).alias("p"), F.count("*").alias("size"))
+             .filter("size > 1").select("token", "class", F.col("p.sid").alias("p_sid"), F.col("p.n").alias("p_n"), F.col("p.at").alias("p_at")))
     pivot = C.materialize(pivot, "pivots")
-    pairs = (lists.join(pivot, ["token", "class"]).filter((F.col("sid") != F.col("p_sid")) & _may_link(F.col("n"), F.col("p_n")))
+    pairs = (lists.join(pivot, ["token", "class"]).filter((F.col("sid") != F.col("p_sid")) & _room("n", "at", "p_n", "p_at"))
              .select(F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("p_sid").alias("b"), F.col("p_n").alias("n_b")).distinct())
     return pivot, pairs
 
@@ -96,45 +241,26 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     ``n_links`` counts the verified links that were needed to connect the row's set.
     """
-    raw = shingle_sets(docs, id_col, text_col)
-    freq = C.materialize(_frequencies(raw), "shingle-steps")
-    # order key: frequency step above 57 bits of the hash
-    ranked = raw.join(F.broadcast(freq), F.pmod(F.size("sh"), F.lit(1)) == F.col("f_zero"))
-    key = F.sort_array(F.transform("sh", lambda h: F.shiftleft(F.get("steps", F.pmod(h, F.lit(FREQ_CELLS)).cast("int")).cast("long"), 57)
-                                   .bitwiseOR(h.bitwiseAND((1 << 57) - 1))))
-    ranked = ranked.select("doc_id", F.size("sh").alias("n"), key.alias("keys"))
-    prefix = F.col("n") - F.ceil(PERCENT * F.col("n") / 100).cast("int") + 1
-    weight = F.aggregate(F.transform("keys", lambda k: F.shiftright(k, 57)), F.lit(0).cast("long"), lambda a, x: a + x)
-    ranked = ranked.select("doc_id", "n", F.when(F.col("n") > 0, F.xxhash64("keys")).alias("sid"),
-                           (1000 * weight / F.col("n")).cast("long").alias("common"),
-                           F.when(F.col("n") > 0, F.slice("keys", F.lit(1), prefix)).otherwise(F.array().cast("array<bigint>")).alias("keys"))
-    sets = C.materialize(ranked, "sets")  # ids, sizes and prefixes: no texts
-    rows = sets.dropDuplicates(["sid"]).select("sid", "n", "common", F.posexplode("keys").alias("at", "token"))
-    # the one-row-a-key sides of joins are written first: Spark splits hot keys between plain exchanges
-    shared = C.materialize(rows.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select("token"), "shared")
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    steps = _frequency_steps(docs)
+    sets = C.materialize(docs.mapInArrow(_prefix_rows(steps), "doc_id long, n int, sid long, common long, keys array<long>"), "sets")
     size_class = F.floor(F.log("n") / F.log(F.lit(CLASS_BASE))).cast("int")
-    lists = C.materialize(rows.join(shared, "token").select("token", "sid", "n", "common", "at", size_class.alias("class")), "postings")
+    rows = sets.select("sid", F.posexplode("keys").alias("at", "token"))
+    # one exchange by token tells the shared ones; hot lists spill, and later joins split them
+    same = Window.partitionBy("token")
+    shared = (rows.withColumn("low", F.min("sid").over(same)).withColumn("high", F.max("sid").over(same))
+              .filter("low < high").select("token", "sid", "at").distinct())
+    shared = C.materialize(shared, "shared")
+    sized = C.materialize(sets.filter("sid IS NOT NULL").select("sid", "n", "common", size_class.alias("class")).distinct(), "sized")
     # a list holds its class and the one below: sets that link fall in equal or adjacent classes
-    lists = lists.withColumn("class", F.explode(F.array(F.col("class"), F.col("class") + 1)))
-
-    active = C.materialize(lists.select("sid").distinct(), "active")
-    bits = C.materialize(C.bitmap(active, "sid"), "active-bits")
-    again = raw.join(F.broadcast(freq), F.pmod(F.size("sh"), F.lit(1)) == F.col("f_zero"))
-    again = again.select(F.xxhash64(key).alias("sid"), "sh")
-    again = C.with_bitmap(again.withColumn("one", F.lit("")), bits, "one").filter(C.maybe_in(F.col("bits"), F.col("sid"))).select("sid", "sh")
-    whole = again.join(active, "sid", "left_semi").groupBy("sid").agg(F.first("sh").alias("sh"))
-
-    def in_part(part: int) -> Column:
-        # a range of the hash space: its two leading bits
-        return F.filter("sh", lambda h: F.shiftrightunsigned(h, 62) == part)
-
-    piece = F.array(*[F.struct(F.lit(f).alias("part"), in_part(f).alias("sh")) for f in range(FRAGMENTS)])
-    fragments = C.materialize(whole.select("sid", F.explode(piece).alias("x")).select("sid", "x.*"), "fragments")
+    lists = shared.join(sized, "sid").withColumn("class", F.explode(F.array(F.col("class"), F.col("class") + 1)))
+    full = lists.groupBy("token", "class").agg(F.count("*").alias("m")).filter("m > 1").select("token", "class")
+    lists = C.materialize(lists.join(C.materialize(full, "lists"), ["token", "class"]), "postings")
 
     edges, rest = None, lists
     for _ in range(ROUNDS):
         pivot, pairs = _star(rest)
-        new = C.materialize(_verify(pairs, fragments), "links")
+        new = C.materialize(_verify(docs, steps, pairs), "links")
         edges = new if edges is None else edges.union(new)
         comps = C.components(edges)
         # members that are in one component with their pivot need no more comparing with each other
@@ -152,13 +278,11 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     minor = rest.join(major, ["token", "class"]).filter(F.col("comp") != F.col("major"))
     minor = minor.select("token", "class", F.col("sid").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), F.col("comp").alias("comp_a"))
     other = rest.select("token", "class", F.col("sid").alias("b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), F.col("comp").alias("comp_b"))
-    # in the list of their first common shingle, all their overlap lies at or after it
-    room = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= _need(F.col("n_a"), F.col("n_b"))
-    left = (minor.join(other, ["token", "class"]).filter((F.col("comp_a") != F.col("comp_b")) & _may_link(F.col("n_a"), F.col("n_b")) & room)
+    left = (minor.join(other, ["token", "class"]).filter((F.col("comp_a") != F.col("comp_b")) & _room("n_a", "at_a", "n_b", "at_b"))
             .select(F.least(F.struct("a", "n_a"), F.struct(F.col("b").alias("a"), F.col("n_b").alias("n_a"))).alias("x"),
                     F.greatest(F.struct("a", "n_a"), F.struct(F.col("b").alias("a"), F.col("n_b").alias("n_a"))).alias("y"))
             .select(F.col("x.a").alias("a"), F.col("x.n_a").alias("n_a"), F.col("y.a").alias("b"), F.col("y.n_a").alias("n_b")).distinct())
-    edges = C.materialize(edges.union(_verify(left, fragments)).distinct(), "links")
+    edges = C.materialize(edges.union(_verify(docs, steps, left)).distinct(), "links")
     comps = C.components(edges)
     degree = edges.select(F.explode(F.array("a", "b")).alias("e_sid")).groupBy("e_sid").agg(F.count("*").alias("links"))
     named = C.materialize(comps.join(degree, F.col("id") == F.col("e_sid"), "left").select("id", "comp", "links"), "named")
