@@ -9,7 +9,8 @@ Documents with 100 * |intersection| >= 80 * |union| of their five-word shingle s
    hash.  The order needs only to be the same for all documents; a
    coarse count costs candidates, not results.
 3. Candidates.  Two linked sets share one of their n - ceil(0.8 n) + 1 first shingles.
-   Posting lists of those prefixes, split by size class, give the candidates.  A list is
+   Posting lists of those prefixes, split by the size classes of the two partners (a member
+   enters those that its place in the order still allows), give the candidates.  A list is
    not paired within itself: each round compares its members with one pivot (the member
    with the most common shingles, such as the original of a family of near copies).  Members
    that the verified links have joined need no more comparing, and a former pivot leaves its
@@ -51,7 +52,7 @@ PERCENT = 80
 FREQ_CELLS = 1 << 18
 FRAGMENTS = 4
 ROUNDS = 2
-CLASS_BASE = 1.25  # sizes of linked sets differ by at most this factor
+CLASS_BASE = 1.1
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -213,6 +214,10 @@ def _room(n_a: str, at_a: str, n_b: str, at_b: str) -> Column:
     return near & (F.least(F.col(n_a) - F.col(at_a), F.col(n_b) - F.col(at_b)) >= _need(F.col(n_a), F.col(n_b)))
 
 
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(F.greatest(n, F.lit(1.0))) / F.log(F.lit(CLASS_BASE))).cast("int")
+
+
 def _verify(docs: DataFrame, steps: np.ndarray, pairs: DataFrame) -> DataFrame:
     """Linked (a, b) of candidate pairs (a, n_a, b, n_b): partial overlaps, summed."""
     pairs = C.materialize(pairs, "candidates")
@@ -244,18 +249,25 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     steps = _frequency_steps(docs)
     sets = C.materialize(docs.mapInArrow(_prefix_rows(steps), "doc_id long, n int, sid long, common long, keys array<long>"), "sets")
-    size_class = F.floor(F.log("n") / F.log(F.lit(CLASS_BASE))).cast("int")
-    rows = sets.select("sid", F.posexplode("keys").alias("at", "token"))
-    # one exchange by token tells the shared ones; hot lists spill, and later joins split them
+    rows = sets.select("sid", "n", F.posexplode("keys").alias("at", "token"))
+    # one exchange by token: the shared ones, then the lists of their members by size classes
     same = Window.partitionBy("token")
     shared = (rows.withColumn("low", F.min("sid").over(same)).withColumn("high", F.max("sid").over(same))
-              .filter("low < high").select("token", "sid", "at").distinct())
-    shared = C.materialize(shared, "shared")
-    sized = C.materialize(sets.filter("sid IS NOT NULL").select("sid", "n", "common", size_class.alias("class")).distinct(), "sized")
-    # a list holds its class and the one below: sets that link fall in equal or adjacent classes
-    lists = shared.join(sized, "sid").withColumn("class", F.explode(F.array(F.col("class"), F.col("class") + 1)))
-    full = lists.groupBy("token", "class").agg(F.count("*").alias("m")).filter("m > 1").select("token", "class")
-    lists = C.materialize(lists.join(C.materialize(full, "lists"), ["token", "class"]), "postings")
+              .filter("low < high").select("token", "sid", "n", "at").distinct())
+    # partners that the sizes and this member's place allow
+    most = F.least(100 * F.col("n") / PERCENT, (100 + PERCENT) * (F.col("n") - F.col("at")) / PERCENT - F.col("n"))
+    lo, hi = _size_class(PERCENT * F.col("n") / 100 - 1e-6), _size_class(most + 1e-6)
+    mine = _size_class(F.col("n") + 1e-6)
+    partner = F.when((most >= PERCENT * F.col("n") / 100 - 1e-6) & (hi >= lo), F.sequence(lo, hi))
+    shared = shared.select("*", mine.alias("own"), F.explode(partner).alias("other"))
+    shared = shared.withColumn("c1", F.least("own", "other")).withColumn("c2", F.greatest("own", "other"))
+    group = Window.partitionBy("token", "c1", "c2")
+    lists = (shared.withColumn("m", F.count("*").over(group)).withColumn("least", F.min("own").over(group)).withColumn("most", F.max("own").over(group))
+             .filter("m > 1 AND least = c1 AND most = c2")
+             .select("token", F.struct("c1", "c2").alias("class"), "sid", "n", "at"))
+    lists = C.materialize(lists, "postings")
+    central = sets.filter("sid IS NOT NULL").groupBy("sid").agg(F.max("common").alias("common"))
+    lists = C.materialize(lists.join(C.materialize(central, "central"), "sid"), "postings")
 
     edges, rest = None, lists
     for _ in range(ROUNDS):
