@@ -218,9 +218,22 @@ def _size_class(n: Column) -> Column:
     return F.floor(F.log(F.greatest(n, F.lit(1.0))) / F.log(F.lit(CLASS_BASE))).cast("int")
 
 
-def _verify(docs: DataFrame, steps: np.ndarray, pairs: DataFrame) -> DataFrame:
-    """Linked (a, b) of candidate pairs (a, n_a, b, n_b): partial overlaps, summed."""
+def _verify(docs: DataFrame, steps: np.ndarray, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Linked (a, b) of candidate pairs (a, n_a, b, n_b): partial overlaps, summed.
+
+    The prefixes are counted first.  Linked sets lack few of each other's shingles, so both
+    prefixes hold at least the first need - ceil(0.8 max) + 1 common ones: a pair with fewer
+    is done.
+    """
     pairs = C.materialize(pairs, "candidates")
+    bits = C.materialize(C.bitmap(pairs.select(F.explode(F.array("a", "b")).alias("s")), "s"), "pair-bits")
+    keys = (C.with_bitmap(sets.filter(F.size("keys") > 0), bits, F.col("n")).filter(C.maybe_in(F.col("bits"), F.col("sid")))
+            .select("sid", "keys"))
+    both = (pairs.join(keys.select(F.col("sid").alias("a"), F.col("keys").alias("k_a")), "a")
+            .join(keys.select(F.col("sid").alias("b"), F.col("keys").alias("k_b")), "b"))
+    least = _need(F.col("n_a"), F.col("n_b")) - F.ceil(PERCENT * F.greatest("n_a", "n_b") / 100) + 1
+    pairs = both.filter(F.size(F.array_intersect("k_a", "k_b")) >= least).select("a", "n_a", "b", "n_b").distinct()
+    pairs = C.materialize(pairs, "near-pairs")
     fragments = _fragments(docs, steps, pairs)
     side_a = fragments.select(F.col("sid").alias("a"), "part", F.col("sh").alias("sh_a"))
     side_b = fragments.select(F.col("sid").alias("b"), "part", F.col("sh").alias("sh_b"))
@@ -272,7 +285,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     edges, rest = None, lists
     for _ in range(ROUNDS):
         pivot, pairs = _star(rest)
-        new = C.materialize(_verify(docs, steps, pairs), "links")
+        new = C.materialize(_verify(docs, steps, sets, pairs), "links")
         edges = new if edges is None else edges.union(new)
         comps = C.components(edges)
         # members that are in one component with their pivot need no more comparing with each other
@@ -294,7 +307,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             .select(F.least(F.struct("a", "n_a"), F.struct(F.col("b").alias("a"), F.col("n_b").alias("n_a"))).alias("x"),
                     F.greatest(F.struct("a", "n_a"), F.struct(F.col("b").alias("a"), F.col("n_b").alias("n_a"))).alias("y"))
             .select(F.col("x.a").alias("a"), F.col("x.n_a").alias("n_a"), F.col("y.a").alias("b"), F.col("y.n_a").alias("n_b")).distinct())
-    edges = C.materialize(edges.union(_verify(docs, steps, left)).distinct(), "links")
+    edges = C.materialize(edges.union(_verify(docs, steps, sets, left)).distinct(), "links")
     comps = C.components(edges)
     degree = edges.select(F.explode(F.array("a", "b")).alias("e_sid")).groupBy("e_sid").agg(F.count("*").alias("links"))
     named = C.materialize(comps.join(degree, F.col("id") == F.col("e_sid"), "left").select("id", "comp", "links"), "named")
