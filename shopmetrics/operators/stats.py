@@ -105,18 +105,22 @@ def grouped_density_histograms(long_df: DataFrame, group_cols: list[str], value_
                                bins: int) -> DataFrame:
     """Per-group equal-width density histograms (each group its own range).
 
-    The per-group ranges are one small aggregate joined back on the group
-    key, so no per-group loop runs on the driver."""
+    Every bin of every group is present, empty ones with 0.  The per-group
+    ranges are one row per group (groups are few: a feature and a class), so
+    they are broadcast and rows never gather on a group key."""
     v = F.col(value_col).cast("double")
     rng = long_df.groupBy(*group_cols).agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"),
                                            F.count(v).alias("_n"))
     span = F.col("_hi") - F.col("_lo")
     b = F.when(span == 0, F.lit(0)).otherwise(
         F.least(F.floor((v - F.col("_lo")) / span * F.lit(bins)).cast("int"), F.lit(bins - 1)))
-    counts = (long_df.where(v.isNotNull()).join(rng, group_cols)
+    counts = (long_df.where(v.isNotNull()).join(F.broadcast(rng), group_cols)
               .groupBy(*group_cols, b.alias("bin")).agg(F.count(F.lit(1)).cast("bigint").alias("count")))
     width = F.when(span == 0, F.lit(1.0)).otherwise(span / bins)
-    return (counts.join(rng, group_cols)
+    every = rng.where("_n > 0").withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    counts = counts.withColumnRenamed("count", "_count")
+    return (every.join(counts, [*group_cols, "bin"], "left")
+            .withColumn("count", F.coalesce("_count", F.lit(0)).cast("bigint"))
             .select(*group_cols, "bin",
                     (F.col("_lo") + F.col("bin") * width).alias("bin_start"),
                     (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_end"),

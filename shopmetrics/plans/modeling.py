@@ -112,7 +112,7 @@ def with_folds(df: DataFrame, k: int = 5, id_col: str = CUID, label: str | None
 
 # ---- M2: SMOTE -------------------------------------------------------------------
 def smote(train: DataFrame, feature_cols: list[str], label: str = CHURN_TARGET, id_col: str = CUID,
-          k: int = 5, seed: int = SEED, levels: int = 8, broadcast_rows: int = 2_000_000) -> DataFrame:
+          k: int = 5, seed: int = SEED, levels: int = 8) -> DataFrame:
     """Oversample the minority class to parity with synthetic rows."""
     counts = {r[0]: r[1] for r in train.groupBy(label).count().collect()}
     if len(counts) < 2:
@@ -134,8 +134,6 @@ def smote(train: DataFrame, feature_cols: list[str], label: str = CHURN_TARGET,
     keyed = mino.select("*", *qcols)
     ranked, _ = global_rank(keyed, [F.col(f"_q{i}") for i in range(len(feature_cols))] + [F.col(id_col)], "_r")
     ranked = ranked.select("_r", *feature_cols)
-    if n_min <= broadcast_rows:  # n_min is an exact count: size-bounded broadcast
-        ranked = F.broadcast(ranked)
     spark = train.sparkSession
     j = (F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), F.lit(k)) + 1)
     b = (F.col("id") % n_min) + 1

@@ -130,9 +130,10 @@ b AS (SELECT l.feature, l.churned,
       FROM long l JOIN rng r ON r.feature = l.feature AND r.churned = l.churned
       WHERE l.value IS NOT NULL),
 c AS (SELECT feature, churned, bin, COUNT(*) AS count FROM b GROUP BY feature, churned, bin)
-SELECT c.feature, c.churned, c.bin,
-       r.lo + c.bin * (CASE WHEN r.hi - r.lo = 0 THEN 1.0 ELSE (r.hi - r.lo) / 40 END) AS bin_start,
-       r.lo + (c.bin + 1) * (CASE WHEN r.hi - r.lo = 0 THEN 1.0 ELSE (r.hi - r.lo) / 40 END) AS bin_end,
-       CAST(c.count AS BIGINT) AS count,
-       c.count / (r.n * (CASE WHEN r.hi - r.lo = 0 THEN 1.0 ELSE (r.hi - r.lo) / 40 END)) AS density
-FROM c JOIN rng r ON r.feature = c.feature AND r.churned = c.churned"""
+SELECT r.feature, r.churned, g.bin,
+       r.lo + g.bin * (CASE WHEN r.hi - r.lo = 0 THEN 1.0 ELSE (r.hi - r.lo) / 40 END) AS bin_start,
+       r.lo + (g.bin + 1) * (CASE WHEN r.hi - r.lo = 0 THEN 1.0 ELSE (r.hi - r.lo) / 40 END) AS bin_end,
+       CAST(coalesce(c.count, 0) AS BIGINT) AS count,
+       coalesce(c.count, 0) / (r.n * (CASE WHEN r.hi - r.lo = 0 THEN 1.0 ELSE (r.hi - r.lo) / 40 END)) AS density
+FROM rng r CROSS JOIN (SELECT CAST(unnest(range(0, 40)) AS INTEGER) AS bin) g
+LEFT JOIN c ON r.feature = c.feature AND r.churned = c.churned AND c.bin = g.bin WHERE r.n > 0"""

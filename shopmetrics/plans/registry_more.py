@@ -342,17 +342,18 @@ def churn_run(spark, sf_dir):
 
 
 def clv_run(spark, sf_dir):
-    return _run("clv", spark, sf_dir, lambda: training.clv_training(churn_run(spark, sf_dir)["features"]))
+    return _run("clv", spark, sf_dir, lambda: training.clv_training(features_df(spark, sf_dir)))
 
 
 @register("stratified_split", MODEL_SQL["stratified_split"])
 def _stratified_split(spark, sf_dir):
-    return churn_run(spark, sf_dir)["split"].select("customer_unique_id", feat.CHURN_TARGET, "split")
+    sp = ml.split(features_df(spark, sf_dir), label=feat.CHURN_TARGET)
+    return sp.select("customer_unique_id", feat.CHURN_TARGET, "split")
 
 
 @register("random_split", MODEL_SQL["random_split"])
 def _random_split(spark, sf_dir):
-    return clv_run(spark, sf_dir)["split"].select("customer_unique_id", "split")
+    return ml.split(features_df(spark, sf_dir), label=None).select("customer_unique_id", "split")
 
 
 @register("smote_oversample")

@@ -108,30 +108,19 @@ def st_spark(st):
     return st.fact_orders.sparkSession
 
 
-# Below this many customers, three range-partitioned ranks are cheaper than
-# the counting pass's fixed planning cost; above it, counting reads the
-# table once instead of sorting and checkpointing it three times.
-TOPK_FULL_RANK_MAX_ROWS = 2_000_000
-
-
-def rfm_top_customers(st: Star, k: int = 20, as_of=None,
-                      full_rank_max_rows: int = TOPK_FULL_RANK_MAX_ROWS) -> DataFrame:
+def rfm_top_customers(st: Star, k: int = 20, as_of=None) -> DataFrame:
     """Top k customers by monetary with their NTILE(5) scores.
 
-    The per-customer table is materialised once.  Small tables are scored
-    by full distributed ranking; large ones rank only the k reported rows,
-    by counting in one aggregation pass the customers that sort before each
-    of them (``ranks_of_rows``).  Both give exactly the NTILE of a full
-    ranking."""
+    The per-customer table is materialised once, and only the k reported rows
+    are ranked, by counting in one aggregation pass the customers that sort
+    before each of them (``ranks_of_rows``): exactly the NTILE of a full
+    ranking, at every size."""
     from shopmetrics.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(st_spark(st))
     raw = rfm_raw(st, as_of).checkpoint()
     out_cols = [CUID, "recency_days", "frequency", "monetary", "avg_order_value",
                 "r_score", "f_score", "m_score", "rfm_segment", "last_purchase"]
     top_order = [F.desc_nulls_first("monetary_dec"), F.col(CUID)]
-    if raw.count() <= full_rank_max_rows:
-        lab = _score(raw).withColumn("rfm_segment", segment_expr())
-        return lab.orderBy(*top_order).limit(k).select(*out_cols)
     return _top_by_counting(raw, k, top_order, out_cols)
 
 

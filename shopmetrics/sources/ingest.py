@@ -65,6 +65,7 @@ RAW_SCHEMAS = {
 }
 
 INGEST_SEQ = "_ingest_seq"
+CORRUPT_ROW = "_corrupt_row"
 
 
 # ---------------------------------------------------------------- A1 / A2 --
@@ -99,15 +100,32 @@ def list_raw_csv(spark: SparkSession, folder: str) -> dict[str, str]:
 
 def read_raw_csv(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
     """Scan one raw CSV with its declared schema (all strings when unknown),
-    coerce date-named columns, and tag each row with its read position."""
-    schema = RAW_SCHEMAS.get(table or "")
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if schema is not None:
-        df = reader.schema(schema).csv(path)
-    else:
-        header = spark.read.option("header", True).csv(path).columns
-        df = reader.schema(_schema(*[(c, S) for c in header])).csv(path)
-    return coerce_dates(df).withColumn(INGEST_SEQ, F.monotonically_increasing_id())
+    coerce date-named columns, and tag each row with its place: part file by
+    name, then position in the file.
+
+    Quoted fields may hold line breaks and doubled quotes, so a file is read
+    as one split.  Rows that do not fit the schema keep what could be parsed;
+    ``malformed_rows`` finds them."""
+    df = _scan_csv(spark, path, table)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"))
+    return coerce_dates(df.withColumn(INGEST_SEQ, place).drop(CORRUPT_ROW))
+
+
+def _scan_csv(spark: SparkSession, path: str, table: str | None) -> DataFrame:
+    def reader():
+        return (spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", True)
+                .option("quote", '"').option("escape", '"').option("columnNameOfCorruptRecord", CORRUPT_ROW))
+
+    schema = RAW_SCHEMAS.get(table or "") or _schema(*[(c, S) for c in reader().csv(path).columns])
+    return reader().schema(_schema(*[(f.name, f.dataType) for f in schema.fields], (CORRUPT_ROW, S))).csv(path)
+
+
+def malformed_rows(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
+    """Text of the rows of a raw CSV that do not fit its schema."""
+    df = _scan_csv(spark, path, table)
+    # Spark reads the corrupt column only together with another one
+    others = F.hash(*[c for c in df.columns if c != CORRUPT_ROW])
+    return df.where(F.col(CORRUPT_ROW).isNotNull() & (others >= -(1 << 31))).select(CORRUPT_ROW)
 
 
 def date_like_columns(columns: Iterable[str]) -> list[str]:
@@ -180,12 +198,11 @@ def build_dim_sellers(raw: DataFrame) -> DataFrame:
 
 def build_dim_products(raw: DataFrame, translation: DataFrame) -> DataFrame:
     """LEFT JOIN the category translation (one row per category after the
-    dedupe; broadcast once a count proves it small) and fall back to the
-    native name."""
-    from shopmetrics.operators.joins import bounded_broadcast
+    dedupe; AQE broadcasts it by measured size) and fall back to the native
+    name."""
     tr = first_per_key(translation.select("product_category_name", "product_category_name_english",
                                           INGEST_SEQ), ["product_category_name"]).drop(INGEST_SEQ)
-    p = raw.join(bounded_broadcast(tr), on="product_category_name", how="left")
+    p = raw.join(tr, on="product_category_name", how="left")
     df = p.select(
         "product_id",
         F.coalesce("product_category_name_english", "product_category_name").alias("category_name_english"),
@@ -246,10 +263,10 @@ def build_fact_orders(raw: DataFrame) -> DataFrame:
 
 
 def build_fact_order_items(raw: DataFrame) -> DataFrame:
-    """Plain load, no dedupe (as the reference); ``item_id`` replaces SERIAL
-    with a stable natural key (order position * 1000 + line)."""
+    """Plain load, no dedupe (as the reference); ``item_id`` is a hash of the
+    natural key (order_id, order_item_id), the same in every run."""
     return raw.select(
-        F.col(INGEST_SEQ).alias("item_id"), "order_id", "product_id", "seller_id",
+        F.xxhash64("order_id", F.col("order_item_id").cast("int")).alias("item_id"), "order_id", "product_id", "seller_id",
         F.col("shipping_limit_date").cast("timestamp_ntz").alias("shipping_date"),
         F.col("price").cast(MONEY).alias("price"),
         F.col("freight_value").cast(MONEY).alias("freight_value"),
@@ -258,7 +275,7 @@ def build_fact_order_items(raw: DataFrame) -> DataFrame:
 
 def build_fact_payments(raw: DataFrame) -> DataFrame:
     return raw.select(
-        F.col(INGEST_SEQ).alias("payment_id"), "order_id",
+        F.xxhash64("order_id", F.col("payment_sequential").cast("int")).alias("payment_id"), "order_id",
         F.col("payment_sequential").cast("int").alias("payment_sequential"),
         "payment_type",
         F.col("payment_installments").cast("int").alias("installments"),

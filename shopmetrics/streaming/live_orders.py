@@ -74,6 +74,10 @@ def decode_orders(messages: DataFrame, value_col: str = "value") -> DataFrame:
     def keep_or_zero(name):
         return F.when(F.array_contains(F.col("_keys"), name), F.col(f"_m.{name}")).otherwise(F.lit(0.0))
 
+    # not JSON, a field of another type, or a timestamp that cannot be read
+    stamp = F.col("_m.timestamp").try_cast("timestamp_ntz")
+    bad = (F.col("_keys").isNull() | F.col(f"_m.{CORRUPT}").isNotNull()
+           | (F.col("_m.timestamp").isNotNull() & stamp.isNull()))
     return messages.select(v.alias("_raw"), parsed.alias("_m"), keys.alias("_keys")).select(
         F.col("_m.order_id").alias("order_id"),
         F.col("_m.product_category").alias("product_category"),
@@ -82,9 +86,8 @@ def decode_orders(messages: DataFrame, value_col: str = "value") -> DataFrame:
         F.col("_m.state").alias("state"),
         F.col("_m.payment_type").alias("payment_type"),
         F.col("_m.review_score").cast("int").alias("review_score"),
-        F.to_timestamp_ntz(F.col("_m.timestamp")).alias("event_timestamp"),
-        F.when(F.col("_keys").isNull(), F.coalesce(F.col(f"_m.{CORRUPT}"), F.col("_raw")))
-        .alias(CORRUPT))
+        stamp.alias("event_timestamp"),
+        F.when(bad, F.col("_raw")).alias(CORRUPT))
 
 
 def good_orders(decoded: DataFrame) -> DataFrame:

@@ -91,3 +91,33 @@ def test_audits_find_dirt(spark):
     assert fk[("fact_orders", "customer_id")] == 1 and fk[("fact_reviews", "order_id")] == 1
     dom = {(r["table_name"], r["rule"]): r["violations"] for r in quality.audit_domains(tables).collect()}
     assert dom[("fact_reviews", "between_1_5")] == 2 and dom[("dim_customers", "max_length_2")] == 1
+
+
+def test_quoted_line_breaks_and_doubled_quotes_stay_one_row(spark, tmp_dir):
+    write(tmp_dir, "olist_order_reviews_dataset.csv",
+          "review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,"
+          "review_answer_timestamp\n"
+          'r1,o1,5,ok,"first line\nsecond ""line""",2018-01-01 00:00:00,2018-01-02 00:00:00\n'
+          "r2,o2,4,,,2018-01-03 00:00:00,2018-01-04 00:00:00\n")
+    path = os.path.join(tmp_dir, "olist_order_reviews_dataset.csv")
+    df = ingest.read_raw_csv(spark, path, "raw_reviews")
+    rows = {r["review_id"]: r for r in df.collect()}
+    assert set(rows) == {"r1", "r2"}
+    assert rows["r1"]["review_comment_message"] == 'first line\nsecond "line"'
+    assert ingest.malformed_rows(spark, path, "raw_reviews").count() == 0
+
+
+def test_malformed_rows_are_found(spark, tmp_dir):
+    write(tmp_dir, "odd.csv", "a,b\n1,2\n3,4,5\n6,7\n")
+    assert ingest.malformed_rows(spark, os.path.join(tmp_dir, "odd.csv")).count() == 1
+
+
+def test_first_row_wins_over_part_files_of_any_size(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "olist_customers_dataset.csv")
+    os.makedirs(folder)
+    head = "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
+    write(folder, "part-0.csv", head + "c1,FIRST,01001,sp,SP\n")
+    write(folder, "part-1.csv", head + "c1,SECOND,01001,sp,SP\n" + "".join(f"x{i},u{i},01001,sp,SP\n" for i in range(5000)))
+    raw = ingest.read_raw_csv(spark, folder, "raw_customers")
+    got = ingest.first_per_key(raw, ["customer_id"]).where("customer_id = 'c1'").first()
+    assert got["customer_unique_id"] == "FIRST"

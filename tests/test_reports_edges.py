@@ -137,9 +137,12 @@ def test_category_clv_null_average_sorts_first(spark):
     assert got == [("toys", None), ("tools", 500.0)]   # PostgreSQL DESC puts NULLs first
 
 
-def test_rfm_top_k_counting_path_equals_full_ranking(spark):
+def test_rfm_top_k_counting_equals_full_ranking(spark):
+    from pyspark.sql import functions as F
+
     from shopmetrics.sources.binding import star as bound
     st = bound(spark, "/root/testdata/sf0.001")
-    full = rfm.rfm_top_customers(st, k=20)
-    counted = rfm.rfm_top_customers(st, k=20, full_rank_max_rows=0)
+    counted = rfm.rfm_top_customers(st, k=20)
+    full = (rfm.rfm_labelled(st).orderBy(F.desc_nulls_first("monetary_dec"), "customer_unique_id").limit(20)
+            .select(*counted.columns))
     assert full.collect() == counted.collect()

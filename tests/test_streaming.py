@@ -26,6 +26,15 @@ def test_decode_defaults_and_dead_letters(spark):
     assert dead == ['{"order_id": "d", "order_val']
 
 
+def test_type_errors_and_bad_timestamps_are_dead_letters(spark):
+    lines = [json.dumps({"order_id": "a", "order_value": "abc"}),
+             json.dumps({"order_id": "b", "order_value": 1.0, "timestamp": "not a time"}),
+             json.dumps({"order_id": "c", "order_value": 1.0, "timestamp": "2024-01-01T00:00:00"})]
+    dec = live.decode_orders(msg_df(spark, lines))
+    assert [r["order_id"] for r in live.good_orders(dec).collect()] == ["c"]
+    assert sorted(r["message"] for r in live.dead_letters(dec).collect()) == sorted(lines[:2])
+
+
 def test_stream_equals_batch_and_restart_has_no_duplicates(spark, tmp_dir):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     msgs = live.with_broken_messages(ev)
