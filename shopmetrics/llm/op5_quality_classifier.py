@@ -11,8 +11,9 @@ the text (share of capital words, symbol runs and immediate repeats, in steps),
 ``CELLS`` weights; L1 shrinkage leaves a weight only where the labels speak.
 
 The model is fitted on at most about ``FIT_ROWS`` labelled documents, chosen by hash, and is
-``CELLS`` doubles and two thresholds, which one row carries to the scoring pass by
-broadcast.  Every document is scored over its whole text with JVM functions.
+``CELLS`` doubles (2 MB) and two thresholds, which travel with the scoring tasks.  Every
+document is scored over its whole text: JVM functions make the cells, a Pandas UDF adds
+their weights.
 
 Defined cases: a null or empty text has only its shape features; without usable labels (or
 with one grade only) every document is kept with tail probability 1; labels of a repeated
@@ -23,6 +24,7 @@ are scored but never learned from; repeated rows each get a row.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,28 +122,25 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray] | N
 
 def score(rows: DataFrame, text: Column, model: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
     """``rows`` with expected_grade, tail_prob and kept added as one struct, ``verdict``."""
-    spark = rows.sparkSession
     if model is None:
         return rows.withColumn("verdict", F.struct(F.lit(2.0).alias("expected_grade"), F.lit(1.0).alias("tail_prob"), F.lit(True).alias("kept")))
     weights, cut = model
-    used = np.flatnonzero(weights)
-    kept = spark.createDataFrame([(0, [int(i) for i in used], [float(w) for w in weights[used]])], "m_key int, at array<int>, w array<double>")
-    # one row of CELLS doubles: the dense weights, from the non-zero ones
-    dense = (spark.range(CELLS).select(F.col("id").cast("int").alias("cell"))
-             .join(kept.select(F.explode(F.arrays_zip("at", "w")).alias("x")).select("x.*"), F.col("cell") == F.col("at"), "left")
-             .agg(F.min("cell").alias("m_key"), F.sort_array(F.collect_list(F.struct("cell", F.coalesce("w", F.lit(0.0)).alias("w")))).alias("x"))
-             .select("m_key", F.col("x.w").alias("m_weights")))
+
+    @F.pandas_udf("double")
+    def total(cells: pd.Series) -> pd.Series:
+        # every text has its shape cells, so no row is empty
+        sizes = cells.map(len).to_numpy()
+        return pd.Series(np.add.reduceat(weights[np.concatenate(cells.to_numpy())], np.cumsum(sizes) - sizes))
+
     rows = rows.withColumn("v_words", letters(text)).withColumn("v_cells", features(text, F.col("v_words")))
-    rows = rows.withColumn("v_zero", F.pmod(F.size("v_cells"), F.lit(1))).join(F.broadcast(dense), F.col("v_zero") == F.col("m_key"))
-    total = F.aggregate(F.transform("v_cells", lambda c: F.get("m_weights", c)), F.lit(0.0), lambda a, x: a + x)
-    rows = rows.withColumn("v_score", total)
+    rows = rows.withColumn("v_score", total("v_cells"))
 
     def above(k: int) -> Column:
         return 1 / (1 + F.exp(F.lit(float(cut[k])) - F.col("v_score")))
 
     expected, tail = F.round(above(0) + above(1), 6), F.round(above(GRADES - 2), 6)
     verdict = F.struct(expected.alias("expected_grade"), tail.alias("tail_prob"), (tail >= MIN_TAIL).alias("kept"))
-    return rows.withColumn("verdict", verdict).drop("v_words", "v_cells", "v_zero", "v_score", "m_key", "m_weights")
+    return rows.withColumn("verdict", verdict).drop("v_words", "v_cells", "v_score")
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
