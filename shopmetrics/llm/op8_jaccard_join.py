@@ -49,7 +49,10 @@ SPACES = frozenset(b" \t\n\x0b\x0c\r")
 PIECE = 1 << 20
 BATCH_ROWS = 256
 PERCENT = 80
-FREQ_CELLS = 1 << 18
+FREQ_CELLS = 1 << 22
+FREQ_BLOCK = 1 << 16
+STEPS_PER_OCTAVE = 4
+STEP_AT = np.uint64(55)
 FRAGMENTS = 4
 ROUNDS = 2
 CLASS_BASE = 1.1
@@ -111,25 +114,45 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _frequency_steps(docs: DataFrame) -> np.ndarray:
-    """Frequency step (0..62) of each of the FREQ_CELLS hashed counters: a fixed-size table."""
+    """Frequency step of each of the FREQ_CELLS hashed counters: a table of 4 MB at any size.
+
+    A shingle that a given share of the documents holds stands out of its cell by the same
+    factor at every size.  Tasks send counters as blocks in the least width that holds them;
+    blocks are summed as they stream in, and one byte a counter reaches the driver.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(FREQ_CELLS, np.int64)
+        seen = np.zeros(FREQ_CELLS, np.uint32)
         for b in _slices(batches):
             _, h = shingle_hashes(b.column(0).to_pylist())
-            seen += np.bincount((h & np.uint64(FREQ_CELLS - 1)).astype(np.int64), minlength=FREQ_CELLS)
-        cell = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(seen[cell])], names=["cell", "n"])
-
-    counted = docs.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(FREQ_CELLS)
-    total[counted.column("cell").to_numpy()] = counted.column("n").to_numpy()
-    return np.minimum(np.floor(2 * np.log2(total + 1)), 62).astype(np.int8)
+            np.add.at(seen, (h & np.uint64(FREQ_CELLS - 1)).astype(np.int64), np.uint32(1))
+        for block, part in enumerate(seen.reshape(-1, FREQ_BLOCK)):
+            if part.any():
+                data = part.astype(np.min_scalar_type(part.max())).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([data], pa.binary())], names=["block", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for block, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                raw = data.as_buffer()
+                part = np.frombuffer(raw, np.dtype(f"u{raw.size // FREQ_BLOCK}"))
+                total[block] = total.get(block, 0) + part.astype(np.uint64)
+        for block, n in total.items():
+            steps = np.floor(STEPS_PER_OCTAVE * np.log2(n + 1.0)).astype(np.uint8).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([steps], pa.binary())], names=["block", "steps"])
+
+    parts = docs.select("text").mapInArrow(count, "block int, counts binary")
+    summed = parts.repartition("block").mapInArrow(add, "block int, steps binary").toArrow()
+    table = np.zeros((FREQ_CELLS // FREQ_BLOCK, FREQ_BLOCK), np.uint8)
+    for block, steps in zip(summed.column("block").to_pylist(), summed.column("steps").to_pylist(), strict=True):
+        table[block] = np.frombuffer(steps, np.uint8)
+    return table.ravel()
 
 
 def _ordered(texts: list[str | None], steps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (owner, order key, hash) by owner and key, with set size and id by text."""
     owner, h = shingle_hashes(texts)
-    key = (steps[(h & np.uint64(FREQ_CELLS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(57)) | (h & np.uint64((1 << 57) - 1))
+    key = (steps[(h & np.uint64(FREQ_CELLS - 1)).astype(np.int64)].astype(np.uint64) << STEP_AT) | (h & np.uint64((1 << 55) - 1))
     order = np.lexsort((key, owner))
     owner, key, h = owner[order], key[order], h[order]
     new = np.ones(len(owner), bool)
@@ -150,7 +173,7 @@ def _prefix_rows(steps: np.ndarray):
         for b in _slices(batches):
             owner, key, _, size, sid = _ordered(b.column(1).to_pylist(), steps)
             begin = np.cumsum(size) - size
-            weight = np.bincount(owner, weights=(key >> np.uint64(57)).astype(float), minlength=len(size))
+            weight = np.bincount(owner, weights=(key >> STEP_AT).astype(float), minlength=len(size))
             fresh = np.zeros(len(size), bool)
             for i, s in enumerate(sid.tolist()):
                 if size[i] and s not in known:
