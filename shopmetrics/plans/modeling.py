@@ -39,6 +39,7 @@ CLV_PARAMS = {"maxIter": 20, "maxDepth": 6, "stepSize": 0.03, "subsamplingRate":
               "minInstancesPerNode": 20}
 REFERENCE_TREES = {"churn": 400, "clv": 600}
 LEAKY_CHURN = ["recency_days"]
+VALIDATION_FRAC = 0.1
 
 
 ROWS_PER_PARTITION = 250_000
@@ -157,11 +158,22 @@ def _assembler(cols: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
 
 
+def in_validation(seed: int = SEED, frac: float = VALIDATION_FRAC) -> Column:
+    """Is the row in the early-stopping slice of the training split?"""
+    return hash01(CUID, seed + 7) < frac
+
+
 def fit_churn(train: DataFrame, feature_cols: list[str] | None = None, params: dict | None = None,
-              validation_frac: float = 0.1, seed: int = SEED) -> PipelineModel:
+              validation: DataFrame | None = None, seed: int = SEED) -> PipelineModel:
+    """``validation`` holds the early-stopping rows; without it a slice of ``train`` is held
+    out, which is right only for rows that were not oversampled."""
     cols = feature_cols or FEATURE_COLS
     p = {**CHURN_PARAMS, **(params or {})}
-    data = train.withColumn("_val", hash01(CUID, seed + 7) < validation_frac)
+    if validation is None:
+        data = train.withColumn("_val", in_validation(seed))
+    else:
+        data = (train.select(*cols, CHURN_TARGET).withColumn("_val", F.lit(False))
+                .unionByName(validation.select(*cols, CHURN_TARGET).withColumn("_val", F.lit(True))))
     data = data.select(*[F.col(c).cast("double").alias(c) for c in cols],
                        F.col(CHURN_TARGET).cast("double").alias("label"), "_val")
     gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=seed,
@@ -178,10 +190,10 @@ def churn_probability(model: PipelineModel, df: DataFrame, feature_cols: list[st
 
 
 def fit_clv(train: DataFrame, feature_cols: list[str] | None = None, params: dict | None = None,
-            validation_frac: float = 0.1, seed: int = SEED) -> PipelineModel:
+            seed: int = SEED) -> PipelineModel:
     cols = feature_cols or CLV_FEATURES
     p = {**CLV_PARAMS, **(params or {})}
-    data = train.withColumn("_val", hash01(CUID, seed + 7) < validation_frac)
+    data = train.withColumn("_val", in_validation(seed))
     data = data.select(*[F.col(c).cast("double").alias(c) for c in cols],
                        F.log1p(F.col("monetary").cast("double")).alias("label"), "_val")
     gbt = GBTRegressor(featuresCol="features", labelCol="label", seed=seed,

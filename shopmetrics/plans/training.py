@@ -21,17 +21,18 @@ CLV_TIER_LABELS = ["Bronze", "Silver", "Gold", "Platinum"]
 
 def churn_training(features: DataFrame, params: dict | None = None, exclude_leaky: bool = False,
                    seed: int = ml.SEED) -> dict:
-    """Stratified split, SMOTE on the training split only, fit the
-    boosted-tree classifier.  ``features`` should be materialised (cached or
+    """Stratified split, early-stopping slice held out of the training split, SMOTE on the
+    rest (no synthetic row, nor a neighbour's blend, watches the fit), boosted-tree classifier.  ``features`` should be materialised (cached or
     checkpointed): the split, oversampling and fit all re-read it."""
     ensure_checkpoint_dir(features.sparkSession)
     feats = features
     cols = [c for c in feat.FEATURE_COLS if not (exclude_leaky and c in ml.LEAKY_CHURN)]
     sp = ml.split(feats, label=feat.CHURN_TARGET, seed=seed)
     train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
-    over = ml.size_partitions(ml.smote(train.select(CUID, *cols, feat.CHURN_TARGET), cols, seed=seed)
-                              .checkpoint())
-    model = ml.fit_churn(over, cols, params, seed=seed)
+    held = ml.in_validation(seed)
+    fitted = train.where(~held).select(CUID, *cols, feat.CHURN_TARGET)
+    over = ml.size_partitions(ml.smote(fitted, cols, seed=seed).checkpoint())
+    model = ml.fit_churn(over, cols, params, validation=train.where(held), seed=seed)
     return {"features": feats, "split": sp, "train": train, "test": test, "over": over, "model": model,
             "feature_cols": cols}
 

@@ -54,6 +54,16 @@ def test_churn_model_learns_leaky_label(feats):
     assert ml.auc(scored, "churn_probability", CHURN_TARGET) > 0.95
 
 
+def test_no_synthetic_row_derives_from_the_validation_slice(feats):
+    from shopmetrics.plans import training
+    run = training.churn_training(feats, params={"maxIter": 2})
+    held = run["train"].where(ml.in_validation()).select("customer_unique_id")
+    assert held.count() > 0
+    assert run["over"].join(held, "customer_unique_id").count() == 0
+    real = run["over"].where("NOT synthetic").count()
+    assert real + held.count() == run["train"].count()
+
+
 def test_regression_metrics_perfect(spark):
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (5.0, 5.0)], "a double, p double")
     r = ml.regression_metrics(df, "a", "p").first()
