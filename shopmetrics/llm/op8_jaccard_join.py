@@ -21,10 +21,16 @@ Documents with 100 * |intersection| >= 80 * |union| of their five-word shingle s
    (set, fragment), count a partial overlap, and the parts are summed per pair.  Fragments
    are made by a pass over the texts for the sets in the pairs only, and never kept for all.
 5. Components of the verified links; every row gets the least doc_id of its component.
+6. Links.  Every link lies within a component, so all pairs of sets in one whose sizes allow a
+   link are verified: a component's sets are dealt into blocks of bounded size, blocks meet
+   pairwise, and a task sums the partial overlaps of a pair of blocks over ranges of their
+   shingles.  A row's ``n_links`` is the number of other rows linked with it, copies included.
+   The work grows with the square of a component, as the links do; rows moved grow with its
+   number of blocks.
 
-No pair is lost: pairs are skipped only when already connected, or when the bounds on size
-and position rule a link out.  Hot lists, pivots and fragments are joins whose other side
-has one row a key, which Spark splits.
+Steps 3 and 5 skip pairs only when already connected, or when the bounds on size and position
+rule a link out; step 6 then counts the skipped ones.  Hot lists, pivots and fragments are
+joins whose other side has one row a key, which Spark splits.
 
 Defined cases: null or empty text has no shingle, links with nothing and is its own
 component; one to four words are one shingle; ties and repeated rows fall together by set;
@@ -56,6 +62,9 @@ STEP_AT = np.uint64(55)
 FRAGMENTS = 4
 ROUNDS = 2
 CLASS_BASE = 1.1
+BLOCK_SHINGLES = 1 << 18
+BLOCK_SETS = 1 << 10
+COLUMNS = 1 << 11
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -241,8 +250,8 @@ def _size_class(n: Column) -> Column:
     return F.floor(F.log(F.greatest(n, F.lit(1.0))) / F.log(F.lit(CLASS_BASE))).cast("int")
 
 
-def _verify(docs: DataFrame, steps: np.ndarray, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Linked (a, b) of candidate pairs (a, n_a, b, n_b): partial overlaps, summed.
+def _verify(docs: DataFrame, steps: np.ndarray, sets: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Linked (a, b) of candidate pairs (a, n_a, b, n_b), and the fragments of their sets.
 
     The prefixes are counted first.  Linked sets lack few of each other's shingles, so both
     prefixes hold at least the first need - ceil(0.8 max) + 1 common ones: a pair with fewer
@@ -264,7 +273,97 @@ def _verify(docs: DataFrame, steps: np.ndarray, sets: DataFrame, pairs: DataFram
     partial = met.select("a", "b", "part", "n_a", "n_b", F.size(F.array_intersect("sh_a", "sh_b")).alias("k"))
     # a set that several tasks have read gives equal rows
     total = partial.distinct().groupBy("a", "b", "n_a", "n_b").agg(F.sum("k").alias("k"))
-    return total.filter(100 * F.col("k") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("k"))).select("a", "b")
+    return total.filter(100 * F.col("k") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("k"))).select("a", "b"), fragments
+
+
+def _pack(table: pa.Table) -> pa.Table:
+    """One row of a block: its sets' ids, sizes, copies and shingles, as bytes."""
+    # a set that several rounds or tasks have read gives equal rows
+    row = {k: i for i, k in enumerate(zip(table["sid"].to_pylist(), table["part"].to_pylist(), strict=True))}
+    at: dict[int, list[int]] = {}
+    for (sid, _), i in row.items():
+        at.setdefault(sid, []).append(i)
+    sids = sorted(at)
+    first = [at[s][0] for s in sids]
+    n = table["n"].to_numpy()[first].astype(np.int64)
+    copies = table["copies"].to_numpy()[first].astype(np.int64)
+    shingles = np.concatenate([table["sh"][i].values.to_numpy() for s in sids for i in at[s]])
+    data = [np.array(sids, np.int64), n, copies, shingles]
+    key = [table[k][:1].combine_chunks() for k in ("comp", "class", "block")]
+    return pa.table([*key, pa.array([int(n.min())]), pa.array([int(n.max())]), *[pa.array([x.tobytes()], pa.binary()) for x in data]],
+                    names=["comp", "class", "block", "low", "high", "sids", "sizes", "copies", "shingles"])
+
+
+def block_overlap(n_a: np.ndarray, sh_a: np.ndarray, n_b: np.ndarray, sh_b: np.ndarray) -> np.ndarray:
+    """Overlap of each set of block a with each of b: partial overlaps by range of shingles, summed."""
+    common = np.intersect1d(sh_a, sh_b)
+    total = np.zeros((len(n_a), len(n_b)), np.int64)
+
+    def entries(n: np.ndarray, sh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        spot = np.searchsorted(common, sh)
+        on = common[np.minimum(spot, len(common) - 1)] == sh
+        order = np.argsort(spot[on], kind="stable")
+        return spot[on][order], np.repeat(np.arange(len(n)), n)[on][order]
+
+    if len(common):
+        sides = [entries(n_a, sh_a), entries(n_b, sh_b)]
+        for start in range(0, len(common), COLUMNS):
+            dense = []
+            for (spot, owner), n in zip(sides, (n_a, n_b), strict=True):
+                lo, hi = np.searchsorted(spot, [start, start + COLUMNS])
+                x = np.zeros((len(n), COLUMNS), np.float32)
+                x[owner[lo:hi], spot[lo:hi] - start] = 1
+                dense.append(x)
+            total += np.rint(dense[0] @ dense[1].T).astype(np.int64)
+    return total
+
+
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sid, links) of the sets of each pair of blocks; links count the rows of the other set."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {k: v[i] for k, v in zip(batch.schema.names, batch.columns, strict=True)}
+            (s_a, n_a, c_a, sh_a), (s_b, n_b, c_b, sh_b) = (
+                [np.frombuffer(row[f"{k}_{x}"].as_buffer(), np.int64) for k in ("sids", "sizes", "copies", "shingles")] for x in "ab")
+            k = block_overlap(n_a, sh_a, n_b, sh_b)
+            linked = 100 * k >= PERCENT * (n_a[:, None] + n_b[None, :] - k)
+            if row["same"].as_py():
+                np.fill_diagonal(linked, False)
+                sids, links = s_a, linked @ c_b
+            else:
+                sids, links = np.concatenate([s_a, s_b]), np.concatenate([linked @ c_b, c_a @ linked])
+            yield pa.RecordBatch.from_arrays([pa.array(sids), pa.array(links)], names=["sid", "links"])
+
+
+def _count_links(members: DataFrame, fragments: DataFrame) -> DataFrame:
+    """(sid, links) of ``members`` (sid, comp, n, copies): all pairs of a component, by blocks.
+
+    Blocks hold sets of one size class, unless the component fits one block.
+    """
+    whole = members.groupBy("comp").agg(F.sum("n").alias("t"), F.count("*").alias("m"))
+    fits = (F.col("t") <= BLOCK_SHINGLES) & (F.col("m") <= BLOCK_SETS)
+    whole = C.materialize(whole.select(F.col("comp").alias("w_comp"), fits.alias("fits")), "component-sizes")
+    members = members.join(whole, F.col("comp") == F.col("w_comp")).select(
+        "sid", "comp", "n", "copies", F.when(F.col("fits"), F.lit(-1)).otherwise(_size_class(F.col("n") + 1e-6)).alias("class"))
+    cells = members.groupBy(F.col("comp").alias("l_comp"), F.col("class").alias("l_class")).agg(
+        F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK_SETS)).alias("blocks"))
+    cells = C.materialize(cells, "cells")
+    members = members.join(cells, (F.col("comp") == F.col("l_comp")) & (F.col("class") == F.col("l_class"))).select(
+        F.col("sid").alias("m_sid"), "comp", "n", "copies", "class", F.pmod(F.xxhash64("sid"), F.col("blocks")).alias("block"))
+    members = C.materialize(members, "members")
+    blocks = C.materialize(fragments.join(members, F.col("sid") == F.col("m_sid")).drop("m_sid").groupBy("comp", "class", "block").applyInArrow(
+        _pack, "comp long, class int, block long, low long, high long, sids binary, sizes binary, copies binary, shingles binary"), "blocks")
+    place = F.struct("class", "block")
+    a = blocks.select("comp", place.alias("a"), F.col("low").alias("low_a"), F.col("high").alias("high_a"))
+    b = blocks.select("comp", place.alias("b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
+    near = (100 * F.col("high_a") >= PERCENT * F.col("low_b")) & (100 * F.col("high_b") >= PERCENT * F.col("low_a"))
+    met = C.materialize(a.join(b, "comp").filter((F.col("a") <= F.col("b")) & near).select("comp", "a", "b"), "block-pairs")
+    for x in "ab":
+        side = blocks.select("comp", place.alias(x), *[F.col(k).alias(f"{k}_{x}") for k in ("sids", "sizes", "copies", "shingles")])
+        # a merge join deals the pairs by block; a broadcast would leave them in the few tasks that read them
+        met = met.join(side.hint("merge"), ["comp", x])
+    counted = met.withColumn("same", F.col("a") == F.col("b")).drop("comp", "a", "b").mapInArrow(_block_links, "sid long, links long")
+    return counted.groupBy("sid").agg(F.sum("links").alias("links"))
 
 
 def _star(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -277,12 +376,11 @@ def _star(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pivot, pairs
 
 
-def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, sid, n_shingles, component_id, n_links) of every row.
+def _labelled(docs: DataFrame, count_links: bool) -> DataFrame:
+    """(doc_id, sid, n_shingles, comp, n_links) of every row of ``docs`` (doc_id, text).
 
-    ``n_links`` counts the verified links that were needed to connect the row's set.
+    ``comp`` is the least sid of the component; ``n_links`` is null unless counted.
     """
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     steps = _frequency_steps(docs)
     sets = C.materialize(docs.mapInArrow(_prefix_rows(steps), "doc_id long, n int, sid long, common long, keys array<long>"), "sets")
     rows = sets.select("sid", "n", F.posexplode("keys").alias("at", "token"))
@@ -302,14 +400,17 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
              .filter("m > 1 AND least = c1 AND most = c2")
              .select("token", F.struct("c1", "c2").alias("class"), "sid", "n", "at"))
     lists = C.materialize(lists, "postings")
-    central = sets.filter("sid IS NOT NULL").groupBy("sid").agg(F.max("common").alias("common"))
-    lists = C.materialize(lists.join(C.materialize(central, "central"), "sid"), "postings")
+    central = C.materialize(sets.filter("sid IS NOT NULL").groupBy("sid").agg(
+        F.max("common").alias("common"), F.max("n").alias("n"), F.count("*").alias("copies")), "central")
+    lists = C.materialize(lists.join(central.select("sid", "common"), "sid"), "postings")
 
-    edges, rest = None, lists
+    edges, fragments, rest = None, None, lists
     for _ in range(ROUNDS):
         pivot, pairs = _star(rest)
-        new = C.materialize(_verify(docs, steps, sets, pairs), "links")
+        new, parts = _verify(docs, steps, sets, pairs)
+        new = C.materialize(new, "links")
         edges = new if edges is None else edges.union(new)
+        fragments = parts if fragments is None else fragments.union(parts)
         comps = C.components(edges)
         # members that are in one component with their pivot need no more comparing with each other
         rest = (rest.drop("comp").join(comps.select(F.col("id").alias("sid"), "comp"), "sid", "left")
@@ -330,15 +431,31 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             .select(F.least(F.struct("a", "n_a"), F.struct(F.col("b").alias("a"), F.col("n_b").alias("n_a"))).alias("x"),
                     F.greatest(F.struct("a", "n_a"), F.struct(F.col("b").alias("a"), F.col("n_b").alias("n_a"))).alias("y"))
             .select(F.col("x.a").alias("a"), F.col("x.n_a").alias("n_a"), F.col("y.a").alias("b"), F.col("y.n_a").alias("n_b")).distinct())
-    edges = C.materialize(edges.union(_verify(docs, steps, sets, left)).distinct(), "links")
+    new, parts = _verify(docs, steps, sets, left)
+    edges = C.materialize(edges.union(new).distinct(), "links")
     comps = C.components(edges)
-    degree = edges.select(F.explode(F.array("a", "b")).alias("e_sid")).groupBy("e_sid").agg(F.count("*").alias("links"))
-    named = C.materialize(comps.join(degree, F.col("id") == F.col("e_sid"), "left").select("id", "comp", "links"), "named")
     # only linked sets have a row here; a copy group alone is its own component
-    labelled = sets.select("doc_id", "n", "sid").join(named, F.col("sid") == F.col("id"), "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), "sid", F.coalesce("comp", "sid").alias("comp"),
-        F.coalesce("links", F.lit(0)).alias("n_links"))
-    labelled = C.materialize(labelled, "labelled")
+    named = comps.select(F.col("id").alias("c_sid"), "comp")
+    if count_links:
+        members = C.materialize(central.join(named, F.col("sid") == F.col("c_sid")).select("sid", "comp", "n", "copies"), "linked-sets")
+        counted = _count_links(members, fragments.union(parts)).withColumnRenamed("sid", "e_sid")
+        named = central.join(named, F.col("sid") == F.col("c_sid"), "left").join(counted, F.col("sid") == F.col("e_sid"), "left").select(
+            F.col("sid").alias("c_sid"), "comp", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+        links = F.coalesce("links", F.lit(0))
+    else:
+        links = F.lit(None)
+    named = C.materialize(named, "named")
+    labelled = sets.select("doc_id", "n", "sid").join(named, F.col("sid") == F.col("c_sid"), "left").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), "sid", F.coalesce("comp", "sid").alias("comp"), links.cast("long").alias("n_links"))
+    return C.materialize(labelled, "labelled")
+
+
+def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, sid, n_shingles, component_id, n_links) of every row.
+
+    ``n_links`` counts the other rows whose shingle set links with the row's, copies included.
+    """
+    labelled = _labelled(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), count_links=True)
     least = labelled.filter(F.col("comp").isNotNull()).groupBy(F.col("comp").alias("c")).agg(F.min("doc_id").alias("least"))
     least = C.materialize(least, "least")
     return labelled.join(least, F.col("comp") == F.col("c"), "left").select(

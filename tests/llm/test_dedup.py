@@ -97,3 +97,18 @@ def test_containment(spark):
     want = {(d, i) for d, t in rows for i, q in items if shingles(q) and len(shingles(t) & shingles(q)) >= 0.8 * len(shingles(q))}
     assert got == want
     assert op2.contaminated(docs, spark.createDataFrame([], "item_id long, text string")).count() == 0
+
+
+def test_jaccard_counts_all_links(spark, monkeypatch):
+    rows = fixture()
+    # a family of mutually linked texts: far more links than connect it
+    base = [f"w{i}" for i in range(200)]
+    rows += [(500 + i, " ".join([*base[:i], f"x{i}", *base[i + 1:]]), None, None, 1) for i in range(0, 200, 9)]
+    sets = [(i, shingles(t)) for i, t, *_ in rows]
+    want = sorted((i, sum(1 for y, (_, b) in enumerate(sets) if x != y and a and b and 100 * len(a & b) >= 80 * len(a | b)))
+                  for x, (i, a) in enumerate(sets))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for size in (op8.BLOCK_SETS, 3):
+        monkeypatch.setattr(op8, "BLOCK_SETS", size)
+        monkeypatch.setattr(op8, "COLUMNS", 2 * size)
+        assert sorted((r["doc_id"], r["n_links"]) for r in op8.linked_components(docs).collect()) == want
