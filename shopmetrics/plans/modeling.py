@@ -10,16 +10,19 @@
   rows, never all pairs.  Each synthetic row lies on the segment between a
   minority row and one of those neighbours.  (Exact k-NN is replaced by
   this order-based neighbourhood; documented deviation.)
-* Boosted trees are ``GBTClassifier`` / ``GBTRegressor``; early stopping
-  watches a validation slice of the *training* split.
+* Boosted trees are ``GBTClassifier`` / ``GBTRegressor`` of the reference's 400 / 600
+  rounds; early stopping (30 / 50 rounds without gain) watches a validation slice of the
+  *training* split.  MLlib itself stops at the first round without gain, so all rounds are
+  fitted and the ensemble is then cut at the round that stopping would have kept.
 """
 
 from __future__ import annotations
 
 import math
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -33,11 +36,12 @@ from shopmetrics.plans.features import CHURN_TARGET, CLV_FEATURES, FEATURE_COLS
 SEED = 42
 CUID = "customer_unique_id"
 # Hyper-parameters mapped from the reference models.
-CHURN_PARAMS = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8,
+CHURN_PARAMS = {"maxIter": 400, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8,
                 "minInstancesPerNode": 3, "minInfoGain": 0.0}
-CLV_PARAMS = {"maxIter": 20, "maxDepth": 6, "stepSize": 0.03, "subsamplingRate": 0.8,
+CLV_PARAMS = {"maxIter": 600, "maxDepth": 6, "stepSize": 0.03, "subsamplingRate": 0.8,
               "minInstancesPerNode": 20}
 REFERENCE_TREES = {"churn": 400, "clv": 600}
+STOP_ROUNDS = {"churn": 30, "clv": 50}
 LEAKY_CHURN = ["recency_days"]
 VALIDATION_FRAC = 0.1
 
@@ -163,6 +167,45 @@ def in_validation(seed: int = SEED, frac: float = VALIDATION_FRAC) -> Column:
     return hash01(CUID, seed + 7) < frac
 
 
+def kept_rounds(errors: list[float], patience: int) -> int:
+    """Rounds up to the best one, where ``patience`` rounds without gain end the search."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def _fit_stopped(gbt, cols: list[str], data: DataFrame, patience: int) -> PipelineModel:
+    """Fit on the rows outside ``_val``, keep the rounds that early stopping on ``_val`` keeps."""
+    assembler = _assembler(cols)
+    model = gbt.fit(assembler.transform(data.where(~F.col("_val"))))
+    held = data.where(F.col("_val"))
+    if held.limit(1).count():
+        loss = [] if isinstance(model, GBTClassificationModel) else ["squared"]
+        n = kept_rounds(list(model.evaluateEachIteration(assembler.transform(held), *loss)), patience)
+        model = _first_trees(model, n)
+    return PipelineModel([assembler, model])
+
+
+def _first_trees(model, n: int):
+    """The boosted model of the first ``n`` trees."""
+    java = model._java_obj
+    sc = SparkContext._active_spark_context
+    trees = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = sc._gateway.new_array(sc._jvm.double, n)
+    for i, (t, w) in enumerate(zip(list(java.trees())[:n], list(java.treeWeights())[:n], strict=True)):
+        trees[i], weights[i] = t, w
+    kind = getattr(sc._jvm.org.apache.spark.ml, "classification" if isinstance(model, GBTClassificationModel) else "regression")
+    if isinstance(model, GBTClassificationModel):
+        cut = kind.GBTClassificationModel(model.uid, trees, weights, model.numFeatures, 2)
+    else:
+        cut = kind.GBTRegressionModel(model.uid, trees, weights, model.numFeatures)
+    return model._copyValues(type(model)(cut))
+
+
 def fit_churn(train: DataFrame, feature_cols: list[str] | None = None, params: dict | None = None,
               validation: DataFrame | None = None, seed: int = SEED) -> PipelineModel:
     """``validation`` holds the early-stopping rows; without it a slice of ``train`` is held
@@ -176,9 +219,8 @@ def fit_churn(train: DataFrame, feature_cols: list[str] | None = None, params: d
                 .unionByName(validation.select(*cols, CHURN_TARGET).withColumn("_val", F.lit(True))))
     data = data.select(*[F.col(c).cast("double").alias(c) for c in cols],
                        F.col(CHURN_TARGET).cast("double").alias("label"), "_val")
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=seed,
-                        validationIndicatorCol="_val", **p)
-    return Pipeline(stages=[_assembler(cols), gbt]).fit(data)
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=seed, **p)
+    return _fit_stopped(gbt, cols, data, STOP_ROUNDS["churn"])
 
 
 def churn_probability(model: PipelineModel, df: DataFrame, feature_cols: list[str] | None = None) -> DataFrame:
@@ -196,9 +238,8 @@ def fit_clv(train: DataFrame, feature_cols: list[str] | None = None, params: dic
     data = train.withColumn("_val", in_validation(seed))
     data = data.select(*[F.col(c).cast("double").alias(c) for c in cols],
                        F.log1p(F.col("monetary").cast("double")).alias("label"), "_val")
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", seed=seed,
-                       validationIndicatorCol="_val", **p)
-    return Pipeline(stages=[_assembler(cols), gbt]).fit(data)
+    gbt = GBTRegressor(featuresCol="features", labelCol="label", seed=seed, **p)
+    return _fit_stopped(gbt, cols, data, STOP_ROUNDS["clv"])
 
 
 def clv_predict(model: PipelineModel, df: DataFrame, feature_cols: list[str] | None = None) -> DataFrame:

@@ -397,7 +397,7 @@ def _class_report(spark, sf_dir):
 
 @register("churn_cv_auc")
 def _cv_auc(spark, sf_dir):
-    mean, std, folds = ml.cv_auc(churn_run(spark, sf_dir)["features"], params={"maxIter": 10})
+    mean, std, folds = ml.cv_auc(churn_run(spark, sf_dir)["features"])
     return spark.createDataFrame([(round(mean, 4), round(std, 4), len(folds))],
                                  "cv_auc_mean double, cv_auc_std double, folds int")
 

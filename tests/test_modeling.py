@@ -68,3 +68,26 @@ def test_regression_metrics_perfect(spark):
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (5.0, 5.0)], "a double, p double")
     r = ml.regression_metrics(df, "a", "p").first()
     assert (r["mae"], r["rmse"], r["r2"], r["mape"]) == (0.0, 0.0, 1.0, 0.0)
+
+
+def test_reference_rounds_and_stopping(feats):
+    assert ml.CHURN_PARAMS["maxIter"] == 400 and ml.CLV_PARAMS["maxIter"] == 600
+    assert ml.kept_rounds([5.0, 4.0, 4.5, 3.0, 3.5, 3.5, 2.0], 3) == 7
+    assert ml.kept_rounds([5.0, 4.0, 4.5, 4.5, 3.0], 2) == 2
+    # MLlib's own tolerance ended this fit at 11 trees
+    model = ml.fit_clv(ml.size_partitions(feats), params={"maxIter": 16, "maxDepth": 2})
+    gbt = model.stages[-1]
+    assert gbt.getNumTrees == 16
+    cut = ml._first_trees(gbt, 3)
+    assert cut.getNumTrees == 3 and cut.treeWeights == gbt.treeWeights[:3]
+    rows = model.stages[0].transform(feats.select(*[F.col(c).cast("double") for c in ml.CLV_FEATURES]))
+    assert cut.transform(rows).where("prediction IS NULL").count() == 0
+
+
+def test_cv_and_churn_use_the_reference_rounds(monkeypatch, spark):
+    from shopmetrics.plans import registry_more as rm
+    seen = {}
+    monkeypatch.setattr(rm, "churn_run", lambda *_: {"features": None})
+    monkeypatch.setattr(rm.ml, "cv_auc", lambda f, **k: (seen.update(k), (0.5, 0.0, [0.5] * 5))[1])
+    rm._cv_auc(spark, "")
+    assert "maxIter" not in (seen.get("params") or {})
