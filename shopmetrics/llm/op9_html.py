@@ -12,8 +12,11 @@
 A page is parsed by one pass over its tags, tolerant of unclosed and stray ones.  Text is
 cut into blocks at block-level tags; character references are decoded, white space in a
 block becomes one space, and blocks are joined by a blank line.  Navigation, headers,
-footers, asides, forms, scripts, styles, and elements whose class, id or role names a menu,
-side bar, notice, advert or comment are left out.
+footers, asides, forms, scripts, styles, and elements of which a whole class, id or role
+names a menu, side bar, notice, advert or comment are left out.  Such a name never drops the
+body or a main element, nor one that holds a main element or an article, nor, on a page
+without these, one that holds most of the text; a page that comes out empty is read again
+without names.
 
 Defined cases: null or empty html gives an empty text; a page without markup is one block;
 a null url is a host of its own (the empty one); repeated rows and null ids each get a row;
@@ -45,10 +48,12 @@ DROPPED = frozenset("nav header footer aside form button head dialog menu fields
 CONTAINERS = frozenset("article body div main section td".split())
 #: An open one of these ends when the next of its group starts.
 SIBLINGS = {t: g for g in (("li",), ("dt", "dd"), ("tr",), ("td", "th"), ("option",)) for t in g}
-BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:nav(?:bar|igation)?|menu|header|masthead|footer|side-?bar|aside|notice|cookies?|consent|gdpr|banner|ads?|advert(?:s|isement|ising)?|sponsor(?:ed)?"
-    r"|promo|popup|modal|overlay|share|social|related|recommend(?:ed|ations)?|comments?|respond|discussion|disqus|breadcrumbs?|pagination|pager|newsletter|subscribe"
-    r"|signup|login|search|widget|toolbar|skip|copyright|legal|alert|contentinfo|complementary|search-?form)(?:$|[\s_-])", re.I)
+NOTICE = (r"(?:nav(?:bar|igation)?|menu|header|masthead|footer|side-?bar|aside|notice|cookies?|consent|gdpr|banner|ads?|advert(?:s|isement|ising)?|sponsor(?:ed)?"
+          r"|promo|popup|modal|overlay|share|social|related|recommend(?:ed|ations)?|comments?|respond|discussion|disqus|breadcrumbs?|pagination|pager|newsletter|subscribe"
+          r"|signup|login|search|widget|toolbar|skip|copyright|legal|alert|contentinfo|complementary|search-?form)")
+#: May stand beside such a word in one class: site-footer is boilerplate, has-sidebar is a layout.
+NEUTRAL = r"(?:site|top|bottom|left|right|main|primary|secondary|list|box|bar|area|block|\d+)"
+BOILERPLATE = re.compile(rf"(?:^|\s)(?:{NEUTRAL}[_-]+)*{NOTICE}(?:[_-]+(?:{NOTICE}|{NEUTRAL}))*(?:$|\s)", re.I)
 ARTICLE = re.compile(r"(?:^|[\s_.-])(?:article|main|content|post|entry|story)", re.I)
 
 
@@ -66,10 +71,25 @@ def parse(html: str) -> tuple[list[tuple[str, int]], list[Node], list[list[int]]
 
     A block's containers are indices into the second list, outermost first.
     """
+    blocks, nodes, inside, spared, named = _scan(html, frozenset(), True)
+    if spared:
+        blocks, nodes, inside, _, named = _scan(html, spared, True)
+    if named and not blocks:
+        blocks, nodes, inside, _, _ = _scan(html, frozenset(), False)
+    return blocks, nodes, inside
+
+
+def _scan(html: str, keep: frozenset[int], names: bool) -> tuple[list[tuple[str, int]], list[Node], list[list[int]], frozenset[int], bool]:
+    """What ``parse`` returns, the places of elements that names dropped wrongly, and whether names dropped any.
+
+    ``keep`` has places that names must not drop; without ``names`` only tags do.
+    """
     blocks: list[tuple[str, int]] = []
     nodes = [Node("body", "body", 0)]
     inside: list[list[int]] = []
-    stack: list[tuple[str, int, bool]] = []  # tag, container index or -1, starts a dropped part
+    stack: list[tuple[str, int, bool, int]] = []  # tag, container index or -1, starts a dropped part, index in ``found`` or -1
+    found: list[list[int]] = []  # of each element dropped by name: its place, chars and articles in it
+    hard = lost = articles = 0  # open parts dropped by tag; chars dropped by name; main elements and articles
     held = [0]
     parts: list[str] = []
     linked = dropped = links = 0
@@ -86,9 +106,12 @@ def parse(html: str) -> tuple[list[tuple[str, int]], list[Node], list[list[int]]
             parts, linked = [], 0
 
     def close(upto: int) -> None:
-        nonlocal dropped, links
+        nonlocal dropped, links, hard
         while len(stack) > upto:
-            tag, node, drop = stack.pop()
+            tag, node, drop, place = stack.pop()
+            if place >= 0:
+                found[place][1:] = lost - found[place][1], articles - found[place][2]
+            hard -= drop and place < 0
             if tag in BLOCKS:
                 flush()
             if node >= 0:
@@ -103,6 +126,8 @@ def parse(html: str) -> tuple[list[tuple[str, int]], list[Node], list[list[int]]
             parts.append(piece)
             if links:
                 linked += len(piece)
+        elif not hard and not links:
+            lost += sum(map(len, html[at:m.start()].split()))
         at = m.end()
         tag = m.group(4)
         if tag is None:
@@ -146,9 +171,9 @@ def parse(html: str) -> tuple[list[tuple[str, int]], list[Node], list[list[int]]
         if tag == "html":
             continue
         attrs = {k.lower(): v.strip("\"'") for k, v in ATTR.findall(m.group(5))} if "=" in m.group(5) else {}
-        drop = tag in DROPPED or bool(attrs and any(BOILERPLATE.search(v) for v in attrs.values()))
-        if drop and tag in ("body", "html", "main", "article") and not BOILERPLATE.search(attrs.get("class", "") + " " + attrs.get("id", "")):
-            drop = False
+        named = names and tag not in ("body", "main") and tag not in DROPPED and any(BOILERPLATE.search(v) for v in attrs.values()) and m.start() not in keep
+        drop = named or tag in DROPPED
+        articles += tag in ("article", "main") and not named and not hard
         if drop:
             flush()
         if m.group(5).endswith("/") and tag not in BLOCKS:
@@ -160,14 +185,22 @@ def parse(html: str) -> tuple[list[tuple[str, int]], list[Node], list[list[int]]
             nodes.append(Node(tag, f"{up.path}>{tag}{'.' + classes if classes else ''}", up.depth + 1))
             node = len(nodes) - 1
             held.append(node)
-        stack.append((tag, node, drop))
+        place = -1
+        if named:
+            place = len(found)
+            found.append([m.start(), lost, articles])
+        stack.append((tag, node, drop, place))
         dropped += drop
+        hard += drop and not named
         links += tag == "a"
     if at < len(html) and not dropped:
         parts.append(html[at:])
+    elif not hard and not links:
+        lost += sum(map(len, html[at:].split()))
     close(0)
     flush()
-    return blocks, nodes, inside
+    most = (nodes[0].chars + lost) / 2
+    return blocks, nodes, inside, frozenset(p for p, chars, held_articles in found if held_articles or (not articles and chars > most)), bool(found)
 
 
 def vote(nodes: list[Node]) -> str:

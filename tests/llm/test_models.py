@@ -75,3 +75,14 @@ def test_pipeline(spark):
         assert docs.columns == before
     assert 0 < docs.count() < 200
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() > docs.count()
+
+
+def test_names_do_not_drop_the_article():
+    text = "<h1>Title</h1><p>The whole article of this page.</p>"
+    want = "Title\n\nThe whole article of this page."
+    for wrap in ("<body class='has-sidebar'>{}</body>", "<div class='layout no-sidebar'>{}</div>", "<div class='page with-header'>{}</div>",
+                 "<article class='post has-comments'>{}</article>", "<section class='legal news'>{}</section>", "<div id=sidebar><div class=menu>{}</div></div>",
+                 "<div class=banner><main>{}</main><p class=ad>buy</p></div><div class=site-footer>f</div>"):
+        assert op9_html.extract(wrap.format(text), None) == want, wrap
+    long = "<div class='comments'><article class='comment'><p>" + "many words " * 50 + "</p></article></div>"
+    assert op9_html.extract(f"<article>{text}</article>{long}", None) == want
