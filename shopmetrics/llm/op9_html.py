@@ -1,13 +1,14 @@
 """Main text of web pages by consensus host paths.
 
 1. Every page's containers are scored alone: the text they hold outside boilerplate parts
-   and links.  The page votes for the deepest container that holds at least ``SHARE`` of
-   that text (an article-like one is preferred), under its generalised path: the tag and
+   and links.  The page votes for its article or main element, if that holds at least
+   ``SHARE`` of this text and nearly all that is in such elements; else for the smallest
+   container that holds all of it.  The vote is the generalised path: the tag and
    classes of each element from the body down, digits folded, ids left out.
 2. Votes are summed per host in Spark, as (host, path) counts before any exchange; a host's
    path is the one with most votes (ties: least path).
-3. Every page is extracted again, with its host's path.  A page that has no such container
-   falls back to its own vote.
+3. Every page is extracted again, with its host's path.  A page on which that path holds
+   less than ``SHARE`` of the text of its own vote falls back to that.
 
 A page is parsed by one pass over its tags, tolerant of unclosed and stray ones.  Text is
 cut into blocks at block-level tags; character references are decoded, white space in a
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 SHARE = 0.6
+NEARLY = 0.95
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|object)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(title)\b[^>]*>.*?(?:</\2\s*>|\Z)"
     r"|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
@@ -54,7 +56,7 @@ NOTICE = (r"(?:nav(?:bar|igation)?|menu|header|masthead|footer|side-?bar|aside|n
 #: May stand beside such a word in one class: site-footer is boilerplate, has-sidebar is a layout.
 NEUTRAL = r"(?:site|top|bottom|left|right|main|primary|secondary|list|box|bar|area|block|\d+)"
 BOILERPLATE = re.compile(rf"(?:^|\s)(?:{NEUTRAL}[_-]+)*{NOTICE}(?:[_-]+(?:{NOTICE}|{NEUTRAL}))*(?:$|\s)", re.I)
-ARTICLE = re.compile(r"(?:^|[\s_.-])(?:article|main|content|post|entry|story)", re.I)
+_NAMED = re.compile(r">(?:article|main)(?:[.>]|$)")
 
 
 class Node:
@@ -206,19 +208,30 @@ def _scan(html: str, keep: frozenset[int], names: bool) -> tuple[list[tuple[str,
 def vote(nodes: list[Node]) -> str:
     """Path of the container that a page alone would choose."""
     total = nodes[0].chars
-    good = [n for n in nodes if n.chars >= SHARE * total]
-    named = [n for n in good if n.tag in ("article", "main") or ARTICLE.search(n.path.rpartition(">")[2])]
-    return max(named or good, key=lambda n: n.depth).path
+    named: dict[str, int] = {}
+    for n in nodes:
+        if n.tag in ("article", "main"):
+            named[n.path] = named.get(n.path, 0) + n.chars
+    outer = sum(chars for path, chars in named.items() if not _NAMED.search(path.rpartition(">")[0]))
+    good = [path for path, chars in named.items() if total and chars >= SHARE * total and chars >= NEARLY * outer]
+    if good:
+        return max(good, key=lambda path: path.count(">"))
+    whole = [n for n in nodes if n.chars == total] if total else nodes[:1]
+    return max(whole, key=lambda n: n.depth).path
 
 
 def extract(html: str, path: str | None) -> str:
     """Main text: the blocks in containers of ``path``, or of the page's own vote."""
     blocks, nodes, inside = parse(html)
-    wanted = {i for i, n in enumerate(nodes) if n.path == path}
-    if not any(wanted.intersection(own) for own in inside):
-        own_path = vote(nodes)
-        wanted = {i for i, n in enumerate(nodes) if n.path == own_path}
-    return "\n\n".join(text for (text, _), own in zip(blocks, inside, strict=True) if wanted.intersection(own))
+
+    def under(path: str | None) -> list[tuple[str, int]]:
+        wanted = {i for i, n in enumerate(nodes) if n.path == path}
+        return [b for b, own in zip(blocks, inside, strict=True) if wanted.intersection(own)]
+
+    found, own = under(path), under(vote(nodes))
+    if not found or sum(n for _, n in found) < SHARE * sum(n for _, n in own):
+        found = own
+    return "\n\n".join(text for text, _ in found)
 
 
 def host_of(url: Column) -> Column:
