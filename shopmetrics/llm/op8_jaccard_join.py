@@ -176,7 +176,7 @@ def _ordered(texts: list[str | None], steps: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _prefix_rows(steps: np.ndarray):
-    """(doc_id, n, sid, common, keys): keys are the prefix, once for a set in a task."""
+    """(doc_id, n, sid, common, keys, text_hash): keys are the prefix, once for a set in a task."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
         for b in _slices(batches):
@@ -193,7 +193,8 @@ def _prefix_rows(steps: np.ndarray):
             keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(take)]).astype(np.int32)), pa.array(key[on].view(np.int64)))
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array(size.astype(np.int32)), pa.array(sid.view(np.int64), mask=size == 0),
-                pa.array((1000 * weight / np.maximum(size, 1)).astype(np.int64)), keys], names=["doc_id", "n", "sid", "common", "keys"])
+                pa.array((1000 * weight / np.maximum(size, 1)).astype(np.int64)), keys, b.column(2)],
+                names=["doc_id", "n", "sid", "common", "keys", "text_hash"])
 
     return rows
 
@@ -377,12 +378,13 @@ def _star(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _labelled(docs: DataFrame, count_links: bool) -> DataFrame:
-    """(doc_id, sid, n_shingles, comp, n_links) of every row of ``docs`` (doc_id, text).
+    """(doc_id, text_hash, sid, n_shingles, comp, n_links) of every row of ``docs`` (doc_id, text).
 
     ``comp`` is the least sid of the component; ``n_links`` is null unless counted.
     """
     steps = _frequency_steps(docs)
-    sets = C.materialize(docs.mapInArrow(_prefix_rows(steps), "doc_id long, n int, sid long, common long, keys array<long>"), "sets")
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    sets = C.materialize(hashed.mapInArrow(_prefix_rows(steps), "doc_id long, n int, sid long, common long, keys array<long>, text_hash long"), "sets")
     rows = sets.select("sid", "n", F.posexplode("keys").alias("at", "token"))
     # one exchange by token: the shared ones, then the lists of their members by size classes
     same = Window.partitionBy("token")
@@ -445,8 +447,8 @@ def _labelled(docs: DataFrame, count_links: bool) -> DataFrame:
     else:
         links = F.lit(None)
     named = C.materialize(named, "named")
-    labelled = sets.select("doc_id", "n", "sid").join(named, F.col("sid") == F.col("c_sid"), "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), "sid", F.coalesce("comp", "sid").alias("comp"), links.cast("long").alias("n_links"))
+    labelled = sets.select("doc_id", "text_hash", "n", "sid").join(named, F.col("sid") == F.col("c_sid"), "left").select(
+        "doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "sid", F.coalesce("comp", "sid").alias("comp"), links.cast("long").alias("n_links"))
     return C.materialize(labelled, "labelled")
 
 
@@ -463,16 +465,25 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: that of the least doc_id.
+    """``docs`` with one row of each component: that of the least doc_id, a null one last.
 
-    Documents without a shingle, rows whose id is null and repeated rows of a kept id stay.
+    Rows are told apart by doc_id and a hash of the text, so a doc_id that two texts share
+    removes neither for the other's copies.  Of several rows with the chosen doc_id and text the
+    least one in JSON stays.  Documents without a shingle all stay.
     """
-    ids = linked_components(docs)
-    drop = (ids.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct())
-    drop = C.materialize(drop, "near-copies")
-    rows = docs.select(F.struct("*").alias("_d"))
-    kept = rows.join(drop, F.col("_d.doc_id") == F.col("gone"), "left_anti")
-    return kept.select("_d.*")
+    found = _labelled(docs.select("doc_id", "text"), count_links=False).filter(F.col("sid").isNotNull())
+    rank = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "text_hash")
+    best = C.materialize(found.groupBy(F.col("comp").alias("c")).agg(F.min(rank).alias("best")), "best")
+    keys = (found.join(best, F.col("comp") == F.col("c")).withColumn("chosen", rank == F.col("best"))
+            .groupBy("doc_id", "text_hash").agg(F.bool_or("chosen").alias("chosen"), F.count("*").alias("rows"))
+            .filter("NOT chosen OR rows > 1").select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"), "chosen"))
+    keys = C.materialize(keys, "near-copies")
+    rows = docs.select(F.struct("*").alias("_d")).withColumn("_h", F.xxhash64("_d.text"))
+    same = F.col("_d.doc_id").eqNullSafe(F.col("k_id")) & (F.col("_h") == F.col("k_hash"))
+    alone = rows.join(keys, same, "left_anti").select("_d")
+    repeated = rows.join(keys.filter("chosen"), same, "left_semi")
+    one = repeated.groupBy(F.col("_d.doc_id").alias("k_id"), "_h").agg(F.min_by("_d", F.to_json("_d")).alias("_d")).select("_d")
+    return alone.union(one).select("_d.*")
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,3 +112,11 @@ def test_jaccard_counts_all_links(spark, monkeypatch):
         monkeypatch.setattr(op8, "BLOCK_SETS", size)
         monkeypatch.setattr(op8, "COLUMNS", 2 * size)
         assert sorted((r["doc_id"], r["n_links"]) for r in op8.linked_components(docs).collect()) == want
+
+
+def test_keep_one_decides_by_row(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(3, a), (3, a), (5, a), (None, a), (None, b), (None, b), (1, c), (7, c), (7, d), (9, ""), (9, "")]
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], SCHEMA)
+    got = [(r["doc_id"], r["text"]) for r in op8.keep_one(docs).collect()]
+    assert sorted(got, key=str) == sorted([(3, a), (None, b), (1, c), (7, d), (9, ""), (9, "")], key=str)
