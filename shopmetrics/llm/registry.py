@@ -17,6 +17,9 @@ from . import (
     op8_jaccard_join,
     op9_html,
     op10_mixing,
+    op11_spelling,
+    op12_vector_codes,
+    op13_warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join.op8_jaccard_join,
     "op9_html": op9_html.op9_html,
     "op10_mixing": op10_mixing.op10_mixing,
+    "op11_spelling": op11_spelling.op11_spelling,
+    "op12_vector_codes": op12_vector_codes.op12_vector_codes,
+    "op13_warc": op13_warc.op13_warc,
 }
 
 ORACLES: dict[str, str] = {
@@ -37,4 +43,7 @@ ORACLES: dict[str, str] = {
     "op2_decontamination": op2_decontamination.ORACLE,
     "op7_secrets": op7_secrets.ORACLE,
     "op8_jaccard_join": op8_jaccard_join.ORACLE,
+    "op11_spelling": op11_spelling.ORACLE,
+    "op12_vector_codes": op12_vector_codes.ORACLE,
+    "op13_warc": op13_warc.ORACLE,
 }
