@@ -1,65 +1,46 @@
-"""Churn and CLV models as MLlib jobs.
+"""Churn and CLV models.
 
 * Splits and CV folds come from a hash of the customer id ordered through
   the distributed global rank: reproducible, independent of partition
   layout, and exact in size per class, with no window over a whole class.
-* Oversampling (SMOTE) runs on the training split only.  Neighbour
-  candidates are the k rows adjacent to each minority row in a
-  locality-preserving order of the standardised features (quantised
-  coordinates, lexicographic), found by equi-joins on rank offsets: O(n*k)
-  rows, never all pairs.  Each synthetic row lies on the segment between a
-  minority row and one of those neighbours.  (Exact k-NN is replaced by
-  this order-based neighbourhood; documented deviation.)
-* Boosted trees are ``GBTClassifier`` / ``GBTRegressor`` of the reference's 400 / 600
-  rounds; early stopping (30 / 50 rounds without gain) watches a validation slice of the
-  *training* split.  MLlib itself stops at the first round without gain, so all rounds are
-  fitted and the ensemble is then cut at the round that stopping would have kept.
+* Oversampling (SMOTE) runs on the training split only.  Each synthetic row lies on the
+  segment between a minority row and one of its nearest minority rows in the standardised
+  features (``operators.neighbours``).
+* Boosted trees (``operators.boosting``) have the reference's 400 / 600 rounds and parameters
+  and stop 30 / 50 rounds after the best held-out metric (AUC for churn, squared error for
+  CLV), which is watched inside the loop on a slice of the *training* split.
+* Cross validation fits all folds in the same passes over one binned matrix.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
-from pyspark import SparkContext
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+import numpy as np
+import pandas as pd
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from shopmetrics.operators import boosting
 from shopmetrics.operators.bucketing import global_rank
+from shopmetrics.operators.neighbours import nearest_neighbours
 from shopmetrics.plans.features import CHURN_TARGET, CLV_FEATURES, FEATURE_COLS
 
 SEED = 42
 CUID = "customer_unique_id"
-# Hyper-parameters mapped from the reference models.
-CHURN_PARAMS = {"maxIter": 400, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8,
-                "minInstancesPerNode": 3, "minInfoGain": 0.0}
-CLV_PARAMS = {"maxIter": 600, "maxDepth": 6, "stepSize": 0.03, "subsamplingRate": 0.8,
-              "minInstancesPerNode": 20}
-REFERENCE_TREES = {"churn": 400, "clv": 600}
-STOP_ROUNDS = {"churn": 30, "clv": 50}
+# Hyper-parameters of the reference models.
+CHURN_PARAMS = boosting.Params(rounds=400, depth=5, rate=0.05, loss="logistic", watch="auc", patience=30, row_share=0.8,
+                               column_share=0.8, l1=0.1, l2=1.0, min_gain=0.1, min_weight=3.0, seed=SEED)
+# its row share of 0.8 has no effect there, as no bagging frequency is set; with squared loss a row weighs 1
+CLV_PARAMS = boosting.Params(rounds=600, depth=6, rate=0.03, loss="squared", watch="loss", patience=50, row_share=1.0,
+                             column_share=0.8, l1=0.1, l2=1.0, min_gain=0.0, min_weight=20.0, seed=SEED)
 LEAKY_CHURN = ["recency_days"]
 VALIDATION_FRAC = 0.1
 
 
-ROWS_PER_PARTITION = 250_000
-
-
-def size_partitions(df: DataFrame, rows: int | None = None,
-                    rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Coalesce an iterative learner's input to ~rows_per_partition rows per
-    partition.  Boosting runs several jobs per tree level over the same
-    input, so near-empty partitions cost scheduling time on every level;
-    at scale the count keeps the parallelism proportional to the data."""
-    n = df.count() if rows is None else rows
-    want = max(1, math.ceil(n / rows_per_partition))
-    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
-
-
 def hash01(col: str, seed: int = SEED) -> Column:
     """Deterministic uniform [0, 1) from the row id."""
     return F.pmod(F.xxhash64(F.col(col), F.lit(seed)), F.lit(1 << 53)).cast("double") / float(1 << 53)
@@ -117,7 +98,7 @@ def with_folds(df: DataFrame, k: int = 5, id_col: str = CUID, label: str | None
 
 # ---- M2: SMOTE -------------------------------------------------------------------
 def smote(train: DataFrame, feature_cols: list[str], label: str = CHURN_TARGET, id_col: str = CUID,
-          k: int = 5, seed: int = SEED, levels: int = 8) -> DataFrame:
+          k: int = 5, seed: int = SEED) -> DataFrame:
     """Oversample the minority class to parity with synthetic rows."""
     counts = {r[0]: r[1] for r in train.groupBy(label).count().collect()}
     if len(counts) < 2:
@@ -128,125 +109,68 @@ def smote(train: DataFrame, feature_cols: list[str], label: str = CHURN_TARGET,
     base = train.withColumn("synthetic", F.lit(False))
     if n_new == 0:
         return base
-    mino = train.where(F.col(label) == F.lit(minority)).select(id_col, *feature_cols)
-    stats = mino.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(feature_cols)],
-                     *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(feature_cols)]).first()
-    qcols = []
-    for i, c in enumerate(feature_cols):
-        mu, sd = stats[f"m{i}"] or 0.0, stats[f"s{i}"] or 0.0
-        z = (F.col(c) - F.lit(mu)) / F.lit(sd if sd else 1.0)
-        qcols.append(F.floor(F.least(F.greatest(z, F.lit(-3.0)), F.lit(3.0)) * (levels / 6.0)).alias(f"_q{i}"))
-    keyed = mino.select("*", *qcols)
-    ranked, _ = global_rank(keyed, [F.col(f"_q{i}") for i in range(len(feature_cols))] + [F.col(id_col)], "_r")
-    ranked = ranked.select("_r", *feature_cols)
+    mino = train.where(F.col(label) == F.lit(minority)).select(id_col, *[F.col(c).cast("double").alias(c) for c in feature_cols])
+    ranked, _ = global_rank(mino, [F.col(id_col)], "_r")
+    near = nearest_neighbours(mino.select(id_col, standardised(mino, feature_cols).alias("_z")), id_col, "_z", k, seed)
     spark = train.sparkSession
-    j = (F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), F.lit(k)) + 1)
-    b = (F.col("id") % n_min) + 1
-    nb = F.when(F.lit(n_min) == 1, b).when(b + j <= n_min, b + j).otherwise(F.greatest(b - j, F.lit(1)))
-    plan = spark.range(n_new).select(F.col("id"), b.alias("_b"), nb.alias("_n"),
-                                     hash01("id", seed + 1).alias("_gap"))
-    a = ranked.select(F.col("_r").alias("_b"), *[F.col(c).alias(f"a_{c}") for c in feature_cols])
-    n = ranked.select(F.col("_r").alias("_n"), *[F.col(c).alias(f"n_{c}") for c in feature_cols])
-    synth = plan.join(a, "_b").join(n, "_n").select(
-        F.concat(F.lit("smote-"), F.col("id").cast("string")).alias(id_col),
-        *[(F.col(f"a_{c}") + F.col("_gap") * (F.col(f"n_{c}") - F.col(f"a_{c}"))).cast("double").alias(c)
-          for c in feature_cols],
+    plan = spark.range(n_new).select(F.col("id").alias("_i"), ((F.col("id") % n_min) + 1).alias("_b"), hash01("id", seed + 1).alias("_gap"))
+    a = ranked.select(F.col("_r").alias("_b"), F.col(id_col).alias("_own"), *[F.col(c).alias(f"a_{c}") for c in feature_cols])
+    a = a.join(near.select(F.col("id").alias("_own"), F.col("neighbours.id").alias("_near")), "_own", "left")
+    pick = F.get("_near", F.pmod(F.xxhash64("_i", F.lit(seed)), F.size("_near")).cast("int"))
+    picked = plan.join(a, "_b").withColumn("_n", F.coalesce(pick, F.col("_own")))
+    n = mino.select(F.col(id_col).alias("_n"), *[F.col(c).alias(f"n_{c}") for c in feature_cols])
+    synth = picked.join(n, "_n").select(
+        F.concat(F.lit("smote-"), F.col("_i").cast("string")).alias(id_col),
+        *[(F.col(f"a_{c}") + F.col("_gap") * (F.col(f"n_{c}") - F.col(f"a_{c}"))).alias(c) for c in feature_cols],
         F.lit(minority).cast(train.schema[label].dataType).alias(label),
         F.lit(True).alias("synthetic"))
     cols = [id_col, *feature_cols, label, "synthetic"]
     return base.select(*cols).unionByName(synth.select(*cols))
 
 
-# ---- M3 / M8: model fitting -----------------------------------------------------
-def _assembler(cols: list[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
+def standardised(df: DataFrame, cols: list[str]) -> Column:
+    """Array of (x - mean) / standard deviation; a null counts as the mean."""
+    stats = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    return F.array(*[F.coalesce((F.col(c) - F.lit(stats[f"m{i}"] or 0.0)) / F.lit(stats[f"s{i}"] or 1.0), F.lit(0.0)) for i, c in enumerate(cols)])
 
 
+# ---- M3 / M8: model fitting -----------------------------------------------------
 def in_validation(seed: int = SEED, frac: float = VALIDATION_FRAC) -> Column:
     """Is the row in the early-stopping slice of the training split?"""
     return hash01(CUID, seed + 7) < frac
 
 
-def kept_rounds(errors: list[float], patience: int) -> int:
-    """Rounds up to the best one, where ``patience`` rounds without gain end the search."""
-    best = 0
-    for i, e in enumerate(errors):
-        if e < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def _fit_stopped(gbt, cols: list[str], data: DataFrame, patience: int) -> PipelineModel:
-    """Fit on the rows outside ``_val``, keep the rounds that early stopping on ``_val`` keeps."""
-    assembler = _assembler(cols)
-    model = gbt.fit(assembler.transform(data.where(~F.col("_val"))))
-    held = data.where(F.col("_val"))
-    if held.limit(1).count():
-        loss = [] if isinstance(model, GBTClassificationModel) else ["squared"]
-        n = kept_rounds(list(model.evaluateEachIteration(assembler.transform(held), *loss)), patience)
-        model = _first_trees(model, n)
-    return PipelineModel([assembler, model])
-
-
-def _first_trees(model, n: int):
-    """The boosted model of the first ``n`` trees."""
-    java = model._java_obj
-    sc = SparkContext._active_spark_context
-    trees = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
-    weights = sc._gateway.new_array(sc._jvm.double, n)
-    for i, (t, w) in enumerate(zip(list(java.trees())[:n], list(java.treeWeights())[:n], strict=True)):
-        trees[i], weights[i] = t, w
-    kind = getattr(sc._jvm.org.apache.spark.ml, "classification" if isinstance(model, GBTClassificationModel) else "regression")
-    if isinstance(model, GBTClassificationModel):
-        cut = kind.GBTClassificationModel(model.uid, trees, weights, model.numFeatures, 2)
-    else:
-        cut = kind.GBTRegressionModel(model.uid, trees, weights, model.numFeatures)
-    return model._copyValues(type(model)(cut))
+def _fit_one(rows: DataFrame, cols: list[str], label: Column, held: Column, params: boosting.Params) -> boosting.Model:
+    data = rows.select(CUID, *cols, label.alias("_label"), F.when(held, 0).otherwise(1).alias("_held"))
+    return boosting.fit(data, cols, "_label", "_held", CUID, [0], params)[0]
 
 
 def fit_churn(train: DataFrame, feature_cols: list[str] | None = None, params: dict | None = None,
-              validation: DataFrame | None = None, seed: int = SEED) -> PipelineModel:
+              validation: DataFrame | None = None, seed: int = SEED) -> boosting.Model:
     """``validation`` holds the early-stopping rows; without it a slice of ``train`` is held
     out, which is right only for rows that were not oversampled."""
     cols = feature_cols or FEATURE_COLS
-    p = {**CHURN_PARAMS, **(params or {})}
+    p = replace(CHURN_PARAMS, seed=seed, **(params or {}))
     if validation is None:
-        data = train.withColumn("_val", in_validation(seed))
-    else:
-        data = (train.select(*cols, CHURN_TARGET).withColumn("_val", F.lit(False))
-                .unionByName(validation.select(*cols, CHURN_TARGET).withColumn("_val", F.lit(True))))
-    data = data.select(*[F.col(c).cast("double").alias(c) for c in cols],
-                       F.col(CHURN_TARGET).cast("double").alias("label"), "_val")
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=seed, **p)
-    return _fit_stopped(gbt, cols, data, STOP_ROUNDS["churn"])
+        return _fit_one(train, cols, F.col(CHURN_TARGET), in_validation(seed), p)
+    rows = [df.select(CUID, *[F.col(c).cast("double").alias(c) for c in cols], CHURN_TARGET, F.lit(held).alias("_v"))
+            for df, held in ((train, False), (validation, True))]
+    return _fit_one(rows[0].unionByName(rows[1]), cols, F.col(CHURN_TARGET), F.col("_v"), p)
 
 
-def churn_probability(model: PipelineModel, df: DataFrame, feature_cols: list[str] | None = None) -> DataFrame:
-    cols = feature_cols or FEATURE_COLS
-    src = df.withColumns({c: F.col(c).cast("double") for c in cols})
-    out = model.transform(src)
-    return out.withColumn("churn_probability", vector_to_array("probability")[1]).drop(
-        "features", "rawPrediction", "probability")
+def churn_probability(model: boosting.Model, df: DataFrame) -> DataFrame:
+    return df.withColumn("churn_probability", model.score()).withColumn(
+        "prediction", (F.col("churn_probability") >= 0.5).cast("double"))
 
 
 def fit_clv(train: DataFrame, feature_cols: list[str] | None = None, params: dict | None = None,
-            seed: int = SEED) -> PipelineModel:
-    cols = feature_cols or CLV_FEATURES
-    p = {**CLV_PARAMS, **(params or {})}
-    data = train.withColumn("_val", in_validation(seed))
-    data = data.select(*[F.col(c).cast("double").alias(c) for c in cols],
-                       F.log1p(F.col("monetary").cast("double")).alias("label"), "_val")
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", seed=seed, **p)
-    return _fit_stopped(gbt, cols, data, STOP_ROUNDS["clv"])
+            seed: int = SEED) -> boosting.Model:
+    return _fit_one(train, feature_cols or CLV_FEATURES, F.log1p(F.col("monetary").cast("double")), in_validation(seed),
+                    replace(CLV_PARAMS, seed=seed, **(params or {})))
 
 
-def clv_predict(model: PipelineModel, df: DataFrame, feature_cols: list[str] | None = None) -> DataFrame:
-    cols = feature_cols or CLV_FEATURES
-    out = model.transform(df.withColumns({c: F.col(c).cast("double") for c in cols}))
-    return (out.withColumn("predicted_clv", F.greatest(F.expm1("prediction"), F.lit(0.0)))
-            .drop("features", "prediction"))
+def clv_predict(model: boosting.Model, df: DataFrame) -> DataFrame:
+    return df.withColumn("predicted_clv", F.greatest(F.expm1(model.score()), F.lit(0.0)))
 
 
 # ---- M4-M9: evaluation -------------------------------------------------------------
@@ -314,46 +238,75 @@ def regression_metrics(scored: DataFrame, actual: str, predicted: str) -> DataFr
         half_up(F.col("_mape") * 100.0, 6).alias("mape"))
 
 
+def grouped_auc(scored: DataFrame, group: str, score: str, label: str) -> DataFrame:
+    """(group, auc): exact ROC AUC of every group, ties counted half, from one range sort.
+
+    Counts by (group, score) are sorted over all groups at once; a partition's counts are
+    moved up by what lies before it in its group, so no group is one task's work.
+    """
+    hit = F.col(label).cast("int")
+    counts = scored.groupBy(F.col(group).alias("g"), F.col(score).alias("s")).agg(F.sum(hit).alias("pos"), F.sum(1 - hit).alias("neg"))
+    sorted_counts = counts.repartitionByRange("g", "s").sortWithinPartitions("g", "s").withColumn("p", F.spark_partition_id()).checkpoint()
+    parts = sorted_counts.groupBy("g", "p").agg(F.sum("neg").alias("n"))  # a row for each group a partition touches
+    earlier = Window.partitionBy("g").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("g", "p", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    here = Window.partitionBy("g", "p").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("before") + F.coalesce(F.sum("neg").over(here), F.lit(0)) + F.col("neg") / 2
+    ranked = sorted_counts.join(parts, ["g", "p"]).select("g", "pos", "neg", (F.col("pos") * below).alias("won"))
+    pairs = F.sum("pos").cast("double") * F.sum("neg")
+    return ranked.groupBy(F.col("g").alias(group)).agg((F.sum("won") / F.nullif(pairs, F.lit(0.0))).alias("auc"))
+
+
 def cv_auc(features: DataFrame, k: int = 5, feature_cols: list[str] | None = None,
            params: dict | None = None, seed: int = SEED) -> tuple[float, float, list[float]]:
     """k-fold stratified CV AUC (no oversampling, no early stop): mean and
-    population std over folds."""
+    population std over folds.  The folds' fits share every pass over the rows."""
     cols = feature_cols or FEATURE_COLS
-    p = {**CHURN_PARAMS, **(params or {})}
-    folded = with_folds(features, k, CUID, CHURN_TARGET, seed)
-    data = size_partitions(folded.select(*[F.col(c).cast("double").alias(c) for c in cols],
-                                         F.col(CHURN_TARGET).cast("double").alias("label"), "fold")).cache()
-    scores = []
-    for f in range(k):
-        model = Pipeline(stages=[_assembler(cols), GBTClassifier(featuresCol="features", labelCol="label",
-                                                                  seed=seed, **p)]).fit(data.where(F.col("fold") != f))
-        pred = model.transform(data.where(F.col("fold") == f)).withColumn(
-            "_p1", vector_to_array("probability")[1])
-        scores.append(auc(pred, "_p1", "label"))
-    data.unpersist()
+    p = replace(CHURN_PARAMS, **{"patience": None, "watch": "loss", "seed": seed, **(params or {})})
+    data = with_folds(features, k, CUID, CHURN_TARGET, seed).select(CUID, *cols, CHURN_TARGET, "fold").checkpoint()
+    models = boosting.fit(data, cols, CHURN_TARGET, "fold", CUID, list(range(k)), p)
+
+    @F.pandas_udf("double")
+    def held_out(fold: pd.Series, *columns: pd.Series) -> pd.Series:
+        raw = [c.to_numpy(dtype=np.float64, na_value=np.nan) for c in columns]
+        out = np.zeros(len(fold))
+        for f in np.unique(fold):
+            mine = (fold == f).to_numpy()
+            out[mine] = models[int(f)].score_rows([c[mine] for c in raw])
+        return pd.Series(out)
+
+    scored = data.select("fold", CHURN_TARGET, held_out("fold", *[F.col(c).cast("double") for c in cols]).alias("score"))
+    scores = [r["auc"] for r in grouped_auc(scored, "fold", "score", CHURN_TARGET).orderBy("fold").collect()]
     mean = sum(scores) / k
     std = math.sqrt(sum((s - mean) ** 2 for s in scores) / k)
     return mean, std, scores
 
 
-def permutation_importance(model: PipelineModel, test: DataFrame, feature_cols: list[str],
+def permutation_importance(model: boosting.Model, test: DataFrame, feature_cols: list[str],
                            seed: int = SEED) -> DataFrame:
     """AUC drop when one feature's values are shuffled across test rows.
 
     The shuffle pairs global rank by id with global rank by hash(id): one
-    equi-join carries every permuted column, then one evaluation per
-    feature."""
-    spark = test.sparkSession
-    base = test.select(CUID, CHURN_TARGET, *feature_cols)
+    equi-join carries every permuted column.  Each row is scored with every permuted feature at
+    once, and one grouped AUC ranks all of these scores."""
+    base = test.select(CUID, CHURN_TARGET, *[F.col(c).cast("double").alias(c) for c in feature_cols])
     by_id, _ = global_rank(base, [F.col(CUID)], "_r")
     by_hash, _ = global_rank(base.withColumn("_h", hash01(CUID, seed + 3)), [F.col("_h"), F.col(CUID)], "_r")
     perm = by_hash.select("_r", *[F.col(c).alias(f"perm_{c}") for c in feature_cols])
-    joined = by_id.join(perm, "_r").cache()
-    baseline = auc(churn_probability(model, joined, feature_cols), "churn_probability", CHURN_TARGET)
-    rows = []
-    for c in feature_cols:
-        swapped = joined.withColumn(c, F.col(f"perm_{c}"))
-        rows.append((c, baseline - auc(churn_probability(model, swapped, feature_cols),
-                                       "churn_probability", CHURN_TARGET)))
-    joined.unpersist()
-    return spark.createDataFrame(rows, "feature string, permutation_auc_drop double")
+    joined = by_id.join(perm, "_r")
+    n = len(feature_cols)
+
+    @F.pandas_udf("array<double>")
+    def all_scores(*columns: pd.Series) -> pd.Series:
+        raw = [c.to_numpy(dtype=np.float64, na_value=np.nan) for c in columns]
+        own, other = raw[:n], raw[n:]
+        scores = [model.score_rows(own)] + [model.score_rows([*own[:i], other[i], *own[i + 1:]]) for i in range(n)]
+        return pd.Series(list(np.stack(scores, axis=1)))
+
+    scores = all_scores(*feature_cols, *[f"perm_{c}" for c in feature_cols])
+    scored = joined.select(CHURN_TARGET, F.posexplode(scores).alias("at", "score"))
+    areas = grouped_auc(scored, "at", "score", CHURN_TARGET)
+    whole = areas.filter("at = 0").select(F.col("auc").alias("whole"))  # one row
+    name = F.element_at(F.array(*[F.lit(c) for c in feature_cols]), F.col("at"))
+    return areas.filter("at > 0").join(F.broadcast(whole)).select(
+        name.alias("feature"), (F.col("whole") - F.col("auc")).alias("permutation_auc_drop"))

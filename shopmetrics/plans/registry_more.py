@@ -3,6 +3,8 @@ streaming query families."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from shopmetrics.plans import rfm
 from shopmetrics.plans.common import payments_per_order
 from shopmetrics.plans.oracle_rfm import ORACLE as RFM_SQL
 from shopmetrics.plans.registry import register
+from shopmetrics.session import ensure_checkpoint_dir, scratch_path
 from shopmetrics.sources.binding import star
 
 
@@ -75,30 +78,39 @@ _FEATURE_OUT = ["customer_unique_id", "recency_days", "frequency", "monetary", "
                 "customer_age_days", "orders_per_month", "revenue_per_day", "churned"]
 
 
-_SHARED: dict = {}
+_BUILT: dict = {}
+
+
+def _fingerprint(spark, sf_dir: str) -> tuple:
+    """Names, sizes and times of the tables in a data folder and of the files in them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    tables = list(fs.listStatus(path))
+    files = [f for t in tables if t.isDirectory() for f in fs.listStatus(t.getPath())]
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in tables + files))
 
 
-def _shared(kind: str, spark, sf_dir, build):
-    """Build once per (session, data folder): the feature table and its
-    quantile segments feed a dozen keys (labels, segments, EDA, models), so
-    they are checkpointed to the shared folder and reused, as the feature
-    lifecycle prescribes, instead of recomputing the joins per key."""
-    key = (kind, id(spark), sf_dir)
-    hit = _SHARED.get(key)
-    if hit is None or hit[0] is not spark:
-        from shopmetrics.session import ensure_checkpoint_dir
+def _built(kind: str, spark, sf_dir, build):
+    """Build once per session and state of the data folder: the feature table, its quantile
+    segments and the training runs feed a dozen keys.  Only the latest state is kept: tables
+    that were written anew are computed anew, and what the old ones pinned is released.
+    The session object is stored and compared, so a new session that happens
+    to reuse an old one's id never sees stale DataFrames."""
+    now = (sf_dir, _fingerprint(spark, sf_dir))
+    hit = _BUILT.get(kind)
+    if hit is None or hit[0] is not spark or hit[1] != now:
         ensure_checkpoint_dir(spark)
-        hit = _SHARED[key] = (spark, build().checkpoint())
-    return hit[1]
+        hit = _BUILT[kind] = (spark, now, build())
+    return hit[2]
 
 
 def features_df(spark, sf_dir):
-    return _shared("features", spark, sf_dir,
-                   lambda: feat.feature_matrix(_st(spark, sf_dir)).select(*_FEATURE_OUT))
+    return _built("features", spark, sf_dir,
+                  lambda: feat.feature_matrix(_st(spark, sf_dir)).select(*_FEATURE_OUT).checkpoint())
 
 
 def segments_df(spark, sf_dir):
-    return _shared("segments", spark, sf_dir, lambda: feat.rfm_segments_features(features_df(spark, sf_dir)))
+    return _built("segments", spark, sf_dir, lambda: feat.rfm_segments_features(features_df(spark, sf_dir)).checkpoint())
 
 
 @register("rfm_feature_base", RFM_SQL["rfm_feature_base"])
@@ -320,29 +332,18 @@ def _clv_log_target(spark, sf_dir):
 from shopmetrics.plans import modeling as ml  # noqa: E402
 from shopmetrics.plans import training  # noqa: E402
 from shopmetrics.plans.oracle_models import ORACLE as MODEL_SQL  # noqa: E402
-from shopmetrics.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
 
-_RUNS: dict = {}
-
-
-def _run(kind: str, spark, sf_dir, build):
-    """One training run per (session, data folder), shared by the model keys.
-    The session object is stored and compared, so a new session that happens
-    to reuse an old one's id never sees stale DataFrames."""
-    key = (kind, id(spark), sf_dir)
-    hit = _RUNS.get(key)
-    if hit is None or hit[0] is not spark:
-        ensure_checkpoint_dir(spark)
-        hit = _RUNS[key] = (spark, build())
-    return hit[1]
+def churn_rows(spark, sf_dir):
+    return _built("churn_rows", spark, sf_dir, lambda: training.churn_rows(features_df(spark, sf_dir)))
 
 
 def churn_run(spark, sf_dir):
-    return _run("churn", spark, sf_dir, lambda: training.churn_training(features_df(spark, sf_dir)))
+    return _built("churn", spark, sf_dir, lambda: training.churn_training(
+        features_df(spark, sf_dir), rows=churn_rows(spark, sf_dir)))
 
 
 def clv_run(spark, sf_dir):
-    return _run("clv", spark, sf_dir, lambda: training.clv_training(features_df(spark, sf_dir)))
+    return _built("clv", spark, sf_dir, lambda: training.clv_training(features_df(spark, sf_dir)))
 
 
 @register("stratified_split", MODEL_SQL["stratified_split"])
@@ -358,7 +359,7 @@ def _random_split(spark, sf_dir):
 
 @register("smote_oversample")
 def _smote(spark, sf_dir):
-    return churn_run(spark, sf_dir)["over"]
+    return churn_rows(spark, sf_dir)["over"]
 
 
 @register("churn_scores")
@@ -378,11 +379,11 @@ def _bound_churn_scored(spark, sf_dir):
 
 @register("binary_auc", MODEL_SQL["binary_auc"])
 def _binary_auc(spark, sf_dir):
-    s = _bound_churn_scored(spark, sf_dir).cache()
-    value = ml.auc(s, "score", feat.CHURN_TARGET)
-    counts = s.agg(F.sum(feat.CHURN_TARGET).cast("bigint").alias("n_pos"),
-                   (F.count(F.lit(1)) - F.sum(feat.CHURN_TARGET)).cast("bigint").alias("n_neg"))
-    return counts.select(half_up(F.lit(value), 6).alias("auc"), "n_pos", "n_neg")
+    scored = _bound_churn_scored(spark, sf_dir).withColumn("one", F.lit(1))
+    counts = scored.groupBy("one").agg(F.sum(feat.CHURN_TARGET).cast("bigint").alias("n_pos"),
+                                       (F.count(F.lit(1)) - F.sum(feat.CHURN_TARGET)).cast("bigint").alias("n_neg"))
+    area = ml.grouped_auc(scored, "one", "score", feat.CHURN_TARGET)
+    return counts.join(area, "one").select(half_up("auc", 6).alias("auc"), "n_pos", "n_neg")
 
 
 @register("confusion_matrix", MODEL_SQL["confusion_matrix"])
@@ -397,7 +398,7 @@ def _class_report(spark, sf_dir):
 
 @register("churn_cv_auc")
 def _cv_auc(spark, sf_dir):
-    mean, std, folds = ml.cv_auc(churn_run(spark, sf_dir)["features"])
+    mean, std, folds = ml.cv_auc(features_df(spark, sf_dir))
     return spark.createDataFrame([(round(mean, 4), round(std, 4), len(folds))],
                                  "cv_auc_mean double, cv_auc_std double, folds int")
 
@@ -442,9 +443,7 @@ def _ml_clv_predictions(spark, sf_dir):
 @register("feature_importance")
 def _feature_importance(spark, sf_dir):
     run = churn_run(spark, sf_dir)
-    gbt = run["model"].stages[-1]
-    imp = spark.createDataFrame([(c, float(v)) for c, v in zip(feat.FEATURE_COLS, gbt.featureImportances.toArray())],
-                                "feature string, importance double")
+    imp = spark.createDataFrame(list(run["model"].importances().items()), "feature string, importance double")
     perm = ml.permutation_importance(run["model"], run["test"], feat.FEATURE_COLS)
     return imp.join(perm, "feature")
 
@@ -459,17 +458,12 @@ def _prediction_sample(spark, sf_dir):
 
 @register("model_metrics")
 def _model_metrics(spark, sf_dir):
+    """This state of the data is one run: asked again, it replaces its own rows in the session's ledger."""
     churn, clv = churn_run(spark, sf_dir), clv_run(spark, sf_dir)
-    test_auc = ml.auc(ml.churn_probability(churn["model"], churn["test"]), "churn_probability", feat.CHURN_TARGET)
-    reg = ml.regression_metrics(ml.clv_predict(clv["model"], clv["test"]), "monetary", "predicted_clv").first()
-    rows = [("churn", "auc", round(test_auc, 4)), ("churn", "train_n", float(churn["over"].count())),
-            ("churn", "test_n", float(churn["test"].count()))]
-    rows += [("clv", m, float(reg[m])) for m in ("mae", "rmse", "r2", "mape")]
-    metrics = (spark.createDataFrame(rows, "model string, metric string, value double")
-               .withColumn("recorded_at", F.current_timestamp()))
-    path = scratch_path(spark, "model_metrics")
-    metrics.write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    run_id = hashlib.sha256(repr((sf_dir, _fingerprint(spark, sf_dir))).encode()).hexdigest()[:16]
+    ledger = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-metrics"
+    recorded = training.record_metrics(spark, training.model_metrics(churn, clv), ledger, run_id)
+    return recorded.filter(F.col("run_id") == run_id).select("model", "metric", "value", "recorded_at")
 
 
 # ---- streaming (N1-N7) ------------------------------------------------------------------

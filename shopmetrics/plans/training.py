@@ -19,22 +19,25 @@ CHURN_LABELS = ["Low", "Medium", "High"]
 CLV_TIER_LABELS = ["Bronze", "Silver", "Gold", "Platinum"]
 
 
-def churn_training(features: DataFrame, params: dict | None = None, exclude_leaky: bool = False,
-                   seed: int = ml.SEED) -> dict:
-    """Stratified split, early-stopping slice held out of the training split, SMOTE on the
-    rest (no synthetic row, nor a neighbour's blend, watches the fit), boosted-tree classifier.  ``features`` should be materialised (cached or
-    checkpointed): the split, oversampling and fit all re-read it."""
+def churn_rows(features: DataFrame, exclude_leaky: bool = False, seed: int = ml.SEED) -> dict:
+    """Stratified split, the early-stopping slice held out of the training split, and SMOTE on
+    the rest (no synthetic row, nor a neighbour's blend, watches a fit).  ``features`` should be
+    materialised (cached or checkpointed): the split and the oversampling both re-read it."""
     ensure_checkpoint_dir(features.sparkSession)
-    feats = features
     cols = [c for c in feat.FEATURE_COLS if not (exclude_leaky and c in ml.LEAKY_CHURN)]
-    sp = ml.split(feats, label=feat.CHURN_TARGET, seed=seed)
+    sp = ml.split(features, label=feat.CHURN_TARGET, seed=seed)
     train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
     held = ml.in_validation(seed)
     fitted = train.where(~held).select(CUID, *cols, feat.CHURN_TARGET)
-    over = ml.size_partitions(ml.smote(fitted, cols, seed=seed).checkpoint())
-    model = ml.fit_churn(over, cols, params, validation=train.where(held), seed=seed)
-    return {"features": feats, "split": sp, "train": train, "test": test, "over": over, "model": model,
-            "feature_cols": cols}
+    return {"features": features, "split": sp, "train": train, "test": test, "held": train.where(held),
+            "over": ml.smote(fitted, cols, seed=seed).checkpoint(), "feature_cols": cols}
+
+
+def churn_training(features: DataFrame, params: dict | None = None, exclude_leaky: bool = False,
+                   seed: int = ml.SEED, rows: dict | None = None) -> dict:
+    """The classifier fitted on ``churn_rows`` (given or built)."""
+    rows = rows or churn_rows(features, exclude_leaky, seed)
+    return {**rows, "model": ml.fit_churn(rows["over"], rows["feature_cols"], params, validation=rows["held"], seed=seed)}
 
 
 def clv_training(features: DataFrame, params: dict | None = None, seed: int = ml.SEED) -> dict:
@@ -43,13 +46,32 @@ def clv_training(features: DataFrame, params: dict | None = None, seed: int = ml
     sp = ml.split(features, label=None, seed=seed)
     train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
     return {"features": features, "split": sp, "train": train, "test": test,
-            "model": ml.fit_clv(ml.size_partitions(train), params=params, seed=seed)}
+            "model": ml.fit_clv(train, params=params, seed=seed)}
+
+
+def model_metrics(churn: dict, clv: dict) -> list[tuple[str, str, float]]:
+    """(model, metric, value) of a pair of runs on their test splits."""
+    test_auc = ml.auc(ml.churn_probability(churn["model"], churn["test"]), "churn_probability", feat.CHURN_TARGET)
+    reg = ml.regression_metrics(ml.clv_predict(clv["model"], clv["test"]), "monetary", "predicted_clv").first()
+    rows = [("churn", "auc", round(test_auc, 4)), ("churn", "rounds", float(len(churn["model"].trees))),
+            ("churn", "train_n", float(churn["over"].count())), ("churn", "test_n", float(churn["test"].count())),
+            ("clv", "rounds", float(len(clv["model"].trees)))]
+    return rows + [("clv", m, float(reg[m])) for m in ("mae", "rmse", "r2", "mape")]
+
+
+def record_metrics(spark, rows: list[tuple[str, str, float]], ledger: str, run_id: str) -> DataFrame:
+    """Puts one run's metrics into the ledger: a partition for each run id, replaced as a whole
+    by a retry of that run, while other runs stay.  Returns the whole ledger."""
+    table = spark.createDataFrame(rows, "model string, metric string, value double").withColumn("recorded_at", F.current_timestamp())
+    (table.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").parquet(ledger))
+    return spark.read.schema("model string, metric string, value double, recorded_at timestamp, run_id string").parquet(ledger)
 
 
 def churn_predictions(run: dict) -> DataFrame:
     """ml_churn_predictions rows for every customer (M10)."""
     seg = feat.rfm_segments_features(run["features"]).select(CUID, "rfm_segment")
-    scored = ml.churn_probability(run["model"], run["features"], run["feature_cols"]).join(seg, CUID)
+    scored = ml.churn_probability(run["model"], run["features"]).join(seg, CUID)
     prob = F.col("churn_probability")
     return scored.select(
         CUID, "rfm_segment",

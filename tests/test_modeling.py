@@ -40,6 +40,7 @@ def test_smote_parity_and_segments(feats):
     assert counts[0] == counts[1]
     minority = over.where(~F.col("synthetic")).where(F.col(CHURN_TARGET) == 1)
     synth = over.where(F.col("synthetic"))
+    assert synth.count() > 0
     # every synthetic point lies inside the bounding box of the minority rows
     for c in FEATURE_COLS[:5]:
         lo, hi = minority.agg(F.min(c), F.max(c)).first()
@@ -49,14 +50,14 @@ def test_smote_parity_and_segments(feats):
 
 def test_churn_model_learns_leaky_label(feats):
     sp = ml.split(feats, label=CHURN_TARGET)
-    model = ml.fit_churn(sp.where(F.col("split") == "train"), params={"maxIter": 10})
+    model = ml.fit_churn(sp.where(F.col("split") == "train"), params={"rounds": 10})
     scored = ml.churn_probability(model, sp.where(F.col("split") == "test"))
     assert ml.auc(scored, "churn_probability", CHURN_TARGET) > 0.95
 
 
 def test_no_synthetic_row_derives_from_the_validation_slice(feats):
     from shopmetrics.plans import training
-    run = training.churn_training(feats, params={"maxIter": 2})
+    run = training.churn_training(feats, params={"rounds": 2})
     held = run["train"].where(ml.in_validation()).select("customer_unique_id")
     assert held.count() > 0
     assert run["over"].join(held, "customer_unique_id").count() == 0
@@ -70,24 +71,65 @@ def test_regression_metrics_perfect(spark):
     assert (r["mae"], r["rmse"], r["r2"], r["mape"]) == (0.0, 0.0, 1.0, 0.0)
 
 
-def test_reference_rounds_and_stopping(feats):
-    assert ml.CHURN_PARAMS["maxIter"] == 400 and ml.CLV_PARAMS["maxIter"] == 600
-    assert ml.kept_rounds([5.0, 4.0, 4.5, 3.0, 3.5, 3.5, 2.0], 3) == 7
-    assert ml.kept_rounds([5.0, 4.0, 4.5, 4.5, 3.0], 2) == 2
-    # MLlib's own tolerance ended this fit at 11 trees
-    model = ml.fit_clv(ml.size_partitions(feats), params={"maxIter": 16, "maxDepth": 2})
-    gbt = model.stages[-1]
-    assert gbt.getNumTrees == 16
-    cut = ml._first_trees(gbt, 3)
-    assert cut.getNumTrees == 3 and cut.treeWeights == gbt.treeWeights[:3]
-    rows = model.stages[0].transform(feats.select(*[F.col(c).cast("double") for c in ml.CLV_FEATURES]))
-    assert cut.transform(rows).where("prediction IS NULL").count() == 0
+def test_reference_rounds_and_parameters():
+    assert (ml.CHURN_PARAMS.rounds, ml.CHURN_PARAMS.patience, ml.CHURN_PARAMS.watch) == (400, 30, "auc")
+    assert (ml.CLV_PARAMS.rounds, ml.CLV_PARAMS.patience) == (600, 50)
+    assert ml.CHURN_PARAMS.min_gain == 0.1 and ml.CHURN_PARAMS.column_share == ml.CLV_PARAMS.column_share == 0.8
 
 
-def test_cv_and_churn_use_the_reference_rounds(monkeypatch, spark):
+def test_clv_model_explains_most_of_the_variance(feats):
+    sp = ml.split(feats, label=None)
+    model = ml.fit_clv(sp.where(F.col("split") == "train"))
+    assert 1 <= len(model.trees) <= 600
+    r = ml.regression_metrics(ml.clv_predict(model, sp.where(F.col("split") == "test")), "monetary", "predicted_clv").first()
+    assert r["r2"] > 0.5 and r["mape"] < 60
+
+
+def test_cv_shares_one_matrix_and_equals_separate_fits(feats):
+    from dataclasses import replace
+
+    from shopmetrics.operators import boosting
+    mean, std, scores = ml.cv_auc(feats, params={"rounds": 8, "depth": 3})
+    assert len(scores) == 5 and mean > 0.9 and std < 0.1
+    data = ml.with_folds(feats, 5)
+    one = boosting.fit(data, FEATURE_COLS, CHURN_TARGET, "fold", "customer_unique_id", [3],
+                       replace(ml.CHURN_PARAMS, patience=None, watch="loss", rounds=8, depth=3))[3]
+    alone = ml.auc(data.where("fold = 3").withColumn("s", one.score()), "s", CHURN_TARGET)
+    assert abs(alone - scores[3]) < 1e-12
+
+
+def test_cv_uses_the_reference_rounds(monkeypatch, spark):
     from shopmetrics.plans import registry_more as rm
     seen = {}
-    monkeypatch.setattr(rm, "churn_run", lambda *_: {"features": None})
+    monkeypatch.setattr(rm, "features_df", lambda *_: None)
     monkeypatch.setattr(rm.ml, "cv_auc", lambda f, **k: (seen.update(k), (0.5, 0.0, [0.5] * 5))[1])
     rm._cv_auc(spark, "")
-    assert "maxIter" not in (seen.get("params") or {})
+    assert not seen
+
+
+def test_grouped_auc_equals_the_evaluator(spark):
+    rows = [(g, float((i * 7919 + g) % 13) / 13, int((i * 104729) % 3 == 0)) for g in range(3) for i in range(400)]
+    df = spark.createDataFrame(rows + [(9, 0.5, 1)], "g int, s double, y int")
+    got = {r["g"]: r["auc"] for r in ml.grouped_auc(df, "g", "s", "y").collect()}
+    for g in range(3):
+        assert abs(got[g] - ml.auc(df.where(F.col("g") == g), "s", "y")) < 1e-12
+    assert got[9] is None
+
+
+def test_permutation_importance_ranks_the_used_feature_first(spark):
+    import numpy as np
+    rng = np.random.default_rng(0)
+    rows = [(f"c{i}", int(x > 0), float(x), float(rng.normal())) for i, x in enumerate(rng.normal(size=600))]
+    df = spark.createDataFrame(rows, f"customer_unique_id string, {CHURN_TARGET} int, a double, b double")
+    model = ml.fit_churn(df, ["a", "b"], {"rounds": 5})
+    drop = {r[0]: r[1] for r in ml.permutation_importance(model, df, ["a", "b"]).collect()}
+    assert drop["a"] > 0.3 and abs(drop["b"]) < 0.01 and model.importances()["a"] > 0.9
+
+
+def test_metrics_ledger_keeps_runs_and_replaces_a_retry(spark, tmp_dir):
+    from shopmetrics.plans import training
+    path = f"{tmp_dir}/ledger"
+    training.record_metrics(spark, [("churn", "auc", 0.5)], path, "a")
+    training.record_metrics(spark, [("churn", "auc", 0.6)], path, "b")
+    again = training.record_metrics(spark, [("churn", "auc", 0.7)], path, "a")
+    assert sorted((r["run_id"], r["value"]) for r in again.collect()) == [("a", 0.7), ("b", 0.6)]

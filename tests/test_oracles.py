@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from shopmetrics.plans import registry
 from tests.conftest import SF_SMALL
 from tools.check_oracles import TABLES, canon
 
@@ -31,9 +32,9 @@ def test_matches_duckdb(spark, duck, key):
 
 
 def test_every_key_registered():
-    assert len(E.queries()) == 89
-    assert len(ORACLES) == 80
-    assert set(ORACLES) <= set(E.queries())
+    assert len(registry.queries()) == 89
+    assert len(registry.oracle_sql()) == 80
+    assert set(registry.queries()) <= set(E.queries()) and set(ORACLES) <= set(E.queries())
 
 
 def test_entry_smoke(spark):

@@ -4,9 +4,10 @@ a stable schema."""
 import pytest
 
 import __spark_entry__ as E
+from shopmetrics.plans import registry
 from tests.conftest import SF_SMALL
 
-ROWS_ONLY = sorted(set(E.queries()) - set(E.oracle_sql()))
+ROWS_ONLY = sorted(set(registry.queries()) - set(registry.oracle_sql()))
 
 EXPECTED = {
     "churn_scores": ["customer_unique_id", "churned", "churn_probability", "prediction"],
