@@ -19,9 +19,10 @@ A source with a third of all rows is only many blocks.
 
 Defined cases: a null text has size 0; null source is the last source; a source without
 words has target 0 and is never drawn (unless other rows bring its share, rows of size 0
-count as taken 0); an empty table gives an empty mix; repeated rows share the block and
-the hash, so all of them are drawn or none; ties of hashes are drawn together; reruns and
-other partitionings agree, as only keyed hashes decide.
+count as taken 0); an empty table gives an empty mix; rows are told apart by the hash of all
+their columns and equal ones by a number, so null or repeated ids are drawn like others; very
+long texts only count; ties of hashes are drawn together; other columns stay in ``row``,
+whatever their names; reruns and other partitionings agree, as only keyed hashes decide.
 """
 
 from __future__ import annotations
@@ -96,11 +97,32 @@ def _leaf_table(spark: SparkSession, quotas: np.ndarray, depth: int) -> DataFram
     return leaves.select("ix", "shard", F.explode(F.sequence("start", F.col("start") + F.col("count") - 1)).alias("nth"))
 
 
-def plan_mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``h`` unlike for equal rows too: they are numbered from 0 and hashed again.
+
+    Which of them gets which number is of no account, since they are equal.  They are written
+    with their task's number, counted within the task, and moved up by the counts of the
+    tasks before it, so that no group of equal rows is one task's work.
+    """
+    repeated = C.materialize(rows.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("h").alias("r_h")), "mix-repeated")
+    if not repeated.limit(1).count():
+        return rows
+    same = C.materialize(rows.join(repeated, F.col("h") == F.col("r_h")).drop("r_h").withColumn("p", F.spark_partition_id()), "mix-equal-rows")
+    counts = same.groupBy(F.col("h").alias("c_h"), F.col("p").alias("c_p")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("c_h").orderBy("c_p").rowsBetween(Window.unboundedPreceding, -1))
+    counts = C.materialize(counts.select("c_h", "c_p", F.coalesce(before, F.lit(0)).alias("before")), "mix-equal-counts")
+    numbered = same.withColumn("at", F.row_number().over(Window.partitionBy("h", "p").orderBy("size")))
+    numbered = numbered.join(counts, (F.col("h") == F.col("c_h")) & (F.col("p") == F.col("c_p")))
+    numbered = numbered.withColumn("h", F.xxhash64("h", F.col("before") + F.col("at"))).select(rows.columns)
+    return rows.join(repeated, F.col("h") == F.col("r_h"), "left_anti").unionByName(numbered)
+
+
+def plan_mix(docs: DataFrame, size: Column, source_col: str = "source") -> DataFrame:
     """Every row as ``row``, with size, source_size, target and ``draws`` (copy, shard)."""
     spark = docs.sparkSession
-    rows = docs.select(F.struct("*").alias("row"), F.col(source_col).alias("source"), size.cast("long").alias("size"),
-                       F.xxhash64(F.col(id_col), F.lit(SEED)).alias("h"))
+    every = [F.col(f"`{f.name}`") if "map<" not in f.dataType.simpleString() else F.to_json(F.col(f"`{f.name}`")) for f in docs.schema]
+    rows = _told_apart(docs.select(F.struct("*").alias("row"), F.col(source_col).alias("source"), size.cast("long").alias("size"),
+                                   F.xxhash64(*every, F.lit(SEED)).alias("h")))
     sized = C.materialize(rows.select("source", "size", "h"), "mix-sizes")
     counted = sized.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     sources = source_targets(counted.toPandas())
@@ -158,12 +180,12 @@ def plan_mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col:
                         F.coalesce(mine, F.array().cast("array<struct<copy:bigint,shard:bigint>>")).alias("draws"))
 
 
-def mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, size: Column, source_col: str = "source") -> DataFrame:
     """The mixed rows, gathered by shard and in the shard's shuffled order.
 
     Columns: ``row`` (the input row), copy, shard and ``at`` (the order key in the shard).
     """
-    taken = plan_mix(docs, size, id_col, source_col).select("row", "h", F.explode("draws").alias("d"))
+    taken = plan_mix(docs, size, source_col).select("row", "h", F.explode("draws").alias("d"))
     taken = taken.select("row", "d.copy", "d.shard", F.xxhash64("h", "d.copy", F.lit(SEED + 2)).alias("at"))
     return taken.repartition("shard").sortWithinPartitions("shard", "at")
 

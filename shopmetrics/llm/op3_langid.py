@@ -19,11 +19,11 @@ columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,13 +32,15 @@ from . import common as C
 
 PROFILE = 400
 FIT_DOCS = 2000
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Runs of letters and of the marks on them are words; a text without a letter has none.
+NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
+LETTER = regex.compile(r"\p{L}")
 
 
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-gram keys of a text and their counts."""
     letters = NOT_LETTERS.sub(" ", text.lower()).strip()
-    if not letters:
+    if not LETTER.search(letters):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     c = np.frombuffer(f" {letters} ".encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
     gap = c == 32
@@ -63,8 +65,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return {}
-    share = F.element_at(F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(int(1e6 * min(1.0, FIT_DOCS / n))))]), F.col("lang"))
-    chosen = known.filter(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000)) < share)
+    share = F.element_at(F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(int((1 << 53) * min(1.0, FIT_DOCS / n))))]), F.col("lang"))
+    chosen = known.filter(F.shiftrightunsigned(F.xxhash64("id", F.lit(7)), 11) < share)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

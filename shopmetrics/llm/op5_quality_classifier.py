@@ -101,16 +101,22 @@ def grade_labels(labels: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
-    graded = grade_labels(labels)
-    n = graded.count()
+    """Weights and thresholds from at most about ``FIT_ROWS`` labelled texts; None where no
+    document has a label or all have one grade."""
+    texts = docs.select(F.col("doc_id").alias("f_id"), C.whole_text("text").alias("f_text")).withColumn("f_hash", F.xxhash64("f_text"))
+    # equal rows of one id are one labelled text, however many there are
+    labelled = texts.select("f_id", "f_hash").join(grade_labels(labels), F.col("f_id") == F.col("l_id")).groupBy("f_id", "f_hash").agg(F.min("grade").alias("grade"))
+    labelled = C.materialize(labelled, "labelled-texts")
+    n = labelled.count()
     if not n:
         return None
     share = min(1.0, FIT_ROWS / n)
-    chosen = graded.filter(F.pmod(F.xxhash64("l_id", F.lit(11)), F.lit(1_000_000)) < int(1e6 * share))
-    # at most about FIT_ROWS ids: a broadcast of that fixed size
-    rows = (docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))
-            .select("grade", C.whole_text("text").alias("text"), letters(C.whole_text("text")).alias("words"))
-            .select("grade", features(F.col("text"), F.col("words")).alias("cells"))).toArrow()
+    chosen = labelled.filter(F.shiftrightunsigned(F.xxhash64("f_id", "f_hash", F.lit(11)), 11) < F.lit(int(share * (1 << 53))))
+    # about FIT_ROWS rows: a broadcast of that fixed size
+    rows = (texts.join(F.broadcast(chosen), ["f_id", "f_hash"]).groupBy("f_id", "f_hash", "grade").agg(F.min("f_text").alias("f_text"))
+            .select("grade", features(F.col("f_text"), letters(F.col("f_text"))).alias("cells"))).toArrow()
+    if not rows.num_rows:
+        raise ValueError("no labelled text was drawn")
     grades = rows.column("grade").to_numpy().astype(np.int64)
     if len(np.unique(grades)) < 2:
         return None

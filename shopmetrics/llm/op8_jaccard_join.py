@@ -16,10 +16,11 @@ Documents with 100 * |intersection| >= 80 * |union| of their five-word shingle s
    that the verified links have joined need no more comparing, and a former pivot leaves its
    lists.  After ``ROUNDS`` rounds, what is left compares only members of *different*
    components, and only where size and position still allow a link.
-4. Verification.  The global order is cut into ``FRAGMENTS`` ranges of the hash space.  A
-   set's shingles in one range are a fragment; fragments of a candidate pair meet by
-   (set, fragment), count a partial overlap, and the parts are summed per pair.  Fragments
-   are made by a pass over the texts for the sets in the pairs only, and never kept for all.
+4. Verification.  The global order is cut into ``FRAGMENTS`` ranges of equal load, by the mass
+   of the frequency table.  A set's shingles in one range are a fragment; fragments of a
+   candidate pair meet by (set, fragment), count a partial overlap, and the parts are summed
+   per pair.  Fragments are made by a pass over the texts for the sets in the pairs only, from
+   one row of each set, and never kept for all.
 5. Components of the verified links; every row gets the least doc_id of its component.
 6. Links.  Every link lies within a component, so all pairs of sets in one whose sizes allow a
    link are verified: a component's sets are dealt into blocks of bounded size, blocks meet
@@ -33,8 +34,10 @@ rule a link out; step 6 then counts the skipped ones.  Hot lists, pivots and fra
 joins whose other side has one row a key, which Spark splits.
 
 Defined cases: null or empty text has no shingle, links with nothing and is its own
-component; one to four words are one shingle; ties and repeated rows fall together by set;
-a null id does not count for the least id.
+component; one to four words are one shingle; texts of any length are cut whole, in pieces at
+blanks; ties and repeated rows fall together by set; a null id does not count for the least
+id; an empty table gives no rows; other columns are ignored, whatever their names
+(``keep_one`` keeps them).
 """
 
 from __future__ import annotations
@@ -199,22 +202,48 @@ def _prefix_rows(steps: np.ndarray):
     return rows
 
 
-def _fragments(docs: DataFrame, steps: np.ndarray, pairs: DataFrame) -> DataFrame:
-    """(sid, part, sh) of the sets in ``pairs``, from a pass over the texts.
+def _cuts(steps: np.ndarray) -> np.ndarray:
+    """Order keys that part the global order into ``FRAGMENTS`` ranges of equal load.
 
-    A fixed-size bitmap of the wanted set ids selects them; what it lets through besides is
-    not joined with any pair.
+    A cell of step s counts about 2^(s / STEPS_PER_OCTAVE) shingles; within a step the order is
+    by hash, so any share of a step is a range of hashes.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("s"))
-    bits = np.array(C.bitmap(wanted, "s").first()["bits"], np.int64).view(np.uint64)
+    mass = np.bincount(steps, minlength=1) * (2.0 ** (np.arange(int(steps.max(initial=0)) + 1) / STEPS_PER_OCTAVE))
+    upto = np.cumsum(mass)
+    goal = upto[-1] * np.arange(1, FRAGMENTS) / FRAGMENTS
+    step = np.minimum(np.searchsorted(upto, goal), len(mass) - 1)
+    share = np.clip((goal - (upto - mass)[step]) / np.maximum(mass[step], 1e-300), 0, 1)
+    return (step.astype(np.uint64) << STEP_AT) | np.minimum(share * 2.0**55, 2.0**55 - 8).astype(np.uint64)
+
+
+def _home(sid: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
+    return _mix(sid ^ _mix(doc_id + np.uint64(0x9E3779B97F4A7C15)))
+
+
+def _fragments(docs: DataFrame, steps: np.ndarray, pairs: DataFrame, central: DataFrame) -> DataFrame:
+    """(sid, part, sh) of the sets in ``pairs``, one row each, from a pass over the texts.
+
+    A set is read from the row of its least doc_id only.  A fixed-size bitmap of the wanted
+    (set, doc_id) selects these rows; what it lets through besides is not joined with any pair.
+    """
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(central.select("sid", "home"), "sid")
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sid, home = (b.column(i).fill_null(0).to_numpy().view(np.uint64) for i in range(2))
+            yield pa.RecordBatch.from_arrays([pa.array(_home(sid, home).view(np.int64))], names=["k"])
+
+    bits = np.array(C.bitmap(wanted.select("sid", "home").mapInArrow(keyed, "k long"), "k").first()["bits"], np.int64).view(np.uint64)
     last = np.uint64(C.BITMAP_BITS - 1)
+    cuts = _cuts(steps)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
         for b in _slices(batches):
-            owner, _, h, size, sid = _ordered(b.column(0).to_pylist(), steps)
+            owner, key, h, size, sid = _ordered(b.column(1).to_pylist(), steps)
             on = size > 0
-            for spot in (sid & last, (sid >> np.uint64(40)) & last):
+            mark = _home(sid, b.column(0).fill_null(0).to_numpy().view(np.uint64))
+            for spot in (mark & last, (mark >> np.uint64(40)) & last):
                 on &= (bits[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
             begin = np.cumsum(size) - size
             out: list[tuple[int, int, np.ndarray]] = []
@@ -222,14 +251,18 @@ def _fragments(docs: DataFrame, steps: np.ndarray, pairs: DataFrame) -> DataFram
                 s = int(sid[i].view(np.int64))
                 if s not in known:
                     known.add(s)
-                    mine = np.sort(h[begin[i]:begin[i] + size[i]])
-                    cut = np.searchsorted(mine >> np.uint64(62), np.arange(FRAGMENTS + 1))
-                    out += [(s, f, mine[cut[f]:cut[f + 1]].view(np.int64)) for f in range(FRAGMENTS) if cut[f] < cut[f + 1]]
+                    mine = slice(begin[i], begin[i] + size[i])
+                    cut = [0, *np.searchsorted(key[mine], cuts), size[i]]
+                    out += [(s, f, h[mine][cut[f]:cut[f + 1]].view(np.int64)) for f in range(FRAGMENTS) if cut[f] < cut[f + 1]]
             if out:
                 sids, parts, sh = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(parts, pa.int32()), pa.array(sh, pa.list_(pa.int64()))], names=["sid", "part", "sh"])
 
-    return C.materialize(docs.select("text").mapInArrow(rows, "sid long, part int, sh array<long>"), "fragments")
+    found = C.materialize(docs.select("doc_id", "text").mapInArrow(rows, "sid long, part int, sh array<long>"), "fragments")
+    # only rows that share doc_id and text can have given a set twice
+    if found.groupBy("sid", "part").count().filter("count > 1").limit(1).count():
+        found = C.materialize(found.dropDuplicates(["sid", "part"]), "fragments")
+    return found
 
 
 def _need(a: Column, b: Column) -> Column:
@@ -251,7 +284,7 @@ def _size_class(n: Column) -> Column:
     return F.floor(F.log(F.greatest(n, F.lit(1.0))) / F.log(F.lit(CLASS_BASE))).cast("int")
 
 
-def _verify(docs: DataFrame, steps: np.ndarray, sets: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _verify(docs: DataFrame, steps: np.ndarray, sets: DataFrame, central: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Linked (a, b) of candidate pairs (a, n_a, b, n_b), and the fragments of their sets.
 
     The prefixes are counted first.  Linked sets lack few of each other's shingles, so both
@@ -262,24 +295,25 @@ def _verify(docs: DataFrame, steps: np.ndarray, sets: DataFrame, pairs: DataFram
     bits = C.materialize(C.bitmap(pairs.select(F.explode(F.array("a", "b")).alias("s")), "s"), "pair-bits")
     keys = (C.with_bitmap(sets.filter(F.size("keys") > 0), bits, F.col("n")).filter(C.maybe_in(F.col("bits"), F.col("sid")))
             .select("sid", "keys"))
+    # written with one row a set: copies read by many tasks meet no pair more than once
+    keys = C.materialize(keys.dropDuplicates(["sid"]), "pair-prefixes")
     both = (pairs.join(keys.select(F.col("sid").alias("a"), F.col("keys").alias("k_a")), "a")
             .join(keys.select(F.col("sid").alias("b"), F.col("keys").alias("k_b")), "b"))
     least = _need(F.col("n_a"), F.col("n_b")) - F.ceil(PERCENT * F.greatest("n_a", "n_b") / 100) + 1
-    pairs = both.filter(F.size(F.array_intersect("k_a", "k_b")) >= least).select("a", "n_a", "b", "n_b").distinct()
+    pairs = both.filter(F.size(F.array_intersect("k_a", "k_b")) >= least).select("a", "n_a", "b", "n_b")
     pairs = C.materialize(pairs, "near-pairs")
-    fragments = _fragments(docs, steps, pairs)
+    fragments = _fragments(docs, steps, pairs, central)
     side_a = fragments.select(F.col("sid").alias("a"), "part", F.col("sh").alias("sh_a"))
     side_b = fragments.select(F.col("sid").alias("b"), "part", F.col("sh").alias("sh_b"))
     met = pairs.join(side_a, "a").join(side_b, ["b", "part"])
     partial = met.select("a", "b", "part", "n_a", "n_b", F.size(F.array_intersect("sh_a", "sh_b")).alias("k"))
-    # a set that several tasks have read gives equal rows
-    total = partial.distinct().groupBy("a", "b", "n_a", "n_b").agg(F.sum("k").alias("k"))
+    total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("k").alias("k"))
     return total.filter(100 * F.col("k") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("k"))).select("a", "b"), fragments
 
 
 def _pack(table: pa.Table) -> pa.Table:
     """One row of a block: its sets' ids, sizes, copies and shingles, as bytes."""
-    # a set that several rounds or tasks have read gives equal rows
+    # a set that several rounds have read gives equal rows
     row = {k: i for i, k in enumerate(zip(table["sid"].to_pylist(), table["part"].to_pylist(), strict=True))}
     at: dict[int, list[int]] = {}
     for (sid, _), i in row.items():
@@ -403,13 +437,13 @@ def _labelled(docs: DataFrame, count_links: bool) -> DataFrame:
              .select("token", F.struct("c1", "c2").alias("class"), "sid", "n", "at"))
     lists = C.materialize(lists, "postings")
     central = C.materialize(sets.filter("sid IS NOT NULL").groupBy("sid").agg(
-        F.max("common").alias("common"), F.max("n").alias("n"), F.count("*").alias("copies")), "central")
+        F.max("common").alias("common"), F.max("n").alias("n"), F.count("*").alias("copies"), F.min("doc_id").alias("home")), "central")
     lists = C.materialize(lists.join(central.select("sid", "common"), "sid"), "postings")
 
     edges, fragments, rest = None, None, lists
     for _ in range(ROUNDS):
         pivot, pairs = _star(rest)
-        new, parts = _verify(docs, steps, sets, pairs)
+        new, parts = _verify(docs, steps, sets, central, pairs)
         new = C.materialize(new, "links")
         edges = new if edges is None else edges.union(new)
         fragments = parts if fragments is None else fragments.union(parts)
@@ -433,7 +467,7 @@ def _labelled(docs: DataFrame, count_links: bool) -> DataFrame:
             .select(F.least(F.struct("a", "n_a"), F.struct(F.col("b").alias("a"), F.col("n_b").alias("n_a"))).alias("x"),
                     F.greatest(F.struct("a", "n_a"), F.struct(F.col("b").alias("a"), F.col("n_b").alias("n_a"))).alias("y"))
             .select(F.col("x.a").alias("a"), F.col("x.n_a").alias("n_a"), F.col("y.a").alias("b"), F.col("y.n_a").alias("n_b")).distinct())
-    new, parts = _verify(docs, steps, sets, left)
+    new, parts = _verify(docs, steps, sets, central, left)
     edges = C.materialize(edges.union(new).distinct(), "links")
     comps = C.components(edges)
     # only linked sets have a row here; a copy group alone is its own component
@@ -487,7 +521,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linked_components(C.table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return linked_components(C.table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 ORACLE = f"""WITH RECURSIVE s AS ({SHINGLE_SQL.format(id='doc_id', table='documents')}),
@@ -495,5 +529,6 @@ n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
 pairs AS (SELECT a.id AS a, b.id AS b, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.short = b.short AND a.id <> b.id GROUP BY a.id, b.id),
 links AS (SELECT a, b FROM pairs JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
 reach(id, other) AS (SELECT DISTINCT a, b FROM links UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a)
-SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(d.doc_id, coalesce(min(r.other), d.doc_id)) AS component_id
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(d.doc_id, coalesce(min(r.other), d.doc_id)) AS component_id,
+  (SELECT count(*) FROM links WHERE links.a = d.doc_id) AS n_links
 FROM documents d LEFT JOIN n ON n.id = d.doc_id LEFT JOIN reach r ON r.id = d.doc_id GROUP BY d.doc_id"""

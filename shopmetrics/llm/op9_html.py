@@ -21,14 +21,18 @@ without names.
 
 Defined cases: null or empty html gives an empty text; a page without markup is one block;
 a null url is a host of its own (the empty one); repeated rows and null ids each get a row;
-other columns are ignored.  Work is linear in the html; a host with a third of all pages is
-only a larger vote count.
+an empty table gives no rows; other columns are ignored, whatever their names; very long,
+deeply nested or unclosed pages cost time in proportion to their length: every character is
+scanned a fixed number of times, blocks know only their innermost container, and chars are
+added up from the inner containers to the outer ones once.  A header element is left out
+wherever it stands, inside an article too, with the title it may hold.  A host with a third of
+all pages is only a larger vote count.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -39,15 +43,17 @@ from . import common as C
 
 SHARE = 0.6
 NEARLY = 0.95
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|object)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(title)\b[^>]*>.*?(?:</\2\s*>|\Z)"
-    r"|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
-ATTR = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+RAW = re.compile(r"<(script|style|noscript|template|textarea|select|svg|iframe|object|title)\b", re.I)
+TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+DELIMITER = re.compile("[>\"']")
+#: Name and value of an attribute, or a quoted part or character that is none.
+ATTR = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'|.""", re.S)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
                     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul").split())
 DROPPED = frozenset("nav header footer aside form button head dialog menu fieldset label".split())
 CONTAINERS = frozenset("article body div main section td".split())
+INLINE = frozenset("p b i em strong span a u font small".split())
 #: An open one of these ends when the next of its group starts.
 SIBLINGS = {t: g for g in (("li",), ("dt", "dd"), ("tr",), ("td", "th"), ("option",)) for t in g}
 NOTICE = (r"(?:nav(?:bar|igation)?|menu|header|masthead|footer|side-?bar|aside|notice|cookies?|consent|gdpr|banner|ads?|advert(?:s|isement|ising)?|sponsor(?:ed)?"
@@ -56,61 +62,153 @@ NOTICE = (r"(?:nav(?:bar|igation)?|menu|header|masthead|footer|side-?bar|aside|n
 #: May stand beside such a word in one class: site-footer is boilerplate, has-sidebar is a layout.
 NEUTRAL = r"(?:site|top|bottom|left|right|main|primary|secondary|list|box|bar|area|block|\d+)"
 BOILERPLATE = re.compile(rf"(?:^|\s)(?:{NEUTRAL}[_-]+)*{NOTICE}(?:[_-]+(?:{NOTICE}|{NEUTRAL}))*(?:$|\s)", re.I)
-_NAMED = re.compile(r">(?:article|main)(?:[.>]|$)")
 
 
-class Node:
-    """One open element: its tag, generalised path and text counts."""
+class Page:
+    """Containers and blocks of one page.
 
-    __slots__ = ("chars", "depth", "path", "tag")
-
-    def __init__(self, tag: str, path: str, depth: int) -> None:
-        self.tag, self.path, self.depth, self.chars = tag, path, depth, 0
-
-
-def parse(html: str) -> tuple[list[tuple[str, int]], list[Node], list[list[int]]]:
-    """Blocks (text, chars outside links), containers, and each block's containers.
+    Container i has a parent (-1: none), a path number and the chars outside links in it; paths
+    are numbered by (path of the parent, label), so that depth costs nothing.
+    """
 
-    A block's containers are indices into the second list, outermost first.
+    def __init__(self) -> None:
+        self.numbers: dict[tuple[int, str], int] = {(-1, "body"): 0}
+        self.labels: list[tuple[int, str, int, bool]] = [(-1, "body", 0, False)]  # parent path, label, depth, in an article or main
+        self.parent, self.path, self.tag, self.chars = [-1], [0], ["body"], [0]
+        self.blocks: list[tuple[str, int, int]] = []  # text, chars outside links, container
+
+    def open(self, parent: int, tag: str, label: str) -> int:
+        up = self.path[parent]
+        number = self.numbers.setdefault((up, label), len(self.labels))
+        if number == len(self.labels):
+            _, _, depth, inner = self.labels[up]
+            self.labels.append((up, label, depth + 1, inner or self.tag[parent] in ("article", "main")))
+        self.parent.append(parent)
+        self.path.append(number)
+        self.tag.append(tag)
+        self.chars.append(0)
+        return len(self.parent) - 1
+
+    def add_up(self) -> None:
+        """Chars of every container, those of its inner containers included."""
+        for _, chars, node in self.blocks:
+            self.chars[node] += chars
+        for node in range(len(self.parent) - 1, 0, -1):
+            self.chars[self.parent[node]] += self.chars[node]
+
+    def path_text(self, number: int) -> str:
+        steps = []
+        while number >= 0:
+            number, label = self.labels[number][:2]
+            steps.append(label)
+        return ">".join(reversed(steps))
+
+    def path_number(self, path: str | None) -> int:
+        """Number of a path, -1 where the page has none such."""
+        at = -1
+        for label in path.split(">") if path else ():
+            at = self.numbers.get((at, label), -2)
+            if at < 0:
+                return -1
+        return at
+
+
+def tokens(html: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, "/" of an end tag, tag, attributes) of each tag; tag "" of what is only skipped,
+    "!" of a comment or declaration.
+
+    A ``<`` whose tag never ends is text.  Nothing is read twice: the next delimiter is kept, and
+    quotes from which no end was found are remembered.
     """
-    blocks, nodes, inside, spared, named = _scan(html, frozenset(), True)
+    last = html.rfind(">")
+    failed: set[int] = set()
+    seen_from = seen_to = -1  # no delimiter between these places but at the second
+
+    def tag_end(at: int) -> int:
+        nonlocal seen_from, seen_to
+        trail = []
+        while at <= last:
+            if not seen_from <= at <= seen_to:
+                seen_from, seen_to = at, DELIMITER.search(html, at).start()
+            q = seen_to
+            if html[q] == ">":
+                return q
+            shut = -1 if q in failed else html.find(html[q], q + 1)
+            trail.append(q)
+            if shut < 0:
+                break
+            at = shut + 1
+        failed.update(trail)
+        return -1
+
+    at = html.find("<")
+    while at >= 0:
+        raw = RAW.match(html, at)
+        end, tag = -1, None
+        if html.startswith("<!--", at):
+            shut = html.find("-->", at + 4)
+            end, tag = (shut + 3 if shut >= 0 else len(html)), ("", "!", "")
+        elif raw and at < last:
+            inner = html.find(">", raw.end()) + 1
+            shut = re.compile(rf"</{raw[1]}\s*>", re.I).search(html, inner)
+            end, tag = (shut.end() if shut else len(html)), ("", "", "")
+        elif html.startswith(("<!", "<?"), at) and at < last:
+            end, tag = html.find(">", at) + 1, ("", "!", "")
+        elif m := TAG.match(html, at):
+            shut = tag_end(m.end())
+            if shut >= 0:
+                end, tag = shut + 1, (m[1], m[2].lower(), html[m.end():shut])
+        if end > 0:
+            yield at, end, *tag
+        at = html.find("<", max(end, at + 1))
+
+
+def parse(html: str) -> Page:
+    """Blocks and containers of a page, boilerplate parts left out."""
+    page, spared, named = _scan(html, frozenset(), True)
     if spared:
-        blocks, nodes, inside, _, named = _scan(html, spared, True)
-    if named and not blocks:
-        blocks, nodes, inside, _, _ = _scan(html, frozenset(), False)
-    return blocks, nodes, inside
+        page, _, named = _scan(html, spared, True)
+    if named and not page.blocks:
+        page, _, _ = _scan(html, frozenset(), False)
+    page.add_up()
+    return page
 
 
-def _scan(html: str, keep: frozenset[int], names: bool) -> tuple[list[tuple[str, int]], list[Node], list[list[int]], frozenset[int], bool]:
-    """What ``parse`` returns, the places of elements that names dropped wrongly, and whether names dropped any.
+def _scan(html: str, keep: frozenset[int], names: bool) -> tuple[Page, frozenset[int], bool]:
+    """The page, the places of elements that names dropped wrongly, and whether names dropped any.
 
     ``keep`` has places that names must not drop; without ``names`` only tags do.
     """
-    blocks: list[tuple[str, int]] = []
-    nodes = [Node("body", "body", 0)]
-    inside: list[list[int]] = []
-    stack: list[tuple[str, int, bool, int]] = []  # tag, container index or -1, starts a dropped part, index in ``found`` or -1
+    page = Page()
+    stack: list[tuple[str, int, bool, int]] = []  # tag, container or -1, starts a dropped part, index in ``found`` or -1
+    places: dict[str, list[int]] = {}  # of each open tag: where it is on the stack
+    solid: list[int] = []  # where block elements and cells are
     found: list[list[int]] = []  # of each element dropped by name: its place, chars and articles in it
     hard = lost = articles = 0  # open parts dropped by tag; chars dropped by name; main elements and articles
+    kept = 0  # chars of blocks, outside links
     held = [0]
     parts: list[str] = []
     linked = dropped = links = 0
 
     def flush() -> None:
-        nonlocal parts, linked
+        nonlocal parts, linked, kept
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                blocks.append((text, max(0, len(text) - linked)))
-                inside.append(held.copy())
-                for i in held:
-                    nodes[i].chars += blocks[-1][1]
+                page.blocks.append((text, max(0, len(text) - linked), held[-1]))
+                kept += page.blocks[-1][1]
             parts, linked = [], 0
 
+    def nearest(tags: Iterable[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
+
     def close(upto: int) -> None:
         nonlocal dropped, links, hard
         while len(stack) > upto:
             tag, node, drop, place = stack.pop()
+            places[tag].pop()
+            if solid and solid[-1] == len(stack):
+                solid.pop()
             if place >= 0:
                 found[place][1:] = lost - found[place][1], articles - found[place][2]
             hard -= drop and place < 0
@@ -122,29 +220,24 @@ def _scan(html: str, keep: frozenset[int], names: bool) -> tuple[list[tuple[str,
             links -= tag == "a"
 
     at = 0
-    for m in TOKEN.finditer(html):
-        if m.start() > at and not dropped:
-            piece = html[at:m.start()]
+    for start, end, slash, tag, rest in tokens(html):
+        if start > at and not dropped:
+            piece = html[at:start]
             parts.append(piece)
             if links:
                 linked += len(piece)
         elif not hard and not links:
-            lost += sum(map(len, html[at:m.start()].split()))
-        at = m.end()
-        tag = m.group(4)
-        if tag is None:
-            if not dropped and m.group(0)[1] != "!":
+            lost += sum(map(len, html[at:start].split()))
+        at = end
+        if tag in ("", "!"):
+            if not dropped and not tag:
                 parts.append(" ")
             continue
-        tag = tag.lower()
-        if m.group(3):
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-            else:
-                if tag in BLOCKS:
-                    flush()
+        if slash:
+            if places.get(tag):
+                close(places[tag][-1])
+            elif tag in BLOCKS:
+                flush()
             continue
         if tag in VOID:
             if tag == "hr":
@@ -154,43 +247,37 @@ def _scan(html: str, keep: frozenset[int], names: bool) -> tuple[list[tuple[str,
             continue
         if tag in BLOCKS:
             flush()
-            if stack and stack[-1][0] in ("p", "b", "i", "em", "strong", "span", "a", "u", "font", "small"):
-                # a block ends an open paragraph and the inline elements in it
-                i = len(stack)
-                while i and stack[i - 1][0] not in BLOCKS and stack[i - 1][0] not in ("td", "th"):
-                    i -= 1
-                if i and stack[i - 1][0] == "p":
-                    close(i - 1)
+            # a block ends an open paragraph and the inline elements in it
+            if stack and stack[-1][0] in INLINE and solid and stack[solid[-1]][0] == "p":
+                close(solid[-1])
         if tag in SIBLINGS:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in SIBLINGS[tag]:
-                    close(i)
-                    break
-                if stack[i][0] in ("ul", "ol", "table", "dl"):
-                    break
+            i = nearest(SIBLINGS[tag])
+            if i > nearest(("ul", "ol", "table", "dl")):
+                close(i)
         if tag in ("td", "th"):
             parts.append(" ")
         if tag == "html":
             continue
-        attrs = {k.lower(): v.strip("\"'") for k, v in ATTR.findall(m.group(5))} if "=" in m.group(5) else {}
-        named = names and tag not in ("body", "main") and tag not in DROPPED and any(BOILERPLATE.search(v) for v in attrs.values()) and m.start() not in keep
+        attrs = {m[1].lower(): m[2].strip("\"'") for m in ATTR.finditer(rest) if m[2] and m[1].lower() in ("class", "id", "role")} if "=" in rest else {}
+        named = names and tag not in ("body", "main") and tag not in DROPPED and any(BOILERPLATE.search(v) for v in attrs.values()) and start not in keep
         drop = named or tag in DROPPED
         articles += tag in ("article", "main") and not named and not hard
         if drop:
             flush()
-        if m.group(5).endswith("/") and tag not in BLOCKS:
+        if rest.endswith("/") and tag not in BLOCKS:
             continue
         node = -1
         if tag in CONTAINERS and not drop and not dropped and tag != "body":
-            classes = ".".join(re.sub(r"\d+", "#", c) for c in sorted(attrs.get("class", "").split()))
-            up = nodes[held[-1]]
-            nodes.append(Node(tag, f"{up.path}>{tag}{'.' + classes if classes else ''}", up.depth + 1))
-            node = len(nodes) - 1
+            classes = ".".join(re.sub(r"\d+", "#", re.sub("[.>]", "_", c)) for c in sorted(attrs.get("class", "").split()))
+            node = page.open(held[-1], tag, f"{tag}{'.' + classes if classes else ''}")
             held.append(node)
         place = -1
         if named:
             place = len(found)
-            found.append([m.start(), lost, articles])
+            found.append([start, lost, articles])
+        places.setdefault(tag, []).append(len(stack))
+        if tag in BLOCKS or tag in ("td", "th"):
+            solid.append(len(stack))
         stack.append((tag, node, drop, place))
         dropped += drop
         hard += drop and not named
@@ -201,34 +288,35 @@ def _scan(html: str, keep: frozenset[int], names: bool) -> tuple[list[tuple[str,
         lost += sum(map(len, html[at:].split()))
     close(0)
     flush()
-    most = (nodes[0].chars + lost) / 2
-    return blocks, nodes, inside, frozenset(p for p, chars, held_articles in found if held_articles or (not articles and chars > most)), bool(found)
-
-
-def vote(nodes: list[Node]) -> str:
-    """Path of the container that a page alone would choose."""
-    total = nodes[0].chars
-    named: dict[str, int] = {}
-    for n in nodes:
-        if n.tag in ("article", "main"):
-            named[n.path] = named.get(n.path, 0) + n.chars
-    outer = sum(chars for path, chars in named.items() if not _NAMED.search(path.rpartition(">")[0]))
+    most = (kept + lost) / 2
+    return page, frozenset(p for p, chars, held_articles in found if held_articles or (not articles and chars > most)), bool(found)
+
+
+def vote(page: Page) -> int:
+    """Path number of the container that a page alone would choose."""
+    total = page.chars[0]
+    named: dict[int, int] = {}
+    for tag, path, chars in zip(page.tag, page.path, page.chars, strict=True):
+        if tag in ("article", "main"):
+            named[path] = named.get(path, 0) + chars
+    outer = sum(chars for path, chars in named.items() if not page.labels[path][3])
     good = [path for path, chars in named.items() if total and chars >= SHARE * total and chars >= NEARLY * outer]
-    if good:
-        return max(good, key=lambda path: path.count(">"))
-    whole = [n for n in nodes if n.chars == total] if total else nodes[:1]
-    return max(whole, key=lambda n: n.depth).path
+    if not good:
+        good = [path for path, chars in zip(page.path, page.chars, strict=True) if chars == total] if total else [0]
+    return max(good, key=lambda path: page.labels[path][2])
 
 
 def extract(html: str, path: str | None) -> str:
     """Main text: the blocks in containers of ``path``, or of the page's own vote."""
-    blocks, nodes, inside = parse(html)
+    page = parse(html)
 
-    def under(path: str | None) -> list[tuple[str, int]]:
-        wanted = {i for i, n in enumerate(nodes) if n.path == path}
-        return [b for b, own in zip(blocks, inside, strict=True) if wanted.intersection(own)]
+    def under(path: int) -> list[tuple[str, int]]:
+        inside = []  # parents come before what they hold
+        for node, up in enumerate(page.parent):
+            inside.append(page.path[node] == path or (up >= 0 and inside[up]))
+        return [(text, chars) for text, chars, node in page.blocks if inside[node]]
 
-    found, own = under(path), under(vote(nodes))
+    found, own = under(page.path_number(path)), under(vote(page))
     if not found or sum(n for _, n in found) < SHARE * sum(n for _, n in own):
         found = own
     return "\n\n".join(text for text, _ in found)
@@ -242,7 +330,8 @@ def host_paths(pages: DataFrame) -> DataFrame:
     """(host, path): the consensus of each host's pages."""
     def ballots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            paths = [vote(parse(h.as_py() or "")[1]) for h in b.column(1)]
+            pages_of = [parse(h.as_py() or "") for h in b.column(1)]
+            paths = [p.path_text(vote(p)) for p in pages_of]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(paths, pa.string())], names=["host", "path"])
 
     cast = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(ballots, "host string, path string")

@@ -94,7 +94,8 @@ def test_vote_keeps_the_whole_article():
                  f"<div class=a><h1>Title</h1><p>lead</p>{long}</div><div class=b>{short} end</div>",
                  f"<table><tr><td class=x>Title lead {long}</td><td class=y>{short} end</td></tr></table>",
                  f"<main><article class=a>Title lead {long}</article><article class=b>{short} end</article></main>"):
-        text = op9_html.extract(page, op9_html.vote(op9_html.parse(page)[1]))
+        parsed = op9_html.parse(page)
+        text = op9_html.extract(page, parsed.path_text(op9_html.vote(parsed)))
         assert "Title" in text and "lead" in text and "end" in text and text.count("word") == 100, page
     page = f"<div class=teaser><p>short</p></div><article><p>{long}</p></article>"
     assert op9_html.extract(page, "body>div.teaser") == long.strip()
