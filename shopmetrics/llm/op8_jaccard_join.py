@@ -259,10 +259,18 @@ def _fragments(docs: DataFrame, steps: np.ndarray, pairs: DataFrame, central: Da
                 yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(parts, pa.int32()), pa.array(sh, pa.list_(pa.int64()))], names=["sid", "part", "sh"])
 
     found = C.materialize(docs.select("doc_id", "text").mapInArrow(rows, "sid long, part int, sh array<long>"), "fragments")
-    # only rows that share doc_id and text can have given a set twice
-    if found.groupBy("sid", "part").count().filter("count > 1").limit(1).count():
-        found = C.materialize(found.dropDuplicates(["sid", "part"]), "fragments")
-    return found
+    # rows that share doc_id and text, or that the bitmap let through, can have given a set twice
+    twice = C.materialize(found.groupBy(F.col("sid").alias("t_sid"), F.col("part").alias("t_part")).agg(F.count("*").alias("n")).filter("n > 1"), "read-twice")
+    if not twice.limit(1).count():
+        return found
+    same = (F.col("sid") == F.col("t_sid")) & (F.col("part") == F.col("t_part"))
+    return found.join(twice, same, "left_anti").unionByName(found.join(twice, same, "left_semi").dropDuplicates(["sid", "part"]))
+
+
+def _only(rows: DataFrame, wanted: DataFrame, count: str) -> DataFrame:
+    """``rows`` whose sid is among the ids ``wanted`` (one column), and some more, before an exchange."""
+    bits = C.materialize(C.bitmap(wanted.toDF("s"), "s"), "wanted-bits")
+    return C.with_bitmap(rows, bits, F.col(count)).filter(C.maybe_in(F.col("bits"), F.col("sid"))).drop("bits")
 
 
 def _need(a: Column, b: Column) -> Column:
@@ -292,19 +300,19 @@ def _verify(docs: DataFrame, steps: np.ndarray, sets: DataFrame, central: DataFr
     is done.
     """
     pairs = C.materialize(pairs, "candidates")
-    bits = C.materialize(C.bitmap(pairs.select(F.explode(F.array("a", "b")).alias("s")), "s"), "pair-bits")
-    keys = (C.with_bitmap(sets.filter(F.size("keys") > 0), bits, F.col("n")).filter(C.maybe_in(F.col("bits"), F.col("sid")))
-            .select("sid", "keys"))
-    # written with one row a set: copies read by many tasks meet no pair more than once
-    keys = C.materialize(keys.dropDuplicates(["sid"]), "pair-prefixes")
-    both = (pairs.join(keys.select(F.col("sid").alias("a"), F.col("keys").alias("k_a")), "a")
-            .join(keys.select(F.col("sid").alias("b"), F.col("keys").alias("k_b")), "b"))
+    keys = sets.filter(F.size("keys") > 0).select("sid", "n", "keys")
+    # one row a set, so that copies read by many tasks meet no pair more than once; that of b is
+    # written, since a pivot may have very many pairs, which Spark can then split
+    keys_a = _only(keys, pairs.select("a"), "n").dropDuplicates(["sid"])
+    keys_b = C.materialize(_only(keys, pairs.select("b"), "n").dropDuplicates(["sid"]), "pair-prefixes")
+    both = (pairs.join(keys_a.select(F.col("sid").alias("a"), F.col("keys").alias("k_a")), "a")
+            .join(keys_b.select(F.col("sid").alias("b"), F.col("keys").alias("k_b")), "b"))
     least = _need(F.col("n_a"), F.col("n_b")) - F.ceil(PERCENT * F.greatest("n_a", "n_b") / 100) + 1
     pairs = both.filter(F.size(F.array_intersect("k_a", "k_b")) >= least).select("a", "n_a", "b", "n_b")
     pairs = C.materialize(pairs, "near-pairs")
     fragments = _fragments(docs, steps, pairs, central)
-    side_a = fragments.select(F.col("sid").alias("a"), "part", F.col("sh").alias("sh_a"))
-    side_b = fragments.select(F.col("sid").alias("b"), "part", F.col("sh").alias("sh_b"))
+    side_a = _only(fragments, pairs.select("a"), "part").select(F.col("sid").alias("a"), "part", F.col("sh").alias("sh_a"))
+    side_b = _only(fragments, pairs.select("b"), "part").select(F.col("sid").alias("b"), "part", F.col("sh").alias("sh_b"))
     met = pairs.join(side_a, "a").join(side_b, ["b", "part"])
     partial = met.select("a", "b", "part", "n_a", "n_b", F.size(F.array_intersect("sh_a", "sh_b")).alias("k"))
     total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("k").alias("k"))
@@ -386,7 +394,8 @@ def _count_links(members: DataFrame, fragments: DataFrame) -> DataFrame:
     members = members.join(cells, (F.col("comp") == F.col("l_comp")) & (F.col("class") == F.col("l_class"))).select(
         F.col("sid").alias("m_sid"), "comp", "n", "copies", "class", F.pmod(F.xxhash64("sid"), F.col("blocks")).alias("block"))
     members = C.materialize(members, "members")
-    blocks = C.materialize(fragments.join(members, F.col("sid") == F.col("m_sid")).drop("m_sid").groupBy("comp", "class", "block").applyInArrow(
+    linked = _only(fragments, members.select("m_sid"), "part")
+    blocks = C.materialize(linked.join(members, F.col("sid") == F.col("m_sid")).drop("m_sid").groupBy("comp", "class", "block").applyInArrow(
         _pack, "comp long, class int, block long, low long, high long, sids binary, sizes binary, copies binary, shingles binary"), "blocks")
     place = F.struct("class", "block")
     a = blocks.select("comp", place.alias("a"), F.col("low").alias("low_a"), F.col("high").alias("high_a"))
