@@ -16,8 +16,9 @@ scanned anew for all blobs, and no other rule is.
 The ledger is a Parquet folder that only grows; it lives in shared storage, so a lost
 executor costs only its running tasks.  One copy of a blob is chosen through its smallest
 path, so copies never gather in one task.  Defined cases: a null text is the empty blob,
-with no findings; repeated rows and null ids each get a result row; ties cannot matter,
-since equal blobs have equal findings; other columns are ignored.
+with no findings; very long texts are scanned whole; repeated rows and null ids each get a
+result row; ties cannot matter, since equal blobs have equal findings; an empty table gives no
+rows; other columns are ignored (``redact`` keeps them).
 """
 
 from __future__ import annotations
@@ -42,7 +43,8 @@ RULES: dict[str, tuple[int, str]] = {
     "jwt": (1, r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}"),
 }
 BASE = ["assign", "access", "hex"]
-FINDING = "array<struct<start:int,ord:int,end:int,kind:string,hit:string>>"
+#: Places and a hash of the hit: the ledger never holds a secret itself.
+FINDING = "array<struct<start:int,ord:int,end:int,kind:string,hit_sha256:string>>"
 
 
 def _valid(rule: str, hit: Column) -> Column:
@@ -54,7 +56,8 @@ def findings_of(text: Column, rule: str) -> Column:
     pattern = RULES[rule][1]
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     found = C.match_spans(hits, text, pattern, rule, list(RULES).index(rule))
-    return F.filter(found, lambda s: _valid(rule, s["hit"]))
+    return F.transform(F.filter(found, lambda s: _valid(rule, s["hit"])), lambda s: F.struct(
+        *[s[k].alias(k) for k in ("start", "ord", "end", "kind")], F.sha2(s["hit"], 256).alias("hit_sha256")))
 
 
 def _ledger(spark: SparkSession, folder: str) -> DataFrame:
