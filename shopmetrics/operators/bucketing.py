@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopmetrics.operators.selection import Order, linear_quantiles, rows_at
 from shopmetrics.session import ensure_checkpoint_dir
 
 _PID, _POS = "_rank_pid", "_rank_pos"
@@ -97,38 +98,29 @@ def qcut_rank(df: DataFrame, order: list, k: int, out_col: str) -> DataFrame:
 
 
 def exact_percentiles(df: DataFrame, col: str, probs: list[float]) -> list[float | None]:
-    """Exact linear-interpolated quantiles (numpy default / ``quantile_cont``).
-
-    Spark's ``percentile`` aggregate merges value->count maps, so its memory
-    grows with the number of *distinct* values, not rows: right for integer
-    day counts and scores.  For continuous money columns at large n use
-    :func:`rank_percentiles`, which finds the order statistics by global
-    rank instead."""
-    row = df.agg(F.percentile(F.col(col).cast("double"), F.array(*[F.lit(p) for p in probs]))
-                 .alias("q")).first()
-    return list(row["q"]) if row and row["q"] is not None else [None] * len(probs)
-
-
-def rank_percentiles(df: DataFrame, col: str, id_col: str, probs: list[float]) -> list[float | None]:
-    """Exact linear quantiles through the global rank: only the <= 2 order
-    statistics per probability are fetched to the driver."""
-    base = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("_v"), id_col)
-    ranked, n = global_rank(base, [F.col("_v"), F.col(id_col)], "_r")
-    if n == 0:
-        return [None] * len(probs)
-    wanted = {}
-    for p in probs:
-        pos = p * (n - 1)
-        lo = int(pos)
-        wanted[p] = (lo, min(lo + 1, n - 1), pos - lo)
-    need = sorted({x for lo, hi, _ in wanted.values() for x in (lo + 1, hi + 1)})
-    vals = {r["_r"]: r["_v"] for r in ranked.where(F.col("_r").isin(need)).select("_r", "_v").collect()}
-    out = []
-    for p in probs:
-        lo, hi, frac = wanted[p]
-        a, b = vals[lo + 1], vals[hi + 1]
-        out.append(a + (b - a) * frac)
-    return out
+    """Exact linear-interpolated quantiles (numpy default / ``quantile_cont``) of any column: found by
+    ``selection``, from sketches and exact counts over the column, written once for its rounds."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return linear_quantiles(df.select(col).checkpoint(), {col: probs})[col]
+
+
+def bucket_of(order: Order, starts: list[tuple]) -> Column:
+    """Bucket of a row, given the first row of every bucket but the first, as (value, id)."""
+    expr = None
+    for bucket, (value, id_) in enumerate(starts, start=1):
+        before = precedes(order.keys(), {order.value: value, order.id: id_})
+        expr = F.when(before, bucket) if expr is None else expr.when(before, bucket)
+    return (F.lit(1) if expr is None else expr.otherwise(len(starts) + 1)).cast("int")
+
+
+def buckets(df: DataFrame, wanted: dict[str, tuple[Order, object]]) -> DataFrame:
+    """Several bucketings of one frame (K1, K2) without a sort: the bucket boundaries of all orders
+    are searched together (``selection.rows_at``), then one projection compares each row with them.
+
+    ``wanted``: output column -> (order, first ranks of the buckets: ``ntile_starts(k)`` or
+    ``qcut_starts(k)``).  ``df`` should be materialised: each round of the search reads it."""
+    starts, _ = rows_at(df, wanted)
+    return df.withColumns({name: bucket_of(order, starts[name]) for name, (order, _) in wanted.items()})
 
 
 def qcut_values_expr(value, edges: list[float], labels: list) -> Column:

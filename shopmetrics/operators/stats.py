@@ -2,9 +2,9 @@
 box-plot statistics, share of total).
 
 Only scalars (quantiles, min/max) and bin counts reach the driver; every
-pass over the rows is an aggregation on the executors.  Quantiles of
-continuous columns use the global-rank order statistics
-(``bucketing.rank_percentiles``), which stay exact at any row count.
+pass over the rows is an aggregation on the executors.  Quantiles come from
+``selection``: sketches narrow them down, exact counts decide, at any row
+count.  Pass materialised frames: these functions read them several times.
 """
 
 from __future__ import annotations
@@ -13,21 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopmetrics.functions.core import half_even, half_up
-from shopmetrics.operators.bucketing import exact_percentiles, rank_percentiles
+from shopmetrics.operators.selection import linear_quantiles
 
 
-def quantiles(df: DataFrame, col: str, probs: list[float], id_col: str | None = None) -> list:
-    """Exact linear quantiles: by global rank when an id column is given
-    (continuous values), else by the value-count ``percentile`` aggregate."""
-    if id_col is not None:
-        return rank_percentiles(df, col, id_col, probs)
-    return exact_percentiles(df, col, probs)
-
-
-def describe(df: DataFrame, col: str, id_col: str | None = None, ndigits: int = 2) -> DataFrame:
+def describe(df: DataFrame, col: str, ndigits: int = 2) -> DataFrame:
     """pandas ``Series.describe().round(n)``: count, mean, std, min, 25%,
     50%, 75%, max (sample std; linear quantiles)."""
-    q25, q50, q75 = quantiles(df, col, [0.25, 0.5, 0.75], id_col)
+    q25, q50, q75 = linear_quantiles(df, {col: [0.25, 0.5, 0.75]})[col]
     x = F.col(col)
     agg = df.agg(F.count(x).cast("bigint").alias("count"), F.avg(x).alias("_mean"),
                  F.stddev_samp(x.cast("double")).alias("_std"), F.min(x).alias("_min"), F.max(x).alias("_max"))
@@ -42,9 +34,9 @@ def describe(df: DataFrame, col: str, id_col: str | None = None, ndigits: int =
         half_even("_max", ndigits).alias("max"))
 
 
-def trim_at_quantile(df: DataFrame, col: str, q: float, id_col: str | None = None) -> DataFrame:
+def trim_at_quantile(df: DataFrame, col: str, q: float) -> DataFrame:
     """Rows with ``col <= quantile(col, q)`` (p99 / p95 trims)."""
-    cut = quantiles(df, col, [q], id_col)[0]
+    cut = linear_quantiles(df, {col: [q]})[col][0]
     return df.where(F.col(col).cast("double") <= F.lit(cut))
 
 
@@ -81,10 +73,10 @@ def histogram(df: DataFrame, col: str, bins: int, label: str | None = None) -> D
     return out
 
 
-def boxplot_stats(df: DataFrame, col: str, id_col: str | None = None, whis: float = 1.5) -> DataFrame:
+def boxplot_stats(df: DataFrame, col: str, whis: float = 1.5) -> DataFrame:
     """matplotlib box-plot statistics: quartiles, whiskers at the most extreme
     values within ``whis * IQR``, and the outlier count."""
-    q1, med, q3 = quantiles(df, col, [0.25, 0.5, 0.75], id_col)
+    q1, med, q3 = linear_quantiles(df, {col: [0.25, 0.5, 0.75]})[col]
     iqr = q3 - q1
     lo_fence, hi_fence = q1 - whis * iqr, q3 + whis * iqr
     x = F.col(col).cast("double")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shopmetrics.functions.core import half_up, month_start, pct
 from shopmetrics.operators import stats
 from shopmetrics.plans.common import delivered_orders, payments_per_order
+from shopmetrics.session import ensure_checkpoint_dir
 from shopmetrics.sources.binding import Star
 
 HIST_BINS = 60
@@ -44,12 +45,18 @@ def order_values(st: Star) -> DataFrame:
     return payments_per_order(st).select("order_id", half_up("pay_sum", 2).alias("order_value"))
 
 
+def order_values_once(st: Star) -> DataFrame:
+    """The order values written once: quantiles, ranges and bins each read them."""
+    ensure_checkpoint_dir(st.fact_orders.sparkSession)
+    return order_values(st).checkpoint()
+
+
 def order_value_describe(st: Star) -> DataFrame:
-    return stats.describe(order_values(st), "order_value", id_col="order_id")
+    return stats.describe(order_values_once(st), "order_value")
 
 
 def order_value_trim_p99(st: Star) -> DataFrame:
-    return stats.trim_at_quantile(order_values(st), "order_value", 0.99, id_col="order_id")
+    return stats.trim_at_quantile(order_values_once(st), "order_value", 0.99)
 
 
 def order_value_histogram(st: Star) -> DataFrame:
@@ -57,7 +64,7 @@ def order_value_histogram(st: Star) -> DataFrame:
 
 
 def order_value_boxplot(st: Star) -> DataFrame:
-    return stats.boxplot_stats(order_value_trim_p99(st), "order_value", id_col="order_id")
+    return stats.boxplot_stats(order_value_trim_p99(st), "order_value")
 
 
 def eda_top_categories(st: Star, k: int = 15) -> DataFrame:
@@ -97,12 +104,11 @@ def eda_state_top12(st: Star, k: int = 12) -> DataFrame:
 
 
 def monetary_describe(features: DataFrame) -> DataFrame:
-    return stats.describe(features, "monetary", id_col="customer_unique_id")
+    return stats.describe(features, "monetary")
 
 
 def monetary_trim_p95(features: DataFrame) -> DataFrame:
-    return stats.trim_at_quantile(features.select("customer_unique_id", "monetary"), "monetary", 0.95,
-                                  id_col="customer_unique_id")
+    return stats.trim_at_quantile(features.select("customer_unique_id", "monetary"), "monetary", 0.95)
 
 
 def monetary_histograms(features: DataFrame) -> DataFrame:

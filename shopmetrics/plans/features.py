@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmetrics.functions.core import half_even, half_up, whole_days
-from shopmetrics.operators.bucketing import (
-    exact_percentiles, global_rank, qcut_rank_from_rank, qcut_values_expr,
-)
+from shopmetrics.operators.bucketing import buckets, exact_percentiles, qcut_values_expr
+from shopmetrics.operators.selection import Order, linear_quantiles, qcut_starts
 from shopmetrics.plans.common import delivered_orders, payments_per_order, reviews_per_order
 from shopmetrics.plans.rfm import CUID, customer_order_stats, segment_expr
+from shopmetrics.session import ensure_checkpoint_dir
 from shopmetrics.sources.binding import Star
 
 # Model feature lists.
@@ -119,10 +119,11 @@ def feature_matrix(st: Star, as_of: _dt.datetime | None = None,
                    churn_quantile: float = CHURN_QUANTILE) -> DataFrame:
     """J4 + J5: merged, imputed and derived features plus the churn label
     (recency strictly above its linear-interpolated quantile)."""
-    # The label's quantile only needs recency: taken from the cheaper RFM
-    # aggregate (same customers, same recency), not from the merged plan.
-    threshold = churn_threshold(rfm_feature_base(st, as_of), churn_quantile)
-    df = (customer_activity(st, as_of).join(category_features(st), CUID, "left")
+    # The facts are read once: the label's quantile comes from the written activity.
+    ensure_checkpoint_dir(st.fact_orders.sparkSession)
+    activity = customer_activity(st, as_of).checkpoint()
+    threshold = linear_quantiles(activity, {"recency_days": [churn_quantile]})["recency_days"][0]
+    df = (activity.join(category_features(st), CUID, "left")
           .fillna({"review_count": 0, "avg_review_score": 3.0, "unique_categories": 1,
                    "std_order_value": 0.0}))
     age = whole_days("last_purchase_date", "first_purchase_date")
@@ -140,8 +141,7 @@ def feature_matrix(st: Star, as_of: _dt.datetime | None = None,
 
 
 def churn_threshold(df: DataFrame, q: float = CHURN_QUANTILE) -> float | None:
-    """Linear-interpolated quantile of recency (integer days: the exact
-    ``percentile`` aggregate holds one counter per distinct day)."""
+    """Linear-interpolated quantile of recency ."""
     return exact_percentiles(df, "recency_days", [q])[0]
 
 
@@ -156,14 +156,12 @@ def rfm_segments_features(features: DataFrame) -> DataFrame:
 
     r: qcut of recency values (labels 5..1, recent = 5, duplicate edges raise);
     f, m: qcut of the first-occurrence rank (ties broken by customer id)."""
-    # rank first: the checkpointed result then feeds the recency edges, so
-    # the feature plan is evaluated once
-    df, n = global_rank(features, [F.asc_nulls_last("frequency"), F.col(CUID)], "_f_rank")
-    df = df.withColumn("f_score", qcut_rank_from_rank("_f_rank", n, 5)).drop("_f_rank")
-    edges = exact_percentiles(df, "recency_days", [j / 5 for j in range(6)])
+    ensure_checkpoint_dir(features.sparkSession)
+    once = features.checkpoint()
+    edges = linear_quantiles(once, {"recency_days": [j / 5 for j in range(6)]})["recency_days"]
+    df = buckets(once, {"f_score": (Order("frequency", id=CUID), qcut_starts(5)),
+                        "m_score": (Order("monetary", id=CUID), qcut_starts(5))})
     df = df.withColumn("r_score", qcut_values_expr("recency_days", edges, [5, 4, 3, 2, 1]).cast("int"))
-    df, n = global_rank(df, [F.asc_nulls_last("monetary"), F.col(CUID)], "_m_rank")
-    df = df.withColumn("m_score", qcut_rank_from_rank("_m_rank", n, 5)).drop("_m_rank")
     return df.withColumn("rfm_segment", segment_expr())
 
 

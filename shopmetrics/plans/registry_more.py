@@ -9,7 +9,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shopmetrics.functions.core import half_even, half_up
-from shopmetrics.operators.bucketing import cut_fixed_expr, ntile
+from shopmetrics.operators.bucketing import buckets, cut_fixed_expr
+from shopmetrics.operators.selection import Order, ntile_starts
 from shopmetrics.plans import features as feat
 from shopmetrics.plans import rfm
 from shopmetrics.plans.common import payments_per_order
@@ -62,7 +63,8 @@ def _rfm_summary(spark, sf_dir):
 @register("ntile_distributed", RFM_SQL["ntile_distributed"])
 def _ntile_distributed(spark, sf_dir):
     ov = payments_per_order(_st(spark, sf_dir)).select("order_id", F.col("pay_sum").alias("v"))
-    out = ntile(ov, [F.col("v"), F.col("order_id")], 10, "decile")
+    ensure_checkpoint_dir(spark)
+    out = buckets(ov.checkpoint(), {"decile": (Order("v", id="order_id"), ntile_starts(10))})
     return out.select("order_id", half_up("v", 2).alias("order_value"), "decile")
 
 

@@ -180,24 +180,28 @@ def first_purchase(st: Star) -> DataFrame:
 
 
 def monthly_activity(st: Star) -> DataFrame:
-    """customer_unique_id, activity_month, monthly_revenue (paid, delivered)."""
+    """customer_unique_id, activity_month, cohort_month (the customer's first such month), paid,
+    monthly_revenue: one row for each month in which a customer has a delivered order."""
     o = delivered_orders(st, "customer_id", "purchase_date")
-    c = st.dim_customers.select("customer_id", "customer_unique_id")
-    b = o.join(payments_per_order(st), "order_id").join(c, "customer_id")
-    return (b.groupBy("customer_unique_id", month_start("purchase_date").alias("activity_month"))
-            .agg(F.round(F.sum("pay_sum"), 2).alias("monthly_revenue")))
+    c = st.dim_customers.where("customer_unique_id is not null").select("customer_id", "customer_unique_id")
+    b = o.where("purchase_date is not null").join(c, "customer_id").join(payments_per_order(st), "order_id", "left")
+    months = (b.groupBy("customer_unique_id", month_start("purchase_date").alias("activity_month"))
+              .agg(F.count("pay_rows").alias("_paid"), F.round(F.sum("pay_sum"), 2).alias("monthly_revenue")))
+    # a customer has one row a month here, so these windows are as long as the calendar
+    first = F.min("activity_month").over(Window.partitionBy("customer_unique_id"))
+    return months.select("customer_unique_id", "activity_month", first.alias("cohort_month"),
+                         (F.col("_paid") > 0).alias("paid"), "monthly_revenue")
 
 
 def cohort_data(st: Star) -> DataFrame:
-    """cohort_month, month_number, active_customers, cohort_revenue."""
-    fp = first_purchase(st)
-    ma = monthly_activity(st)
-    j = fp.join(ma, (fp.customer_unique_id == ma.customer_unique_id)
-                & (ma.activity_month >= fp.cohort_month))
-    # (customer, month) is unique in ``ma`` and customer unique in ``fp``, so
-    # each row is a distinct customer of its (cohort, month) cell.
-    return (j.groupBy("cohort_month", month_diff("activity_month", "cohort_month").cast("int")
-                      .alias("month_number"))
+    """cohort_month, month_number, active_customers, cohort_revenue.
+
+    One scan of orders, customers and payments gives both the cohort (first delivered month, paid or
+    not) and the activity (paid months).  A customer has one row a month, so each row is a distinct
+    customer of its (cohort, month) cell."""
+    active = monthly_activity(st).where("paid")
+    return (active.groupBy("cohort_month", month_diff("activity_month", "cohort_month").cast("int")
+                           .alias("month_number"))
             .agg(F.count(F.lit(1)).cast("bigint").alias("active_customers"),
                  F.sum("monthly_revenue").alias("_rev")))
 

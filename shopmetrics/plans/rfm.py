@@ -1,7 +1,7 @@
 """RFM scoring.
 
-order totals -> per-customer RFM aggregates -> three distributed NTILE(5)
-scores -> eight-way segment rule.  Ties in every ordering are broken by
+order totals -> per-customer RFM aggregates -> three NTILE(5) scores by
+boundary search -> eight-way segment rule.  Ties in every ordering are broken by
 ``customer_unique_id`` (the reference leaves them to the engine).
 """
 
@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopmetrics.functions.core import as_of_lit, half_up, pct, whole_days
-from shopmetrics.operators.bucketing import ntile
+from shopmetrics.operators.bucketing import buckets
+from shopmetrics.operators.selection import Order, ntile_starts
 from shopmetrics.plans.common import delivered_orders, payments_per_order
+from shopmetrics.session import ensure_checkpoint_dir
 from shopmetrics.sources.binding import Star
 
 CUID = "customer_unique_id"
@@ -77,10 +79,13 @@ def rfm_scored(st: Star, as_of: _dt.datetime | None = None) -> DataFrame:
 
 
 def _score(raw: DataFrame) -> DataFrame:
-    scored = ntile(raw, [F.desc_nulls_first("recency_days"), F.col(CUID)], 5, "r_score")
-    scored = ntile(scored, [F.asc_nulls_last("frequency"), F.col(CUID)], 5, "f_score")
-    scored = ntile(scored, [F.asc_nulls_last("monetary_dec"), F.col(CUID)], 5, "m_score")
-    return scored
+    """The customers are written once; the twelve boundaries of the three orders are searched in
+    them together, and one projection gives all scores."""
+    ensure_checkpoint_dir(raw.sparkSession)
+    return buckets(raw.checkpoint(), {
+        "r_score": (Order("recency_days", ascending=False, nulls_first=True, id=CUID), ntile_starts(5)),
+        "f_score": (Order("frequency", id=CUID), ntile_starts(5)),
+        "m_score": (Order("monetary_dec", id=CUID), ntile_starts(5))})
 
 
 def rfm_labelled(st: Star, as_of: _dt.datetime | None = None) -> DataFrame:
@@ -115,7 +120,6 @@ def rfm_top_customers(st: Star, k: int = 20, as_of=None) -> DataFrame:
     are ranked, by counting in one aggregation pass the customers that sort
     before each of them (``ranks_of_rows``): exactly the NTILE of a full
     ranking, at every size."""
-    from shopmetrics.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(st_spark(st))
     raw = rfm_raw(st, as_of).checkpoint()
     out_cols = [CUID, "recency_days", "frequency", "monetary", "avg_order_value",

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmetrics.functions.core import half_even
-from shopmetrics.operators.bucketing import cut_fixed_expr, qcut_values_expr, rank_percentiles
+from shopmetrics.operators.bucketing import cut_fixed_expr, exact_percentiles, qcut_values_expr
 from shopmetrics.plans import features as feat
 from shopmetrics.plans import modeling as ml
 from shopmetrics.session import ensure_checkpoint_dir
@@ -83,9 +83,9 @@ def churn_predictions(run: dict) -> DataFrame:
         F.current_timestamp().alias("predicted_at"))
 
 
-def clv_tiers_expr(df: DataFrame, value_col: str, id_col: str = CUID):
-    """Quartile tiers of a money column (exact edges by global rank)."""
-    edges = rank_percentiles(df, value_col, id_col, [0.0, 0.25, 0.5, 0.75, 1.0])
+def clv_tiers_expr(df: DataFrame, value_col: str):
+    """Quartile tiers of a money column (exact edges)."""
+    edges = exact_percentiles(df, value_col, [0.0, 0.25, 0.5, 0.75, 1.0])
     return qcut_values_expr(value_col, edges, CLV_TIER_LABELS)
 
 
