@@ -7,13 +7,14 @@ ones at given ranks.  ``rows_at`` finds them for several orders at once:
 2. a round narrows the part of the order that can hold each wanted rank (its *scope*): a mergeable
    sketch (``percentile_approx``) proposes pivots just around the rank, then exact counts below and
    at every pivot tell the cell between two pivots, or the pivot itself, that holds it;
-3. where the scope is one value, the search goes on among its rows by the id, seven bytes a time;
+3. where the scope is one value, the search goes on among its rows by the id, three characters a time;
 4. a scope of at most ``FETCH`` rows is read and sorted.
 
 The sketch only guides: the counts are exact, so a bad pivot costs a round and never a wrong row.
 Each scope shrinks to some 1/2500 of itself a round, and one pivot a round is a row picked by hash,
 so that a round always gets closer.  No row is shuffled or sorted; the driver holds the pivots and
-at most ``FETCH`` rows a wanted rank.  Callers pass a materialised frame, as every round reads it.
+at most ``FETCH`` rows a scope.  The rounds read the key columns from a cache, released at the end;
+callers pass a checkpointed frame, so that a lost executor costs only a read.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from __future__ import annotations
 import functools
 import math
 import operator
+import os
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,13 +34,13 @@ from pyspark.sql import types as T
 FETCH = 2048
 #: ``percentile_approx``: ranks are off by at most rows / ACCURACY.
 ACCURACY = 10_000
-#: Bytes of a string id compared at a time (they fit a long).
-ID_BYTES = 7
+#: Characters of a string id compared at a time: three code points of 21 bits fit a long.
+ID_CHARACTERS, CHARACTER_BITS = 3, 21
 
 
 @dataclass(frozen=True)
 class Order:
-    """A total order: a value column, then an ascending unique id (a null string id comes first).
+    """A total order: a value column, then an ascending unique id (a null string id counts as the empty one; ids hold no NUL).
     Without an id only the value at a rank is asked for.  Nulls of the value come first or last."""
 
     value: str
@@ -58,41 +61,70 @@ class _Search:
     rank: int
     rows: int
     where: list[Column] = field(default_factory=list)
-    level: int = 0                # 0: the value; from 1 on: bytes of the id
+    level: int = 0                # 0: the value; from 1 on: characters of the id
     found: tuple | None = None
+    prefix: str = ""              # what all ids in the scope start with, once that is known
     path: tuple = ()              # the cells taken; searches of one order and path share a scope
 
     def scope(self) -> Column:
         return functools.reduce(operator.and_, self.where, F.lit(True))
 
 
-def _code(search: _Search, id_types: dict, shared: dict) -> Column:
-    """What this level compares: the value, a number id, or the next bytes of a string id."""
-    order = search.order
-    if search.level == 0:
-        return F.col(order.value)
-    if not isinstance(id_types[order.id], T.StringType):
-        return F.col(order.id)
-    first = 2 * (shared[order.id] + (search.level - 1) * ID_BYTES) + 1
-    digits = F.substring(F.hex(F.encode(F.col(order.id), "UTF-8")), first, 2 * ID_BYTES)
-    return F.coalesce(F.conv(F.rpad(digits, 2 * ID_BYTES, "0"), 16, 10).cast("bigint"), F.lit(0))
+class _Key:
+    """What one level of a search compares: the value, a number id, or the next characters of a
+    string id.  Sketches need a number (``code``); conditions compare the strings themselves."""
 
+    def __init__(self, search: _Search, id_types: dict, shared: dict):
+        order = search.order
+        self.text = search.level > 0 and isinstance(id_types[order.id], T.StringType)
+        if not self.text:
+            self.code = F.col(order.id if search.level else order.value)
+            return
+        self.id, self.prefix = _text(order.id), search.prefix or shared[order.id]
+        self.code = F.lit(0).cast("bigint")
+        for at in range(len(self.prefix) + 1, len(self.prefix) + 1 + ID_CHARACTERS):     # 0 beyond the end
+            self.code = self.code * F.lit(1 << CHARACTER_BITS) + F.ascii(F.substring(self.id, at, 1))
 
-def _shared_bytes(low: str | None, high: str | None) -> int:
-    """Bytes that every id starts with, as the least and the greatest do."""
-    a, b = (low or "").encode(), (high or "").encode()
-    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    def start(self, pivot: int) -> str:
+        """The start of the ids with this code: the whole id if it ends within these characters."""
+        points = [(pivot >> CHARACTER_BITS * i) % (1 << CHARACTER_BITS) for i in reversed(range(ID_CHARACTERS))]
+        return self.prefix + "".join(chr(point) for point in points if point)
+
+    def ends(self, pivot: int) -> bool:
+        return pivot % (1 << CHARACTER_BITS) == 0
+
+    def below(self, pivot) -> Column:
+        return self.id < F.lit(self.start(pivot)) if self.text else self.code < F.lit(pivot)
+
+    def at(self, pivot) -> Column:
+        if not self.text:
+            return self.code == F.lit(pivot)
+        return self.id == F.lit(self.start(pivot)) if self.ends(pivot) else self.id.startswith(F.lit(self.start(pivot)))
+
+    def above(self, pivot) -> Column:
+        if not self.text:
+            return self.code > F.lit(pivot)
+        return (self.id > F.lit(self.start(pivot))) & ~self.at(pivot)
+
+
+def _text(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(""))
+
+
+def _shared_start(low: str | None, high: str | None) -> str:
+    """What every id starts with, as the least and the greatest do."""
+    return os.path.commonprefix([low or "", high or ""])
 
 
 def _start(df: DataFrame, wanted: dict[str, tuple[Order, object]]) -> tuple[dict, dict, int]:
-    """The searches of every order, the bytes shared by all ids of a column, the row count."""
+    """The searches of every order, what all ids of a column start with, the row count."""
     ids = {o.id for o, _ in wanted.values() if o.id and isinstance(df.schema[o.id].dataType, T.StringType)}
     aggregates = [F.count(F.lit(1)).alias("n")]
     aggregates += [F.count(F.col(o.value)).alias(f"v{i}") for i, (o, _) in enumerate(wanted.values())]
     for i, name in enumerate(sorted(ids)):
-        aggregates += [F.min(name).alias(f"a{i}"), F.max(name).alias(f"b{i}")]
+        aggregates += [F.min(_text(name)).alias(f"a{i}"), F.max(_text(name)).alias(f"b{i}")]
     row = df.agg(*aggregates).first()
-    shared = {name: _shared_bytes(row[f"a{i}"], row[f"b{i}"]) for i, name in enumerate(sorted(ids))}
+    shared = {name: _shared_start(row[f"a{i}"], row[f"b{i}"]) for i, name in enumerate(sorted(ids))}
     searches = {}
     for i, (name, (order, ranks)) in enumerate(wanted.items()):
         there, nulls = row[f"v{i}"], row["n"] - row[f"v{i}"]
@@ -108,10 +140,10 @@ def _start(df: DataFrame, wanted: dict[str, tuple[Order, object]]) -> tuple[dict
     return searches, shared, row["n"]
 
 
-def _pivots(df: DataFrame, groups: list[list[_Search]], codes: list[Column], turn: int) -> list[list]:
+def _pivots(df: DataFrame, groups: list[list[_Search]], keys: list[_Key], turn: int) -> list[list]:
     """Values in each scope around its wanted ranks, by a sketch, and one more by hash."""
     aggregates = []
-    for i, (group, code) in enumerate(zip(groups, codes)):
+    for i, (group, key) in enumerate(zip(groups, keys)):
         order, scope, shares = group[0].order, group[0].scope(), []
         for search in group:
             at = (search.rank - 0.5) / search.rows
@@ -119,25 +151,25 @@ def _pivots(df: DataFrame, groups: list[list[_Search]], codes: list[Column], tur
                 at = 1 - at
             shares += [min(1.0, max(0.0, at + step * 2 / ACCURACY)) for step in (-1, 0, 1)]
         salt = F.xxhash64(F.col(order.id or order.value), F.lit(turn))
-        aggregates += [F.percentile_approx(F.when(scope, code), shares, ACCURACY).alias(f"q{i}"),
-                       F.min_by(code, F.when(scope, salt)).alias(f"h{i}")]
+        aggregates += [F.percentile_approx(F.when(scope, key.code), shares, ACCURACY).alias(f"q{i}"),
+                       F.min_by(key.code, F.when(scope, salt)).alias(f"h{i}")]
     row = df.agg(*aggregates).first()
     return [sorted(set(row[f"q{i}"]) | {row[f"h{i}"]}, key=_sort_key) for i in range(len(groups))]
 
 
-def _narrow(df: DataFrame, groups: list[list[_Search]], codes: list[Column], pivots: list[list], id_types: dict) -> None:
+def _narrow(df: DataFrame, groups: list[list[_Search]], keys: list[_Key], pivots: list[list]) -> None:
     """Count exactly the rows between and at the pivots; keep the cell that holds each rank.
     Cell 2j lies below pivot j (and above the one before it), cell 2j + 1 at it."""
     cells = []
-    for i, (group, code) in enumerate(zip(groups, codes)):
-        cell = F.when(code < F.lit(pivots[i][0]), 0)
+    for i, (group, key) in enumerate(zip(groups, keys)):
+        cell = F.when(key.below(pivots[i][0]), 0)
         for j, pivot in enumerate(pivots[i]):
-            cell = (cell.when(code < F.lit(pivot), 2 * j) if j else cell).when(code == F.lit(pivot), 2 * j + 1)
+            cell = (cell.when(key.below(pivot), 2 * j) if j else cell).when(key.at(pivot), 2 * j + 1)
         cells.append(F.when(group[0].scope(), F.struct(F.lit(i).alias("i"), cell.otherwise(2 * len(pivots[i])).alias("cell"))))
     counted = (df.select(F.explode(F.array(*cells)).alias("at")).where("at is not null")
                .groupBy("at.i", "at.cell").count().collect())     # at most one row a cell
     counts = {(row["i"], row["cell"]): row["count"] for row in counted}
-    for i, (group, code) in enumerate(zip(groups, codes)):
+    for i, (group, key) in enumerate(zip(groups, keys)):
         order, level = group[0].order, group[0].level
         number = 2 * len(pivots[i]) + 1
         walk = range(number) if order.ascending or level else range(number - 1, -1, -1)
@@ -149,15 +181,17 @@ def _narrow(df: DataFrame, groups: list[list[_Search]], codes: list[Column], piv
                 search.rank -= search.rows
             search.path += (cell,)
             if cell % 2 == 0:
-                search.where = [*search.where, *([code > F.lit(pivots[i][cell // 2 - 1])] if cell else []),
-                                *([code < F.lit(pivots[i][cell // 2])] if cell + 1 < number else [])]
+                search.where = [*search.where, *([key.above(pivots[i][cell // 2 - 1])] if cell else []),
+                                *([key.below(pivots[i][cell // 2])] if cell + 1 < number else [])]
                 continue
             pivot = pivots[i][cell // 2]     # one value: done, or on among its rows by the id
-            search.where = [*search.where, code == F.lit(pivot)]
+            search.where = [*search.where, key.at(pivot)]
             if order.id is None:
                 search.found = (pivot, None)
-            elif search.rows > FETCH and level and (pivot == 0 or not isinstance(id_types[order.id], T.StringType)):
+            elif search.rows > FETCH and level and (not key.text or key.ends(pivot)):
                 raise ValueError(f"{order.id} repeats: it cannot break ties")
+            elif key.text:
+                search.prefix = key.start(pivot)
             search.level += 1
 
 
@@ -181,12 +215,8 @@ def _sort_key(value):
     return (1, 0) if isinstance(value, float) and math.isnan(value) else (0, value)
 
 
-def rows_at(df: DataFrame, wanted: dict[str, tuple[Order, object]]) -> tuple[dict[str, list[tuple]], int]:
-    """The (value, id) at some ranks of several orders, and the row count.
-
-    ``wanted`` maps a name to an order and a function from its row count to the 1-based ranks asked
-    for, each at most that count.  With an id, null values are rows of the order; without one they
-    are left out, and the count passed is that of the other rows."""
+def _search(df: DataFrame, wanted: dict[str, tuple[Order, object]]) -> tuple[dict[str, list[_Search]], int]:
+    """Rounds until every rank is found."""
     searches, shared, n = _start(df, wanted)
     every = [s for group in searches.values() for s in group]
     id_types = {s.order.id: df.schema[s.order.id].dataType for s in every if s.order.id}
@@ -198,11 +228,26 @@ def rows_at(df: DataFrame, wanted: dict[str, tuple[Order, object]]) -> tuple[dic
         groups = list(scopes.values())
         left = df.where(functools.reduce(operator.or_, [g[0].scope() for g in groups]))
         if wide := [g for g in groups if g[0].rows > FETCH]:
-            codes = [_code(g[0], id_types, shared) for g in wide]
-            _narrow(left, wide, codes, _pivots(left, wide, codes, turn), id_types)
+            keys = [_Key(g[0], id_types, shared) for g in wide]
+            _narrow(left, wide, keys, _pivots(left, wide, keys, turn))
         else:
             _fetch(left, groups)
         turn += 1
+    return searches, n
+
+
+def rows_at(df: DataFrame, wanted: dict[str, tuple[Order, object]]) -> tuple[dict[str, list[tuple]], int]:
+    """The (value, id) at some ranks of several orders, and the row count.
+
+    ``wanted`` maps a name to an order and a function from its row count to the 1-based ranks asked
+    for, each at most that count.  With an id, null values are rows of the order; without one they
+    are left out, and the count passed is that of the other rows."""
+    columns = sorted({c for order, _ in wanted.values() for c in (order.value, order.id) if c})
+    keys = df.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        searches, n = _search(keys, wanted)
+    finally:
+        keys.unpersist()
     return {name: [s.found for s in group] for name, group in searches.items()}, n
 
 
@@ -224,14 +269,16 @@ def qcut_starts(k: int):
 
 def linear_quantiles(df: DataFrame, columns: dict[str, list[float]]) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles of several columns (numpy default, ``quantile_cont``)."""
-    def ranks(probs):
+    rows = {}
+
+    def ranks(column, probs):
         def of(n: int) -> list[int]:
+            rows[column] = n
             places = [p * (n - 1) for p in probs] if n else []
             return [r for at in places for r in (int(at) + 1, min(int(at) + 1, n - 1) + 1)]
         return of
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    rows = doubles.agg(*[F.count(c).alias(c) for c in columns]).first()
-    found, _ = rows_at(doubles, {c: (Order(c), ranks(probs)) for c, probs in columns.items()})
+    found, _ = rows_at(doubles, {c: (Order(c), ranks(c, probs)) for c, probs in columns.items()})
     out = {}
     for c, probs in columns.items():
         values = [value for value, _ in found[c]]
