@@ -10,14 +10,16 @@
 
 from __future__ import annotations
 
-import os
+import re
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopmetrics.functions.core import MONEY
+from shopmetrics.sources import quoted_csv
 
 # Raw file stem -> staging table name.
 RAW_NAME_MAP = {
@@ -75,57 +77,51 @@ def raw_table_name(stem: str) -> str:
 
 def list_raw_csv(spark: SparkSession, folder: str) -> dict[str, str]:
     """Map staging table name -> CSV path (a file or a folder of part files
-    named ``<stem>.csv``); raise when the folder holds none.
+    named ``<stem>.csv``); raise when the folder is missing or holds none.
 
     Listing goes through the ``binaryFile`` source with only the ``path``
     column selected (file contents are never read), so it works on any
-    filesystem Spark can read."""
+    filesystem Spark can read; only the distinct names under the folder
+    reach the driver, not the paths of their part files."""
     base = folder.rstrip("/")
+    root = base.split("://", 1)[-1].split(":", 1)[-1]
+    first = F.split_part(F.element_at(F.split("path", re.escape(root) + "/+", 2), -1), F.lit("/"), F.lit(1))
     try:
-        paths = [r[0] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .load(base).select("path").collect()]
-    except Exception:  # noqa: BLE001 - a missing folder is "no CSV files"
-        paths = []
-    root = base.split(":", 1)[-1].rstrip("/") if "://" not in base else base
-    stems = set()
-    for p in paths:
-        rel = p.split(root, 1)[-1].lstrip("/") if root in p else os.path.basename(p)
-        first = rel.split("/", 1)[0]
-        if first.lower().endswith(".csv"):
-            stems.add(first[:-4])
-    if not stems:
+        names = [r[0] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+                 .select(first.alias("name")).where("lower(name) like '%.csv'").distinct().collect()]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        names = []
+    if not names:
         raise FileNotFoundError(f"No CSV files found in {folder}")
-    return {raw_table_name(s): f"{base}/{s}.csv" for s in sorted(stems)}
+    return {raw_table_name(n[:-4]): f"{base}/{n}" for n in sorted(names)}
 
 
 def read_raw_csv(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
     """Scan one raw CSV with its declared schema (all strings when unknown),
     coerce date-named columns, and tag each row with its place: part file by
-    name, then position in the file.
+    name, then byte offset in the file.
 
-    Quoted fields may hold line breaks and doubled quotes, so a file is read
-    as one split.  Rows that do not fit the schema keep what could be parsed;
-    ``malformed_rows`` finds them."""
+    Quoted fields may hold line breaks and doubled quotes; a file is read in
+    byte ranges all the same (``quoted_csv``).  Rows that do not fit the
+    schema keep what could be parsed; ``malformed_rows`` finds them."""
     df = _scan_csv(spark, path, table)
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"))
-    return coerce_dates(df.withColumn(INGEST_SEQ, place).drop(CORRUPT_ROW))
+    place = F.struct("file", "row").alias(INGEST_SEQ)
+    return coerce_dates(df.select(*[c for c in df.columns[2:] if c != CORRUPT_ROW], place))
 
 
 def _scan_csv(spark: SparkSession, path: str, table: str | None) -> DataFrame:
-    def reader():
-        return (spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", True)
-                .option("quote", '"').option("escape", '"').option("columnNameOfCorruptRecord", CORRUPT_ROW))
-
-    schema = RAW_SCHEMAS.get(table or "") or _schema(*[(c, S) for c in reader().csv(path).columns])
-    return reader().schema(_schema(*[(f.name, f.dataType) for f in schema.fields], (CORRUPT_ROW, S))).csv(path)
+    schema = RAW_SCHEMAS.get(table or "")
+    if schema is None:
+        head = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+        schema = _schema(*[(c, S) for c in head.columns])
+    return quoted_csv.parse_records(quoted_csv.read_records(spark, path), schema, CORRUPT_ROW)
 
 
 def malformed_rows(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
     """Text of the rows of a raw CSV that do not fit its schema."""
-    df = _scan_csv(spark, path, table)
-    # Spark reads the corrupt column only together with another one
-    others = F.hash(*[c for c in df.columns if c != CORRUPT_ROW])
-    return df.where(F.col(CORRUPT_ROW).isNotNull() & (others >= -(1 << 31))).select(CORRUPT_ROW)
+    return _scan_csv(spark, path, table).where(F.col(CORRUPT_ROW).isNotNull()).select(CORRUPT_ROW)
 
 
 def date_like_columns(columns: Iterable[str]) -> list[str]:
