@@ -40,6 +40,7 @@ RECORD = "file string, row long, value string"
 # One field from its first character: quoted and closed, or unquoted.
 _FIELD = rb'(?:"(?:[^"]|"")*+"[^,]*+|(?!")[^,]*+)'
 _REST = rb"(?:," + _FIELD + rb")*+\Z"
+_WITH_QUOTE = re.compile(rb'(?m)^[^\n"]*+"[^\n]*+')
 _CLOSED_FROM = (re.compile(_FIELD + _REST), re.compile(rb'(?:[^"]|"")*+"[^,]*+' + _REST))
 
 
@@ -63,8 +64,8 @@ def _open(path: str):
     return system.open_input_file(name)
 
 
-def _lines(stream, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-    """(offset, line) from the first line that begins in [start, end) to the end of the file."""
+def _blocks(stream, start: int, end: int) -> Iterator[tuple[int, bytes]]:
+    """(offset, whole lines) from the first line that begins in [start, end) to the end of the file."""
     at, skipping = start, start > 0
     if skipping:
         at = start - 1
@@ -83,9 +84,8 @@ def _lines(stream, start: int, end: int) -> Iterator[tuple[int, bytes]]:
         cut = held.rfind(b"\n", len(held) - len(chunk))
         if cut < 0:
             continue
-        for line in bytes(held[:cut]).split(b"\n"):
-            yield at, line
-            at += len(line) + 1
+        yield at, bytes(held[:cut])
+        at += cut + 1
         del held[:cut + 1]
     if held and not skipping:
         yield at, bytes(held)
@@ -97,13 +97,15 @@ def _transitions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batch.to_pylist():
             outside, inside = 0, 1
             with _open(r["file"]) as stream:
-                for at, line in _lines(stream, r["start"], r["end"]):
+                for at, block in _blocks(stream, r["start"], r["end"]):
                     if at >= r["end"]:
                         break
-                    if b'"' in line:
+                    for found in _WITH_QUOTE.finditer(block):
+                        if at + found.start() >= r["end"]:
+                            break
                         same = outside == inside
-                        outside = _inside_after(line, outside)
-                        inside = outside if same else _inside_after(line, inside)
+                        outside = _inside_after(found[0], outside)
+                        inside = outside if same else _inside_after(found[0], inside)
             yield pa.RecordBatch.from_pylist([{**r, "outside": outside, "inside": inside}], schema=pa.schema(
                 [("file", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                  ("outside", pa.int32()), ("inside", pa.int32())]))
@@ -111,21 +113,23 @@ def _transitions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _range_records(r: dict) -> Iterator[tuple[int, bytes]]:
     """(offset, bytes) of the records that begin in the range, the header left out."""
-    state, held, began, header = r["entry"], None, 0, r["start"] == 0
+    state, held, began, header, end = r["entry"], None, 0, r["start"] == 0, r["end"]
     with _open(r["file"]) as stream:
-        for at, line in _lines(stream, r["start"], r["end"]):
-            if held is None and at >= r["end"]:
-                return
-            if state == 0:
-                held, began = [], at
-            if held is not None:
-                held.append(line)
-            state = _inside_after(line, state)
-            if state == 0 and held is not None:
-                record, held = b"\n".join(held).removesuffix(b"\r"), None
-                if record and not header:
-                    yield began, record
-                header = header and not record
+        for at, block in _blocks(stream, r["start"], end):
+            for line in block.split(b"\n"):
+                if held is None and at >= end:
+                    return
+                if state == 0:
+                    held, began = [], at
+                if held is not None:
+                    held.append(line)
+                at += len(line) + 1
+                state = _inside_after(line, state)
+                if state == 0 and held is not None:
+                    record, held = (b"\n".join(held) if len(held) > 1 else line).removesuffix(b"\r"), None
+                    if record and not header:
+                        yield began, record
+                    header = header and not record
         if held and not header:
             yield began, b"\n".join(held)
 
@@ -163,26 +167,35 @@ def _with_entry(states: DataFrame) -> DataFrame:
     return counted.select("file", "start", "end", F.pmod(state, F.lit(2)).cast("int").alias("entry"))
 
 
-def byte_ranges(spark: SparkSession, path: str, range_bytes: int | None = None) -> DataFrame:
-    """(file, start, end) of the byte ranges of a CSV file or a folder of part files."""
-    size = range_bytes or int(spark.sql("SET spark.sql.files.maxPartitionBytes").first()["value"].rstrip("bB"))
+def _byte_size(text: str) -> int:
+    """Bytes of a size setting, such as 134217728b, 16m or 1gb."""
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)b?\s*", text.lower()).groups()
+    return int(number) << (10 * " kmgtp".index(unit or " "))
+
+
+def byte_ranges(spark: SparkSession, path: str, size: int) -> DataFrame:
+    """(file, start, end, held) of the ranges of ``size`` bytes of a CSV file or a folder of part files."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
              .select(F.col("path").alias("file"), "length").where("length > 0"))
     whole = F.col("file").rlike(COMPRESSED)
-    cut = files.select("file", whole.alias("whole"), F.explode(F.when(whole, F.array(F.lit(0).cast("long"))).otherwise(
+    cut = files.select("file", "length", whole.alias("whole"), F.explode(F.when(whole, F.array(F.lit(0).cast("long"))).otherwise(
         F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(size).cast("long")))).alias("start"))
+    held = F.least(F.col("length") - F.col("start"), F.when(~F.col("whole"), F.lit(size)))
     return cut.select("file", "start", F.when(F.col("whole"), F.lit((1 << 63) - 1)).otherwise(
-        F.col("start") + size).cast("long").alias("end"))
+        F.col("start") + size).cast("long").alias("end"), held.alias("held"))
 
 
 def read_records(spark: SparkSession, path: str, range_bytes: int | None = None) -> DataFrame:
     """Every record as text: ``file``, ``row`` (its byte offset in the file) and ``value``."""
-    ranges = byte_ranges(spark, path, range_bytes)
-    # a stated number keeps AQE from merging the small rows, each of which is a whole task's work
-    tasks = max(1, ranges.count())
-    spread = ranges.repartition(tasks, "file", "start")
-    states = spread.mapInArrow(_transitions, "file string, start long, end long, outside int, inside int")
-    return _with_entry(states).repartition(tasks, "file", "start").mapInArrow(_records, RECORD)
+    size = range_bytes or _byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    ranges = byte_ranges(spark, path, size)
+    opening = min(size, _byte_size(spark.conf.get("spark.sql.files.openCostInBytes")))
+    # as many tasks as Spark's own scan would plan; a stated number keeps AQE from merging these small rows
+    load = ranges.agg(F.sum(F.greatest("held", F.lit(opening)))).first()[0] or 0
+    tasks = max(1, -(-load // size))
+    states = (ranges.drop("held").repartition(tasks)
+              .mapInArrow(_transitions, "file string, start long, end long, outside int, inside int"))
+    return _with_entry(states).repartition(tasks).mapInArrow(_records, RECORD)
 
 
 def parse_records(records: DataFrame, schema: T.StructType, corrupt: str) -> DataFrame:

@@ -91,3 +91,8 @@ def test_one_big_file_plans_many_tasks(spark, tmp_dir):
     records = quoted_csv.read_records(spark, path, 4096)
     assert records.rdd.getNumPartitions() > 15
     assert records.count() == 5000
+
+
+def test_byte_sizes():
+    assert [quoted_csv._byte_size(t) for t in ("134217728b", "128m", "1GB", "64", "2kb")] == [
+        1 << 27, 1 << 27, 1 << 30, 64, 2048]
