@@ -9,15 +9,21 @@ foreign keys are ``left_anti`` joins on the key columns only.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmetrics.schema import FOREIGN_KEYS, MAX_LENGTHS, NOT_NULL, PRIMARY_KEYS
 
-# NUMERIC(10,2) holds |x| < 10^8; review scores lie in 1..5.
-NUMERIC_10_2_LIMIT = 10 ** 8
+# Fixed values: (digits, decimals) of the NUMERIC columns; review scores lie in 1..5.
 SCORE_RANGE = (1, 5)
-MONEY_COLUMNS = {"fact_order_items": ["price", "freight_value"], "fact_payments": ["payment_value"]}
+NUMERIC_COLUMNS = {
+    "dim_products": {"weight_g": (10, 2), "length_cm": (6, 2), "height_cm": (6, 2), "width_cm": (6, 2)},
+    "fact_order_items": {"price": (10, 2), "freight_value": (10, 2)},
+    "fact_payments": {"payment_value": (10, 2)},
+}
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -27,23 +33,27 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def audit_primary_keys(tables: dict[str, DataFrame]) -> DataFrame:
-    """Per table: rows, NULL keys, key values seen more than once, and the
-    surplus rows those duplicates add."""
+def audit_primary_keys(tables: dict[str, DataFrame], keys: dict[str, list[str]] | None = None) -> DataFrame:
+    """Per table: rows, rows with a NULL in the key, key values seen more than
+    once, and the surplus rows those duplicates add.
+
+    ``keys`` names the key columns of each table (default: the star's
+    primary keys).  A key of several columns is audited whole: it is NULL if
+    any of its columns is, and repeated if all are."""
     parts = []
-    for name, keys in PRIMARY_KEYS.items():
+    for name, columns in (PRIMARY_KEYS if keys is None else keys).items():
         if name not in tables:
             continue
-        k = keys[0]
-        per_key = tables[name].groupBy(k).agg(F.count(F.lit(1)).alias("_n"))
+        n, null = F.col("_n"), reduce(or_, [F.col(f"_k{i}").isNull() for i in range(len(columns))])
+        again = ~null & (n > 1)
+        per_key = (tables[name].groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(columns)])
+                   .agg(F.count(F.lit(1)).alias("_n")))
         parts.append(per_key.agg(
-            F.sum("_n").cast("bigint").alias("rows"),
-            F.sum(F.when(F.col(k).isNull(), F.col("_n")).otherwise(0)).cast("bigint").alias("null_keys"),
-            F.sum(F.when(F.col(k).isNotNull() & (F.col("_n") > 1), 1).otherwise(0)).cast("bigint")
-            .alias("duplicate_keys"),
-            F.sum(F.when(F.col(k).isNotNull() & (F.col("_n") > 1), F.col("_n") - 1).otherwise(0)).cast("bigint")
-            .alias("duplicate_rows"),
-        ).select(F.lit(name).alias("table_name"), F.lit(k).alias("key_column"),
+            F.sum(n).cast("bigint").alias("rows"),
+            F.sum(F.when(null, n).otherwise(0)).cast("bigint").alias("null_keys"),
+            F.sum(F.when(again, 1).otherwise(0)).cast("bigint").alias("duplicate_keys"),
+            F.sum(F.when(again, n - 1).otherwise(0)).cast("bigint").alias("duplicate_rows"),
+        ).select(F.lit(name).alias("table_name"), F.lit(", ".join(columns)).alias("key_column"),
                  F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
                  F.coalesce("null_keys", F.lit(0)).cast("bigint").alias("null_keys"),
                  F.coalesce("duplicate_keys", F.lit(0)).cast("bigint").alias("duplicate_keys"),
@@ -76,8 +86,8 @@ def domain_rules(name: str) -> list[tuple[str, str, F.Column]]:
     if name == "fact_reviews":
         lo, hi = SCORE_RANGE
         rules.append(("review_score", f"between_{lo}_{hi}", ~F.col("review_score").between(lo, hi)))
-    for col in MONEY_COLUMNS.get(name, []):
-        rules.append((col, "fits_numeric_10_2", F.abs(F.col(col)) >= NUMERIC_10_2_LIMIT))
+    for col, (digits, decimals) in NUMERIC_COLUMNS.get(name, {}).items():
+        rules.append((col, f"fits_numeric_{digits}_{decimals}", F.abs(F.col(col)) >= 10 ** (digits - decimals)))
     return rules
 
 

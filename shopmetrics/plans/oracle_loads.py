@@ -78,12 +78,15 @@ def _domain_sql() -> str:
             rules.append((col, f"max_length_{limit}", f"length({col}) > {limit}"))
         if t == "fact_reviews":
             rules.append(("review_score", "between_1_5", "NOT (review_score BETWEEN 1 AND 5)"))
-        for col in {"fact_order_items": ["price", "freight_value"], "fact_payments": ["payment_value"]}.get(t, []):
+        for col in {"fact_order_items": ["price", "freight_value"], "fact_payments": ["payment_value"],
+                    "dim_products": ["weight_g"]}.get(t, []):
             rules.append((col, "fits_numeric_10_2", f"abs({col}) >= 100000000"))
+        for col in ["length_cm", "height_cm", "width_cm"] if t == "dim_products" else []:
+            rules.append((col, "fits_numeric_6_2", f"abs({col}) >= 10000"))
         for col, rule, pred in rules:
             parts.append(f"SELECT '{t}' AS table_name, '{col}' AS column_name, '{rule}' AS rule, "
                          f"CAST(COALESCE(SUM(CASE WHEN {pred} THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations "
-                         f"FROM {t}")
+                         f"FROM ({ORACLE.get(t, 'SELECT * FROM ' + t)}) x")
     return "\nUNION ALL\n".join(parts)
 
 

@@ -93,6 +93,20 @@ def test_audits_find_dirt(spark):
     assert dom[("fact_reviews", "between_1_5")] == 2 and dom[("dim_customers", "max_length_2")] == 1
 
 
+def test_composite_keys_and_decimal_fit(spark):
+    lines = spark.createDataFrame([("o1", 1), ("o1", 2), ("o1", 2), ("o1", None), (None, None), ("o2", 1)],
+                                  "order_id string, order_item_id int")
+    row = quality.audit_primary_keys({"lines": lines}, {"lines": ["order_id", "order_item_id"]}).first()
+    assert (row["key_column"], row["rows"], row["null_keys"], row["duplicate_keys"], row["duplicate_rows"]) == (
+        "order_id, order_item_id", 6, 2, 1, 1)
+    products = spark.createDataFrame(
+        [("p1", None, 1e8, 9999.99, 1e4, None), ("p2", "x", 99999999.0, -1e4, None, 2.0)],
+        "product_id string, category_name_english string, weight_g double, length_cm double, height_cm double, width_cm double")
+    dom = {r["column_name"]: r["violations"] for r in quality.audit_domains({"dim_products": products}).collect()
+           if r["rule"].startswith("fits")}
+    assert dom == {"weight_g": 1, "length_cm": 1, "height_cm": 1, "width_cm": 0}
+
+
 def test_quoted_line_breaks_and_doubled_quotes_stay_one_row(spark, tmp_dir):
     write(tmp_dir, "olist_order_reviews_dataset.csv",
           "review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,"
