@@ -3,20 +3,25 @@
 The feature matrix is binned once: at most ``MAX_BINS`` bins a feature, edges from a hash
 sample of ``EDGE_ROWS`` rows.  It is kept as blocks of up to ``BLOCK_ROWS`` rows, one byte a
 feature.  Trees grow level by level.  A level needs one sum over all rows, the gradient
-histograms of its left children (right ones are the parent minus the left); the sum for a
-root also carries the held-out metric of the trees so far, so watching costs no pass of its own.
+histograms of its nodes; the sum for a root also carries the held-out metric of the trees so
+far, so watching costs no pass of its own.
 
 Several fits share a pass: run r trains on the rows whose fold is not r and is watched on
 fold r.  One fit with a validation slice is run 0 with that slice as fold 0; k-fold cross
 validation is k runs over the same blocks.
 
 Gradients are rounded to integers (2^-20) and rows are sampled by a hash of row and round, so
-sums do not depend on their order: any number of blocks gives the same trees.  ``answer`` is a
-pure function of a block and a request (which holds all trees so far).  Margins kept in a
-worker only save time; a worker that starts anew rebuilds them, so a lost executor costs its
-tasks.  Where the rows fill a single block, the loop runs in that block's task, since there is
-nothing to sum across tasks; with more, each level is a Spark aggregation whose result (cells
-of the level's histograms) does not grow with the rows.
+sums do not depend on their order: any number of blocks gives the same trees.  ``answer`` and
+``shares`` are pure functions of a block and a request (which holds the trees that the block's
+margins lack).  Margins kept in a worker only save time; a worker that starts anew rebuilds
+them, so a lost executor costs its tasks.
+
+Where the rows fill a single block, the loop runs in that block's task, since there is nothing
+to sum across tasks.  With more, every core has blocks, and each level is one small job: tasks
+add up the blocks' histograms by run and feature and search the splits there, so that the driver
+gets one split for each feature and node, whatever the number of rows or blocks.  Every
+``SETTLE`` rounds the margins of the trees so far are written into the cached blocks, so that a
+request never carries more than ``SETTLE`` trees a run.
 
 A null or NaN feature falls into the lowest bin.
 """
@@ -28,16 +33,20 @@ import pickle
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
+from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD, Broadcast, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BINS = 255
 EDGE_ROWS = 50_000
 BLOCK_ROWS = 1 << 18
+SETTLE = 16
+KEPT_BLOCKS = 16
 UNIT = float(1 << 20)
 AUC_BINS = 1 << 16
 BLOCK = "id string, n int, bins binary, label binary, fold binary, key binary"
@@ -82,17 +91,30 @@ class Trees:
     def first(self, n: int) -> Trees:
         return Trees(self.feature[:n], self.bin[:n], self.gain[:n], self.value[:n])
 
+    def after(self, n: int) -> Trees:
+        return Trees(self.feature[n:], self.bin[n:], self.gain[n:], self.value[n:])
+
     def add(self, feature: np.ndarray, cut: np.ndarray, gain: np.ndarray, value: np.ndarray) -> Trees:
         return Trees(*[np.concatenate([a, b[None]]) for a, b in ((self.feature, feature), (self.bin, cut), (self.gain, gain), (self.value, value))])
 
 
 def descend(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, levels: int) -> np.ndarray:
     """Node of every row (column of ``bins``) after ``levels`` levels, numbered within its level."""
-    node, rows = np.zeros(bins.shape[1], dtype=np.int64), np.arange(bins.shape[1])
+    if levels > 6:
+        node, rows = np.zeros(bins.shape[1], dtype=np.int64), np.arange(bins.shape[1])
+        for level in range(levels):
+            at = node + (1 << level) - 1
+            node = 2 * node + (bins[feature[at], rows] > cut[at])
+        return node
+    small = np.zeros(bins.shape[1], dtype=np.uint8)  # few nodes: whole columns byte by byte are faster than picked cells
     for level in range(levels):
-        at = node + (1 << level) - 1
-        node = 2 * node + (bins[feature[at], rows] > cut[at])
-    return node
+        right = np.zeros(len(small), dtype=bool)
+        for i in range(1 << level):
+            at = (1 << level) - 1 + i
+            if cut[at] < MAX_BINS:
+                right |= (bins[feature[at]] > np.uint8(cut[at])) & (small == i)
+        small = 2 * small + right
+    return small.astype(np.int64)
 
 
 def add_scores(total: np.ndarray, bins: np.ndarray, trees: Trees, start: int = 0) -> np.ndarray:
@@ -119,8 +141,9 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 # ---- one block's share of a sum ----------------------------------------------------------
 @dataclass
 class Request:
-    """What the loop asks of every block: run by run the trees so far and, from the second
-    level on, the splits of the tree in work."""
+    """What the loop asks of every block: run by run the trees so far (but the first ``settled``
+    ones, which the blocks' margins hold), the drawn columns and, from the second level on, the
+    splits of the tree in work."""
 
     params: Params
     n_bins: int
@@ -130,6 +153,8 @@ class Request:
     level: int = 0
     splits: dict[int, tuple[np.ndarray, np.ndarray]] | None = None
     watch_only: bool = False
+    columns: dict[int, np.ndarray] | None = None
+    settled: int = 0
 
 
 class Block:
@@ -139,7 +164,7 @@ class Block:
         self.bins, self.label, self.fold, self.key = bins, label, fold, key
         self.margin: dict[int, tuple[int, np.ndarray]] = {}
         self.drawn: tuple[int, np.ndarray] | None = None
-        self.gradient: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}
+        self.gradient: dict[int, tuple[int, np.ndarray, np.ndarray, np.ndarray]] = {}
 
     @staticmethod
     def unpack(row: dict) -> Block:
@@ -148,32 +173,38 @@ class Block:
                      np.frombuffer(row["fold"], np.int32), np.frombuffer(row["key"], np.uint64))
 
     def _margin(self, run: int, req: Request) -> np.ndarray:
-        trees = req.trees[run]
+        trees, total = req.trees[run], req.settled + len(req.trees[run])
         done, margin = self.margin.get(run, (0, None))
-        if margin is None or done > len(trees):
+        if margin is None or done > total:
+            if req.settled:
+                raise ValueError(f"no margins of the {req.settled} settled trees")
             done, margin = 0, np.full(len(self.label), req.base[run])
-        if done < len(trees):
-            margin = add_scores(margin, self.bins, trees, done)
-        self.margin[run] = (len(trees), margin)
+        if done < total:
+            margin = add_scores(margin, self.bins, trees, done - req.settled)
+        self.margin[run] = (total, margin)
         return margin
 
-    def _gradients(self, run: int, req: Request) -> tuple[np.ndarray, np.ndarray]:
-        """Integer-valued gradient and curvature of the run's drawn training rows, 0 elsewhere."""
-        turn = len(req.trees[run])
-        done, g, h = self.gradient.get(run, (-1, None, None))
+    def _gradients(self, run: int, req: Request) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The run's drawn training rows with a curvature, their integer-valued gradients and curvatures."""
+        turn = req.settled + len(req.trees[run])
+        done, rows, g, h = self.gradient.get(run, (-1, None, None, None))
         if done != turn:
             margin, p = self._margin(run, req), req.params
             if self.drawn is None or self.drawn[0] != turn:
                 self.drawn = (turn, sampled(self.key, p.seed, turn, p.row_share))
-            use = (self.fold != run) & self.drawn[1]
+            rows = np.flatnonzero((self.fold != run) & self.drawn[1])
+            margin, label = margin[rows], self.label[rows]
             if p.loss == "logistic":
                 prob = sigmoid(margin)
-                g, h = prob - self.label, prob * (1 - prob)
+                g, h = prob - label, prob * (1 - prob)
             else:
-                g, h = margin - self.label, np.ones(len(margin))
-            g, h = np.where(use, np.rint(g * UNIT), 0.0), np.where(use, np.rint(h * UNIT), 0.0)
-            self.gradient[run] = (turn, g, h)
-        return g, h
+                g, h = margin - label, np.ones(len(margin))
+            g, h = np.rint(g * UNIT), np.rint(h * UNIT)
+            if not h.all():
+                some = h > 0
+                rows, g, h = rows[some], g[some], h[some]
+            self.gradient[run] = (turn, rows, g, h)
+        return rows, g, h
 
     def _watch(self, run: int, req: Request) -> np.ndarray:
         """Additive parts of the held-out metric: loss and rows, or rows by class and score."""
@@ -193,26 +224,48 @@ class Block:
         parts = []
         for run in req.runs:
             if req.base is None:
-                train = self.fold != run
-                parts.append(np.array([np.rint(self.label[train] * UNIT).sum(), train.sum()], dtype=np.int64))
+                parts.append(self._label_sums(run))
                 continue
             if req.level == 0:
                 parts.append(self._watch(run, req))
             if req.watch_only:
                 continue
-            g, h = self._gradients(run, req)
-            node = descend(self.bins, *req.splits[run], req.level) if req.level else np.zeros(len(g), dtype=np.int64)
-            rows = np.flatnonzero((h > 0) & (node % 2 == 0))  # left children; right ones follow from the parent
-            cell, n = (node[rows] >> 1 if req.level else node[rows]) * req.n_bins, max(1, 1 << (req.level - 1) if req.level else 1)
-            g, h = g[rows], h[rows]
-            sums = np.empty((len(self.bins), 2, n * req.n_bins))
-            for f, column in enumerate(self.bins):
-                at = cell + column[rows]
-                sums[f, 0] = np.bincount(at, weights=g, minlength=n * req.n_bins)
-                sums[f, 1] = np.bincount(at, weights=h, minlength=n * req.n_bins)
-            parts.append(sums.astype(np.int64).ravel())
+            rows, g, h = self._gradients(run, req)
+            node, n = np.zeros(len(rows), dtype=np.int64), 1
+            if req.level:  # left children; right ones follow from the parent
+                node = descend(self.bins, *req.splits[run], req.level)[rows]
+                left = node % 2 == 0
+                rows, g, h, node, n = rows[left], g[left], h[left], node[left] >> 1, 1 << (req.level - 1)
+            cell = node * req.n_bins
+            parts += [histogram(cell + column[rows], g, h, n * req.n_bins).ravel() for column in self.bins]
         return np.concatenate(parts)
 
+    def shares(self, req: Request) -> Iterator[tuple[int, np.ndarray]]:
+        """This block's part of the sums by key: ``run's place * (features + 1)`` for the label
+        sums or the metric, and 1 + feature on top of that for the histograms of all nodes."""
+        for i, run in enumerate(req.runs):
+            key = i * (len(self.bins) + 1)
+            if req.base is None:
+                yield key, self._label_sums(run)
+                continue
+            if req.level == 0:
+                yield key, self._watch(run, req)
+            if req.watch_only:
+                continue
+            rows, g, h = self._gradients(run, req)
+            cell = descend(self.bins, *req.splits[run], req.level)[rows] * req.n_bins if req.level else np.zeros(len(rows), dtype=np.int64)
+            for f in np.flatnonzero(req.columns[run]).tolist():
+                yield key + 1 + f, histogram(cell + self.bins[f][rows], g, h, req.n_bins << req.level)
+
+    def _label_sums(self, run: int) -> np.ndarray:
+        train = self.fold != run
+        return np.array([np.rint(self.label[train] * UNIT).sum(), train.sum()], dtype=np.int64)
+
+
+def histogram(at: np.ndarray, g: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
+    """Sums of gradient and curvature by cell."""
+    return np.stack([np.bincount(at, weights=g, minlength=n), np.bincount(at, weights=h, minlength=n)]).astype(np.int64)
+
 
 # ---- the loop ---------------------------------------------------------------------------
 def metric_of(parts: np.ndarray, params: Params) -> float:
@@ -226,43 +279,79 @@ def metric_of(parts: np.ndarray, params: Params) -> float:
     return -float((pos * (below + neg / 2)).sum() / (pos.sum() * neg.sum()))
 
 
-def best_splits(hist: np.ndarray, columns: np.ndarray, p: Params):
-    """(feature, bin, gain, sums left, sums right) of the best split of each node.
-
-    ``hist`` is (features, 2, nodes, bins) in gradient units.  A node without an allowed
-    split sends everything left.
-    """
+def cuts(hist: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(gain, bin, sums left, sums of all) of the best cut of each feature and node; a gain of
+    minus infinity where none is allowed.  ``hist`` is (features, 2, nodes, bins)."""
     def strength(g: np.ndarray, h: np.ndarray) -> np.ndarray:
         t = np.maximum(np.abs(g) - p.l1, 0)
         return t * t / (h + p.l2)
 
     left = hist.cumsum(axis=3)
-    total = left[0, :, :, -1]  # every feature has the same totals
+    total = left[:, :, :, -1]
     g_l, h_l = left[:, 0], left[:, 1]
-    g_r, h_r = total[0][None, :, None] - g_l, total[1][None, :, None] - h_l
-    gain = strength(g_l, h_l) + strength(g_r, h_r) - strength(total[0], total[1])[None, :, None]
-    ok = (h_l >= p.min_weight) & (h_r >= p.min_weight) & (gain > max(p.min_gain, 1e-9)) & columns[:, None, None]
-    gain = np.where(ok, gain, -np.inf).transpose(1, 0, 2)  # nodes, features, bins
-    n_bins = gain.shape[2]
-    best = gain.reshape(len(gain), -1).argmax(axis=1)
-    node, feature, cut = np.arange(len(gain)), best // n_bins, best % n_bins
-    found = np.isfinite(gain[node, feature, cut])
-    feature, cut = np.where(found, feature, 0), np.where(found, cut, MAX_BINS)
-    at = np.minimum(cut, n_bins - 1)
-    kept = np.stack([g_l[feature, node, at], h_l[feature, node, at]])
-    kept = np.where(found, kept, total)
-    return feature, cut, np.where(found, gain[node, feature, at], 0.0), kept, total - kept
+    g_r, h_r = total[:, 0, :, None] - g_l, total[:, 1, :, None] - h_l
+    gain = strength(g_l, h_l) + strength(g_r, h_r) - strength(total[:, 0], total[:, 1])[:, :, None]
+    gain = np.where((h_l >= p.min_weight) & (h_r >= p.min_weight) & (gain > max(p.min_gain, 1e-9)), gain, -np.inf)
+    cut = gain.argmax(axis=2)
+    at = cut[:, :, None]
+    kept = np.stack([np.take_along_axis(x, at, axis=2)[:, :, 0] for x in (g_l, h_l)], axis=1)
+    return np.take_along_axis(gain, at, axis=2)[:, :, 0], cut, kept, total
+
+
+def best_splits(found: tuple, columns: np.ndarray):
+    """(feature, bin, gain, sums left, sums right) of the best split of each node, from the
+    ``cuts`` of the features in gradient units.  A node without an allowed split sends
+    everything left."""
+    gain, cut, kept, total = found
+    gain = np.where(columns[:, None], gain, -np.inf)
+    node, feature = np.arange(gain.shape[1]), gain.argmax(axis=0)
+    some = np.isfinite(gain[feature, node])
+    total = total[np.flatnonzero(columns)[0]]  # every feature has the same totals
+    low = np.where(some, kept[feature, :, node].T, total)
+    return (np.where(some, feature, 0), np.where(some, cut[feature, node], MAX_BINS),
+            np.where(some, gain[feature, node], 0.0), low, total - low)
 
 
 def boost(answer: Callable[[Request], np.ndarray], n_features: int, n_bins: int, runs: list[int], p: Params) -> dict[int, tuple[float, Trees, list[float]]]:
     """(base, kept trees, metric by round) of every run; ``answer`` sums over all blocks."""
+    return grow(_from_sums(answer, n_features), n_features, n_bins, runs, p)
+
+
+def _from_sums(answer: Callable[[Request], np.ndarray], n_features: int) -> Callable[[Request], dict[int, tuple]]:
+    """Replies from flat sums, which hold the histograms of left children alone."""
+    hist = {}
+
+    def ask(req: Request) -> dict[int, tuple]:
+        parts, replies = answer(req).reshape(len(req.runs), -1), {}
+        n_watch = (2 * AUC_BINS if req.params.watch == "auc" else 2) if req.level == 0 else 0
+        for run, part in zip(req.runs, parts, strict=True):
+            if req.base is None:
+                replies[run] = tuple(part)
+                continue
+            metric, splits = metric_of(part[:n_watch], req.params) if n_watch else None, None
+            if not req.watch_only:
+                part = part[n_watch:].reshape(n_features, 2, -1, req.n_bins) / UNIT
+                if req.level:  # left children are new, right ones are what the parent has besides
+                    both = np.empty((n_features, 2, 2 * part.shape[2], req.n_bins))
+                    both[:, :, 0::2], both[:, :, 1::2] = part, hist[run] - part
+                    part = both
+                hist[run] = part
+                splits = best_splits(cuts(part, req.params), req.columns[run])
+            replies[run] = metric, splits
+        return replies
+    return ask
+
+
+def grow(ask: Callable[[Request], dict[int, tuple]], n_features: int, n_bins: int, runs: list[int], p: Params) -> dict[int, tuple[float, Trees, list[float]]]:
+    """The loop of ``boost``.  ``ask`` gives for every run of a request (label sum, rows) at
+    first, then (metric, ``best_splits``)."""
     req = Request(p, n_bins, runs, None, {r: Trees.none(p.depth) for r in runs})
     base = {}
-    for run, (s, n) in zip(runs, answer(req).reshape(-1, 2), strict=True):
+    for run, (s, n) in ask(req).items():
         mean = s / UNIT / n if n else 0.0
         base[run] = float(np.log(np.clip(mean, 1e-6, 1 - 1e-6) / (1 - np.clip(mean, 1e-6, 1 - 1e-6)))) if p.loss == "logistic" else float(mean)
     trees, history = dict(req.trees), {r: [] for r in runs}
-    active, n_watch = list(runs), 2 * AUC_BINS if p.watch == "auc" else 2
+    active = list(runs)
 
     def stopped(run: int) -> bool:
         seen = history[run]
@@ -270,30 +359,22 @@ def boost(answer: Callable[[Request], np.ndarray], n_features: int, n_bins: int,
 
     for turn in range(p.rounds + 1):
         last = turn == p.rounds
-        req = Request(p, n_bins, active, base, {r: trees[r] for r in active}, watch_only=last)
-        parts = answer(req).reshape(len(active), -1)
+        req = Request(p, n_bins, active, base, {r: trees[r] for r in active}, watch_only=last,
+                      columns={run: drawn_columns(n_features, p, run, turn) for run in active})
+        replies = ask(req)
         if turn:
-            for i, run in enumerate(active):
-                history[run].append(metric_of(parts[i, :n_watch], p))
-        go = [i for i, run in enumerate(active) if not stopped(run)]
-        if last or not go:
+            for run in active:
+                history[run].append(replies[run][0])
+        active = [run for run in active if not stopped(run)]
+        if last or not active:
             break
-        parts, active = parts[go][:, n_watch:], [active[i] for i in go]
         shape = {run: (np.zeros((1 << p.depth) - 1, np.int32), np.zeros((1 << p.depth) - 1, np.int32), np.zeros((1 << p.depth) - 1)) for run in active}
-        columns = {run: drawn_columns(n_features, p, run, turn) for run in active}
-        hist, leaf = {}, {}
+        leaf = {}
         for level in range(p.depth):
             if level:
-                req = replace(req, runs=active, level=level, splits={r: shape[r][:2] for r in active})
-                parts = answer(req).reshape(len(active), -1)
-            for i, run in enumerate(active):
-                part = parts[i].reshape(n_features, 2, -1, n_bins) / UNIT
-                if level:  # left children are new, right ones are what the parent has besides
-                    both = np.empty((n_features, 2, 2 * part.shape[2], n_bins))
-                    both[:, :, 0::2], both[:, :, 1::2] = part, hist[run] - part
-                    part = both
-                hist[run] = part
-                feature, cut, gain, low, high = best_splits(part, columns[run], p)
+                replies = ask(replace(req, runs=active, level=level, splits={r: shape[r][:2] for r in active}))
+            for run in active:
+                feature, cut, gain, low, high = replies[run][1]
                 at = slice((1 << level) - 1, (1 << (level + 1)) - 1)
                 shape[run][0][at], shape[run][1][at], shape[run][2][at] = feature, cut, gain
                 leaf[run] = np.stack([low, high], axis=2).reshape(2, -1)
@@ -363,34 +444,98 @@ def _packer(edges: list[np.ndarray], n_features: int):
     return pack
 
 
-_KEPT: dict[str, dict[str, Block]] = {}
-
-
-def _spark_answer(blocks: DataFrame, name: str) -> Callable[[Request], np.ndarray]:
-    """Sums over many blocks: sparse cells added up by Spark."""
-    def answer(req: Request) -> np.ndarray:
-        packed = pickle.dumps(req)
-
-        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            asked = pickle.loads(packed)
-            if name not in _KEPT:  # margins of other fits in this worker are done with
-                _KEPT.clear()
-            kept = _KEPT.setdefault(name, {})
-            for b in batches:
-                for row in b.to_pylist():
-                    if row["id"] not in kept:
-                        kept[row["id"]] = Block.unpack(row)
-                    cells = kept[row["id"]].answer(asked)
-                    some = np.union1d(np.flatnonzero(cells), [0])  # one cell at least, to tell the size
-                    yield pa.RecordBatch.from_pydict({"cell": some, "v": cells[some], "size": np.full(len(some), len(cells))})
-
-        found = (blocks.mapInArrow(part, "cell long, v long, size long").groupBy("cell")
-                 .agg(F.sum("v").alias("v"), F.max("size").alias("size")).toArrow())
-        size = found.column("size")[0].as_py() if found.num_rows else 0
-        out = np.zeros(size, dtype=np.int64)
-        out[found.column("cell").to_numpy()] = found.column("v").to_numpy()
+_KEPT: dict[str, dict[str, Block]] = {}  # of this worker
+
+
+def _block(name: str, row: dict) -> Block:
+    """The block as this worker knows it, or with the margins of its row."""
+    if name not in _KEPT:  # margins of other fits in this worker are done with
+        _KEPT.clear()
+    kept = _KEPT.setdefault(name, {})
+    block = kept.pop(row["id"], None) or Block.unpack(row)
+    for run, (done, margin) in row["margin"].items():
+        if block.margin.get(run, (-1, None))[0] < done:
+            block.margin[run] = (done, np.frombuffer(margin, np.float64))
+    kept[row["id"]] = block  # the last used stand last
+    while len(kept) > KEPT_BLOCKS:
+        del kept[next(iter(kept))]
+    return block
+
+
+# of the module, as Spark copies what a nested function refers to, and a copy of _KEPT would always be empty
+def _shares(name: str, packed: bytes, rows: Iterator[dict]) -> Iterator[tuple[int, np.ndarray]]:
+    req = pickle.loads(packed)
+    for row in rows:
+        yield from _block(name, row).shares(req)
+
+
+def _settled(name: str, asked: Broadcast, rows: Iterator[dict]) -> Iterator[dict]:
+    req = asked.value
+    for row in rows:
+        block, done = _block(name, row), req.settled + len(next(iter(req.trees.values())))
+        yield {**row, "margin": {run: (done, block._margin(run, req).tobytes()) for run in req.runs}}
+
+
+def _replies(packed: bytes, width: int, shares: Iterator[tuple[int, np.ndarray]]) -> Iterator[tuple[int, object]]:
+    req, sums = pickle.loads(packed), {}
+    for key, part in shares:
+        sums[key] = sums[key] + part if key in sums else part
+    for key, total in sums.items():
+        if key % width:
+            yield key, cuts(total.reshape(1, 2, -1, req.n_bins) / UNIT, req.params)
+        else:
+            yield key, tuple(total.tolist()) if req.base is None else metric_of(total, req.params)
+
+
+def _plain(row) -> dict:
+    return {"id": row["id"], "n": row["n"], **{c: bytes(row[c]) for c in ("bins", "label", "fold", "key")}, "margin": {}}
+
+
+class SparkBlocks:
+    """Replies of many blocks to ``grow``: one job a request."""
+
+    def __init__(self, blocks: DataFrame, n_features: int) -> None:
+        self.name, self.n_features, self.settled = uuid.uuid4().hex, n_features, 0
+        self.blocks: RDD = self._cached(blocks.rdd.map(_plain))
+        self.context = blocks.sparkSession.sparkContext
+
+    @staticmethod
+    def _cached(blocks: RDD) -> RDD:
+        blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+        blocks.foreachPartition(lambda rows: None)
+        return blocks
+
+    def __call__(self, req: Request) -> dict[int, tuple]:
+        done = len(next(iter(req.trees.values())))
+        req = replace(req, settled=self.settled, trees={run: t.after(self.settled) for run, t in req.trees.items()})
+        if done - self.settled >= SETTLE:
+            # broadcast, as every later job carries the lineage of its blocks
+            asked = self.context.broadcast(replace(req, splits=None, columns=None))
+            before, self.blocks = self.blocks, self._cached(self.blocks.mapPartitions(partial(_settled, self.name, asked), True))
+            before.unpersist()
+            self.settled = done
+            req = replace(req, settled=done, trees={run: t.after(len(t)) for run, t in req.trees.items()})
+        width = self.n_features + 1
+        some = sum(1 + int(req.columns[run].sum()) if req.columns else 1 for run in req.runs)
+        few = replace(req, trees={}, splits=None)
+        found = dict(self.blocks.mapPartitions(partial(_shares, self.name, pickle.dumps(req)))
+                     .partitionBy(min(some, self.context.defaultParallelism), int).mapPartitions(partial(_replies, pickle.dumps(few), width)).collect())
+        if req.base is None:
+            return {run: found[i * width] for i, run in enumerate(req.runs)}
+        return {run: (found.get(i * width), None if req.watch_only else best_splits(self._all(found, i * width + 1, req.columns[run]), req.columns[run]))
+                for i, run in enumerate(req.runs)}
+
+    def _all(self, found: dict, start: int, columns: np.ndarray) -> tuple:
+        drawn = np.flatnonzero(columns).tolist()
+        return tuple(self._spread(np.concatenate(parts), drawn) for parts in zip(*(found[start + f] for f in drawn), strict=True))
+
+    def _spread(self, some: np.ndarray, drawn: list[int]) -> np.ndarray:
+        out = np.zeros((self.n_features, *some.shape[1:]), some.dtype)
+        out[drawn] = some
         return out
-    return answer
+
+    def close(self) -> None:
+        self.blocks.unpersist()
 
 
 def _whole_loop(n_features: int, n_bins: int, runs: list[int], p: Params):
@@ -445,11 +590,15 @@ def fit(rows: DataFrame, cols: list[str], label: str, fold: str, id_col: str, ru
         raise ValueError("no rows to fit")
     edges = bin_edges(data, cols, F.col("_key"), n)
     n_bins = max(len(e) for e in edges) + 1
-    blocks = data.repartition(math.ceil(n / BLOCK_ROWS), "_key").mapInArrow(_packer(edges, len(cols)), BLOCK).persist()
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    parts = 1 if n <= BLOCK_ROWS else cores * math.ceil(n / BLOCK_ROWS / cores)
+    blocks = data.repartition(parts, "_key").mapInArrow(_packer(edges, len(cols)), BLOCK).persist()
     if blocks.count() == 1:
         fitted = pickle.loads(blocks.mapInArrow(_whole_loop(len(cols), n_bins, runs, p), "fitted binary").first()["fitted"])
     else:
-        fitted = boost(_spark_answer(blocks, uuid.uuid4().hex), len(cols), n_bins, runs, p)
+        ask = SparkBlocks(blocks, len(cols))
+        fitted = grow(ask, len(cols), n_bins, runs, p)
+        ask.close()
     blocks.unpersist()
     data.unpersist()
     return {run: Model(cols, edges, b, t, h, p.loss) for run, (b, t, h) in fitted.items()}

@@ -1,5 +1,6 @@
 """Boosted trees: sums, splits, stopping, and independence of the blocks."""
 
+import pickle
 from dataclasses import replace
 
 import numpy as np
@@ -92,3 +93,40 @@ def test_odd_tables(spark):
     flat = spark.createDataFrame([(f"r{i}", None, 1.0, float("nan"), i % 2, 1) for i in range(20)], schema)
     model = B.fit(flat, ["a", "b", "c"], "y", "fold", "id", [0], replace(P, rounds=2, row_share=1.0))[0]  # nothing held out, nothing to split
     assert {r[0] for r in flat.select(model.score()).collect()} == {0.5}
+
+
+def test_many_blocks_send_splits_and_settled_margins(spark, monkeypatch):
+    """The driver gets a split a feature and node, not the cells of the histograms or scores, and
+    a request never carries more than SETTLE trees, however many rounds and rows there are."""
+    monkeypatch.setattr(B, "SETTLE", 3)
+    p = replace(P, rounds=8, depth=2, patience=None)
+    df = table(spark).cache()
+    one = B.fit(df, ["a", "b", "c"], "y", "fold", "id", [0, 2], p)
+    asked, got, ask = [], [], B.SparkBlocks.__call__
+
+    def seen(self, req):
+        replies = ask(self, req)
+        asked.append(max(len(t) - self.settled for t in req.trees.values()))
+        got.append(len(pickle.dumps(replies)))
+        return replies
+
+    monkeypatch.setattr(B.SparkBlocks, "__call__", seen)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 130)
+    many = B.fit(df.repartition(3), ["a", "b", "c"], "y", "fold", "id", [0, 2], p)
+    assert same(one[0], many[0]) and same(one[2], many[2])
+    assert max(asked) < 3 and max(got) < 4_000
+
+
+@pytest.mark.parametrize("levels", [1, 3, 6, 8])
+def test_rows_go_down_the_tree_like_one_by_one(levels):
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, 255, size=(4, 200)).astype(np.uint8)
+    feature, cut = rng.integers(0, 4, (1 << levels) - 1), rng.choice([0, 60, 128, 200, 254, B.MAX_BINS], (1 << levels) - 1)
+    want = []
+    for row in bins.T:
+        node = 0
+        for level in range(levels):
+            at = node + (1 << level) - 1
+            node = 2 * node + int(row[feature[at]] > cut[at])
+        want.append(node)
+    assert B.descend(bins, feature, cut, levels).tolist() == want
