@@ -70,7 +70,8 @@ def nearest_neighbours(rows: DataFrame, id_col: str, vector_col: str, k: int, se
     id_type = points.schema["id"].dataType.simpleString()
     dealt = points.mapInArrow(deal, f"tree int, leaf long, id {id_type}, v array<double>").persist()
     sizes = dealt.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    cells = dealt.join(sizes, ["tree", "leaf"]).withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    # a row a leaf, so at most TREES * MAX_LEAVES; the dealt rows, which grow with the input, stay where they are
+    cells = dealt.join(F.broadcast(sizes), ["tree", "leaf"]).withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     # a row asks in every cell of its own row of blocks, and is asked in every cell of its column
     both = cells.select("tree", "leaf", "id", "v", F.explode(F.flatten(F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),

@@ -1,5 +1,7 @@
 """Nearest neighbours against brute force."""
 
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -56,3 +58,12 @@ def test_few_rows(spark):
     got = found(spark, np.array([[0.0], [0.0], [1.0]]), 5)
     assert [n["id"] for n in got[0]] == [1, 2] and len(got[2]) == 2
     assert found(spark, np.array([[0.0]]), 5) == {}
+
+
+def test_only_leaf_sizes_are_broadcast_and_cells_are_dealt_to_tasks(spark):
+    """Whatever Spark guesses of the sizes: rows are shuffled once, by the cell they meet in."""
+    df = spark.createDataFrame([(i, [float(i % 97), float(i % 31)]) for i in range(3000)], "id long, z array<double>")
+    near = N.nearest_neighbours(df, "id", "z", 5)
+    plan = re.sub(r"#\d+L?", "", near._jdf.queryExecution().executedPlan().toString())
+    assert re.search(r"BroadcastHashJoin \[tree, leaf\], \[tree, leaf\], Inner, BuildRight", plan)
+    assert re.search(r"hashpartitioning\(tree, leaf, q, m, \d+\)", plan)
