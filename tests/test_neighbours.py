@@ -54,6 +54,13 @@ def test_smote_neighbours_in_all_standardised_features(spark):
     assert (mine >= want - 1e-9).all() and mine.mean() < 1.05 * want.mean()
 
 
+def test_distances_are_sums_over_the_last_axis_to_the_bit():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 7, 8, 13, 16, 29):
+        a, b = rng.normal(size=(20, n)), rng.normal(size=(30, n))
+        assert np.array_equal(N._gaps(a, b), np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2)))
+
+
 def test_few_rows(spark):
     got = found(spark, np.array([[0.0], [0.0], [1.0]]), 5)
     assert [n["id"] for n in got[0]] == [1, 2] and len(got[2]) == 2
