@@ -13,43 +13,45 @@ validation is k runs over the same blocks.
 Gradients are rounded to integers (2^-20) and rows are sampled by a hash of row and round, so
 sums do not depend on their order: any number of blocks gives the same trees.  ``answer`` and
 ``shares`` are pure functions of a block and a request (which holds the trees that the block's
-margins lack).  Margins kept in a worker only save time; a worker that starts anew rebuilds
-them, so a lost executor costs its tasks.
+margins lack).
 
 Where the rows fill a single block, the loop runs in that block's task, since there is nothing
-to sum across tasks.  With more, every core has blocks, and each level is one small job: tasks
-add up the blocks' histograms by run and feature and search the splits there, so that the driver
-gets one split for each feature and node, whatever the number of rows or blocks.  Every
-``SETTLE`` rounds the margins of the trees so far are written into the cached blocks, so that a
-request never carries more than ``SETTLE`` trees a run.
+to sum across tasks.  With more, every core has one task's blocks, and each level is one small
+job: tasks add up the blocks' histograms by run and feature and search the splits there, so that
+the driver gets one split for each feature and node, whatever the number of rows or blocks.  The
+first job of a round also adds the last tree to the margins in the cached blocks; the jobs of the
+deeper levels read them as they are, so no worker keeps anything, and a lost executor costs its
+tasks.  Every ``SETTLE`` rounds the blocks are checkpointed, which cuts their lineage.
 
 A null or NaN feature falls into the lowest bin.
 """
 
 from __future__ import annotations
 
+import gc
 import math
 import pickle
-import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import RDD, Broadcast, StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopmetrics.session import ensure_checkpoint_dir
+
 MAX_BINS = 255
 EDGE_ROWS = 50_000
 BLOCK_ROWS = 1 << 18
+TASK_BLOCKS = 8
 SETTLE = 16
-KEPT_BLOCKS = 16
 UNIT = float(1 << 20)
 AUC_BINS = 1 << 16
-BLOCK = "id string, n int, bins binary, label binary, fold binary, key binary"
+BLOCK = "n int, bins binary, label binary, fold binary, key binary"
 
 
 @dataclass(frozen=True)
@@ -164,13 +166,16 @@ class Block:
         self.bins, self.label, self.fold, self.key = bins, label, fold, key
         self.margin: dict[int, tuple[int, np.ndarray]] = {}
         self.drawn: tuple[int, np.ndarray] | None = None
-        self.gradient: dict[int, tuple[int, np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.gradient: dict[int, tuple[int, slice | np.ndarray, np.ndarray, np.ndarray | None]] = {}
 
     @staticmethod
     def unpack(row: dict) -> Block:
         n = row["n"]
-        return Block(np.frombuffer(row["bins"], np.uint8).reshape(-1, n), np.frombuffer(row["label"], np.float64),
-                     np.frombuffer(row["fold"], np.int32), np.frombuffer(row["key"], np.uint64))
+        block = Block(np.frombuffer(row["bins"], np.uint8).reshape(-1, n), np.frombuffer(row["label"], np.float64),
+                      np.frombuffer(row["fold"], np.int8 if len(row["fold"]) == n else np.int32), np.frombuffer(row["key"], np.uint64))
+        for run, (done, margin) in row.get("margin", {}).items():
+            block.margin[run] = (done, np.frombuffer(margin, np.float64))
+        return block
 
     def _margin(self, run: int, req: Request) -> np.ndarray:
         trees, total = req.trees[run], req.settled + len(req.trees[run])
@@ -184,25 +189,38 @@ class Block:
         self.margin[run] = (total, margin)
         return margin
 
-    def _gradients(self, run: int, req: Request) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The run's drawn training rows with a curvature, their integer-valued gradients and curvatures."""
+    def _drawn(self, run: int, turn: int, p: Params) -> slice | np.ndarray:
+        """The run's drawn training rows; a slice where they lie together, which spares copies."""
+        train = self.fold != run
+        if p.row_share < 1:
+            if self.drawn is None or self.drawn[0] != turn:
+                self.drawn = (turn, sampled(self.key, p.seed, turn, p.row_share))
+            train &= self.drawn[1]
+        rows = np.flatnonzero(train)
+        return slice(rows[0], rows[-1] + 1) if len(rows) and rows[-1] - rows[0] + 1 == len(rows) else rows
+
+    def _nodes(self, rows: slice | np.ndarray, splits: tuple[np.ndarray, np.ndarray], level: int) -> np.ndarray:
+        if isinstance(rows, slice):
+            return descend(self.bins[:, rows], *splits, level)
+        return descend(self.bins, *splits, level)[rows]
+
+    def _gradients(self, run: int, req: Request) -> tuple[slice | np.ndarray, np.ndarray, np.ndarray | None]:
+        """The run's drawn training rows with a curvature, their integer-valued gradients and
+        curvatures (``None``: one each)."""
         turn = req.settled + len(req.trees[run])
         done, rows, g, h = self.gradient.get(run, (-1, None, None, None))
         if done != turn:
             margin, p = self._margin(run, req), req.params
-            if self.drawn is None or self.drawn[0] != turn:
-                self.drawn = (turn, sampled(self.key, p.seed, turn, p.row_share))
-            rows = np.flatnonzero((self.fold != run) & self.drawn[1])
+            rows = self._drawn(run, turn, p)
             margin, label = margin[rows], self.label[rows]
             if p.loss == "logistic":
                 prob = sigmoid(margin)
-                g, h = prob - label, prob * (1 - prob)
+                g, h = np.rint((prob - label) * UNIT), np.rint(prob * (1 - prob) * UNIT)
+                if not h.all():
+                    some = np.flatnonzero(h)
+                    rows, g, h = np.arange(len(self.label))[rows][some], g[some], h[some]
             else:
-                g, h = margin - label, np.ones(len(margin))
-            g, h = np.rint(g * UNIT), np.rint(h * UNIT)
-            if not h.all():
-                some = h > 0
-                rows, g, h = rows[some], g[some], h[some]
+                g, h = np.rint((margin - label) * UNIT), None
             self.gradient[run] = (turn, rows, g, h)
         return rows, g, h
 
@@ -231,11 +249,12 @@ class Block:
             if req.watch_only:
                 continue
             rows, g, h = self._gradients(run, req)
-            node, n = np.zeros(len(rows), dtype=np.int64), 1
+            node, n = np.zeros(len(g), dtype=np.int64), 1
             if req.level:  # left children; right ones follow from the parent
-                node = descend(self.bins, *req.splits[run], req.level)[rows]
-                left = node % 2 == 0
-                rows, g, h, node, n = rows[left], g[left], h[left], node[left] >> 1, 1 << (req.level - 1)
+                node = self._nodes(rows, req.splits[run], req.level)
+                left = np.flatnonzero(node % 2 == 0)
+                rows, g, h = np.arange(len(self.label))[rows][left], g[left], h if h is None else h[left]
+                node, n = node[left] >> 1, 1 << (req.level - 1)
             cell = node * req.n_bins
             parts += [histogram(cell + column[rows], g, h, n * req.n_bins).ravel() for column in self.bins]
         return np.concatenate(parts)
@@ -253,7 +272,7 @@ class Block:
             if req.watch_only:
                 continue
             rows, g, h = self._gradients(run, req)
-            cell = descend(self.bins, *req.splits[run], req.level)[rows] * req.n_bins if req.level else np.zeros(len(rows), dtype=np.int64)
+            cell = self._nodes(rows, req.splits[run], req.level) * req.n_bins if req.level else np.zeros(len(g), dtype=np.int64)
             for f in np.flatnonzero(req.columns[run]).tolist():
                 yield key + 1 + f, histogram(cell + self.bins[f][rows], g, h, req.n_bins << req.level)
 
@@ -262,9 +281,12 @@ class Block:
         return np.array([np.rint(self.label[train] * UNIT).sum(), train.sum()], dtype=np.int64)
 
 
-def histogram(at: np.ndarray, g: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
+def histogram(at: np.ndarray, g: np.ndarray, h: np.ndarray | None, n: int) -> np.ndarray:
     """Sums of gradient and curvature by cell."""
-    return np.stack([np.bincount(at, weights=g, minlength=n), np.bincount(at, weights=h, minlength=n)]).astype(np.int64)
+    out = np.empty((2, n), dtype=np.int64)
+    out[0] = np.bincount(at, weights=g, minlength=n)
+    out[1] = np.bincount(at, minlength=n) * int(UNIT) if h is None else np.bincount(at, weights=h, minlength=n)
+    return out
 
 
 # ---- the loop ---------------------------------------------------------------------------
@@ -418,16 +440,20 @@ def to_bins(columns: list[np.ndarray], edges: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _packer(edges: list[np.ndarray], n_features: int):
+def _packer(edges: list[np.ndarray], n_features: int, keyed: bool):
+    """Blocks with their rows ordered by fold, so that one run's training rows lie together."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
             t = pa.Table.from_batches(held)
             cols = [t.column(i).to_numpy().astype(np.float64) for i in range(n_features)]
             label, fold, key = (t.column(n_features + i).to_numpy() for i in range(3))
-            row = {"id": uuid.uuid4().hex, "n": len(label), "bins": to_bins(cols, edges).tobytes(), "label": label.astype(np.float64).tobytes(),
-                   "fold": fold.astype(np.int32).tobytes(), "key": key.astype(np.int64).tobytes()}
+            order = np.argsort(fold, kind="stable")
+            fold = fold[order]
+            fold = fold.astype(np.int8 if -128 <= fold[0] and fold[-1] <= 127 else np.int32)
+            row = {"n": len(label), "bins": to_bins(cols, edges)[:, order].tobytes(), "label": label[order].astype(np.float64).tobytes(),
+                   "fold": fold.tobytes(), "key": key[order].astype(np.int64).tobytes() if keyed else b""}
             return pa.RecordBatch.from_pylist([row], schema=pa.schema(
-                [("id", pa.string()), ("n", pa.int32()), ("bins", pa.binary()), ("label", pa.binary()), ("fold", pa.binary()), ("key", pa.binary())]))
+                [("n", pa.int32()), ("bins", pa.binary()), ("label", pa.binary()), ("fold", pa.binary()), ("key", pa.binary())]))
 
         held, n = [], 0
         for b in batches:
@@ -444,39 +470,41 @@ def _packer(edges: list[np.ndarray], n_features: int):
     return pack
 
 
-_KEPT: dict[str, dict[str, Block]] = {}  # of this worker
+@cache
+def _freeze() -> None:
+    """Once a worker: PySpark collects garbage after each task, 40-60 ms over all that was imported;
+    frozen objects are left out of that."""
+    gc.freeze()
 
 
-def _block(name: str, row: dict) -> Block:
-    """The block as this worker knows it, or with the margins of its row."""
-    if name not in _KEPT:  # margins of other fits in this worker are done with
-        _KEPT.clear()
-    kept = _KEPT.setdefault(name, {})
-    block = kept.pop(row["id"], None) or Block.unpack(row)
-    for run, (done, margin) in row["margin"].items():
-        if block.margin.get(run, (-1, None))[0] < done:
-            block.margin[run] = (done, np.frombuffer(margin, np.float64))
-    kept[row["id"]] = block  # the last used stand last
-    while len(kept) > KEPT_BLOCKS:
-        del kept[next(iter(kept))]
-    return block
+def _shares(packed: bytes, rows: Iterator[dict]) -> Iterator[tuple[int, np.ndarray]]:
+    _freeze()
+    return iter(_summed(pickle.loads(packed), rows).items())
 
 
-# of the module, as Spark copies what a nested function refers to, and a copy of _KEPT would always be empty
-def _shares(name: str, packed: bytes, rows: Iterator[dict]) -> Iterator[tuple[int, np.ndarray]]:
-    req = pickle.loads(packed)
+def _summed(req: Request, rows: Iterator[dict]) -> dict[int, np.ndarray]:
+    """The shares of a task's blocks, added up."""
+    sums = {}
     for row in rows:
-        yield from _block(name, row).shares(req)
+        for key, part in Block.unpack(row).shares(req):
+            if key in sums:
+                sums[key] += part
+            else:
+                sums[key] = part
+    return sums
 
 
-def _settled(name: str, asked: Broadcast, rows: Iterator[dict]) -> Iterator[dict]:
-    req = asked.value
+def _settled(packed: bytes, rows: Iterator[dict]) -> Iterator[dict]:
+    _freeze()
+    req = pickle.loads(packed)
+    done = req.settled + len(next(iter(req.trees.values())))
     for row in rows:
-        block, done = _block(name, row), req.settled + len(next(iter(req.trees.values())))
+        block = Block.unpack(row)
         yield {**row, "margin": {run: (done, block._margin(run, req).tobytes()) for run in req.runs}}
 
 
 def _replies(packed: bytes, width: int, shares: Iterator[tuple[int, np.ndarray]]) -> Iterator[tuple[int, object]]:
+    _freeze()
     req, sums = pickle.loads(packed), {}
     for key, part in shares:
         sums[key] = sums[key] + part if key in sums else part
@@ -488,37 +516,41 @@ def _replies(packed: bytes, width: int, shares: Iterator[tuple[int, np.ndarray]]
 
 
 def _plain(row) -> dict:
-    return {"id": row["id"], "n": row["n"], **{c: bytes(row[c]) for c in ("bins", "label", "fold", "key")}, "margin": {}}
+    return {"n": row["n"], **{c: bytes(row[c]) for c in ("bins", "label", "fold", "key")}, "margin": {}}
 
 
 class SparkBlocks:
     """Replies of many blocks to ``grow``: one job a request."""
 
     def __init__(self, blocks: DataFrame, n_features: int) -> None:
-        self.name, self.n_features, self.settled = uuid.uuid4().hex, n_features, 0
-        self.blocks: RDD = self._cached(blocks.rdd.map(_plain))
+        ensure_checkpoint_dir(blocks.sparkSession)
+        self.n_features, self.settled, self.written = n_features, 0, None
+        self.blocks: RDD = blocks.rdd.map(_plain).persist(StorageLevel.MEMORY_AND_DISK)
         self.context = blocks.sparkSession.sparkContext
 
-    @staticmethod
-    def _cached(blocks: RDD) -> RDD:
-        blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
-        blocks.foreachPartition(lambda rows: None)
-        return blocks
-
     def __call__(self, req: Request) -> dict[int, tuple]:
-        done = len(next(iter(req.trees.values())))
+        done, before = len(next(iter(req.trees.values()))), None
         req = replace(req, settled=self.settled, trees={run: t.after(self.settled) for run, t in req.trees.items()})
-        if done - self.settled >= SETTLE:
-            # broadcast, as every later job carries the lineage of its blocks
-            asked = self.context.broadcast(replace(req, splits=None, columns=None))
-            before, self.blocks = self.blocks, self._cached(self.blocks.mapPartitions(partial(_settled, self.name, asked), True))
-            before.unpersist()
+        if done > self.settled:  # in the same job as this request's sums
+            asked = pickle.dumps(replace(req, splits=None, columns=None))
+            before, self.blocks = self.blocks, self.blocks.mapPartitions(partial(_settled, asked), True).persist(StorageLevel.MEMORY_AND_DISK)
+            if done % SETTLE == 0:
+                self.blocks.checkpoint()
             self.settled = done
             req = replace(req, settled=done, trees={run: t.after(len(t)) for run, t in req.trees.items()})
+        replies = self._ask(req)
+        if before is not None:
+            before.unpersist()
+            if done % SETTLE == 0:
+                self._drop(self.written)
+                self.written = self.blocks.getCheckpointFile()
+        return replies
+
+    def _ask(self, req: Request) -> dict[int, tuple]:
         width = self.n_features + 1
         some = sum(1 + int(req.columns[run].sum()) if req.columns else 1 for run in req.runs)
         few = replace(req, trees={}, splits=None)
-        found = dict(self.blocks.mapPartitions(partial(_shares, self.name, pickle.dumps(req)))
+        found = dict(self.blocks.mapPartitions(partial(_shares, pickle.dumps(req)))
                      .partitionBy(min(some, self.context.defaultParallelism), int).mapPartitions(partial(_replies, pickle.dumps(few), width)).collect())
         if req.base is None:
             return {run: found[i * width] for i, run in enumerate(req.runs)}
@@ -534,8 +566,15 @@ class SparkBlocks:
         out[drawn] = some
         return out
 
+    def _drop(self, folder: str | None) -> None:
+        """Deletes a checkpoint that a later one replaces."""
+        if folder:
+            path = self.context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(self.context._jsc.hadoopConfiguration()).delete(path, True)
+
     def close(self) -> None:
         self.blocks.unpersist()
+        self._drop(self.written)
 
 
 def _whole_loop(n_features: int, n_bins: int, runs: list[int], p: Params):
@@ -591,8 +630,8 @@ def fit(rows: DataFrame, cols: list[str], label: str, fold: str, id_col: str, ru
     edges = bin_edges(data, cols, F.col("_key"), n)
     n_bins = max(len(e) for e in edges) + 1
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    parts = 1 if n <= BLOCK_ROWS else cores * math.ceil(n / BLOCK_ROWS / cores)
-    blocks = data.repartition(parts, "_key").mapInArrow(_packer(edges, len(cols)), BLOCK).persist()
+    parts = 1 if n <= BLOCK_ROWS else cores * math.ceil(n / (BLOCK_ROWS * TASK_BLOCKS * cores))
+    blocks = data.repartition(parts, "_key").mapInArrow(_packer(edges, len(cols), p.row_share < 1), BLOCK).persist()
     if blocks.count() == 1:
         fitted = pickle.loads(blocks.mapInArrow(_whole_loop(len(cols), n_bins, runs, p), "fitted binary").first()["fitted"])
     else:

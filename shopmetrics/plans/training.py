@@ -90,10 +90,13 @@ def clv_tiers_expr(df: DataFrame, value_col: str):
 
 
 def clv_predictions(run: dict) -> DataFrame:
-    """ml_clv_predictions rows for every customer (M11)."""
+    """ml_clv_predictions rows for every customer (M11).  The joined scores are written once: the
+    tiers' edges and the rows both read them."""
+    ensure_checkpoint_dir(run["features"].sparkSession)
     seg = feat.rfm_segments_features(run["features"]).select(CUID, "rfm_segment")
-    pred = (ml.clv_predict(run["model"], run["features"])
-            .withColumn("predicted_clv", half_even("predicted_clv", 2)).join(seg, CUID))
+    scored = ml.clv_predict(run["model"], run["features"]).select(
+        CUID, "monetary", half_even("predicted_clv", 2).alias("predicted_clv"), "recency_days", "frequency")
+    pred = scored.join(seg, CUID).checkpoint()
     pred = pred.withColumn("clv_segment", clv_tiers_expr(pred, "predicted_clv"))
     return pred.select(CUID, "rfm_segment",
                        F.col("monetary").cast("decimal(12,2)").alias("monetary"),

@@ -130,3 +130,31 @@ def test_rows_go_down_the_tree_like_one_by_one(levels):
             node = 2 * node + int(row[feature[at]] > cut[at])
         want.append(node)
     assert B.descend(bins, feature, cut, levels).tolist() == want
+
+
+def test_many_blocks_run_in_one_wave_and_read_margins_as_they_are(spark, monkeypatch):
+    """However many blocks there are, a level is one task a core; no request carries trees to catch
+    up on, and one checkpoint of the blocks is left at most, none at the end."""
+    monkeypatch.setattr(B, "SETTLE", 2)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 40)
+    tasks, carried, kept, ask = set(), set(), [], B.SparkBlocks.__call__
+
+    def seen(self, req):
+        replies = ask(self, req)
+        tasks.add(self.blocks.getNumPartitions())
+        carried.update(len(t) - self.settled for t in req.trees.values())
+        kept.append(self.written)
+        return replies
+
+    monkeypatch.setattr(B.SparkBlocks, "__call__", seen)
+    p = replace(P, loss="squared", watch="loss", rounds=5, depth=2, patience=None, row_share=1.0)
+    df = table(spark).cache()
+    many = B.fit(df, ["a", "b", "c"], "y", "fold", "id", [0], p)[0]
+    monkeypatch.setattr(B, "BLOCK_ROWS", 1 << 18)
+    assert same(B.fit(df, ["a", "b", "c"], "y", "fold", "id", [0], p)[0], many)
+    assert tasks == {spark.sparkContext.defaultParallelism} and carried == {0}
+    written = dict.fromkeys(folder for folder in kept if folder)
+    assert len(written) == 2
+    for folder in written:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)

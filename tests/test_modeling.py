@@ -133,3 +133,21 @@ def test_metrics_ledger_keeps_runs_and_replaces_a_retry(spark, tmp_dir):
     training.record_metrics(spark, [("churn", "auc", 0.6)], path, "b")
     again = training.record_metrics(spark, [("churn", "auc", 0.7)], path, "a")
     assert sorted((r["run_id"], r["value"]) for r in again.collect()) == [("a", 0.7), ("b", 0.6)]
+
+
+def test_clv_predictions_score_each_customer_once(spark, monkeypatch):
+    from shopmetrics.plans import training
+    scored = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def value(monetary):
+        scored.add(1)
+        return monetary * 1.5
+
+    monkeypatch.setattr(training.ml, "clv_predict", lambda model, df: df.withColumn("predicted_clv", value("monetary")))
+    rows = [(f"c{i}", float(i), i % 7, 100.0 + i) for i in range(200)]
+    features = spark.createDataFrame(rows, "customer_unique_id string, recency_days double, frequency int, monetary double").cache()
+    out = training.clv_predictions({"features": features, "model": None}).collect()
+    assert len(out) == 200 and scored.value == 200
+    assert {r["clv_segment"] for r in out} == set(training.CLV_TIER_LABELS)
+    assert all(float(r["predicted_clv"]) == float(r["monetary"]) * 1.5 for r in out)
