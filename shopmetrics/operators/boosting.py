@@ -48,6 +48,7 @@ MAX_BINS = 255
 EDGE_ROWS = 50_000
 BLOCK_ROWS = 1 << 18
 TASK_BLOCKS = 8
+TASK_SUMS = 4
 SETTLE = 16
 UNIT = float(1 << 20)
 AUC_BINS = 1 << 16
@@ -550,8 +551,9 @@ class SparkBlocks:
         width = self.n_features + 1
         some = sum(1 + int(req.columns[run].sum()) if req.columns else 1 for run in req.runs)
         few = replace(req, trees={}, splits=None)
+        parts = min(math.ceil(some / TASK_SUMS), self.context.defaultParallelism)
         found = dict(self.blocks.mapPartitions(partial(_shares, pickle.dumps(req)))
-                     .partitionBy(min(some, self.context.defaultParallelism), int).mapPartitions(partial(_replies, pickle.dumps(few), width)).collect())
+                     .partitionBy(parts, int).mapPartitions(partial(_replies, pickle.dumps(few), width)).collect())
         if req.base is None:
             return {run: found[i * width] for i, run in enumerate(req.runs)}
         return {run: (found.get(i * width), None if req.watch_only else best_splits(self._all(found, i * width + 1, req.columns[run]), req.columns[run]))
